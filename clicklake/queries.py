@@ -1,23 +1,41 @@
 """Registered queries: one per operator of the inventory, each over the test tables.
 
 Every query reads ``events`` (through the raw-event adapter) or data Spark
-derives from it, so its work grows with the table.
+derives from it, so its work grows with the table.  Queries that exercise a
+sink write to a fresh folder under the shared checkpoint directory and
+return what they read back.  ``ORACLES`` holds the DuckDB SQL for each key
+with an exact oracle; column names match one to one.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
-from .functions.columns import event_date
-from .operators import sessionize, validate
-from .session import ensure_defaults
-from .sources.adapter import load_raw
+from .functions import columns as C
+from .operators import quality, sessionize, validate
+from .plans import bronze as bronze_plan
+from .plans import silver as silver_plan
+from .schemas import SILVER_USER_ACTIONS
+from .session import ensure_defaults, scratch_path
+from .sinks import merge, writers
+from .sources import adapter, readers
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
+# Fixed values of the test scenarios.
+AS_OF = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)       # quality checks' time reference
+PROCESSING_DATE = dt.date(2024, 2, 1)                         # constant processing_date column
+REDELIVERY_FROM = dt.date(2024, 1, 16)                        # first re-delivered partition
+SLICE_DATE, SLICE_HOUR = dt.date(2024, 1, 15), 12              # partition slice of the hourly drops
+ONE_DAY = dt.date(2024, 1, 2)                                 # event_date slice
+HEAD_N = 10
+METRIC_DIGITS = 10                                            # rounding of floating metrics
+
 
 def register(key: str, sql: str | None = None):
     def deco(fn):
@@ -28,16 +46,668 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+# --------------------------------------------------------------------------- inputs
+
+RAW_FLAT = ("event_id", "user_id", "content_id", "event_type", "device_id", "timestamp", "country")
+
+
+def flat(df: DataFrame, *extra: str) -> DataFrame:
+    """Raw columns with the nested country lifted out (plus ``extra`` columns)."""
+    return df.select(*RAW_FLAT[:-1], F.col("geo_location.country").alias("country"), *extra)
+
+
+def raw(spark, sf_dir, variant="base") -> DataFrame:
+    ensure_defaults(spark)
+    return adapter.load_raw(spark, sf_dir, variant)
+
+
 def bronze_frame(spark: SparkSession, sf_dir: str, variant: str = "base") -> DataFrame:
     """Raw events plus the bronze ``event_date`` partition column (no write)."""
-    ensure_defaults(spark)
-    return load_raw(spark, sf_dir, variant).withColumn("event_date", event_date("timestamp"))
+    return raw(spark, sf_dir, variant).withColumn("event_date", C.event_date("timestamp"))
 
 
 def valid_events(spark, sf_dir, variant="base") -> DataFrame:
     return validate.split(bronze_frame(spark, sf_dir, variant))[0]
 
 
+def actionable(spark, sf_dir, variant="base") -> DataFrame:
+    return sessionize.actionable(valid_events(spark, sf_dir, variant))
+
+
+def drop_days(raw_df: DataFrame) -> list[dt.date]:
+    """Days covered by the data (one aggregate row)."""
+    lo, hi = raw_df.agg(F.min(C.event_date("timestamp")), F.max(C.event_date("timestamp"))).first()
+    return [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)] if lo else []
+
+
+def daily_drops(spark, sf_dir, variant="base") -> tuple[str, list[dt.date]]:
+    """Write the raw events as daily gzip JSON-lines drops; returns (base path, days)."""
+    r = raw(spark, sf_dir, variant)
+    base = scratch_path(spark, "drops")
+    adapter.write_daily_drops(r, base)
+    return base, drop_days(r)
+
+
+def hourly_drops(spark, sf_dir, variant="base") -> str:
+    """Write the raw events as Hive-partitioned Parquet region=/date=/hour=; returns the root."""
+    root = scratch_path(spark, "hourly")
+    writers.write_hive_partitioned(adapter.hourly_layout(raw(spark, sf_dir, variant)), root,
+                                   ("region", "date", "hour"))
+    return root
+
+
+def bronze_table(spark, sf_dir, variant="base") -> str:
+    path = scratch_path(spark, "bronze")
+    writers.create_partitioned(bronze_frame(spark, sf_dir, variant), path, ("event_date",))
+    return path
+
+
+def bronze_sql(variant="base") -> str:
+    return f"""SELECT event_id, user_id, content_id, event_type, device_id, "timestamp", country,
+       CAST(make_timestamp("timestamp" * 1000) AS DATE) AS event_date
+FROM ({O.raw_cte(variant)}) r"""
+
+
+RAW_SQL = f"SELECT * FROM ({O.raw_cte('base')}) r"
+HOURLY_SQL = f"""SELECT *,
+  CASE country WHEN 'IN' THEN 'India' WHEN 'SG' THEN 'SouthEast Asia' WHEN 'AE' THEN 'Middle East'
+       ELSE 'Unknown' END AS region,
+  CAST(make_timestamp("timestamp" * 1000) AS DATE) AS date,
+  CAST(hour(make_timestamp("timestamp" * 1000)) AS INTEGER) AS hour
+FROM ({O.raw_cte('base')}) r"""
+
+
+# --------------------------------------------------------------------------- sources
+
+@register("scan_jsonl_daily", f"""SELECT *, CAST(make_timestamp("timestamp" * 1000) AS DATE) AS process_date
+FROM ({O.raw_cte('base')}) r""")
+def scan_jsonl_daily(spark, sf_dir):
+    base, days = daily_drops(spark, sf_dir)
+    df = readers.read_jsonl_daily(spark, base, days, layout=readers.DAILY_DIRS)
+    return flat(df.withColumn("process_date", readers.drop_date(readers.DAILY_DIRS)), "process_date")
+
+
+@register("scan_jsonl_glob", RAW_SQL)
+def scan_jsonl_glob(spark, sf_dir):
+    base, _ = daily_drops(spark, sf_dir)
+    return flat(readers.read_jsonl_glob(spark, readers.DAILY_DIRS.glob(base)))
+
+
+@register("scan_parquet_partitioned", HOURLY_SQL)
+def scan_parquet_partitioned(spark, sf_dir):
+    root = hourly_drops(spark, sf_dir)
+    return flat(readers.read_partitioned_parquet(spark, root), "region", "date", "hour")
+
+
+@register("scan_schema_enforced", f"""SELECT event_id, user_id, content_id, event_type, "timestamp", device_id,
+       CAST(NULL AS VARCHAR) AS session_id, CAST(NULL AS VARCHAR) AS user_agent,
+       CAST(NULL AS VARCHAR) AS app_version, CAST(NULL AS VARCHAR) AS os_type
+FROM ({O.raw_cte('base')}) r""")
+def scan_schema_enforced(spark, sf_dir):
+    base, _ = daily_drops(spark, sf_dir)
+    df = readers.read_with_contract(spark, readers.DAILY_DIRS.glob(base), "json")
+    return df.select("event_id", "user_id", "content_id", "event_type", "timestamp", "device_id", "session_id",
+                     "technical_context.user_agent", "technical_context.app_version", "technical_context.os_type")
+
+
+@register("scan_table", bronze_sql("base"))
+def scan_table(spark, sf_dir):
+    name = "bronze_events_" + scratch_path(spark, "t").rsplit("/", 1)[-1][:12]
+    writers.save_as_table(bronze_frame(spark, sf_dir), name, scratch_path(spark, "tables"), ("event_date",))
+    return flat(readers.read_table(spark, name), "event_date")
+
+
+# Schema of the hourly drop as Spark reads it back.
+HOURLY_SCHEMA = [("event_id", "string"), ("user_id", "string"), ("content_id", "string"),
+                 ("event_type", "string"), ("device_id", "string"), ("timestamp", "bigint"),
+                 ("geo_location", "struct<country:string>"), ("region", "string"), ("date", "date"),
+                 ("hour", "int")]
+
+
+@register("describe_schema", "SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(HOURLY_SCHEMA)) + ") v(position, col_name, data_type)")
+def describe_schema(spark, sf_dir):
+    return readers.describe_schema(readers.read_partitioned_parquet(spark, hourly_drops(spark, sf_dir)))
+
+
+@register("catalog_tables")
+def catalog_tables(spark, sf_dir):
+    name = "bronze_events_" + scratch_path(spark, "t").rsplit("/", 1)[-1][:12]
+    writers.save_as_table(bronze_frame(spark, sf_dir), name, scratch_path(spark, "tables"), ("event_date",))
+    return readers.list_tables(spark).filter(F.col("name") == name)
+
+
+# --------------------------------------------------------------------------- sinks
+
+@register("sink_create_partitioned", bronze_sql("base"))
+def sink_create_partitioned(spark, sf_dir):
+    return flat(spark.read.parquet(bronze_table(spark, sf_dir)), "event_date")
+
+
+@register("sink_create_two_level", f"SELECT *, event_date AS processing_date FROM ({bronze_sql('base')}) b")
+def sink_create_two_level(spark, sf_dir):
+    path = scratch_path(spark, "bronze2")
+    df = bronze_frame(spark, sf_dir).withColumn("processing_date", F.col("event_date"))
+    writers.create_partitioned(df, path, ("processing_date", "event_date"))
+    return flat(spark.read.parquet(path), "event_date", "processing_date")
+
+
+@register("sink_overwrite_partitions", f"""SELECT * FROM ({bronze_sql('base')}) b WHERE event_date < DATE '{REDELIVERY_FROM}'
+UNION ALL SELECT * FROM ({bronze_sql('clean')}) c WHERE event_date >= DATE '{REDELIVERY_FROM}'""")
+def sink_overwrite_partitions(spark, sf_dir):
+    """Re-delivery of the days from REDELIVERY_FROM on: only those partitions are replaced."""
+    path = bronze_table(spark, sf_dir, "base")
+    redelivered = bronze_frame(spark, sf_dir, "clean").filter(F.col("event_date") >= F.lit(REDELIVERY_FROM))
+    writers.overwrite_partitions(redelivered, path, ("event_date",))
+    return flat(spark.read.parquet(path), "event_date")
+
+
+@register("sink_replace_table", bronze_sql("clean"))
+def sink_replace_table(spark, sf_dir):
+    path = bronze_table(spark, sf_dir, "base")
+    writers.replace_table(bronze_frame(spark, sf_dir, "clean"), path)
+    return flat(spark.read.parquet(path), "event_date")
+
+
+_UA_COLS = ", ".join(f.name for f in SILVER_USER_ACTIONS.fields)
+
+
+def _merge_sql() -> str:
+    keys = ("user_id", "content_id", "device_id", "action", "start_time")
+    on = " AND ".join(f"t.{k} IS NOT DISTINCT FROM s.{k}" for k in keys)
+    cols = []
+    for f in SILVER_USER_ACTIONS.fields:
+        c = f.name
+        if c in ("end_time", "duration_seconds"):
+            cols.append(f"CASE WHEN s._in THEN s.{c} ELSE t.{c} END AS {c}")
+        else:
+            cols.append(f"CASE WHEN t._in THEN t.{c} ELSE s.{c} END AS {c}")
+    return f"""SELECT {', '.join(cols)}
+FROM (SELECT *, TRUE AS _in FROM ({O.user_actions_sql('base')}) x) t
+FULL OUTER JOIN (SELECT *, TRUE AS _in FROM ({O.user_actions_sql('clean')}) y) s ON {on}"""
+
+
+@register("merge_user_actions", _merge_sql())
+def merge_user_actions(spark, sf_dir):
+    """Silver built from the base delivery, then the corrected (clean) delivery merged in."""
+    path = scratch_path(spark, "silver")
+    merge.merge_into_path(spark, writers.stage(spark, sessionize.user_actions(valid_events(spark, sf_dir, "base")),
+                                               "ua-base"), path)
+    merge.merge_into_path(spark, writers.stage(spark, sessionize.user_actions(valid_events(spark, sf_dir, "clean")),
+                                               "ua-clean"), path)
+    return spark.read.parquet(path).select(*[f.name for f in SILVER_USER_ACTIONS.fields])
+
+
+QUARANTINE_COLS = ("event_id", "user_id", "content_id", "event_type", "event_date", "device_id", "country",
+                   "event_timestamp", "validation_errors")
+QUARANTINE_SQL = f"""SELECT {', '.join(QUARANTINE_COLS)} FROM ({O.validated_cte('base')}) v
+WHERE len(validation_errors) > 0"""
+
+
+@register("sink_quarantine", QUARANTINE_SQL)
+def sink_quarantine(spark, sf_dir):
+    path = scratch_path(spark, "quarantine")
+    _, quarantined = validate.split(bronze_frame(spark, sf_dir))
+    writers.overwrite_partitions(quarantined, path, ("event_date",))
+    return spark.read.parquet(path).select(*QUARANTINE_COLS)
+
+
+@register("check_action_domain", f"""SELECT count(*) AS rows_checked,
+  CAST(sum(CASE WHEN action IN ('WATCHED', 'PAUSED') THEN 0 ELSE 1 END) AS BIGINT) AS violations
+FROM ({O.user_actions_sql('base')}) u""")
+def check_action_domain(spark, sf_dir):
+    ua = sessionize.user_actions(valid_events(spark, sf_dir))
+    bad = ~F.coalesce(F.col("action").isin(*C.VALID_ACTIONS), F.lit(False))
+    return ua.agg(F.count(F.lit(1)).alias("rows_checked"),
+                  F.sum(bad.cast("long")).alias("violations"))
+
+
+@register("sink_hive_partitioned", f"""SELECT region, date, hour, count(*) AS rows_written
+FROM ({HOURLY_SQL}) h GROUP BY region, date, hour""")
+def sink_hive_partitioned(spark, sf_dir):
+    df = readers.read_partitioned_parquet(spark, hourly_drops(spark, sf_dir))
+    return df.groupBy("region", "date", "hour").agg(F.count(F.lit(1)).alias("rows_written"))
+
+
+@register("verify_after_write", f"SELECT count(*) AS row_count, least(count(*), 5) AS sampled FROM ({RAW_SQL}) r")
+def verify_after_write(spark, sf_dir):
+    n, sample = writers.verify_after_write(spark, bronze_table(spark, sf_dir))
+    return spark.createDataFrame([(n, len(sample))], "row_count long, sampled long")
+
+
+# --------------------------------------------------------------------------- projections
+
+BASE_COLS = ("event_id", "user_id", "content_id", "event_type", "event_date", "device_id", "timestamp", "country",
+             "event_timestamp")
+
+
+@register("project_nested", f"SELECT * FROM ({O.base_cte('base')}) b")
+def project_nested(spark, sf_dir):
+    return validate.base_events(bronze_frame(spark, sf_dir)).select(*BASE_COLS)
+
+
+@register("derive_event_timestamp", f"""SELECT event_id, "timestamp", make_timestamp("timestamp" * 1000) AS event_timestamp
+FROM ({RAW_SQL}) r""")
+def derive_event_timestamp(spark, sf_dir):
+    return raw(spark, sf_dir).select("event_id", "timestamp", C.event_timestamp("timestamp").alias("event_timestamp"))
+
+
+@register("bronze_event_date", f"""SELECT event_id, "timestamp", CAST(make_timestamp("timestamp" * 1000) AS DATE) AS event_date
+FROM ({RAW_SQL}) r""")
+def bronze_event_date(spark, sf_dir):
+    return raw(spark, sf_dir).select("event_id", "timestamp", C.event_date("timestamp").alias("event_date"))
+
+
+@register("bronze_processing_date", f"""SELECT event_id, event_date, DATE '{PROCESSING_DATE}' AS processing_date
+FROM ({bronze_sql('base')}) b""")
+def bronze_processing_date(spark, sf_dir):
+    return bronze_frame(spark, sf_dir).select(
+        "event_id", "event_date", F.lit(PROCESSING_DATE).cast("date").alias("processing_date"))
+
+
+@register("derive_ymd", f"""SELECT event_id, region, hour, year(date) AS year, month(date) AS month,
+       day(date) AS day FROM ({HOURLY_SQL}) h""")
+def derive_ymd(spark, sf_dir):
+    df = readers.read_partitioned_parquet(spark, hourly_drops(spark, sf_dir))
+    return df.select("event_id", "region", "hour", *C.year_month_day("date"))
+
+
+@register("manual_bronze")
+def manual_bronze(spark, sf_dir):
+    """Hourly ingestion with the wall-clock and lineage columns (rows-only check)."""
+    out = scratch_path(spark, "manual")
+    bronze_plan.ingest_hourly(spark, hourly_drops(spark, sf_dir), out)
+    return spark.read.parquet(out)
+
+
+@register("source_file_lineage")
+def source_file_lineage(spark, sf_dir):
+    df = readers.with_source_file(readers.read_partitioned_parquet(spark, hourly_drops(spark, sf_dir)))
+    return df.select("event_id", "source_file_name")
+
+
+@register("classify_action", f"SELECT event_id, event_type, {O.ACTION_CASE} AS action FROM ({RAW_SQL}) r")
+def classify_action(spark, sf_dir):
+    return raw(spark, sf_dir).select("event_id", "event_type", C.classify_action().alias("action"))
+
+
+@register("action_id_hash", f"""SELECT user_id, content_id, device_id, action, start_time,
+  md5(user_id || content_id || device_id || action || CAST(start_time AS VARCHAR)) AS action_id
+FROM ({O.runs_cte('base')}) r""")
+def action_id_hash(spark, sf_dir):
+    runs = sessionize.event_runs(actionable(spark, sf_dir))
+    return runs.select("user_id", "content_id", "device_id", "action", "start_time", C.action_id().alias("action_id"))
+
+
+@register("duration_seconds", f"""SELECT user_id, content_id, device_id, action, start_time, end_time, duration_seconds
+FROM ({O.user_actions_sql('base')}) u""")
+def duration_seconds(spark, sf_dir):
+    return sessionize.user_actions(valid_events(spark, sf_dir)).select(
+        "user_id", "content_id", "device_id", "action", "start_time", "end_time", "duration_seconds")
+
+
+# --------------------------------------------------------------------------- filters
+
+@register("filter_date_hour", f"""SELECT event_id, user_id, event_type, region, date, hour FROM ({HOURLY_SQL}) h
+WHERE date = DATE '{SLICE_DATE}' AND hour = {SLICE_HOUR}""")
+def filter_date_hour(spark, sf_dir):
+    """A partition slice of the hourly drops (pruned at listing time)."""
+    df = readers.read_partitioned_parquet(spark, hourly_drops(spark, sf_dir))
+    return (df.where((F.col("date") == F.lit(SLICE_DATE)) & (F.col("hour") == SLICE_HOUR))
+            .select("event_id", "user_id", "event_type", "region", "date", "hour"))
+
+
+@register("filter_event_date", f"SELECT * FROM ({bronze_sql('base')}) b WHERE event_date = DATE '{ONE_DAY}'")
+def filter_event_date(spark, sf_dir):
+    """One day of the bronze table (partition pruning under ``to_date``)."""
+    df = spark.read.parquet(bronze_table(spark, sf_dir))
+    return flat(df.filter(F.to_date("event_date") == F.lit(ONE_DAY)), "event_date")
+
+
+@register("filter_null_ids", f"""SELECT event_id, user_id, event_id IS NULL AS event_id_is_null,
+  user_id IS NULL AS user_id_is_null, event_timestamp IS NULL AS event_timestamp_is_null
+FROM ({O.base_cte('base')}) b""")
+def filter_null_ids(spark, sf_dir):
+    b = validate.base_events(bronze_frame(spark, sf_dir))
+    return b.select("event_id", "user_id", F.col("event_id").isNull().alias("event_id_is_null"),
+                    F.col("user_id").isNull().alias("user_id_is_null"),
+                    F.col("event_timestamp").isNull().alias("event_timestamp_is_null"))
+
+
+@register("filter_country_code", f"""SELECT event_id, country, (country IS NULL OR length(country) <> 2) AS invalid_country
+FROM ({RAW_SQL}) r""")
+def filter_country_code(spark, sf_dir):
+    return flat(raw(spark, sf_dir)).select("event_id", "country", C.invalid_country("country").alias("invalid_country"))
+
+
+@register("filter_ts_range", f"""SELECT event_id, "timestamp",
+  "timestamp" BETWEEN {C.START_OF_2020_MS} AND {C.as_of_ms(AS_OF) + C.FUTURE_SKEW_MS} AS in_range
+FROM ({RAW_SQL}) r""")
+def filter_ts_range(spark, sf_dir):
+    return raw(spark, sf_dir).select("event_id", "timestamp", C.timestamp_in_range(AS_OF).alias("in_range"))
+
+
+@register("filter_conditional_content", f"""SELECT event_id, event_type, content_id,
+  (event_type IN ('login', 'logout') OR content_id IS NOT NULL) AS content_ok
+FROM ({RAW_SQL}) r""")
+def filter_conditional_content(spark, sf_dir):
+    return raw(spark, sf_dir).select("event_id", "event_type", "content_id", C.content_required().alias("content_ok"))
+
+
+# --------------------------------------------------------------------------- validation
+
+@register("validation_errors", f"SELECT event_id, user_id, country, validation_errors FROM ({O.validated_cte('base')}) v")
+def validation_errors(spark, sf_dir):
+    v = validate.with_validation_errors(validate.base_events(bronze_frame(spark, sf_dir)))
+    return v.select("event_id", "user_id", "country", validate.ERRORS)
+
+
+@register("valid_events", O.valid_cte("base"))
+def valid_events_q(spark, sf_dir):
+    return valid_events(spark, sf_dir).select(*BASE_COLS)
+
+
+@register("quarantine_events", QUARANTINE_SQL)
+def quarantine_events(spark, sf_dir):
+    return validate.split(bronze_frame(spark, sf_dir))[1].select(*QUARANTINE_COLS)
+
+
+# --------------------------------------------------------------------------- joins, aggregates
+
+RUN_COLS = ("user_id", "content_id", "device_id", "country", "action", "event_date", "start_time", "last_event_time")
+
+
+@register("run_closing_event", f"""SELECT r.user_id, r.content_id, r.device_id, r.country, r.action, r.event_date,
+       r.start_time, r.last_event_time, v.event_id AS closing_event_id
+FROM ({O.runs_cte('base')}) r
+LEFT JOIN ({O.valid_cte('base')}) v
+  ON r.user_id = v.user_id AND r.content_id = v.content_id AND r.device_id = v.device_id
+ AND r.last_event_time = v.event_timestamp""")
+def run_closing_event(spark, sf_dir):
+    valid = valid_events(spark, sf_dir)
+    return sessionize.run_closing_event(sessionize.actionable(valid), valid).select(*RUN_COLS, "closing_event_id")
+
+
+@register("event_runs", f"SELECT {', '.join(RUN_COLS)} FROM ({O.runs_cte('base')}) r")
+def event_runs(spark, sf_dir):
+    return sessionize.event_runs(actionable(spark, sf_dir)).select(*RUN_COLS)
+
+
+@register("row_count", f"SELECT count(*) AS row_count FROM ({RAW_SQL}) r")
+def row_count(spark, sf_dir):
+    return raw(spark, sf_dir).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register("distinct_event_types", f"SELECT DISTINCT event_type FROM ({RAW_SQL}) r")
+def distinct_event_types(spark, sf_dir):
+    """DISTINCT over every daily drop (glob read)."""
+    base, _ = daily_drops(spark, sf_dir)
+    return readers.read_jsonl_glob(spark, readers.DAILY_DIRS.glob(base)).select("event_type").distinct()
+
+
+@register("json_map_total", """SELECT event_type, count(*) AS events,
+  sum(list_sum(map_values(CAST(CAST(props AS JSON) AS MAP(VARCHAR, DOUBLE))))) AS props_total
+FROM events GROUP BY event_type""")
+def json_map_total(spark, sf_dir):
+    ensure_defaults(spark)
+    ev = adapter.load_events(spark, sf_dir)
+    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"),
+                                        F.sum(C.json_map_total("props")).alias("props_total"))
+
+
+# --------------------------------------------------------------------------- windows
+
+@register("rn_all", f"SELECT event_id, rn_all FROM ({O.numbered_cte('base')}) n")
+def rn_all(spark, sf_dir):
+    return sessionize.numbered(actionable(spark, sf_dir)).select("event_id", "rn_all")
+
+
+@register("rn_action", f"SELECT event_id, action, rn_action FROM ({O.numbered_cte('base')}) n")
+def rn_action(spark, sf_dir):
+    return sessionize.numbered(actionable(spark, sf_dir)).select("event_id", "action", "rn_action")
+
+
+@register("islands", f"SELECT event_id, action, rn_all - rn_action AS grp FROM ({O.numbered_cte('base')}) n")
+def islands(spark, sf_dir):
+    return sessionize.islands(actionable(spark, sf_dir)).select("event_id", "action", "grp")
+
+
+@register("next_start", f"SELECT {', '.join(RUN_COLS)}, next_start_time FROM ({O.runs_next_cte('base')}) r")
+def next_start(spark, sf_dir):
+    return sessionize.runs_with_next(actionable(spark, sf_dir)).select(*RUN_COLS, "next_start_time")
+
+
 @register("user_actions", O.user_actions_sql("base"))
 def user_actions(spark, sf_dir):
     return sessionize.user_actions(valid_events(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- limits, scalar functions
+
+@register("head_events", f"SELECT * FROM ({RAW_SQL}) r ORDER BY event_id NULLS LAST LIMIT {HEAD_N}")
+def head_events(spark, sf_dir):
+    return flat(raw(spark, sf_dir)).orderBy(F.asc_nulls_last("event_id")).limit(HEAD_N)
+
+
+@register("scalar_functions", f"""SELECT event_id, length(country) AS country_length,
+  year(event_date) AS year, month(event_date) AS month, day(event_date) AS day,
+  md5(user_id || content_id) AS pair_hash, coalesce(device_id, 'unknown') AS device_or_unknown,
+  CAST(event_timestamp AS VARCHAR) AS ts_text, CAST(floor(epoch(event_timestamp)) AS BIGINT) AS epoch_seconds
+FROM ({O.base_cte('base')}) b""")
+def scalar_functions(spark, sf_dir):
+    b = validate.base_events(bronze_frame(spark, sf_dir))
+    return b.select("event_id", F.length("country").alias("country_length"), *C.year_month_day("event_date"),
+                    F.md5(F.concat("user_id", "content_id")).alias("pair_hash"),
+                    F.coalesce("device_id", F.lit("unknown")).alias("device_or_unknown"),
+                    F.col("event_timestamp").cast("string").alias("ts_text"),
+                    F.col("event_timestamp").cast("long").alias("epoch_seconds"))
+
+
+# --------------------------------------------------------------------------- data quality
+
+def _suite() -> quality.Suite:
+    return quality.Suite(as_of=AS_OF, batch_cols=("process_date",))
+
+
+def _dq_input(spark, sf_dir, variant="base") -> DataFrame:
+    """Bronze rows batched by process date (the drop day = the event day here)."""
+    return raw(spark, sf_dir, variant).withColumn("process_date", C.event_date("timestamp"))
+
+
+def _rounded(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*[F.round(c, METRIC_DIGITS).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _dq_wide_sql(variant="base") -> str:
+    hi = C.as_of_ms(AS_OF) + C.FUTURE_SKEW_MS
+    return f"""WITH b AS (SELECT *, CAST(make_timestamp("timestamp" * 1000) AS DATE) AS process_date
+                  FROM ({O.raw_cte(variant)}) r),
+w AS (SELECT process_date, count(*) AS size,
+  CAST(count(user_id) AS DOUBLE) / count(*) AS completeness_user_id,
+  CAST(count(content_id) AS DOUBLE) / count(*) AS completeness_content_id,
+  CAST(count(event_type) AS DOUBLE) / count(*) AS completeness_event_type,
+  CAST(count("timestamp") AS DOUBLE) / count(*) AS completeness_timestamp,
+  CAST(sum("timestamp") AS DOUBLE) / count("timestamp") AS mean_timestamp,
+  CAST(sum(CASE WHEN coalesce("timestamp", 0) >= 0 THEN 1 ELSE 0 END) AS DOUBLE) / count(*)
+    AS compliance_non_negative_timestamp,
+  CAST(sum(CASE WHEN regexp_full_match(CAST("timestamp" AS VARCHAR), '{quality.INTEGRAL_PATTERN}') THEN 1 ELSE 0 END)
+    AS DOUBLE) / count("timestamp") AS ratio_integral_timestamp,
+  CAST(sum(CASE WHEN "timestamp" BETWEEN {C.START_OF_2020_MS} AND {hi} THEN 1 ELSE 0 END) AS DOUBLE) / count(*)
+    AS compliance_timestamp_range,
+  CAST(sum(CASE WHEN event_type IN ('login', 'logout') OR content_id IS NOT NULL THEN 1 ELSE 0 END) AS DOUBLE)
+    / count(*) AS compliance_content_required
+  FROM b GROUP BY process_date),
+f AS (SELECT process_date, col, val, count(*) AS n FROM (
+        SELECT process_date, 'user_id' AS col, user_id AS val FROM b
+        UNION ALL SELECT process_date, 'content_id', content_id FROM b
+        UNION ALL SELECT process_date, 'event_type', event_type FROM b) x
+      WHERE val IS NOT NULL GROUP BY process_date, col, val),
+fm AS (SELECT process_date, col,
+         CAST(sum(CASE WHEN n = 1 THEN 1 ELSE 0 END) AS DOUBLE) / sum(n) AS uniqueness,
+         CAST(count(*) AS DOUBLE) / sum(n) AS distinctness,
+         ln(sum(n)) - sum(n * ln(n)) / sum(n) AS entropy
+       FROM f GROUP BY process_date, col),
+wide AS (SELECT w.*,
+  (SELECT uniqueness FROM fm WHERE fm.process_date = w.process_date AND col = 'user_id') AS uniqueness_user_id,
+  (SELECT distinctness FROM fm WHERE fm.process_date = w.process_date AND col = 'content_id') AS distinctness_content_id,
+  (SELECT distinctness FROM fm WHERE fm.process_date = w.process_date AND col = 'event_type') AS distinctness_event_type,
+  (SELECT entropy FROM fm WHERE fm.process_date = w.process_date AND col = 'event_type') AS entropy_event_type
+  FROM w)"""
+
+
+def _r(expr: str) -> str:
+    return f"round({expr}, {METRIC_DIGITS})"
+
+
+_PROFILE_SQL = " UNION ALL ".join(
+    f"SELECT process_date, '{'Dataset' if m == 'Size' else 'Column'}' AS entity, '{c}' AS instance, "
+    f"'{m}' AS name, {_r(f'CAST({quality._metric_col(m, c)} AS DOUBLE)')} AS value FROM wide"
+    for m, c in quality.PROFILE)
+
+
+@register("dq_profile", _dq_wide_sql() + "\n" + _PROFILE_SQL)
+def dq_profile(spark, sf_dir):
+    s = _suite()
+    return _rounded(quality.profile_rows(quality.profile_wide(_dq_input(spark, sf_dir), s), s), "value")
+
+
+def _wide_query(key: str, cols: tuple[str, ...]):
+    @register(key, _dq_wide_sql() + f"\nSELECT process_date, {', '.join(_r(c) + ' AS ' + c for c in cols)} FROM wide")
+    def q(spark, sf_dir):
+        w = quality.profile_wide(_dq_input(spark, sf_dir), _suite())
+        return _rounded(w.select("process_date", *cols), *cols)
+    q.__name__ = key
+    return q
+
+
+dq_completeness = _wide_query("dq_completeness", ("completeness_user_id", "completeness_content_id",
+                                                  "completeness_event_type", "completeness_timestamp"))
+dq_uniqueness = _wide_query("dq_uniqueness", ("uniqueness_user_id",))
+dq_distinctness = _wide_query("dq_distinctness", ("distinctness_content_id", "distinctness_event_type"))
+dq_entropy = _wide_query("dq_entropy", ("entropy_event_type",))
+dq_mean = _wide_query("dq_mean", ("mean_timestamp",))
+dq_type_ratio = _wide_query("dq_type_ratio", ("ratio_integral_timestamp",))
+
+
+def _checks_sql() -> str:
+    parts = []
+    for name, metric, _passes, hint in quality._constraints(_suite()):
+        if metric == "ratio_integral_timestamp":
+            ok = f"({metric} IS NULL OR {metric} = 1.0)"
+        elif name.startswith("hasCompleteness"):
+            ok = f"coalesce({metric} > {quality.USER_ID_MIN_COMPLETENESS}, FALSE)"
+        else:
+            ok = f"coalesce({metric} = 1.0, FALSE)"
+        parts.append(f"""SELECT process_date, '{name}' AS "constraint",
+  CASE WHEN {ok} THEN 'Success' ELSE 'Failure' END AS constraint_status,
+  CASE WHEN {ok} THEN '' ELSE '{hint}' END AS constraint_message, {_r(f'CAST({metric} AS DOUBLE)')} AS value
+FROM wide""")
+    rows = " UNION ALL ".join(parts)
+    return f""", c AS ({rows})
+SELECT process_date, '{_suite().name}' AS "check", 'Error' AS check_level,
+  CASE WHEN max(CASE WHEN constraint_status <> 'Success' THEN 1 ELSE 0 END) OVER (PARTITION BY process_date) = 1
+       THEN 'Error' ELSE 'Success' END AS check_status,
+  "constraint", constraint_status, constraint_message, value
+FROM c"""
+
+
+@register("dq_checks", _dq_wide_sql() + _checks_sql())
+def dq_checks(spark, sf_dir):
+    s = _suite()
+    return _rounded(quality.check_rows(quality.profile_wide(_dq_input(spark, sf_dir), s), s), "value")
+
+
+_ANOMALY_SQL = f"""
+SELECT process_date, size, previous_size, size_change,
+  CASE WHEN previous_size IS NULL THEN 'Success'
+       WHEN size_change BETWEEN {quality.SIZE_MAX_DECREASE} AND {quality.SIZE_MAX_INCREASE} THEN 'Success'
+       ELSE 'Failure' END AS status,
+  CASE WHEN previous_size IS NULL THEN '{quality.NO_HISTORY}'
+       WHEN size_change BETWEEN {quality.SIZE_MAX_DECREASE} AND {quality.SIZE_MAX_INCREASE} THEN ''
+       ELSE 'size change outside bounds' END AS message
+FROM (SELECT process_date, size, lag(size) OVER (ORDER BY process_date) AS previous_size,
+             CAST(size - lag(size) OVER (ORDER BY process_date) AS DOUBLE) AS size_change FROM wide) a"""
+
+
+@register("dq_size_anomaly", _dq_wide_sql() + _ANOMALY_SQL)
+def dq_size_anomaly(spark, sf_dir):
+    _, _, _, anomalies, _ = quality.run_checks(_dq_input(spark, sf_dir), _suite())
+    return anomalies.select("process_date", "size", "previous_size", "size_change", "status", "message")
+
+
+@register("dq_gate", _dq_wide_sql() + _checks_sql().replace("\nSELECT process_date, '", "\n, chk AS (SELECT process_date, '", 1)
+          + f"""), an AS ({_ANOMALY_SQL})
+SELECT chk.process_date, CAST(sum(CASE WHEN constraint_status <> 'Success' THEN 1 ELSE 0 END) AS BIGINT)
+         AS failed_constraints,
+       any_value(an.status) AS anomaly_status,
+       sum(CASE WHEN constraint_status <> 'Success' THEN 1 ELSE 0 END) = 0 AND any_value(an.status) = 'Success'
+         AS passed
+FROM chk JOIN an ON chk.process_date = an.process_date GROUP BY chk.process_date""")
+def dq_gate(spark, sf_dir):
+    _, _, _, _, verdict = quality.run_checks(_dq_input(spark, sf_dir), _suite())
+    return verdict
+
+
+@register("dq_metrics_history", _dq_wide_sql() + _checks_sql().replace("\nSELECT process_date, '", "\n, chk AS (SELECT process_date, '", 1)
+          + f"""), an AS ({_ANOMALY_SQL}),
+g AS (SELECT chk.process_date,
+        sum(CASE WHEN constraint_status <> 'Success' THEN 1 ELSE 0 END) = 0 AND any_value(an.status) = 'Success'
+          AS passed
+      FROM chk JOIN an ON chk.process_date = an.process_date GROUP BY chk.process_date),
+p AS ({_PROFILE_SQL})
+SELECT p.*, g.passed FROM p JOIN g ON p.process_date = g.process_date""")
+def dq_metrics_history(spark, sf_dir):
+    """Metrics appended to the history (one partition per process date) and read back."""
+    s = _suite()
+    path = scratch_path(spark, "metrics")
+    _, metrics, _, _, verdict = quality.run_checks(_dq_input(spark, sf_dir), s)
+    bronze_plan.append_metrics(metrics, verdict, path)
+    return _rounded(spark.read.parquet(path).select("process_date", "entity", "instance", "name", "value", "passed"),
+                    "value")
+
+
+# --------------------------------------------------------------------------- pipelines
+
+@register("pipeline_bronze_daily", bronze_sql("clean"))
+def pipeline_bronze_daily(spark, sf_dir):
+    """Gated landing of every daily drop (clean delivery: every day passes)."""
+    base, days = daily_drops(spark, sf_dir, "clean")
+    out, metrics = scratch_path(spark, "bronze"), scratch_path(spark, "metrics")
+    bronze_plan.land_daily(spark, base, out, days, layout="event_date", as_of=AS_OF, metrics_path=metrics,
+                           drops=readers.DAILY_DIRS)
+    return flat(spark.read.parquet(out), "event_date")
+
+
+@register("pipeline_bronze_processing_date",
+          f"SELECT *, event_date AS processing_date FROM ({bronze_sql('base')}) b")
+def pipeline_bronze_processing_date(spark, sf_dir):
+    """Ungated landing into (processing_date, event_date) partitions."""
+    base, days = daily_drops(spark, sf_dir, "base")
+    out = scratch_path(spark, "bronze")
+    bronze_plan.land_daily(spark, base, out, days, layout="processing_date", gate=False,
+                           drops=readers.DAILY_DIRS)
+    return flat(spark.read.parquet(out), "event_date", "processing_date")
+
+
+@register("pipeline_manual_hour", f"""SELECT event_id, user_id, content_id, event_type, device_id, "timestamp", country,
+  region, hour, year(date) AS year, month(date) AS month, day(date) AS day FROM ({HOURLY_SQL}) h""")
+def pipeline_manual_hour(spark, sf_dir):
+    """Hourly ingestion over every hour of the drops (wall-clock / lineage columns left out)."""
+    out = scratch_path(spark, "manual")
+    bronze_plan.ingest_hourly(spark, hourly_drops(spark, sf_dir), out)
+    return flat(spark.read.parquet(out), "region", "hour", "year", "month", "day")
+
+
+@register("pipeline_silver", O.user_actions_sql("base"))
+def pipeline_silver(spark, sf_dir):
+    """Bronze table -> validate / quarantine -> sessionize -> MERGE, all days in one pass."""
+    bronze_path = bronze_table(spark, sf_dir)
+    silver_path, q_path = scratch_path(spark, "silver"), scratch_path(spark, "quarantine")
+    silver_plan.run(spark, bronze_path, silver_path, None, quarantine_path=q_path)
+    return spark.read.parquet(silver_path).select(*[f.name for f in SILVER_USER_ACTIONS.fields])
+
+
+@register("user_actions_backfill", O.user_actions_sql("ties"))
+def user_actions_backfill(spark, sf_dir):
+    """All days at once on hour-stamped events (ties everywhere): equals day-by-day runs."""
+    return silver_plan.transform(bronze_frame(spark, sf_dir, "ties"))[0]

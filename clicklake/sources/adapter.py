@@ -93,3 +93,30 @@ def load_events(spark, sf_dir: str) -> DataFrame:
 
 def load_raw(spark, sf_dir: str, variant: str = "base") -> DataFrame:
     return raw_events(load_events(spark, sf_dir), variant)
+
+
+def write_daily_drops(raw: DataFrame, base_path: str) -> None:
+    """Write raw events as gzip JSON-lines drops, one directory per event day (DAILY_DIRS)."""
+    from ..functions.columns import event_date
+
+    (raw.withColumn("drop_date", event_date("timestamp"))
+     .hint("rebalance", "drop_date")
+     .write.mode("overwrite").partitionBy("drop_date").option("compression", "gzip").json(base_path))
+
+
+# Region of each country code in the hourly Parquet layout.
+REGION_BY_COUNTRY = {"IN": "India", "SG": "SouthEast Asia", "AE": "Middle East"}
+UNKNOWN_REGION = "Unknown"
+
+
+def hourly_layout(raw: DataFrame) -> DataFrame:
+    """Raw events plus the region / date / hour partition columns of the hourly drops."""
+    from ..functions.columns import event_timestamp
+
+    country = F.col("geo_location.country")
+    region = F.lit(UNKNOWN_REGION)
+    for code, name in reversed(list(REGION_BY_COUNTRY.items())):
+        region = F.when(country == code, name).otherwise(region)
+    ts = event_timestamp("timestamp")
+    return raw.select("*", region.alias("region"), F.date_format(ts, "yyyy-MM-dd").alias("date"),
+                      F.date_format(ts, "HH").alias("hour"))
