@@ -6,14 +6,19 @@ key's time-ordered sequence into fixed time slices and compute the same
 answer in four data-parallel steps:
 
 1. local window inside (key, slice)               -- bounded by one slice
-2. one summary row per (key, slice)               -- no extra shuffle
+2. one summary row per (key, slice)               -- pre-aggregated map-side
 3. window over the summaries per key, by slice    -- one row per slice
-4. join the per-slice offsets back on (key, slice)
+4. join the per-slice offsets back on (key, slice) -- rows stay where they are
 
 Step 3 sees ``span / slice`` rows per key at most, so it stays small however
 hot the key is.  With ``slice_seconds=None`` the plain single-window form is
 used (fewer stages; fine when no key can be hot).
 
+Summaries are taken so that no expensive intermediate feeds two consumers:
+row-number offsets come from counts (order-independent, map-side
+pre-aggregated from a re-scan of the input), and ``keyed_next_ts`` expects
+its input to be a scan (callers stage their runs first).
+
 Keys are passed as one column name holding a struct of the key fields:
 struct equality and hashing treat NULL fields as equal, which gives the
 NULL-as-a-group semantics of ``PARTITION BY`` / ``GROUP BY`` to the joins too,
@@ -57,48 +62,45 @@ def keyed_row_number(df: DataFrame, key: str, order: list, ts: str, out: str,
             .drop("_before", "_local_rn", SLICE))
 
 
-def keyed_change_islands(df: DataFrame, key: str, order: list, ts: str, value: str, out: str,
-                         slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
-    """Island id per row: running count of value changes along ``order`` within ``key``.
+def keyed_row_numbers(df: DataFrame, key: str, group: str, order: list, ts: str,
+                      out_all: str, out_group: str,
+                      slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
+    """Two row numbers in one pass: over ``key`` and over (``key``, ``group``).
 
-    Consecutive rows with the same ``value`` share an id; ids increase along
-    the order, starting at 0 for each key.  ``value`` must be non-NULL.
+    ``group`` must be low-cardinality (e.g. an action vocabulary): per slice
+    the offsets of the groups present are carried as one small map.  The
+    offsets come from order-independent counts, pre-aggregated map-side from a
+    re-scan of the (columnar) input, so only the rows themselves are shuffled
+    once, on (key, slice).
     """
     if slice_seconds is None:
         w = Window.partitionBy(key).orderBy(*_order(order))
-        chg = F.coalesce((F.col(value) != F.lag(value).over(w)).cast("int"), F.lit(0))
-        return (df.withColumn("_chg", chg)
-                .withColumn(out, F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                .drop("_chg"))
-
+        wg = Window.partitionBy(key, group).orderBy(*_order(order))
+        return df.withColumn(out_all, F.row_number().over(w)).withColumn(out_group, F.row_number().over(wg))
     d = df.withColumn(SLICE, slice_of(ts, slice_seconds))
-    w = Window.partitionBy(key, SLICE).orderBy(*_order(order))
-    d = (d.withColumn("_prev", F.lag(value).over(w))
-          .withColumn("_next", F.lead(value).over(w))
-          .withColumn("_chg", F.coalesce((F.col(value) != F.col("_prev")).cast("long"), F.lit(0)))
-          .withColumn("_local", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-
-    # Summary of each slice: first value, last value, changes inside it.  The
-    # frame is already partitioned by (key, slice): this aggregate adds no shuffle.
-    summary = d.groupBy(key, SLICE).agg(
-        F.max(F.when(F.col("_prev").isNull(), F.col(value))).alias("_first"),
-        F.max(F.when(F.col("_next").isNull(), F.col(value))).alias("_last"),
-        F.sum("_chg").alias("_inner"),
-    )
-    by_slice = Window.partitionBy(key).orderBy(SLICE)
-    boundary = F.coalesce((F.col("_first") != F.lag("_last").over(by_slice)).cast("long"), F.lit(0))
-    offsets = (summary.withColumn("_entry", boundary)
-               .withColumn("_upto", F.sum(F.col("_entry") + F.col("_inner")).over(
-                   by_slice.rowsBetween(Window.unboundedPreceding, 0)))
-               .select(key, SLICE, (F.col("_upto") - F.col("_inner")).alias("_offset")))
-    return (d.join(offsets, [key, SLICE])
-            .withColumn(out, F.col("_offset") + F.col("_local"))
-            .drop("_prev", "_next", "_chg", "_local", "_offset", SLICE))
+    local = (d.withColumn("_rn_all", F.row_number().over(Window.partitionBy(key, SLICE).orderBy(*_order(order))))
+              .withColumn("_rn_grp", F.row_number().over(
+                  Window.partitionBy(key, SLICE, group).orderBy(*_order(order)))))
+    counts = d.groupBy(key, SLICE, group).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = lambda *p: Window.partitionBy(*p).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before_grp", F.coalesce(F.sum("_n").over(earlier(key, group)), F.lit(0)))
+    per_slice = counts.groupBy(key, SLICE).agg(
+        F.sum("_n").alias("_n_slice"),
+        F.map_from_entries(F.collect_list(F.struct(group, "_before_grp"))).alias("_before_map"))
+    offsets = per_slice.select(key, SLICE, F.coalesce(F.sum("_n_slice").over(earlier(key)), F.lit(0))
+                               .alias("_before_all"), "_before_map")
+    return (local.join(offsets, [key, SLICE])
+            .withColumn(out_all, F.col("_before_all") + F.col("_rn_all"))
+            .withColumn(out_group, F.element_at("_before_map", F.col(group)) + F.col("_rn_grp"))
+            .drop("_rn_all", "_rn_grp", "_before_all", "_before_map", SLICE))
 
 
 def keyed_next_ts(df: DataFrame, key: str, order: list, ts: str, out: str,
                   slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
-    """``LEAD(ts) OVER (PARTITION BY key ORDER BY order)``; ``order`` starts with ``ts``."""
+    """``LEAD(ts) OVER (PARTITION BY key ORDER BY order)``; ``order`` starts with ``ts``.
+
+    ``df`` is read twice (rows and per-slice minima): pass a staged frame.
+    """
     if slice_seconds is None:
         return df.withColumn(out, F.lead(ts).over(Window.partitionBy(key).orderBy(*_order(order))))
     d = df.withColumn(SLICE, slice_of(ts, slice_seconds))

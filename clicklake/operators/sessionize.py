@@ -14,6 +14,10 @@ Ordering is made total so results never depend on tie order: events by
 country, island).  ``event_date`` belongs to the key, so one pass over many
 days equals running each day on its own, and no task ever sees more than
 one key-day (and, with slicing, one key-slice) of events.
+
+``slice_seconds``: ``'auto'`` (default) measures the largest key-day first and
+uses plain windows below ``MAX_ROWS_PER_WINDOW_TASK`` rows, time slices above
+it (see ``ordered``); an int forces slices of that width; None forces plain.
 """
 
 from __future__ import annotations
@@ -22,7 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import IGNORE, action_id, classify_action, duration_seconds
-from .ordered import DEFAULT_SLICE_SECONDS, keyed_change_islands, keyed_next_ts, keyed_row_number
+from .ordered import DEFAULT_SLICE_SECONDS, keyed_next_ts, keyed_row_numbers
+
+AUTO = "auto"
+# Largest key-day (rows) still numbered by one plain window task; beyond it the
+# sequence is split into time slices.  ~5M rows of ~100 bytes sort in ~0.5 GB.
+MAX_ROWS_PER_WINDOW_TASK = 5_000_000
 
 KEY = "_key"
 KEY_FIELDS = ("user_id", "content_id", "device_id", "event_date")
@@ -40,6 +49,19 @@ def actionable(valid: DataFrame, watched=None, paused=None) -> DataFrame:
             .filter(F.col("action") != IGNORE))
 
 
+def largest_key_rows(act: DataFrame) -> int:
+    """Rows of the largest (user, content, device, day) group -- one aggregate job."""
+    top = act.groupBy(*KEY_FIELDS).count().agg(F.max("count")).first()[0]
+    return int(top or 0)
+
+
+def resolve_slicing(act: DataFrame, slice_seconds, max_rows: int = MAX_ROWS_PER_WINDOW_TASK):
+    """``'auto'``: plain windows when every key-day fits one task, else time slices."""
+    if slice_seconds != AUTO:
+        return slice_seconds
+    return None if largest_key_rows(act) <= max_rows else DEFAULT_SLICE_SECONDS
+
+
 def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumn(KEY, F.struct(*KEY_FIELDS))
 
@@ -49,23 +71,24 @@ def _unkey(df: DataFrame) -> DataFrame:
                      *[c for c in df.columns if c != KEY])
 
 
-def numbered(act: DataFrame, slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
-    """rn_all over (user, content, device, day); rn_action additionally over action."""
+def _numbered_keyed(act: DataFrame, slice_seconds: int | None) -> DataFrame:
     d = _keyed(act.select(*KEY_FIELDS, "event_id", "country", "action", "event_timestamp"))
-    d = keyed_row_number(d, KEY, list(EVENT_ORDER), "event_timestamp", "rn_all", slice_seconds)
-    d = d.withColumn("_key_action", F.struct(KEY, "action"))
-    d = keyed_row_number(d, "_key_action", list(EVENT_ORDER), "event_timestamp", "rn_action", slice_seconds)
-    return _unkey(d.drop("_key_action"))
+    return keyed_row_numbers(d, KEY, "action", list(EVENT_ORDER), "event_timestamp", "rn_all", "rn_action",
+                             slice_seconds)
+
+
+def numbered(act: DataFrame, slice_seconds=AUTO) -> DataFrame:
+    """rn_all over (user, content, device, day); rn_action additionally over action."""
+    return _unkey(_numbered_keyed(act, resolve_slicing(act, slice_seconds)))
 
 
-def islands(act: DataFrame, slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
+def islands(act: DataFrame, slice_seconds=AUTO) -> DataFrame:
     """Row-number form of the island id: ``grp = rn_all - rn_action``."""
     return numbered(act, slice_seconds).withColumn("grp", F.col("rn_all") - F.col("rn_action"))
 
 
 def _runs_keyed(act: DataFrame, slice_seconds: int | None) -> DataFrame:
-    d = _keyed(act.select(*KEY_FIELDS, "event_id", "country", "action", "event_timestamp"))
-    d = keyed_change_islands(d, KEY, list(EVENT_ORDER), "event_timestamp", "action", "_island", slice_seconds)
+    d = _numbered_keyed(act, slice_seconds).withColumn("_island", F.col("rn_all") - F.col("rn_action"))
     # Partial aggregation runs map-side: a long run costs one row per task before the shuffle.
     return d.groupBy(KEY, "country", "action", "_island").agg(
         F.min("event_timestamp").alias("start_time"),
@@ -73,21 +96,29 @@ def _runs_keyed(act: DataFrame, slice_seconds: int | None) -> DataFrame:
     )
 
 
-def event_runs(act: DataFrame, slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
+def event_runs(act: DataFrame, slice_seconds=AUTO) -> DataFrame:
     """One row per run: key, country, action, event_date, start_time, last_event_time."""
-    return _unkey(_runs_keyed(act, slice_seconds)).drop("_island")
+    return _unkey(_runs_keyed(act, resolve_slicing(act, slice_seconds))).drop("_island")
 
 
 def _with_next(runs_keyed: DataFrame, slice_seconds: int | None) -> DataFrame:
     order = ["start_time", "last_event_time", "action", "country", "_island"]
+    if slice_seconds is not None:
+        # The sliced LEAD reads the runs twice; stage them once instead of
+        # recomputing the event-level shuffle for each reader.
+        from ..sinks.writers import stage
+
+        runs_keyed = stage(runs_keyed.sparkSession, runs_keyed, "runs")
     return keyed_next_ts(runs_keyed, KEY, order, "start_time", "next_start_time", slice_seconds)
 
 
-def runs_with_next(act: DataFrame, slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
+def runs_with_next(act: DataFrame, slice_seconds=AUTO) -> DataFrame:
+    slice_seconds = resolve_slicing(act, slice_seconds)
     return _unkey(_with_next(_runs_keyed(act, slice_seconds), slice_seconds)).drop("_island")
 
 
-def user_actions_from_actionable(act: DataFrame, slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
+def user_actions_from_actionable(act: DataFrame, slice_seconds=AUTO) -> DataFrame:
+    slice_seconds = resolve_slicing(act, slice_seconds)
     r = _unkey(_with_next(_runs_keyed(act, slice_seconds), slice_seconds))
     return (r.withColumn("end_time", F.coalesce("next_start_time", "last_event_time"))
             .withColumn("action_id", action_id())
@@ -95,14 +126,12 @@ def user_actions_from_actionable(act: DataFrame, slice_seconds: int | None = DEF
             .select(*USER_ACTION_COLUMNS))
 
 
-def user_actions(valid: DataFrame, slice_seconds: int | None = DEFAULT_SLICE_SECONDS,
-                 watched=None, paused=None) -> DataFrame:
+def user_actions(valid: DataFrame, slice_seconds=AUTO, watched=None, paused=None) -> DataFrame:
     """Silver user actions from valid events (the full sessionization)."""
     return user_actions_from_actionable(actionable(valid, watched, paused), slice_seconds)
 
 
-def run_closing_event(act: DataFrame, valid: DataFrame,
-                      slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
+def run_closing_event(act: DataFrame, valid: DataFrame, slice_seconds=AUTO) -> DataFrame:
     """Each run LEFT JOIN the valid events at its closing time (user, content, device, time).
 
     Keeps the reference join's fan-out: a run gets one row per event that shares

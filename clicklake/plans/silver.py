@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sessionize, validate
-from ..operators.ordered import DEFAULT_SLICE_SECONDS
 from ..session import ensure_defaults
 from ..sinks import merge, writers
 
@@ -31,14 +30,14 @@ def read_bronze_days(spark: SparkSession, bronze_path: str, days: dt.date | Iter
     return bronze.filter(F.to_date(F.col("event_date")).isin(days))
 
 
-def transform(bronze: DataFrame, slice_seconds: int | None = DEFAULT_SLICE_SECONDS):
+def transform(bronze: DataFrame, slice_seconds=sessionize.AUTO):
     """(silver user actions, quarantined rows) -- both lazy."""
     valid, quarantined = validate.split(bronze)
     return sessionize.user_actions(valid, slice_seconds), quarantined
 
 
 def run(spark: SparkSession, bronze_path: str, silver_path: str, days=None, *,
-        quarantine_path: str | None = None, slice_seconds: int | None = DEFAULT_SLICE_SECONDS,
+        quarantine_path: str | None = None, slice_seconds=sessionize.AUTO,
         null_safe: bool = True) -> str:
     """Process ``days`` of bronze into silver; returns 'empty', 'create' or 'merge'."""
     ensure_defaults(spark)
