@@ -64,6 +64,7 @@ class Suite:
     profile: tuple[tuple[str, str], ...] = PROFILE
     name: str = "raw events quality"
     frequency_columns: tuple[str, ...] = field(default=())
+    size_change_bounds: tuple[float, float] = (SIZE_MAX_DECREASE, SIZE_MAX_INCREASE)
 
     def freq_columns(self) -> list[str]:
         if self.frequency_columns:
@@ -254,6 +255,8 @@ def run_checks(df: DataFrame, suite: Suite, history: DataFrame | None = None):
         sizes = wide.select(date_col, "size")
         if history is not None:
             sizes = history.select(date_col, "size").join(sizes, date_col, "left_anti").unionByName(sizes)
-        anomalies = size_anomaly(sizes, date_col).join(wide.select(date_col), date_col, "left_semi")
+        lo, hi = suite.size_change_bounds
+        anomalies = size_anomaly(sizes, date_col, max_decrease=lo, max_increase=hi) \
+            .join(wide.select(date_col), date_col, "left_semi")
     verdict = gate(checks, anomalies, suite.batch_cols)
     return wide, metrics, checks, anomalies, verdict

@@ -72,7 +72,9 @@ def land_daily(spark: SparkSession, source_base: str, bronze_path: str,
                days: dt.date | Iterable[dt.date], *, layout: str = "processing_date",
                gate: bool = True, as_of: dt.datetime | None = None,
                metrics_path: str | None = None, on_failure: str = "raise",
-               drops: readers.DropLayout = readers.DAILY_FILES) -> LandingResult:
+               drops: readers.DropLayout = readers.DAILY_FILES,
+               size_change_bounds: tuple[float, float] = (quality.SIZE_MAX_DECREASE,
+                                                          quality.SIZE_MAX_INCREASE)) -> LandingResult:
     ensure_defaults(spark)
     days = [days] if isinstance(days, dt.date) else sorted(days)
     raw = with_process_date(readers.read_jsonl_daily(spark, source_base, days, layout=drops), drops)
@@ -83,7 +85,8 @@ def land_daily(spark: SparkSession, source_base: str, bronze_path: str,
 
     passing, blocked = days, []
     if gate:
-        suite = quality.Suite(as_of=as_of or dt.datetime.now(dt.timezone.utc), batch_cols=(PROCESS_DATE,))
+        suite = quality.Suite(as_of=as_of or dt.datetime.now(dt.timezone.utc), batch_cols=(PROCESS_DATE,),
+                              size_change_bounds=size_change_bounds)
         wide, metrics, _checks, _anomalies, verdict = quality.run_checks(
             staged, suite, size_history(spark, metrics_path))
         verdict = writers.stage(spark, verdict, "gate-verdict")           # one row per day

@@ -66,7 +66,7 @@ def merge_into_path(spark: SparkSession, updates: DataFrame, target_path: str,
     days = [r[0] for r in updates.select("event_date").distinct().collect()]
     target = spark.read.schema(SILVER_USER_ACTIONS).parquet(target_path).filter(F.col("event_date").isin(days))
     staged = scratch_path(spark, "merge-staging")
-    merge_frames(target, updates, null_safe).write.partitionBy("event_date").parquet(staged)
+    merge_frames(target, updates, null_safe).write.parquet(staged)
     overwrite_partitions(spark.read.schema(SILVER_USER_ACTIONS).parquet(staged), target_path, ("event_date",))
     return "merge"
 
