@@ -137,11 +137,22 @@ def run_closing_event(act: DataFrame, valid: DataFrame, slice_seconds=AUTO) -> D
     Keeps the reference join's fan-out: a run gets one row per event that shares
     its closing timestamp, and a run with a NULL device matches nothing
     (plain equality).  Returns the run plus the matched ``closing_event_id``.
+
+    Written as inner join + anti join instead of one outer join: adaptive
+    execution can split a hot join key on both sides of an inner join (not on
+    the non-preserved side of an outer join), and the anti join runs against
+    the distinct closing keys, pre-aggregated map-side, so a hot tie group
+    collapses to one row before it is shuffled.
     """
-    runs = event_runs(act, slice_seconds).alias("r")
-    ev = valid.select("user_id", "content_id", "device_id", "event_timestamp",
-                      F.col("event_id").alias("closing_event_id")).alias("v")
-    cond = [F.col("r.user_id") == F.col("v.user_id"), F.col("r.content_id") == F.col("v.content_id"),
-            F.col("r.device_id") == F.col("v.device_id"),
-            F.col("r.last_event_time") == F.col("v.event_timestamp")]
-    return runs.join(ev, cond, "left").select("r.*", "closing_event_id")
+    from ..sinks.writers import stage
+
+    keys = ["user_id", "content_id", "device_id"]
+    # Both joins read the runs: stage them once rather than recompute the event shuffle twice.
+    runs = stage(act.sparkSession, event_runs(act, slice_seconds), "closing-runs")
+    ev = valid.select(*keys, F.col("event_timestamp").alias("last_event_time"),
+                      F.col("event_id").alias("closing_event_id"))
+    matched = runs.join(ev, keys + ["last_event_time"], "inner")
+    closing_keys = ev.select(*keys, "last_event_time").distinct()
+    unmatched = (runs.join(closing_keys, keys + ["last_event_time"], "left_anti")
+                 .withColumn("closing_event_id", F.lit(None).cast("string")))
+    return matched.unionByName(unmatched)
