@@ -111,25 +111,20 @@ def _frequency_metrics(df: DataFrame, suite: Suite) -> DataFrame:
             .select(*batch, "p.column", "p.value")
             .filter(F.col("value").isNotNull())
             .groupBy(*batch, "column", "value").agg(F.count(F.lit(1)).alias("n")))
+    # One conditional aggregate turns the frequencies into one row per batch
+    # with a column per (metric, column): no pivot, one small shuffle.
     n = F.col("n").cast("double")
-    per_col = freq.groupBy(*batch, "column").agg(
-        F.sum("n").alias("non_null"),
-        F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("singletons"),
-        F.count(F.lit(1)).alias("distinct_values"),
-        F.sum(n * F.log(n)).alias("n_ln_n"),
-    )
-    total = F.col("non_null").cast("double")
-    metrics = per_col.select(
-        *batch, "column",
-        (F.col("singletons") / total).alias("uniqueness"),
-        (F.col("distinct_values") / total).alias("distinctness"),
-        # -sum p ln p == ln N - sum(n ln n) / N
-        (F.log(total) - F.col("n_ln_n") / total).alias("entropy"),
-    )
-    # One row per batch with a column per (metric, column); the pivot values are fixed.
-    names = ("uniqueness", "distinctness", "entropy")
-    wide = metrics.groupBy(*batch).pivot("column", cols).agg(*[F.first(m).alias(m) for m in names])
-    return wide.select(*batch, *[F.col(f"{c}_{m}").alias(f"{m}_{c}") for c in cols for m in names])
+    aggs = []
+    for c in cols:
+        mine = F.col("column") == c
+        total = F.sum(F.when(mine, n))
+        aggs += [
+            (F.sum(F.when(mine & (F.col("n") == 1), 1.0)) / total).alias(f"uniqueness_{c}"),
+            (F.sum(F.when(mine, 1.0)) / total).alias(f"distinctness_{c}"),
+            # -sum p ln p == ln N - sum(n ln n) / N
+            (F.log(total) - F.sum(F.when(mine, n * F.log(n))) / total).alias(f"entropy_{c}"),
+        ]
+    return freq.groupBy(*batch).agg(*aggs)
 
 
 def profile_wide(df: DataFrame, suite: Suite) -> DataFrame:
@@ -140,7 +135,8 @@ def profile_wide(df: DataFrame, suite: Suite) -> DataFrame:
     if batch:
         # Batches with only NULL values still get a profile row.
         return wide.join(freq, batch, "left")
-    return wide.crossJoin(freq) if freq is not None else wide
+    # Unbatched: both sides are a single row.
+    return wide.crossJoin(freq)
 
 
 def profile_rows(wide: DataFrame, suite: Suite) -> DataFrame:
@@ -175,32 +171,31 @@ def _constraints(suite: Suite):
     ]
 
 
+def _constraint_ok(passes, metric: str):
+    return F.coalesce(passes(F.col(metric)), F.lit(False))
+
+
+def failed_constraints(suite: Suite):
+    """Number of failing constraints, as a column over the wide profile row."""
+    return sum(F.when(_constraint_ok(p, m), 0).otherwise(1) for _, m, p, _ in _constraints(suite))
+
+
 def check_rows(wide: DataFrame, suite: Suite) -> DataFrame:
     """One row per constraint: (batch..., check, check_level, check_status, constraint,
-    constraint_status, constraint_message, value)."""
+    constraint_status, constraint_message, value).  Narrow: derived from the profile row."""
     batch = list(suite.batch_cols)
     entries = []
     for name, metric, passes, hint in _constraints(suite):
-        v = F.col(metric)
-        ok = F.coalesce(passes(v), F.lit(False))
+        ok = _constraint_ok(passes, metric)
         entries.append(F.struct(
             F.lit(name).alias("constraint"),
             F.when(ok, SUCCESS).otherwise(FAILURE).alias("constraint_status"),
             F.when(ok, "").otherwise(hint).alias("constraint_message"),
-            v.cast("double").alias("value")))
-    rows = (wide.select(*batch, F.explode(F.array(*entries)).alias("c")).select(*batch, "c.*"))
-    status = F.max(F.when(F.col("constraint_status") != SUCCESS, 1).otherwise(0)).over(
-        Window.partitionBy(*batch)) if batch else None
-    if status is None:
-        # Unbatched: a single profile row, so the verdict is a tiny aggregate.
-        failed = rows.agg(F.max(F.when(F.col("constraint_status") != SUCCESS, 1).otherwise(0)).alias("_f"))
-        rows = rows.crossJoin(failed)
-    else:
-        rows = rows.withColumn("_f", status)
-    return rows.select(
-        *batch, F.lit(suite.name).alias("check"), F.lit(ERROR).alias("check_level"),
-        F.when(F.col("_f") == 1, ERROR).otherwise(SUCCESS).alias("check_status"),
-        "constraint", "constraint_status", "constraint_message", "value")
+            F.col(metric).cast("double").alias("value")))
+    status = F.when(failed_constraints(suite) > 0, ERROR).otherwise(SUCCESS)
+    return (wide.select(*batch, status.alias("check_status"), F.explode(F.array(*entries)).alias("c"))
+            .select(*batch, F.lit(suite.name).alias("check"), F.lit(ERROR).alias("check_level"),
+                    "check_status", "c.*"))
 
 
 def size_anomaly(history: DataFrame, date_col: str = "process_date", size_col: str = "size",
@@ -223,30 +218,33 @@ def size_anomaly(history: DataFrame, date_col: str = "process_date", size_col: s
                         .when(F.col("status") == SUCCESS, "").otherwise("size change outside bounds")))
 
 
-def gate(checks: DataFrame, anomalies: DataFrame | None, batch_cols: tuple[str, ...]) -> DataFrame:
+def gate(wide: DataFrame, anomalies: DataFrame | None, suite: Suite) -> DataFrame:
     """Verdict per batch: passed only when every constraint and the anomaly check succeed."""
-    batch = list(batch_cols)
-    c = checks.groupBy(*batch).agg(
-        F.sum(F.when(F.col("constraint_status") != SUCCESS, 1).otherwise(0)).alias("failed_constraints"))
+    batch = list(suite.batch_cols)
+    c = wide.select(*batch, failed_constraints(suite).alias("failed_constraints"))
     if anomalies is not None:
-        a = anomalies.select(*batch, F.col("status").alias("anomaly_status"))
-        c = c.join(a, batch, "left") if batch else c.crossJoin(a)
+        c = c.join(anomalies.select(*batch, F.col("status").alias("anomaly_status")), batch, "left")
     else:
         c = c.withColumn("anomaly_status", F.lit(SUCCESS))
-    anomaly_ok = F.coalesce(F.col("anomaly_status"), F.lit(SUCCESS)) == SUCCESS
-    return c.select(*batch, "failed_constraints", F.coalesce("anomaly_status", F.lit(SUCCESS)).alias("anomaly_status"),
-                    ((F.col("failed_constraints") == 0) & anomaly_ok).alias("passed"))
+    anomaly = F.coalesce(F.col("anomaly_status"), F.lit(SUCCESS))
+    return c.select(*batch, F.col("failed_constraints").cast("long").alias("failed_constraints"),
+                    anomaly.alias("anomaly_status"),
+                    ((F.col("failed_constraints") == 0) & (anomaly == SUCCESS)).alias("passed"))
 
 
-def run_checks(df: DataFrame, suite: Suite, history: DataFrame | None = None):
+def run_checks(df: DataFrame, suite: Suite, history: DataFrame | None = None, materialize=None):
     """Profile + checks + anomaly + gate for ``df``.
 
     ``history`` is earlier (batch..., size) rows from the metrics repository;
     sizes of the current batches are appended before the anomaly window, so
     consecutive batches of a backfill are compared with each other.
+    ``materialize`` (e.g. a staging write) is applied to the profile -- one
+    row per batch -- so metrics, checks and verdict do not rescan the data.
     Returns (wide profile, metric rows, check rows, anomaly rows, gate rows).
     """
     wide = profile_wide(df, suite)
+    if materialize is not None:
+        wide = materialize(wide)
     metrics = profile_rows(wide, suite)
     checks = check_rows(wide, suite)
     date_col = suite.batch_cols[0] if suite.batch_cols else None
@@ -258,5 +256,5 @@ def run_checks(df: DataFrame, suite: Suite, history: DataFrame | None = None):
         lo, hi = suite.size_change_bounds
         anomalies = size_anomaly(sizes, date_col, max_decrease=lo, max_increase=hi) \
             .join(wide.select(date_col), date_col, "left_semi")
-    verdict = gate(checks, anomalies, suite.batch_cols)
+    verdict = gate(wide, anomalies, suite)
     return wide, metrics, checks, anomalies, verdict

@@ -75,21 +75,36 @@ def land_daily(spark: SparkSession, source_base: str, bronze_path: str,
                drops: readers.DropLayout = readers.DAILY_FILES,
                size_change_bounds: tuple[float, float] = (quality.SIZE_MAX_DECREASE,
                                                           quality.SIZE_MAX_INCREASE)) -> LandingResult:
+    """Land the drops of ``days`` (one day or a batch of days)."""
     ensure_defaults(spark)
     days = [days] if isinstance(days, dt.date) else sorted(days)
     raw = with_process_date(readers.read_jsonl_daily(spark, source_base, days, layout=drops), drops)
+    return publish(spark, raw, bronze_path, layout=layout, gate=gate, as_of=as_of, metrics_path=metrics_path,
+                   on_failure=on_failure, size_change_bounds=size_change_bounds, days=days)
+
+
+def publish(spark: SparkSession, raw: DataFrame, bronze_path: str, *, layout: str = "processing_date",
+            gate: bool = True, as_of: dt.datetime | None = None, metrics_path: str | None = None,
+            on_failure: str = "raise",
+            size_change_bounds: tuple[float, float] = (quality.SIZE_MAX_DECREASE, quality.SIZE_MAX_INCREASE),
+            days: list | None = None) -> LandingResult:
+    """Stage raw rows (with ``process_date``), gate them per day, publish the passing days."""
     if raw.isEmpty():
         log.info("no rows in the drops for %s", days)
         return LandingResult("empty", [], [])
     staged = writers.stage(spark, raw, "bronze-staging")
 
     passing, blocked = days, []
+    if not gate and days is None:
+        passing = sorted(r[0] for r in staged.select(PROCESS_DATE).distinct().collect())  # one row per day
     if gate:
         suite = quality.Suite(as_of=as_of or dt.datetime.now(dt.timezone.utc), batch_cols=(PROCESS_DATE,),
                               size_change_bounds=size_change_bounds)
+        # The profile (one row per day) is staged once; metrics, checks and the
+        # verdict are narrow projections of it.
         wide, metrics, _checks, _anomalies, verdict = quality.run_checks(
-            staged, suite, size_history(spark, metrics_path))
-        verdict = writers.stage(spark, verdict, "gate-verdict")           # one row per day
+            staged, suite, size_history(spark, metrics_path),
+            materialize=lambda df: writers.stage(spark, df, "gate-profile"))
         if metrics_path:
             append_metrics(metrics, verdict, metrics_path)
         rows = verdict.collect()                                   # bounded by the days in the batch

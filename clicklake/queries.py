@@ -644,9 +644,15 @@ FROM (SELECT process_date, size, lag(size) OVER (ORDER BY process_date) AS previ
              CAST(size - lag(size) OVER (ORDER BY process_date) AS DOUBLE) AS size_change FROM wide) a"""
 
 
+def _staged_profile(spark):
+    """Stage the one-row-per-day profile so its several readers do not rescan the data."""
+    return lambda df: writers.stage(spark, df, "profile")
+
+
 @register("dq_size_anomaly", _dq_wide_sql() + _ANOMALY_SQL)
 def dq_size_anomaly(spark, sf_dir):
-    _, _, _, anomalies, _ = quality.run_checks(_dq_input(spark, sf_dir), _suite())
+    _, _, _, anomalies, _ = quality.run_checks(_dq_input(spark, sf_dir), _suite(),
+                                               materialize=_staged_profile(spark))
     return anomalies.select("process_date", "size", "previous_size", "size_change", "status", "message")
 
 
@@ -659,7 +665,8 @@ SELECT chk.process_date, CAST(sum(CASE WHEN constraint_status <> 'Success' THEN
          AS passed
 FROM chk JOIN an ON chk.process_date = an.process_date GROUP BY chk.process_date""")
 def dq_gate(spark, sf_dir):
-    _, _, _, _, verdict = quality.run_checks(_dq_input(spark, sf_dir), _suite())
+    _, _, _, _, verdict = quality.run_checks(_dq_input(spark, sf_dir), _suite(),
+                                             materialize=_staged_profile(spark))
     return verdict
 
 
@@ -675,7 +682,7 @@ def dq_metrics_history(spark, sf_dir):
     """Metrics appended to the history (one partition per process date) and read back."""
     s = _suite()
     path = scratch_path(spark, "metrics")
-    _, metrics, _, _, verdict = quality.run_checks(_dq_input(spark, sf_dir), s)
+    _, metrics, _, _, verdict = quality.run_checks(_dq_input(spark, sf_dir), s, materialize=_staged_profile(spark))
     bronze_plan.append_metrics(metrics, verdict, path)
     return _rounded(spark.read.parquet(path).select("process_date", "entity", "instance", "name", "value", "passed"),
                     "value")
