@@ -19,31 +19,50 @@ from pyspark.sql import functions as F
 
 from ..schemas import SILVER_USER_ACTIONS
 from ..session import scratch_path, table_exists
-from .writers import assert_action_domain, create_partitioned, overwrite_partitions
+from .writers import assert_action_domain, create_partitioned, enforce_action_domain, overwrite_partitions
 
 MERGE_KEYS = ("user_id", "content_id", "device_id", "action", "start_time")
 UPDATED = ("end_time", "duration_seconds")
 COLUMNS = tuple(f.name for f in SILVER_USER_ACTIONS.fields)
 
 
+MK = "_merge_key"
+
+
+def _merge_key() -> "F.Column":
+    # One struct column: struct equality and hashing treat NULL fields as equal,
+    # so the join is null-safe and keeps the partitioning of the dedupe aggregate.
+    return F.struct(*MERGE_KEYS).alias(MK)
+
+
+def _dedupe_keyed(updates: DataFrame) -> DataFrame:
+    others = [c for c in COLUMNS if c not in MERGE_KEYS]
+    rank = F.struct((-F.unix_micros("end_time")).alias("neg_end"), F.col("country").alias("country"))
+    return (updates.groupBy(_merge_key()).agg(F.min_by(F.struct(*others), rank).alias("_r"))
+            .select(MK, *[F.col(f"{MK}.{k}").alias(k) for k in MERGE_KEYS], "_r.*"))
+
+
 def dedupe_updates(updates: DataFrame) -> DataFrame:
     """One row per merge key: the latest ``end_time``, then the smallest ``country``.
 
     A plain aggregate (partial aggregation map-side); groups are one run each.
     """
-    others = [c for c in COLUMNS if c not in MERGE_KEYS]
-    rank = F.struct((-F.unix_micros("end_time")).alias("neg_end"), F.col("country").alias("country"))
-    return (updates.groupBy(*MERGE_KEYS).agg(F.min_by(F.struct(*others), rank).alias("_r"))
-            .select(*MERGE_KEYS, "_r.*").select(*COLUMNS))
+    return _dedupe_keyed(updates).select(*COLUMNS)
 
 
 def merge_frames(target: DataFrame, updates: DataFrame, null_safe: bool = True,
                  dedupe: bool = True) -> DataFrame:
     """The merged table as a DataFrame (full outer join on the merge keys)."""
-    s = (dedupe_updates(updates) if dedupe else updates.select(*COLUMNS)).withColumn("_in_s", F.lit(True)).alias("s")
-    t = target.select(*COLUMNS).withColumn("_in_t", F.lit(True)).alias("t")
-    cond = [(F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) if null_safe else F.col(f"t.{k}") == F.col(f"s.{k}"))
-            for k in MERGE_KEYS]
+    if null_safe:
+        s = _dedupe_keyed(updates) if dedupe else updates.select(_merge_key(), *COLUMNS)
+        t = target.select(_merge_key(), *COLUMNS)
+        cond = [F.col(f"t.{MK}") == F.col(f"s.{MK}")]
+    else:
+        s = dedupe_updates(updates) if dedupe else updates.select(*COLUMNS)
+        t = target.select(*COLUMNS)
+        cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in MERGE_KEYS]
+    s = s.withColumn("_in_s", F.lit(True)).alias("s")
+    t = t.withColumn("_in_t", F.lit(True)).alias("t")
     joined = t.join(s, cond, "full_outer")
     in_t, in_s = F.coalesce(F.col("t._in_t"), F.lit(False)), F.coalesce(F.col("s._in_s"), F.lit(False))
     out = []
@@ -57,8 +76,11 @@ def merge_frames(target: DataFrame, updates: DataFrame, null_safe: bool = True,
 
 def merge_into_path(spark: SparkSession, updates: DataFrame, target_path: str,
                     null_safe: bool = True) -> str:
-    """MERGE ``updates`` into the Parquet table at ``target_path``; returns 'create' or 'merge'."""
-    assert_action_domain(updates)
+    """MERGE ``updates`` into the Parquet table at ``target_path``; returns 'create' or 'merge'.
+
+    The action-domain check runs inside the write jobs (``enforce_action_domain``).
+    """
+    updates = enforce_action_domain(updates)
     if not table_exists(spark, target_path):
         create_partitioned(dedupe_updates(updates), target_path, ("event_date",))
         return "create"

@@ -85,6 +85,14 @@ def assert_action_domain(df: DataFrame, allowed=VALID_ACTIONS) -> None:
         raise ValueError(f"rows with action outside {allowed}")
 
 
+def enforce_action_domain(df: DataFrame, allowed=VALID_ACTIONS) -> DataFrame:
+    """The same check inside the write job: a violating row fails the job, and a
+    failed job commits nothing -- no separate pass over the data."""
+    ok = F.coalesce(F.col("action").isin(*allowed), F.lit(False))
+    msg = F.concat(F.lit(f"action outside {allowed}: "), F.coalesce(F.col("action"), F.lit("NULL")))
+    return df.withColumn("action", F.when(ok, F.col("action")).otherwise(F.raise_error(msg).cast("string")))
+
+
 def verify_after_write(spark: SparkSession, path: str, sample: int = 5):
     """Read the table back: (row count, first ``sample`` rows)."""
     table = spark.read.parquet(path)

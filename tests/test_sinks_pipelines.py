@@ -66,10 +66,14 @@ def test_merge_twice_equals_once(spark, tmp_dir):
     assert key(spark.read.parquet(a)) == key(spark.read.parquet(b))
 
 
-def test_action_domain_check(spark):
+def test_action_domain_check(spark, tmp_dir):
     bad = ua_rows(spark, [_ua("u", "d", "SKIPPED", 0, 1)])
     with pytest.raises(ValueError):
         writers.assert_action_domain(bad)
+    path = os.path.join(tmp_dir, "silver")
+    with pytest.raises(Exception, match="action outside"):
+        merge.merge_into_path(spark, bad, path)
+    assert not os.path.exists(path) or spark.read.parquet(path).count() == 0
 
 
 def test_overwrite_partitions_leaves_others(spark, tmp_dir):
