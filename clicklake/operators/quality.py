@@ -119,7 +119,8 @@ def _frequency_metrics(df: DataFrame, suite: Suite) -> DataFrame:
         mine = F.col("column") == c
         total = F.sum(F.when(mine, n))
         aggs += [
-            (F.sum(F.when(mine & (F.col("n") == 1), 1.0)) / total).alias(f"uniqueness_{c}"),
+            (F.coalesce(F.sum(F.when(mine & (F.col("n") == 1), 1.0)), F.lit(0.0)) / total)
+            .alias(f"uniqueness_{c}"),
             (F.sum(F.when(mine, 1.0)) / total).alias(f"distinctness_{c}"),
             # -sum p ln p == ln N - sum(n ln n) / N
             (F.log(total) - F.sum(F.when(mine, n * F.log(n))) / total).alias(f"entropy_{c}"),
