@@ -320,8 +320,8 @@ def bronze_processing_date(spark, sf_dir):
         "event_id", "event_date", F.lit(PROCESSING_DATE).cast("date").alias("processing_date"))
 
 
-@register("derive_ymd", f"""SELECT event_id, region, hour, year(date) AS year, month(date) AS month,
-       day(date) AS day FROM ({HOURLY_SQL}) h""")
+@register("derive_ymd", f"""SELECT event_id, region, hour, CAST(year(date) AS INTEGER) AS year,
+       CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day FROM ({HOURLY_SQL}) h""")
 def derive_ymd(spark, sf_dir):
     df = readers.read_partitioned_parquet(spark, hourly_drops(spark, sf_dir))
     return df.select("event_id", "region", "hour", *C.year_month_day("date"))
@@ -504,8 +504,9 @@ def head_events(spark, sf_dir):
     return flat(raw(spark, sf_dir)).orderBy(F.asc_nulls_last("event_id")).limit(HEAD_N)
 
 
-@register("scalar_functions", f"""SELECT event_id, length(country) AS country_length,
-  year(event_date) AS year, month(event_date) AS month, day(event_date) AS day,
+@register("scalar_functions", f"""SELECT event_id, CAST(length(country) AS INTEGER) AS country_length,
+  CAST(year(event_date) AS INTEGER) AS year, CAST(month(event_date) AS INTEGER) AS month,
+  CAST(day(event_date) AS INTEGER) AS day,
   md5(user_id || content_id) AS pair_hash, coalesce(device_id, 'unknown') AS device_or_unknown,
   CAST(event_timestamp AS VARCHAR) AS ts_text, CAST(floor(epoch(event_timestamp)) AS BIGINT) AS epoch_seconds
 FROM ({O.base_cte('base')}) b""")
@@ -712,7 +713,8 @@ def pipeline_bronze_processing_date(spark, sf_dir):
 
 
 @register("pipeline_manual_hour", f"""SELECT event_id, user_id, content_id, event_type, device_id, "timestamp", country,
-  region, hour, year(date) AS year, month(date) AS month, day(date) AS day FROM ({HOURLY_SQL}) h""")
+  region, hour, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
+  CAST(day(date) AS INTEGER) AS day FROM ({HOURLY_SQL}) h""")
 def pipeline_manual_hour(spark, sf_dir):
     """Hourly ingestion over every hour of the drops (wall-clock / lineage columns left out)."""
     out = scratch_path(spark, "manual")
