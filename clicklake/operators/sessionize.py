@@ -134,7 +134,7 @@ def user_actions(valid: DataFrame, slice_seconds=AUTO, watched=None, paused=None
 def run_closing_event(act: DataFrame, valid: DataFrame, slice_seconds=AUTO) -> DataFrame:
     """Each run LEFT JOIN the valid events at its closing time (user, content, device, time).
 
-    Keeps the reference join's fan-out: a run gets one row per event that shares
+    Keeps the join's fan-out: a run gets one row per event that shares
     its closing timestamp, and a run with a NULL device matches nothing
     (plain equality).  Returns the run plus the matched ``closing_event_id``.
 

@@ -33,7 +33,7 @@ from ..sources import readers
 log = logging.getLogger(__name__)
 
 # Namespaces created by the landing job.
-NAMESPACES = ("vod_bronze", "vod_silver", "vod_gold")
+NAMESPACES = ("bronze", "silver", "gold")
 PROCESS_DATE = "process_date"
 
 

@@ -51,7 +51,7 @@ def test_merge_null_device_is_idempotent(spark, tmp_dir):
     merge.merge_into_path(spark, ua_rows(spark, rows), path)
     merge.merge_into_path(spark, ua_rows(spark, rows), path)
     assert spark.read.parquet(path).count() == 1
-    # Plain equality (the reference's MERGE) would duplicate the row.
+    # Plain equality (null-unsafe MERGE) would duplicate the row.
     t = spark.read.parquet(path)
     assert merge.merge_frames(t, ua_rows(spark, rows), null_safe=False).count() == 2
 
