@@ -49,7 +49,9 @@ class LandingResult:
 
 
 def with_process_date(raw: DataFrame, layout: readers.DropLayout = readers.DAILY_FILES) -> DataFrame:
-    """Drop date taken from the file path at scan time."""
+    """Drop date taken from the file path at scan time (``_source_file`` when present)."""
+    if readers.SOURCE_FILE in raw.columns:
+        return raw.withColumn(PROCESS_DATE, readers.drop_date(layout, readers.SOURCE_FILE)).drop(readers.SOURCE_FILE)
     return raw.withColumn(PROCESS_DATE, readers.drop_date(layout))
 
 
@@ -78,7 +80,7 @@ def land_daily(spark: SparkSession, source_base: str, bronze_path: str,
     """Land the drops of ``days`` (one day or a batch of days)."""
     ensure_defaults(spark)
     days = [days] if isinstance(days, dt.date) else sorted(days)
-    raw = with_process_date(readers.read_jsonl_daily(spark, source_base, days, layout=drops), drops)
+    raw = with_process_date(readers.read_drops(spark, source_base, days, layout=drops), drops)
     return publish(spark, raw, bronze_path, layout=layout, gate=gate, as_of=as_of, metrics_path=metrics_path,
                    on_failure=on_failure, size_change_bounds=size_change_bounds, days=days)
 

@@ -42,9 +42,12 @@ def daily_path(base_path: str, day: dt.date, layout: DropLayout = DAILY_FILES) -
     return layout.path(base_path, day)
 
 
-def drop_date(layout: DropLayout = DAILY_FILES) -> Column:
-    """Drop day taken from the file path at scan time."""
-    return F.to_date(F.regexp_extract(F.col("_metadata.file_path"), layout.date_pattern, 1))
+SOURCE_FILE = "_source_file"
+
+
+def drop_date(layout: DropLayout = DAILY_FILES, path_col: str = "_metadata.file_path") -> Column:
+    """Drop day taken from the file path (captured at scan time)."""
+    return F.to_date(F.regexp_extract(F.col(path_col), layout.date_pattern, 1))
 
 
 def read_jsonl_daily(spark: SparkSession, base_path: str, days: dt.date | Iterable[dt.date],
@@ -62,6 +65,32 @@ def read_jsonl_daily(spark: SparkSession, base_path: str, days: dt.date | Iterab
     return reader.json(paths)
 
 
+def read_drops(spark: SparkSession, base_path: str, days: dt.date | Iterable[dt.date],
+               schema: T.StructType = RAW_EVENT_WITH_CORRUPT, layout: DropLayout = DAILY_FILES,
+               parallel_parse: bool = True) -> DataFrame:
+    """Rows of the drops of ``days`` plus ``_source_file`` (taken at the scan).
+
+    A gzip drop is not splittable: one task must decompress it.  With
+    ``parallel_parse`` that task only splits lines; the lines are rebalanced
+    (adaptive execution sizes the partitions) and parsed by ``from_json`` in
+    parallel -- same PERMISSIVE semantics and ``_corrupt_record`` capture as
+    the JSON reader, but a day that holds a third of all rows is parsed by
+    many tasks instead of one.
+    """
+    days = [days] if isinstance(days, dt.date) else list(days)
+    paths = [layout.path(base_path, d) for d in days]
+    if not parallel_parse:
+        return read_jsonl_daily(spark, base_path, days, schema, layout).withColumn(
+            SOURCE_FILE, F.col("_metadata.file_path"))
+    lines = (spark.read.text(paths)
+             .select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
+             .filter(F.trim("value") != ""))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
+    return (lines.hint("rebalance")
+            .select(F.from_json("value", schema, options).alias("r"), SOURCE_FILE)
+            .select("r.*", SOURCE_FILE))
+
+
 def read_jsonl_glob(spark: SparkSession, pattern: str,
                     schema: T.StructType | None = RAW_EVENT_WITH_CORRUPT) -> DataFrame:
     """Read every file matching a glob such as ``.../events_*.jsonl.gz``."""
