@@ -45,23 +45,6 @@ def _order(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def keyed_row_number(df: DataFrame, key: str, order: list, ts: str, out: str,
-                     slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
-    """``row_number() OVER (PARTITION BY key ORDER BY order)``; ``order`` starts with ``ts``."""
-    if slice_seconds is None:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(key).orderBy(*_order(order))))
-    d = df.withColumn(SLICE, slice_of(ts, slice_seconds))
-    local = d.withColumn("_local_rn", F.row_number().over(
-        Window.partitionBy(key, SLICE).orderBy(*_order(order))))
-    # Counts are pre-aggregated map-side, so only one row per (key, slice) and task moves.
-    counts = d.groupBy(key, SLICE).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, SLICE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return (local.join(offsets, [key, SLICE])
-            .withColumn(out, F.col("_before") + F.col("_local_rn"))
-            .drop("_before", "_local_rn", SLICE))
-
-
 def keyed_row_numbers(df: DataFrame, key: str, group: str, order: list, ts: str,
                       out_all: str, out_group: str,
                       slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
