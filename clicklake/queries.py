@@ -20,7 +20,7 @@ from .operators import quality, sessionize, validate
 from .plans import bronze as bronze_plan
 from .plans import silver as silver_plan
 from .schemas import SILVER_USER_ACTIONS
-from .session import checkpoint_root, ensure_defaults, scratch_path
+from .session import checkpoint_root, ensure_defaults, scratch_path, session_id
 from .sinks import merge, writers
 from .sources import adapter, readers
 
@@ -86,7 +86,7 @@ _FIXTURES: dict = {}
 
 
 def _fixture_key(spark, kind, sf_dir, variant):
-    return (spark.sparkContext.applicationId, checkpoint_root(spark), kind, sf_dir, variant)
+    return (session_id(spark), checkpoint_root(spark), kind, sf_dir, variant)
 
 
 def daily_drops(spark, sf_dir, variant="base") -> tuple[str, list[dt.date]]:

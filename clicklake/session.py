@@ -54,15 +54,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     and registered, so a cluster always uses the folder it names.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or None
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = _context(spark)
+    if not root and context is not None:
+        root = context.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="clicklake-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        if context is not None:
+            context.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
+def session_id(spark: SparkSession) -> str:
+    context = _context(spark)
+    return context.applicationId if context is not None else spark.conf.get("spark.app.id", str(id(spark)))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
