@@ -91,10 +91,11 @@ def publish(spark: SparkSession, raw: DataFrame, bronze_path: str, *, layout: st
             size_change_bounds: tuple[float, float] = (quality.SIZE_MAX_DECREASE, quality.SIZE_MAX_INCREASE),
             days: list | None = None) -> LandingResult:
     """Stage raw rows (with ``process_date``), gate them per day, publish the passing days."""
-    if raw.isEmpty():
+    # Parse once into the staged copy; emptiness is checked there (no second read of the drops).
+    staged = writers.stage(spark, raw, "bronze-staging")
+    if staged.isEmpty():
         log.info("no rows in the drops for %s", days)
         return LandingResult("empty", [], [])
-    staged = writers.stage(spark, raw, "bronze-staging")
 
     passing, blocked = days, []
     if not gate and days is None:

@@ -84,8 +84,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/clicklake/{name}/{uuid.uuid4().hex}"
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when a Parquet table already lives at ``path`` (any Hadoop URI)."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """One filesystem metadata call (any Hadoop URI); no listing of the table."""
+    context = _context(spark)
+    if context is None:  # Spark Connect: no JVM handle, fall back to a read attempt
+        return _readable(spark, path)
+    jvm = context._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(context._jsc.hadoopConfiguration()).exists(hpath))
+
+
+def _readable(spark: SparkSession, path: str) -> bool:
     from pyspark.errors import AnalysisException
 
     try:
@@ -93,3 +102,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return True
     except AnalysisException:
         return False
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when a committed Parquet table lives at ``path``."""
+    return path_exists(spark, path.rstrip("/") + "/_SUCCESS") or (path_exists(spark, path) and _readable(spark, path))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import SILVER_USER_ACTIONS
-from ..session import scratch_path, table_exists
+from ..session import path_exists, scratch_path, table_exists
 from .writers import assert_action_domain, create_partitioned, enforce_action_domain, overwrite_partitions
 
 MERGE_KEYS = ("user_id", "content_id", "device_id", "action", "start_time")
@@ -86,13 +86,24 @@ def merge_into_path(spark: SparkSession, updates: DataFrame, target_path: str,
         return "create"
     # Bounded by the number of days in the batch, not by data volume.
     days = [r[0] for r in updates.select("event_date").distinct().collect()]
-    target = spark.read.schema(SILVER_USER_ACTIONS).parquet(target_path).filter(F.col("event_date").isin(days))
+    target = read_partitions(spark, target_path, days)
     staged = scratch_path(spark, "merge-staging")
     merge_frames(target, updates, null_safe).write.parquet(staged)
     overwrite_partitions(spark.read.schema(SILVER_USER_ACTIONS).parquet(staged), target_path, ("event_date",))
     return "merge"
 
 
+def read_partitions(spark: SparkSession, path: str, days) -> DataFrame:
+    """The ``event_date`` partitions of ``days`` only: just those directories are listed."""
+    root = path.rstrip("/")
+    dirs = [f"{root}/event_date={d}" for d in days]
+    dirs = [d for d in dirs if path_exists(spark, d)]
+    reader = spark.read.schema(SILVER_USER_ACTIONS).option("basePath", root)
+    if not dirs:
+        return spark.createDataFrame([], SILVER_USER_ACTIONS)
+    return reader.parquet(*dirs)
+
+
 def merge_into_table(spark: SparkSession, updates: DataFrame, table: str) -> None:
     """SQL MERGE for catalogs that support it (v2 tables)."""
     assert_action_domain(updates)
