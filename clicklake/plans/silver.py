@@ -21,9 +21,17 @@ from ..sinks import merge, writers
 log = logging.getLogger(__name__)
 
 
+def _is_path(name: str) -> bool:
+    return "/" in name or ":" in name
+
+
 def read_bronze_days(spark: SparkSession, bronze_path: str, days: dt.date | Iterable[dt.date] | None) -> DataFrame:
-    """Bronze rows of the given ``event_date`` partitions (all when ``days`` is None)."""
-    bronze = spark.read.parquet(bronze_path)
+    """Bronze rows of the given ``event_date`` partitions (all when ``days`` is None).
+
+    ``bronze_path`` is a folder or a catalog table name; with a catalog table the
+    partition filter is answered by the metastore instead of a folder listing.
+    """
+    bronze = spark.read.parquet(bronze_path) if _is_path(bronze_path) else spark.table(bronze_path)
     if days is None:
         return bronze
     days = [days] if isinstance(days, dt.date) else list(days)

@@ -19,3 +19,15 @@ def test_silver_ddl_and_listing(spark, tmp_dir):
     assert {"user_actions", "quarantine"} <= names
     assert "cl_silver" in {r["name"] for r in readers.list_databases(spark).collect()}
     ddl.use_database(spark, "default")
+
+
+def test_silver_reads_bronze_catalog_table(spark, tmp_dir):
+    import datetime as dt
+
+    from clicklake.plans import silver
+    from tests.helpers import bronze_df
+
+    rows = [("1", "u", "m", "video_start", "d", 0, "IN"), ("2", "u", "m", "video_pause", "d", 86400, "IN")]
+    writers.save_as_table(bronze_df(spark, rows), "bronze_events_t", os.path.join(tmp_dir, "b"), ("event_date",))
+    got = silver.read_bronze_days(spark, "bronze_events_t", dt.date(2024, 1, 2)).collect()
+    assert [r["event_id"] for r in got] == ["2"]
