@@ -56,12 +56,16 @@ def with_process_date(raw: DataFrame, layout: readers.DropLayout = readers.DAILY
 
 
 def size_history(spark: SparkSession, metrics_path: str | None) -> DataFrame | None:
-    """(process_date, size) of earlier passing runs from the metrics history."""
+    """(process_date, size) of every earlier checked day from the metrics history.
+
+    Every checked day counts, passed or not: within a batch each day is
+    compared with the day before it, so the history must do the same for a
+    batch run to equal day-by-day runs.
+    """
     if not metrics_path or not table_exists(spark, metrics_path):
         return None
     m = spark.read.parquet(metrics_path)
-    return (m.filter((F.col("name") == "Size") & F.col("passed"))
-            .select(PROCESS_DATE, F.col("value").cast("long").alias("size")))
+    return m.filter(F.col("name") == "Size").select(PROCESS_DATE, F.col("value").cast("long").alias("size"))
 
 
 def append_metrics(metrics: DataFrame, verdict: DataFrame, metrics_path: str) -> None:

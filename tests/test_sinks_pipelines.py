@@ -194,3 +194,19 @@ def test_hourly_ingestion_slice(spark, tmp_dir):
     got = spark.read.parquet(out).first()
     assert (got["year"], got["month"], got["day"], got["hour"]) == (2024, 1, 1, 11)
     assert got["source_file_name"].endswith(".parquet") and "date=2024-01-01/hour=11" in got["source_file_name"]
+
+
+def test_gated_batch_equals_day_by_day_with_a_failing_day(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    days = [dt.date(2024, 1, d) for d in (2, 3, 4)]
+    sizes = {2: 1, 3: 6, 4: 6}            # day 3 jumps by 5 (> bound 2): blocked; day 4 equals day 3
+    for d in days:
+        base = dt.datetime(d.year, d.month, d.day, 8, tzinfo=dt.timezone.utc)
+        _write_drop(src, d, [_event(f"{d.day}-{i}", "u", "video_start", i, base=base) for i in range(sizes[d.day])])
+    kw = dict(as_of=AS_OF, on_failure="skip", size_change_bounds=(-2.0, 2.0))
+    batch = bronze_plan.land_daily(spark, src, os.path.join(tmp_dir, "b"), days,
+                                   metrics_path=os.path.join(tmp_dir, "mb"), **kw)
+    single = [bronze_plan.land_daily(spark, src, os.path.join(tmp_dir, "s"), d,
+                                     metrics_path=os.path.join(tmp_dir, "ms"), **kw) for d in days]
+    assert batch.blocked_days == [dt.date(2024, 1, 3)]
+    assert batch.published_days == sorted(d for r in single for d in r.published_days)
