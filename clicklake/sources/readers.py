@@ -67,7 +67,7 @@ def read_jsonl_daily(spark: SparkSession, base_path: str, days: dt.date | Iterab
 
 def read_drops(spark: SparkSession, base_path: str, days: dt.date | Iterable[dt.date],
                schema: T.StructType = RAW_EVENT_WITH_CORRUPT, layout: DropLayout = DAILY_FILES,
-               parallel_parse: bool = True) -> DataFrame:
+               parallel_parse: bool | str = "auto") -> DataFrame:
     """Rows of the drops of ``days`` plus ``_source_file`` (taken at the scan).
 
     A gzip drop is not splittable: one task must decompress it.  With
@@ -75,10 +75,15 @@ def read_drops(spark: SparkSession, base_path: str, days: dt.date | Iterable[dt.
     (adaptive execution sizes the partitions) and parsed by ``from_json`` in
     parallel -- same PERMISSIVE semantics and ``_corrupt_record`` capture as
     the JSON reader, but a day that holds a third of all rows is parsed by
-    many tasks instead of one.
+    many tasks instead of one.  ``"auto"`` does so only when the drops have
+    fewer files than the session has parallel slots (decided from the file
+    listing alone); with enough files the file-level parallelism suffices and
+    shuffling raw text would only cost.
     """
     days = [days] if isinstance(days, dt.date) else list(days)
     paths = [layout.path(base_path, d) for d in days]
+    if parallel_parse == "auto":
+        parallel_parse = len(spark.read.text(paths).inputFiles()) < _parallelism(spark)
     if not parallel_parse:
         return read_jsonl_daily(spark, base_path, days, schema, layout).withColumn(
             SOURCE_FILE, F.col("_metadata.file_path"))
@@ -91,6 +96,13 @@ def read_drops(spark: SparkSession, base_path: str, days: dt.date | Iterable[dt.
             .select("r.*", SOURCE_FILE))
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def read_jsonl_glob(spark: SparkSession, pattern: str,
                     schema: T.StructType | None = RAW_EVENT_WITH_CORRUPT) -> DataFrame:
     """Read every file matching a glob such as ``.../events_*.jsonl.gz``."""

@@ -210,3 +210,14 @@ def test_gated_batch_equals_day_by_day_with_a_failing_day(spark, tmp_dir):
                                      metrics_path=os.path.join(tmp_dir, "ms"), **kw) for d in days]
     assert batch.blocked_days == [dt.date(2024, 1, 3)]
     assert batch.published_days == sorted(d for r in single for d in r.published_days)
+
+
+def test_parallel_parse_matches_reader(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    day = dt.date(2024, 1, 2)
+    _write_drop(src, day, [_event(str(i), "u", "video_start", i) for i in range(20)] + ["{bad", ""])
+    cols = ["event_id", "timestamp", "_corrupt_record", "_source_file"]
+    a = readers.read_drops(spark, src, day, parallel_parse=True).select(*cols).collect()
+    b = readers.read_drops(spark, src, day, parallel_parse=False).select(*cols).collect()
+    key = lambda rows: sorted(tuple(map(str, r)) for r in rows)
+    assert key(a) == key(b) and len(a) == 21
