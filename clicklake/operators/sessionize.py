@@ -55,11 +55,20 @@ def largest_key_rows(act: DataFrame) -> int:
     return int(top or 0)
 
 
-def resolve_slicing(act: DataFrame, slice_seconds, max_rows: int = MAX_ROWS_PER_WINDOW_TASK):
+# Session settings that override the defaults on a given cluster.
+CONF_MAX_ROWS = "clicklake.window.maxRowsPerTask"
+CONF_SLICE_SECONDS = "clicklake.window.sliceSeconds"
+
+
+def resolve_slicing(act: DataFrame, slice_seconds, max_rows: int | None = None):
     """``'auto'``: plain windows when every key-day fits one task, else time slices."""
     if slice_seconds != AUTO:
         return slice_seconds
-    return None if largest_key_rows(act) <= max_rows else DEFAULT_SLICE_SECONDS
+    conf = act.sparkSession.conf
+    if max_rows is None:
+        max_rows = int(conf.get(CONF_MAX_ROWS, None) or MAX_ROWS_PER_WINDOW_TASK)
+    width = int(conf.get(CONF_SLICE_SECONDS, None) or DEFAULT_SLICE_SECONDS)
+    return None if largest_key_rows(act) <= max_rows else width
 
 
 def _keyed(df: DataFrame) -> DataFrame:

@@ -124,14 +124,20 @@ def test_sliced_row_numbers_equal_plain(spark):
     assert as_set(sessionize.islands(act, 1), cols) == plain
 
 
-def test_auto_switches_to_slices_above_bound(spark, monkeypatch):
+def test_auto_switches_to_slices_above_bound(spark):
     rows = _random_rows(4, n=200, hot_share=0.9)
     valid, _ = validate.split(bronze_df(spark, rows))
     act = sessionize.actionable(valid)
     assert sessionize.resolve_slicing(act, "auto") is None
-    monkeypatch.setattr(sessionize, "MAX_ROWS_PER_WINDOW_TASK", 10)
     assert sessionize.resolve_slicing(act, "auto", 10) == sessionize.DEFAULT_SLICE_SECONDS
-    assert as_set(sessionize.user_actions(valid, "auto")) == as_set(sessionize.user_actions(valid, None))
+    spark.conf.set(sessionize.CONF_MAX_ROWS, "10")
+    spark.conf.set(sessionize.CONF_SLICE_SECONDS, "300")
+    try:
+        assert sessionize.resolve_slicing(act, "auto") == 300
+        assert as_set(sessionize.user_actions(valid, "auto")) == as_set(sessionize.user_actions(valid, None))
+    finally:
+        spark.conf.unset(sessionize.CONF_MAX_ROWS)
+        spark.conf.unset(sessionize.CONF_SLICE_SECONDS)
 
 
 def test_islands_cover_each_actionable_event_once(spark):
