@@ -18,6 +18,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="clicklake-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     # Tests run without a cluster folder: give the session its own checkpoint dir.
