@@ -18,7 +18,7 @@ import sys
 
 from .plans import bronze as bronze_plan
 from .plans import silver as silver_plan
-from .session import build_session
+from .session import CLUSTER_PROFILE, build_session
 from .sinks import writers
 
 
@@ -60,10 +60,11 @@ def main(argv: list[str] | None = None) -> int:
     h.add_argument("--mode", choices=("replace", "partitions"), default="replace")
 
     p.add_argument("--conf", action="append", default=[], help="key=value session setting")
+    p.add_argument("--cluster-profile", action="store_true", help="start from session.CLUSTER_PROFILE")
     args = p.parse_args(argv)
     conf = dict(kv.split("=", 1) for kv in args.conf)
 
-    spark = build_session(f"clicklake-{args.job}", conf)
+    spark = build_session(f"clicklake-{args.job}", conf, profile=CLUSTER_PROFILE if args.cluster_profile else None)
     try:
         if args.job == "bronze":
             writers.create_databases(spark, bronze_plan.NAMESPACES, args.catalog)

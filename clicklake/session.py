@@ -22,16 +22,33 @@ PIPELINE_DEFAULTS = {
 }
 
 
-def build_session(app_name: str, conf: dict | None = None, master: str | None = None) -> SparkSession:
+# Starting point for a large cluster (~1000 executors, ~100 TB per backfill):
+# many initial shuffle partitions that AQE coalesces to ~256 MB each, 256 MB
+# input splits, skew splitting for joins and rebalanced writes.
+CLUSTER_PROFILE = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
+def build_session(app_name: str, conf: dict | None = None, master: str | None = None,
+                  profile: dict | None = None) -> SparkSession:
     """Create (or attach to) a session by application name.
 
     ``master`` is left to spark-submit unless given; ``conf`` carries
-    connector settings such as ``spark.hadoop.fs.s3a.*`` or catalog entries.
+    connector settings such as ``spark.hadoop.fs.s3a.*`` or catalog entries;
+    ``profile`` (e.g. ``CLUSTER_PROFILE``) supplies defaults that ``conf`` overrides.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**PIPELINE_DEFAULTS, **(conf or {})}.items():
+    for key, value in {**PIPELINE_DEFAULTS, **(profile or {}), **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_defaults(spark)
