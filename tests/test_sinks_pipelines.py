@@ -221,3 +221,16 @@ def test_parallel_parse_matches_reader(spark, tmp_dir):
     b = readers.read_drops(spark, src, day, parallel_parse=False).select(*cols).collect()
     key = lambda rows: sorted(tuple(map(str, r)) for r in rows)
     assert key(a) == key(b) and len(a) == 21
+
+
+def test_hourly_ingestion_with_contract(spark, tmp_dir):
+    from clicklake.schemas import EVENT_CONTRACT
+    from clicklake.sources import adapter
+    from tests.helpers import raw_df
+    rows = [("1", "u", "m", "video_start", "d", 0, "IN"), ("2", "u", "m", "video_start", "d", 3600, "SG")]
+    root, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "manual")
+    writers.write_hive_partitioned(adapter.hourly_layout(raw_df(spark, rows)), root, ("region", "date", "hour"))
+    n, _ = bronze_plan.ingest_hourly(spark, root, out, dt.datetime(2024, 1, 1, 11), contract=EVENT_CONTRACT)
+    got = spark.read.parquet(out).first()
+    assert n == 1 and got["event_id"] == "2" and got["session_id"] is None and got["hour"] == 11
+    assert got["region"] == "SouthEast Asia"
