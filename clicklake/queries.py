@@ -246,8 +246,9 @@ FULL OUTER JOIN (SELECT *, TRUE AS _in FROM ({O.user_actions_sql('clean')}) y) s
 def merge_user_actions(spark, sf_dir):
     """Silver built from the base delivery, then the corrected (clean) delivery merged in."""
     path = scratch_path(spark, "silver")
-    merge.merge_into_path(spark, writers.stage(spark, sessionize.user_actions(valid_events(spark, sf_dir, "base")),
-                                               "ua-base"), path)
+    # Creating the table reads its input once; the merge reads its updates twice
+    # (touched days, join), so only those are staged.
+    merge.merge_into_path(spark, sessionize.user_actions(valid_events(spark, sf_dir, "base")), path)
     merge.merge_into_path(spark, writers.stage(spark, sessionize.user_actions(valid_events(spark, sf_dir, "clean")),
                                                "ua-clean"), path)
     return spark.read.parquet(path).select(*[f.name for f in SILVER_USER_ACTIONS.fields])
