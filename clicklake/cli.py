@@ -52,6 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
     s.add_argument("--quarantine")
+    s.add_argument("--mode", choices=("merge", "overwrite", "sql"), default="merge")
 
     h = sub.add_parser("hourly", help="Hive-partitioned raw Parquet hour -> bronze snapshot")
     h.add_argument("--process-datetime", required=True)
@@ -73,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
             print(json.dumps({"status": res.status, "published": [str(d) for d in res.published_days]}))
         elif args.job == "silver":
             print(silver_plan.run(spark, args.bronze, args.silver, parse_days(args.process_datetime),
-                                  quarantine_path=args.quarantine))
+                                  quarantine_path=args.quarantine, mode=args.mode))
         else:
             n, sample = bronze_plan.ingest_hourly(spark, args.source, args.table,
                                                   dt.datetime.fromisoformat(args.process_datetime), args.mode)

@@ -46,8 +46,15 @@ def transform(bronze: DataFrame, slice_seconds=sessionize.AUTO):
 
 def run(spark: SparkSession, bronze_path: str, silver_path: str, days=None, *,
         quarantine_path: str | None = None, slice_seconds=sessionize.AUTO,
-        null_safe: bool = True) -> str:
-    """Process ``days`` of bronze into silver; returns 'empty', 'create' or 'merge'."""
+        null_safe: bool = True, mode: str = "merge") -> str:
+    """Process ``days`` of bronze into silver; returns 'empty', 'create', 'merge' or 'overwrite'.
+
+    ``mode``:
+      merge      upsert into the Parquet table at ``silver_path`` (never deletes)
+      overwrite  replace the processed ``event_date`` partitions: the clean re-run
+                 after late data, when run boundaries moved and stale runs must go
+      sql        ``MERGE INTO`` the catalog table named ``silver_path`` (v2 catalogs)
+    """
     ensure_defaults(spark)
     bronze = read_bronze_days(spark, bronze_path, days)
     if bronze.isEmpty():
@@ -55,9 +62,18 @@ def run(spark: SparkSession, bronze_path: str, silver_path: str, days=None, *,
     silver, quarantined = transform(bronze, slice_seconds)
     if quarantine_path:
         writers.overwrite_partitions(quarantined, quarantine_path, ("event_date",))
-    # Staged once: the merge reads it several times (domain check, touched days, join).
+    # Staged once: the merge reads it several times (touched days, join).
     silver = writers.stage(spark, silver, "silver-updates")
     if silver.isEmpty():
         log.info("no user actions for %s", days)
         return "empty"
-    return merge.merge_into_path(spark, silver, silver_path, null_safe=null_safe)
+    if mode == "merge":
+        return merge.merge_into_path(spark, silver, silver_path, null_safe=null_safe)
+    if mode == "overwrite":
+        rows = writers.enforce_action_domain(merge.dedupe_updates(silver))
+        writers.create_or_overwrite_partitions(spark, rows, silver_path, ("event_date",))
+        return "overwrite"
+    if mode == "sql":
+        merge.merge_into_table(spark, silver, silver_path)
+        return "merge"
+    raise ValueError(f"unknown mode {mode!r}")

@@ -234,3 +234,19 @@ def test_hourly_ingestion_with_contract(spark, tmp_dir):
     got = spark.read.parquet(out).first()
     assert n == 1 and got["event_id"] == "2" and got["session_id"] is None and got["hour"] == 11
     assert got["region"] == "SouthEast Asia"
+
+
+def test_silver_overwrite_mode_drops_stale_runs(spark, tmp_dir):
+    day = dt.date(2024, 1, 1)
+    first = [("1", "u", "m", "video_start", "d", 0, "IN"), ("2", "u", "m", "video_pause", "d", 30, "IN")]
+    # Late data: an earlier start moves the run boundary of the WATCHED run.
+    second = first + [("0", "u", "m", "video_start", "d", -10, "IN")]
+    b1, b2, silver_m, silver_o = (os.path.join(tmp_dir, x) for x in ("b1", "b2", "sm", "so"))
+    writers.create_partitioned(bronze_df(spark, first), b1)
+    writers.create_partitioned(bronze_df(spark, second), b2)
+    for path, mode in ((silver_m, "merge"), (silver_o, "overwrite")):
+        silver_plan.run(spark, b1, path, day, mode=mode)
+        silver_plan.run(spark, b2, path, day, mode=mode)
+    watched = lambda p: sorted(r["start_time"] for r in spark.read.parquet(p).filter(F.col("action") == "WATCHED").collect())
+    assert watched(silver_m) == [ts(-10), ts(0)]      # MERGE keeps the stale run
+    assert watched(silver_o) == [ts(-10)]             # overwrite replaces the day
