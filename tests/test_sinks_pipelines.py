@@ -250,3 +250,16 @@ def test_silver_overwrite_mode_drops_stale_runs(spark, tmp_dir):
     watched = lambda p: sorted(r["start_time"] for r in spark.read.parquet(p).filter(F.col("action") == "WATCHED").collect())
     assert watched(silver_m) == [ts(-10), ts(0)]      # MERGE keeps the stale run
     assert watched(silver_o) == [ts(-10)]             # overwrite replaces the day
+
+
+def test_hourly_ingestion_partition_mode_keeps_other_hours(spark, tmp_dir):
+    from clicklake.sources import adapter
+    from tests.helpers import raw_df
+    rows = [("1", "u", "m", "video_start", "d", 0, "IN"), ("2", "u", "m", "video_start", "d", 3600, "SG")]
+    root, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "manual")
+    writers.write_hive_partitioned(adapter.hourly_layout(raw_df(spark, rows)), root, ("region", "date", "hour"))
+    for hour in (10, 11, 11):
+        bronze_plan.ingest_hourly(spark, root, out, dt.datetime(2024, 1, 1, hour), mode="partitions")
+    assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == ["1", "2"]
+    bronze_plan.ingest_hourly(spark, root, out, dt.datetime(2024, 1, 1, 11), mode="replace")
+    assert [r["event_id"] for r in spark.read.parquet(out).collect()] == ["2"]
