@@ -19,6 +19,11 @@ row-number offsets come from counts (order-independent, map-side
 pre-aggregated from a re-scan of the input), and ``keyed_next_ts`` expects
 its input to be a scan (callers stage their runs first).
 
+Limit: slices are time buckets, so rows of one key that share one timestamp
+always land in one slice.  The window spills and finishes, but a tie group
+holding a large share of the data is a straggler; splitting inside it needs
+range partitioning on the full order (key, time, tie-breaker).
+
 Keys are passed as one column name holding a struct of the key fields:
 struct equality and hashing treat NULL fields as equal, which gives the
 NULL-as-a-group semantics of ``PARTITION BY`` / ``GROUP BY`` to the joins too,
