@@ -606,7 +606,20 @@ dq_mean = _wide_query("dq_mean", ("mean_timestamp",))
 dq_type_ratio = _wide_query("dq_type_ratio", ("ratio_integral_timestamp",))
 
 
-def _checks_sql() -> str:
+_ANOMALY_SQL = f"""
+SELECT process_date, size, previous_size, size_change,
+  CASE WHEN previous_size IS NULL THEN 'Success'
+       WHEN size_change BETWEEN {quality.SIZE_MAX_DECREASE} AND {quality.SIZE_MAX_INCREASE} THEN 'Success'
+       ELSE 'Failure' END AS status,
+  CASE WHEN previous_size IS NULL THEN '{quality.NO_HISTORY}'
+       WHEN size_change BETWEEN {quality.SIZE_MAX_DECREASE} AND {quality.SIZE_MAX_INCREASE} THEN ''
+       ELSE 'size change outside bounds' END AS message
+FROM (SELECT process_date, size, lag(size) OVER (ORDER BY process_date) AS previous_size,
+             CAST(size - lag(size) OVER (ORDER BY process_date) AS DOUBLE) AS size_change FROM wide) a"""
+
+
+def _constraint_rows_sql() -> str:
+    """One row per (process_date, constraint) over the ``wide`` CTE."""
     parts = []
     for name, metric, _passes, hint in quality._constraints(_suite()):
         if metric == "ratio_integral_timestamp":
@@ -619,8 +632,21 @@ def _checks_sql() -> str:
   CASE WHEN {ok} THEN 'Success' ELSE 'Failure' END AS constraint_status,
   CASE WHEN {ok} THEN '' ELSE '{hint}' END AS constraint_message, {_r(f'CAST({metric} AS DOUBLE)')} AS value
 FROM wide""")
-    rows = " UNION ALL ".join(parts)
-    return f""", c AS ({rows})
+    return " UNION ALL ".join(parts)
+
+
+# CTEs appended after the ``wide`` CTE of _dq_wide_sql().
+_CHECK_CTES = f""",
+c AS ({_constraint_rows_sql()}),
+an AS ({{anomaly}}),
+g AS (SELECT c.process_date,
+        CAST(sum(CASE WHEN constraint_status <> 'Success' THEN 1 ELSE 0 END) AS BIGINT) AS failed_constraints,
+        any_value(an.status) AS anomaly_status
+      FROM c JOIN an ON c.process_date = an.process_date GROUP BY c.process_date)"""
+
+
+def _checks_sql() -> str:
+    return _CHECK_CTES.format(anomaly=_ANOMALY_SQL) + f"""
 SELECT process_date, '{_suite().name}' AS "check", 'Error' AS check_level,
   CASE WHEN max(CASE WHEN constraint_status <> 'Success' THEN 1 ELSE 0 END) OVER (PARTITION BY process_date) = 1
        THEN 'Error' ELSE 'Success' END AS check_status,
@@ -634,16 +660,7 @@ def dq_checks(spark, sf_dir):
     return _rounded(quality.check_rows(quality.profile_wide(_dq_input(spark, sf_dir), s), s), "value")
 
 
-_ANOMALY_SQL = f"""
-SELECT process_date, size, previous_size, size_change,
-  CASE WHEN previous_size IS NULL THEN 'Success'
-       WHEN size_change BETWEEN {quality.SIZE_MAX_DECREASE} AND {quality.SIZE_MAX_INCREASE} THEN 'Success'
-       ELSE 'Failure' END AS status,
-  CASE WHEN previous_size IS NULL THEN '{quality.NO_HISTORY}'
-       WHEN size_change BETWEEN {quality.SIZE_MAX_DECREASE} AND {quality.SIZE_MAX_INCREASE} THEN ''
-       ELSE 'size change outside bounds' END AS message
-FROM (SELECT process_date, size, lag(size) OVER (ORDER BY process_date) AS previous_size,
-             CAST(size - lag(size) OVER (ORDER BY process_date) AS DOUBLE) AS size_change FROM wide) a"""
+
 
 
 def _staged_profile(spark):
@@ -658,28 +675,20 @@ def dq_size_anomaly(spark, sf_dir):
     return anomalies.select("process_date", "size", "previous_size", "size_change", "status", "message")
 
 
-@register("dq_gate", _dq_wide_sql() + _checks_sql().replace("\nSELECT process_date, '", "\n, chk AS (SELECT process_date, '", 1)
-          + f"""), an AS ({_ANOMALY_SQL})
-SELECT chk.process_date, CAST(sum(CASE WHEN constraint_status <> 'Success' THEN 1 ELSE 0 END) AS BIGINT)
-         AS failed_constraints,
-       any_value(an.status) AS anomaly_status,
-       sum(CASE WHEN constraint_status <> 'Success' THEN 1 ELSE 0 END) = 0 AND any_value(an.status) = 'Success'
-         AS passed
-FROM chk JOIN an ON chk.process_date = an.process_date GROUP BY chk.process_date""")
+@register("dq_gate", _dq_wide_sql() + _CHECK_CTES.format(anomaly=_ANOMALY_SQL) + """
+SELECT process_date, failed_constraints, anomaly_status,
+       failed_constraints = 0 AND anomaly_status = 'Success' AS passed
+FROM g""")
 def dq_gate(spark, sf_dir):
     _, _, _, _, verdict = quality.run_checks(_dq_input(spark, sf_dir), _suite(),
                                              materialize=_staged_profile(spark))
     return verdict
 
 
-@register("dq_metrics_history", _dq_wide_sql() + _checks_sql().replace("\nSELECT process_date, '", "\n, chk AS (SELECT process_date, '", 1)
-          + f"""), an AS ({_ANOMALY_SQL}),
-g AS (SELECT chk.process_date,
-        sum(CASE WHEN constraint_status <> 'Success' THEN 1 ELSE 0 END) = 0 AND any_value(an.status) = 'Success'
-          AS passed
-      FROM chk JOIN an ON chk.process_date = an.process_date GROUP BY chk.process_date),
+@register("dq_metrics_history", _dq_wide_sql() + _CHECK_CTES.format(anomaly=_ANOMALY_SQL) + f""",
 p AS ({_PROFILE_SQL})
-SELECT p.*, g.passed FROM p JOIN g ON p.process_date = g.process_date""")
+SELECT p.*, g.failed_constraints = 0 AND g.anomaly_status = 'Success' AS passed
+FROM p JOIN g ON p.process_date = g.process_date""")
 def dq_metrics_history(spark, sf_dir):
     """Metrics appended to the history (one partition per process date) and read back."""
     s = _suite()
