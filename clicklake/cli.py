@@ -1,8 +1,9 @@
-"""Job entry points for spark-submit.
+"""Job entry points (``python -m clicklake.cli`` locally, ``run_job.py`` with spark-submit).
 
-    spark-submit -m clicklake.cli bronze  --process-datetime 2024-01-02 --source s3a://raw/events/ --bronze ...
-    spark-submit -m clicklake.cli silver  --process-datetime 2024-01-02 --bronze ... --silver ...
-    spark-submit -m clicklake.cli hourly  --process-datetime 2024-01-02T05:00:00 --source ... --table ...
+    spark-submit --py-files clicklake.zip run_job.py bronze --process-datetime 2024-01-02 \
+        --source s3a://raw/events/ --bronze ...
+    spark-submit --py-files clicklake.zip run_job.py silver --process-datetime 2024-01-02 --bronze ... --silver ...
+    spark-submit --py-files clicklake.zip run_job.py hourly --process-datetime 2024-01-02T05:00:00 --source ... --table ...
 
 ``--process-datetime`` may be repeated or given as a range ``START..END`` to
 backfill several days in one pass.  A failed quality gate exits with code 1.
