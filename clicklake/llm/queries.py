@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_defaults
 from . import exact_dedup as exact
-from . import packing, sharding
+from . import fingerprints as marks
+from . import packing, sharding, toxicity, url_filter
 from .common import documents
 
 QUERIES: dict = {}
@@ -24,6 +25,12 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+@register("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_defaults(spark)
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @register("op2_exact_dedup", r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -37,6 +44,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(documents(spark, sf_dir))
 
 
+@register("op3_fingerprints")
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_defaults(spark)
+    return marks.edited_fingerprints(documents(spark, sf_dir))
+
+
 @register("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_defaults(spark)
@@ -45,6 +58,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "padded_length")
 
 
+# The contract's rules.
+URL_RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
+             url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
+
+
+@register("op8_url_filter")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_defaults(spark)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return url_filter.judge(pages, url_filter.fit(spark), URL_RULES)
+
+
 @register("op10_sharding")
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_defaults(spark)
