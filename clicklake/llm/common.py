@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_defaults
 from ..sinks.writers import stage as _stage
 
 # The white space of the text contracts ([\x20\x09-\x0D]).
@@ -45,3 +50,21 @@ def ascii_lower(c: Column) -> Column:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     by_char = F.array_join(F.transform(F.split(c, ""), lambda x: F.when(x.between("A", "Z"), F.lower(x)).otherwise(x)), "")
     return F.when(F.contains(c, F.lit("\0")), by_char).otherwise(F.translate(c, upper, lower))
+
+
+_SHIPPED: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session defaults, and the package sent to the Python workers (as ``--py-files`` would) once per application."""
+    ensure_defaults(spark)
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="clicklake-py-")) / "clicklake.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))  # the driver serves it to every executor
+        _SHIPPED.add(context.applicationId)
+    return spark

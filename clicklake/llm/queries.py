@@ -6,11 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_defaults
 from . import exact_dedup as exact
 from . import fingerprints as marks
-from . import packing, sharding, toxicity, url_filter
-from .common import documents
+from . import near_dedup, packing, sharding, toxicity, url_filter
+from .common import documents, prepare
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +26,7 @@ def register(key: str, sql: str | None = None):
 
 @register("op1_toxicity")
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_defaults(spark)
+    prepare(spark)
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -40,19 +39,25 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        row_number() OVER w = 1 AS kept, h AS text_sha256
 FROM d WINDOW w AS (PARTITION BY h ORDER BY length(t) DESC, doc_id NULLS LAST)""")
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_defaults(spark)
+    prepare(spark)
     return exact.exact_dedup(documents(spark, sf_dir))
 
 
 @register("op3_fingerprints")
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_defaults(spark)
+    prepare(spark)
     return marks.edited_fingerprints(documents(spark, sf_dir))
 
 
+@register("op4_near_dedup")
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 @register("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_defaults(spark)
+    prepare(spark)
     pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset", "padded_length")
@@ -65,14 +70,14 @@ URL_RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "exa
 
 @register("op8_url_filter")
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_defaults(spark)
+    prepare(spark)
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return url_filter.judge(pages, url_filter.fit(spark), URL_RULES)
 
 
 @register("op10_sharding")
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_defaults(spark)
+    prepare(spark)
     root = sharding.tree(8)
     rows = sharding.shard_rows(documents(spark, sf_dir), root, grown_root=sharding.grown(root, 8))
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
