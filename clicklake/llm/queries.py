@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from . import exact_dedup as exact
 from . import fingerprints as marks
-from . import near_dedup, packing, sharding, toxicity, url_filter
+from . import line_dedup, near_dedup, packing, sharding, toxicity, url_filter
 from .common import documents, prepare
 
 QUERIES: dict = {}
@@ -75,6 +75,13 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.fit(spark), URL_RULES)
 
 
+@register("op9_line_dedup")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    out = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", F.col("_lines").alias("lines"), F.col("_dropped").alias("dropped_lines"), "text")
+
+
 @register("op10_sharding")
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
