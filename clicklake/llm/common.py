@@ -27,6 +27,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return _stage(df.sparkSession, df, f"llm-{name}")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores put before it until no column of ``df`` is called that."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -23,8 +23,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import stage, text_of
+from .common import fresh, stage, text_of
 from .edit_distance import within
 
 MAX_EDITS = 2
@@ -132,16 +133,19 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_EDITS,
-                count_col: str | None = None) -> DataFrame:
-    """``docs`` with the dropped lines cut out of ``text_col``, plus _lines and _dropped counts.
+                count_col: str | None = None, with_counts: bool = True) -> DataFrame:
+    """``docs`` with the dropped lines cut out of ``text_col``, plus lines and dropped_lines counts.
 
     All rows and columns stay; a text may become empty, NULL stays NULL.  Rows of one id and one text
-    are one document and keep the same lines.  ``count_col`` names a column to set to the new length.
+    are one document and keep the same lines.  ``count_col`` names a column to set to the new length;
+    the counts are left out without ``with_counts``, and get underscores before a name already taken.
     """
     kept = stage(kept_lines(docs, id_col, text_col, most), "kept-lines")
     at = docs.columns.index(text_col)
     counted = docs.columns.index(count_col) if count_col else -1
-    names, width = list(docs.columns), len(docs.columns)
+    width, key, numbers_col = len(docs.columns), fresh(docs, "_key"), fresh(docs, "_kept")
+    added = [fresh(docs, "lines"), fresh(docs, "dropped_lines")] if with_counts else []
+    names = [*docs.columns, *added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,9 +161,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             columns[at] = pa.array(texts, batch.schema.field(at).type)
             if counted >= 0:
                 columns[counted] = pa.array([len(t or "") for t in texts], batch.schema.field(counted).type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(totals, pa.int64()), pa.array(dropped, pa.int64())],
-                                             [*names, "_lines", "_dropped"])
+            counts = [pa.array(totals, pa.int64()), pa.array(dropped, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, *(counts if added else [])], names)
 
-    joined = docs.withColumn("_key", _doc_key(id_col, text_col)).join(kept.withColumnRenamed("_doc", "_key"), "_key", "left").drop("_key")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(run, f"{schema}, _lines long, _dropped long")
+    joined = (docs.withColumn(key, _doc_key(id_col, text_col))
+              .join(kept.select(F.col("_doc").alias(key), F.col("_kept").alias(numbers_col)), key, "left").drop(key))
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in added)])
+    return joined.mapInArrow(run, schema)

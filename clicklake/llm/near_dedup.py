@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_of
+from .common import fresh, stage, text_of
 from .components import components
 from .shingles import SHINGLE_WORDS, MinHash, digest, shingle_set
 
@@ -271,5 +271,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one document of each component."""
-    kept = near_duplicates(docs, id_col, text_col).filter("kept").select(F.struct(F.col(id_col).alias("id")).alias("_kept")).distinct()
-    return docs.join(stage(kept, "kept-ids"), F.struct(F.col(id_col).alias("id")) == F.col("_kept"), "left_semi")
+    key = fresh(docs, "_key")
+    kept = near_duplicates(docs, id_col, text_col).filter("kept").select(F.struct(F.col(id_col).alias("id")).alias(key)).distinct()
+    return (docs.withColumn(key, F.struct(F.col(id_col).alias("id")))
+            .join(stage(kept, "kept-ids"), key, "left_semi").drop(key))

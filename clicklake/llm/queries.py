@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from . import exact_dedup as exact
 from . import fingerprints as marks
-from . import line_dedup, near_dedup, packing, sharding, toxicity, url_filter
+from . import license_scan, line_dedup, near_dedup, packing, piece_codec, sharding, toxicity, url_filter
 from .common import documents, prepare
 
 QUERIES: dict = {}
@@ -63,6 +63,22 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "padded_length")
 
 
+@register("op6_piece_codec")
+def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_codec.encode_documents(documents(spark, sf_dir), path)
+    both = piece_codec.decode_documents(encoded, path).withColumn("decoded_sha256", F.sha2("decoded", 256))
+    return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "text_sha256", "decoded_sha256",
+                       (F.col("text_sha256") == F.col("decoded_sha256")).alias("lossless"))
+
+
+@register("op7_license_scan")
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return license_scan.scan_licenses(documents(spark, sf_dir))
+
+
 # The contract's rules.
 URL_RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
              url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
@@ -79,7 +95,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     out = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
-    return out.select("doc_id", F.col("_lines").alias("lines"), F.col("_dropped").alias("dropped_lines"), "text")
+    return out.select("doc_id", "lines", "dropped_lines", "text")
 
 
 @register("op10_sharding")
