@@ -27,6 +27,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return _stage(df.sparkSession, df, f"llm-{name}")
 
 
+# Rows of a narrow staged table that are broadcast; a larger one is joined by a shuffle.
+MAX_BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, most: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` (staged, narrow rows) with a broadcast hint if its counted rows are few enough."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores put before it until no column of ``df`` is called that."""
     taken = {c.lower() for c in df.columns}

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stage, text_of
+from .common import broadcast_if_small, fresh, stage, text_of
 from .components import components
 from .shingles import SHINGLE_WORDS, MinHash, digest, shingle_set
 
@@ -230,7 +230,8 @@ def confirmed_links(keyed: DataFrame, classes: DataFrame, blobs: DataFrame, k: i
                .join(classes.select("_node", "_low", "_low_salt"), "_node")
                .select("_node", F.struct(F.col("_low").alias("id"), F.col("_low_salt").alias("salt")).alias("_key"), "root", "_chunks", "_own"))
     texts = keyed.select(F.struct(F.col("_id").alias("id"), F.col("_salt").alias("salt")).alias("_key"), "_text")
-    spread = (texts.join(stage(members, "blob-members"), "_key")
+    # Few documents are members: only their texts move, unless there are too many members to broadcast.
+    spread = (texts.join(broadcast_if_small(stage(members, "blob-members")), "_key")
               .select("_node", "_text", "root", F.explode(tasks).alias("_t"))
               .select(F.concat("root", F.to_binary(F.lpad(F.hex(F.col("_t.i")), 8, "0"), F.lit("hex")),
                                F.to_binary(F.lpad(F.hex(F.col("_t.j")), 8, "0"), F.lit("hex"))).alias("_task"), "_node", "_text"))
