@@ -46,6 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--metrics", help="quality metrics history path")
     b.add_argument("--layout", choices=("processing_date", "event_date"), default="processing_date")
     b.add_argument("--no-gate", action="store_true")
+    b.add_argument("--size-change-bounds", nargs=2, type=float, metavar=("LOW", "HIGH"), help="allowed day-to-day change of rows")
+    b.add_argument("--bad-lines", help="table path of lines that do not parse (default: <bronze>_bad_lines)")
     b.add_argument("--catalog", help="catalog prefix for the namespaces")
 
     s = sub.add_parser("silver", help="bronze -> validate -> sessionize -> merge")
@@ -70,8 +72,10 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.job == "bronze":
             writers.create_databases(spark, bronze_plan.NAMESPACES, args.catalog)
+            bounds = {"size_change_bounds": tuple(args.size_change_bounds)} if args.size_change_bounds else {}
             res = bronze_plan.land_daily(spark, args.source, args.bronze, parse_days(args.process_datetime),
-                                         layout=args.layout, gate=not args.no_gate, metrics_path=args.metrics)
+                                         layout=args.layout, gate=not args.no_gate, metrics_path=args.metrics,
+                                         bad_lines_path=args.bad_lines, **bounds)
             print(json.dumps({"status": res.status, "published": [str(d) for d in res.published_days]}))
         elif args.job == "silver":
             print(silver_plan.run(spark, args.bronze, args.silver, parse_days(args.process_datetime),

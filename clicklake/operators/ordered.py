@@ -1,102 +1,64 @@
-"""Ordered per-key scans (row_number, islands, lead) that stay parallel on hot keys.
-
-A window ``PARTITION BY key`` sends every row of a key to one task, so a key
-holding a third of the data would run in one task.  These helpers split each
-key's time-ordered sequence into fixed time slices and compute the same
-answer in four data-parallel steps:
-
-1. local window inside (key, slice)               -- bounded by one slice
-2. one summary row per (key, slice)               -- pre-aggregated map-side
-3. window over the summaries per key, by slice    -- one row per slice
-4. join the per-slice offsets back on (key, slice) -- rows stay where they are
-
-Step 3 sees ``span / slice`` rows per key at most, so it stays small however
-hot the key is.  With ``slice_seconds=None`` the plain single-window form is
-used (fewer stages; fine when no key can be hot).
-
-Summaries are taken so that no expensive intermediate feeds two consumers:
-row-number offsets come from counts (order-independent, map-side
-pre-aggregated from a re-scan of the input), and ``keyed_next_ts`` expects
-its input to be a scan (callers stage their runs first).
-
-Limit: slices are time buckets, so rows of one key that share one timestamp
-always land in one slice.  The window spills and finishes, but a tie group
-holding a large share of the data is a straggler; splitting inside it needs
-range partitioning on the full order (key, time, tie-breaker).
-
-Keys are passed as one column name holding a struct of the key fields:
-struct equality and hashing treat NULL fields as equal, which gives the
-NULL-as-a-group semantics of ``PARTITION BY`` / ``GROUP BY`` to the joins too,
-and the frames stay hash-partitioned on (key, slice) across steps 1 and 4.
+"""Ordered per-key scans (row numbers, lead) that stay parallel on hot keys and on ties.
+
+A window ``PARTITION BY key`` sends every row of a key to one task, so a key (or one timestamp of a key)
+holding a third of the data would run in one task.  Here the rows are range-partitioned on (key, full
+order): the order is total, so any key and any tie is cut wherever the partition is full.  The
+partitioned rows are staged once, which fixes the cuts for every reader, and the scan becomes
+
+1. a local window inside (key, slice), a slice being one range partition;
+2. one summary row per (key, slice), pre-aggregated map-side from a columnar re-scan;
+3. a window over the summaries per key -- as many rows as the key has slices;
+4. a join of the offsets back on (key, slice), where the rows already are.
+
+There is one plan for all sizes and its outputs have one type.  Keys are one struct column: struct
+equality treats NULL fields as equal, as ``PARTITION BY`` does.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
-# Default slice width: one minute of a key's activity per task at most.
-DEFAULT_SLICE_SECONDS = 60
-
 
-def slice_of(ts: str | Column, slice_seconds: int) -> Column:
-    """Monotone time bucket of a timestamp."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_seconds(ts) / F.lit(slice_seconds)).cast("long")
 
+def range_sliced(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
+    """``df`` staged in (key, order) ranges; ``_slice`` numbers the ranges in order."""
+    from ..sinks.writers import stage
 
-def _order(cols) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+    return stage(df.sparkSession, df.repartitionByRange(key, *order).withColumn(SLICE, F.spark_partition_id()), name)
 
 
-def keyed_row_numbers(df: DataFrame, key: str, group: str, order: list, ts: str,
-                      out_all: str, out_group: str,
-                      slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
-    """Two row numbers in one pass: over ``key`` and over (``key``, ``group``).
+def keyed_row_numbers(sliced: DataFrame, key: str, group: str, order: list[str], out_all: str, out_group: str) -> DataFrame:
+    """Two 64-bit row numbers: over ``key`` and over (``key``, ``group``).
 
-    ``group`` must be low-cardinality (e.g. an action vocabulary): per slice
-    the offsets of the groups present are carried as one small map.  The
-    offsets come from order-independent counts, pre-aggregated map-side from a
-    re-scan of the (columnar) input, so only the rows themselves are shuffled
-    once, on (key, slice).
+    ``group`` must be low-cardinality (an action vocabulary): per slice the offsets of its groups are
+    carried as one small map.
     """
-    if slice_seconds is None:
-        w = Window.partitionBy(key).orderBy(*_order(order))
-        wg = Window.partitionBy(key, group).orderBy(*_order(order))
-        return df.withColumn(out_all, F.row_number().over(w)).withColumn(out_group, F.row_number().over(wg))
-    d = df.withColumn(SLICE, slice_of(ts, slice_seconds))
-    local = (d.withColumn("_rn_all", F.row_number().over(Window.partitionBy(key, SLICE).orderBy(*_order(order))))
-              .withColumn("_rn_grp", F.row_number().over(
-                  Window.partitionBy(key, SLICE, group).orderBy(*_order(order)))))
-    counts = d.groupBy(key, SLICE, group).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = lambda *p: Window.partitionBy(*p).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    local = (sliced.withColumn("_rn_all", F.row_number().over(Window.partitionBy(key, SLICE).orderBy(*order)))
+             .withColumn("_rn_grp", F.row_number().over(Window.partitionBy(key, SLICE, group).orderBy(*order))))
+
+    def earlier(*part):
+        return Window.partitionBy(*part).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+
+    counts = sliced.groupBy(key, SLICE, group).agg(F.count(F.lit(1)).alias("_n"))
     counts = counts.withColumn("_before_grp", F.coalesce(F.sum("_n").over(earlier(key, group)), F.lit(0)))
     per_slice = counts.groupBy(key, SLICE).agg(
         F.sum("_n").alias("_n_slice"),
         F.map_from_entries(F.collect_list(F.struct(group, "_before_grp"))).alias("_before_map"))
-    offsets = per_slice.select(key, SLICE, F.coalesce(F.sum("_n_slice").over(earlier(key)), F.lit(0))
-                               .alias("_before_all"), "_before_map")
+    offsets = per_slice.select(key, SLICE, F.coalesce(F.sum("_n_slice").over(earlier(key)), F.lit(0)).alias("_before_all"),
+                               "_before_map")
     return (local.join(offsets, [key, SLICE])
-            .withColumn(out_all, F.col("_before_all") + F.col("_rn_all"))
-            .withColumn(out_group, F.element_at("_before_map", F.col(group)) + F.col("_rn_grp"))
+            .withColumn(out_all, (F.col("_before_all") + F.col("_rn_all")).cast("long"))
+            .withColumn(out_group, (F.element_at("_before_map", F.col(group)) + F.col("_rn_grp")).cast("long"))
             .drop("_rn_all", "_rn_grp", "_before_all", "_before_map", SLICE))
 
 
-def keyed_next_ts(df: DataFrame, key: str, order: list, ts: str, out: str,
-                  slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
-    """``LEAD(ts) OVER (PARTITION BY key ORDER BY order)``; ``order`` starts with ``ts``.
-
-    ``df`` is read twice (rows and per-slice minima): pass a staged frame.
-    """
-    if slice_seconds is None:
-        return df.withColumn(out, F.lead(ts).over(Window.partitionBy(key).orderBy(*_order(order))))
-    d = df.withColumn(SLICE, slice_of(ts, slice_seconds))
-    local = d.withColumn("_next_local", F.lead(ts).over(Window.partitionBy(key, SLICE).orderBy(*_order(order))))
-    # The successor of a slice's last row is the earliest ts of the next non-empty slice.
-    firsts = d.groupBy(key, SLICE).agg(F.min(ts).alias("_first_ts"))
-    nxt = firsts.select(key, SLICE, F.lead("_first_ts").over(
-        Window.partitionBy(key).orderBy(SLICE)).alias("_next_slice_ts"))
-    return (local.join(nxt, [key, SLICE])
-            .withColumn(out, F.coalesce("_next_local", "_next_slice_ts"))
+def keyed_next_ts(sliced: DataFrame, key: str, order: list[str], ts: str, out: str) -> DataFrame:
+    """``LEAD(ts)`` per key in ``order``, which starts with ``ts``."""
+    local = sliced.withColumn("_next_local", F.lead(ts).over(Window.partitionBy(key, SLICE).orderBy(*order)))
+    # The successor of a slice's last row is the earliest ts of the key's next slice.
+    firsts = sliced.groupBy(key, SLICE).agg(F.min(ts).alias("_first_ts"))
+    nxt = firsts.select(key, SLICE, F.lead("_first_ts").over(Window.partitionBy(key).orderBy(SLICE)).alias("_next_slice_ts"))
+    return (local.join(nxt, [key, SLICE]).withColumn(out, F.coalesce("_next_local", "_next_slice_ts"))
             .drop("_next_local", "_next_slice_ts", SLICE))

@@ -101,6 +101,12 @@ def _wide_aggregates(suite: Suite) -> list[Column]:
     return aggs
 
 
+def integral_ratio(df: DataFrame, text_col: str, batch_cols=()) -> DataFrame:
+    """``ratio_integral``: share of the non-NULL raw texts written as whole numbers, per batch (before any cast)."""
+    whole = F.count_if(F.col(text_col).rlike(INTEGRAL_PATTERN))
+    return df.groupBy(*batch_cols).agg(_ratio(whole, F.count(text_col)).alias("ratio_integral"))
+
+
 def _frequency_metrics(df: DataFrame, suite: Suite) -> DataFrame:
     """Uniqueness, distinctness and entropy of every frequency column in one shuffle."""
     batch = list(suite.batch_cols)

@@ -1,4 +1,4 @@
-"""Gaps-and-islands sessionization: valid events -> user-action intervals.
+"""Sessionization: valid events -> user-action intervals.
 
 Steps (each also exposed on its own):
 
@@ -6,18 +6,14 @@ Steps (each also exposed on its own):
 * ``numbered``        -- row numbers over the key, and over key + action
 * ``islands``         -- island id = rn_all - rn_action (the row-number form)
 * ``event_runs``      -- one row per run: MIN / MAX event time
+* ``run_closing_event`` -- the run with its last event and the number of events at that time
 * ``runs_with_next``  -- LEAD(start_time) per key
 * ``user_actions``    -- end = next start else last event; md5 action id; duration
 
-Ordering is made total so results never depend on tie order: events by
-(event_timestamp, event_id), runs by (start_time, last_event_time, action,
-country, island).  ``event_date`` belongs to the key, so one pass over many
-days equals running each day on its own, and no task ever sees more than
-one key-day (and, with slicing, one key-slice) of events.
-
-``slice_seconds``: ``'auto'`` (default) measures the largest key-day first and
-uses plain windows below ``MAX_ROWS_PER_WINDOW_TASK`` rows, time slices above
-it (see ``ordered``); an int forces slices of that width; None forces plain.
+Ordering is made total so results never depend on tie order: events by (event_timestamp, event_id), runs
+by (start_time, last_event_time, action, country, island).  ``event_date`` belongs to the key, so one
+pass over many days equals running each day on its own.  There is one plan whatever the size of a key
+(``ordered``): events and runs are each range-partitioned and staged once.
 """
 
 from __future__ import annotations
@@ -26,16 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import IGNORE, action_id, classify_action, duration_seconds
-from .ordered import DEFAULT_SLICE_SECONDS, keyed_next_ts, keyed_row_numbers
-
-AUTO = "auto"
-# Largest key-day (rows) still numbered by one plain window task; beyond it the
-# sequence is split into time slices.  ~5M rows of ~100 bytes sort in ~0.5 GB.
-MAX_ROWS_PER_WINDOW_TASK = 5_000_000
+from .ordered import keyed_next_ts, keyed_row_numbers, range_sliced
 
 KEY = "_key"
 KEY_FIELDS = ("user_id", "content_id", "device_id", "event_date")
-EVENT_ORDER = ("event_timestamp", "event_id")
+EVENT_ORDER = ["event_timestamp", "event_id"]
+RUN_ORDER = ["start_time", "last_event_time", "action", "country", "_island"]
 
 USER_ACTION_COLUMNS = ("action_id", "user_id", "content_id", "device_id", "country", "action",
                        "start_time", "end_time", "duration_seconds", "event_date")
@@ -43,125 +35,77 @@ USER_ACTION_COLUMNS = ("action_id", "user_id", "content_id", "device_id", "count
 
 def actionable(valid: DataFrame, watched=None, paused=None) -> DataFrame:
     """Valid events with an ``action``; IGNORE and rows without content are dropped."""
-    kwargs = {k: v for k, v in (("watched", watched), ("paused", paused)) if v is not None}
-    return (valid.filter(F.col("content_id").isNotNull())
-            .withColumn("action", classify_action("event_type", **kwargs))
-            .filter(F.col("action") != IGNORE))
-
-
-def largest_key_rows(act: DataFrame) -> int:
-    """Rows of the largest (user, content, device, day) group -- one aggregate job."""
-    top = act.groupBy(*KEY_FIELDS).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
-
+    return classified(valid, watched, paused).filter(F.col("action") != IGNORE)
 
-# Session settings that override the defaults on a given cluster.
-CONF_MAX_ROWS = "clicklake.window.maxRowsPerTask"
-CONF_SLICE_SECONDS = "clicklake.window.sliceSeconds"
 
-
-def resolve_slicing(act: DataFrame, slice_seconds, max_rows: int | None = None):
-    """``'auto'``: plain windows when every key-day fits one task, else time slices."""
-    if slice_seconds != AUTO:
-        return slice_seconds
-    conf = act.sparkSession.conf
-    if max_rows is None:
-        max_rows = int(conf.get(CONF_MAX_ROWS, None) or MAX_ROWS_PER_WINDOW_TASK)
-    width = int(conf.get(CONF_SLICE_SECONDS, None) or DEFAULT_SLICE_SECONDS)
-    return None if largest_key_rows(act) <= max_rows else width
-
-
-def _keyed(df: DataFrame) -> DataFrame:
-    return df.withColumn(KEY, F.struct(*KEY_FIELDS))
+def classified(valid: DataFrame, watched=None, paused=None) -> DataFrame:
+    """Valid events of some content with their ``action``, IGNORE included."""
+    kwargs = {k: v for k, v in (("watched", watched), ("paused", paused)) if v is not None}
+    return valid.filter(F.col("content_id").isNotNull()).withColumn("action", classify_action("event_type", **kwargs))
 
 
 def _unkey(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"{KEY}.{f}").alias(f) for f in KEY_FIELDS],
-                     *[c for c in df.columns if c != KEY])
+    return df.select(*[F.col(f"{KEY}.{f}").alias(f) for f in KEY_FIELDS], *[c for c in df.columns if c != KEY])
 
 
-def _numbered_keyed(act: DataFrame, slice_seconds: int | None) -> DataFrame:
-    d = _keyed(act.select(*KEY_FIELDS, "event_id", "country", "action", "event_timestamp"))
-    return keyed_row_numbers(d, KEY, "action", list(EVENT_ORDER), "event_timestamp", "rn_all", "rn_action",
-                             slice_seconds)
+def _numbered_keyed(act: DataFrame) -> DataFrame:
+    keyed = act.select(F.struct(*KEY_FIELDS).alias(KEY), "event_id", "country", "action", "event_timestamp")
+    return keyed_row_numbers(range_sliced(keyed, KEY, EVENT_ORDER, "events-in-order"), KEY, "action", EVENT_ORDER, "rn_all", "rn_action")
 
 
-def numbered(act: DataFrame, slice_seconds=AUTO) -> DataFrame:
-    """rn_all over (user, content, device, day); rn_action additionally over action."""
-    return _unkey(_numbered_keyed(act, resolve_slicing(act, slice_seconds)))
+def numbered(act: DataFrame) -> DataFrame:
+    """rn_all over (user, content, device, day); rn_action additionally over action (both 64-bit)."""
+    return _unkey(_numbered_keyed(act))
 
 
-def islands(act: DataFrame, slice_seconds=AUTO) -> DataFrame:
+def islands(act: DataFrame) -> DataFrame:
     """Row-number form of the island id: ``grp = rn_all - rn_action``."""
-    return numbered(act, slice_seconds).withColumn("grp", F.col("rn_all") - F.col("rn_action"))
+    return numbered(act).withColumn("grp", F.col("rn_all") - F.col("rn_action"))
 
 
-def _runs_keyed(act: DataFrame, slice_seconds: int | None) -> DataFrame:
-    d = _numbered_keyed(act, slice_seconds).withColumn("_island", F.col("rn_all") - F.col("rn_action"))
+def _runs_keyed(act: DataFrame) -> DataFrame:
+    d = _numbered_keyed(act).withColumn("_island", F.col("rn_all") - F.col("rn_action"))
     # Partial aggregation runs map-side: a long run costs one row per task before the shuffle.
     return d.groupBy(KEY, "country", "action", "_island").agg(
-        F.min("event_timestamp").alias("start_time"),
-        F.max("event_timestamp").alias("last_event_time"),
-    )
+        F.min("event_timestamp").alias("start_time"), F.max("event_timestamp").alias("last_event_time"))
 
 
-def event_runs(act: DataFrame, slice_seconds=AUTO) -> DataFrame:
+def event_runs(act: DataFrame) -> DataFrame:
     """One row per run: key, country, action, event_date, start_time, last_event_time."""
-    return _unkey(_runs_keyed(act, resolve_slicing(act, slice_seconds))).drop("_island")
-
+    return _unkey(_runs_keyed(act)).drop("_island")
 
-def _with_next(runs_keyed: DataFrame, slice_seconds: int | None) -> DataFrame:
-    order = ["start_time", "last_event_time", "action", "country", "_island"]
-    if slice_seconds is not None:
-        # The sliced LEAD reads the runs twice; stage them once instead of
-        # recomputing the event-level shuffle for each reader.
-        from ..sinks.writers import stage
 
-        runs_keyed = stage(runs_keyed.sparkSession, runs_keyed, "runs")
-    return keyed_next_ts(runs_keyed, KEY, order, "start_time", "next_start_time", slice_seconds)
+def _with_next(act: DataFrame) -> DataFrame:
+    return keyed_next_ts(range_sliced(_runs_keyed(act), KEY, RUN_ORDER, "runs-in-order"), KEY, RUN_ORDER, "start_time", "next_start_time")
 
 
-def runs_with_next(act: DataFrame, slice_seconds=AUTO) -> DataFrame:
-    slice_seconds = resolve_slicing(act, slice_seconds)
-    return _unkey(_with_next(_runs_keyed(act, slice_seconds), slice_seconds)).drop("_island")
+def runs_with_next(act: DataFrame) -> DataFrame:
+    return _unkey(_with_next(act)).drop("_island")
 
 
-def user_actions_from_actionable(act: DataFrame, slice_seconds=AUTO) -> DataFrame:
-    slice_seconds = resolve_slicing(act, slice_seconds)
-    r = _unkey(_with_next(_runs_keyed(act, slice_seconds), slice_seconds))
-    return (r.withColumn("end_time", F.coalesce("next_start_time", "last_event_time"))
-            .withColumn("action_id", action_id())
-            .withColumn("duration_seconds", duration_seconds())
+def user_actions_from_actionable(act: DataFrame) -> DataFrame:
+    return (_unkey(_with_next(act)).withColumn("end_time", F.coalesce("next_start_time", "last_event_time"))
+            .withColumn("action_id", action_id()).withColumn("duration_seconds", duration_seconds())
             .select(*USER_ACTION_COLUMNS))
 
 
-def user_actions(valid: DataFrame, slice_seconds=AUTO, watched=None, paused=None) -> DataFrame:
+def user_actions(valid: DataFrame, watched=None, paused=None) -> DataFrame:
     """Silver user actions from valid events (the full sessionization)."""
-    return user_actions_from_actionable(actionable(valid, watched, paused), slice_seconds)
-
+    return user_actions_from_actionable(actionable(valid, watched, paused))
 
-def run_closing_event(act: DataFrame, valid: DataFrame, slice_seconds=AUTO) -> DataFrame:
-    """Each run LEFT JOIN the valid events at its closing time (user, content, device, time).
 
-    Keeps the join's fan-out: a run gets one row per event that shares
-    its closing timestamp, and a run with a NULL device matches nothing
-    (plain equality).  Returns the run plus the matched ``closing_event_id``.
+def run_closing_event(act: DataFrame) -> DataFrame:
+    """One row per run: the run, ``closing_event_id`` and ``closing_events``.
 
-    Written as inner join + anti join instead of one outer join: adaptive
-    execution can split a hot join key on both sides of an inner join (not on
-    the non-preserved side of an outer join), and the anti join runs against
-    the distinct closing keys, pre-aggregated map-side, so a hot tie group
-    collapses to one row before it is shuffled.
+    ``closing_events`` counts the run's events at its closing time, ``closing_event_id`` is the largest of
+    their ids.  Both come out of the run aggregate (events at one time are counted first), so there is no
+    join and ties add no rows.
     """
-    from ..sinks.writers import stage
-
-    keys = ["user_id", "content_id", "device_id"]
-    # Both joins read the runs: stage them once rather than recompute the event shuffle twice.
-    runs = stage(act.sparkSession, event_runs(act, slice_seconds), "closing-runs")
-    ev = valid.select(*keys, F.col("event_timestamp").alias("last_event_time"),
-                      F.col("event_id").alias("closing_event_id"))
-    matched = runs.join(ev, keys + ["last_event_time"], "inner")
-    closing_keys = ev.select(*keys, "last_event_time").distinct()
-    unmatched = (runs.join(closing_keys, keys + ["last_event_time"], "left_anti")
-                 .withColumn("closing_event_id", F.lit(None).cast("string")))
-    return matched.unionByName(unmatched)
+    d = _numbered_keyed(act).withColumn("_island", F.col("rn_all") - F.col("rn_action"))
+    run = [KEY, "country", "action", "_island"]
+    at_time = d.groupBy(*run, "event_timestamp").agg(F.count(F.lit(1)).alias("_events"), F.max("event_id").alias("_last_id"))
+    runs = at_time.groupBy(*run).agg(
+        F.min("event_timestamp").alias("start_time"), F.max("event_timestamp").alias("last_event_time"),
+        F.max_by("_last_id", "event_timestamp").alias("closing_event_id"),
+        F.max_by("_events", "event_timestamp").alias("closing_events"))
+    return _unkey(runs).drop("_island")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import event_date, year_month_day
 from ..operators import quality
-from ..session import ensure_defaults, table_exists
+from ..session import ensure_defaults, path_exists, table_exists
 from ..sinks import writers
 from ..sources import readers
 
@@ -80,21 +80,34 @@ def land_daily(spark: SparkSession, source_base: str, bronze_path: str,
                metrics_path: str | None = None, on_failure: str = "raise",
                drops: readers.DropLayout = readers.DAILY_FILES,
                size_change_bounds: tuple[float, float] = (quality.SIZE_MAX_DECREASE,
-                                                          quality.SIZE_MAX_INCREASE)) -> LandingResult:
-    """Land the drops of ``days`` (one day or a batch of days)."""
+                                                          quality.SIZE_MAX_INCREASE),
+               bad_lines_path: str | None = None) -> LandingResult:
+    """Land the drops of ``days`` (one day or a batch of days).
+
+    Lines that do not parse go to ``bad_lines_path`` (by default ``<bronze_path>_bad_lines``) with their
+    text, by process date; bronze gets whole rows only.  Fields outside the schema stay as JSON text in
+    ``extra_fields``.  A re-run leaves nothing of its own earlier run behind.
+    """
     ensure_defaults(spark)
     days = [days] if isinstance(days, dt.date) else sorted(days)
     raw = with_process_date(readers.read_drops(spark, source_base, days, layout=drops), drops)
     return publish(spark, raw, bronze_path, layout=layout, gate=gate, as_of=as_of, metrics_path=metrics_path,
-                   on_failure=on_failure, size_change_bounds=size_change_bounds, days=days)
+                   on_failure=on_failure, size_change_bounds=size_change_bounds, days=days, bad_lines_path=bad_lines_path)
 
 
 def publish(spark: SparkSession, raw: DataFrame, bronze_path: str, *, layout: str = "processing_date",
             gate: bool = True, as_of: dt.datetime | None = None, metrics_path: str | None = None,
             on_failure: str = "raise",
             size_change_bounds: tuple[float, float] = (quality.SIZE_MAX_DECREASE, quality.SIZE_MAX_INCREASE),
-            days: list | None = None) -> LandingResult:
+            days: list | None = None, bad_lines_path: str | None = None) -> LandingResult:
     """Stage raw rows (with ``process_date``), gate them per day, publish the passing days."""
+    with writers.staging_scope(spark):
+        return _publish(spark, raw, bronze_path, layout, gate, as_of, metrics_path, on_failure, size_change_bounds, days,
+                        bad_lines_path or bronze_path.rstrip("/") + "_bad_lines")
+
+
+def _publish(spark, raw, bronze_path, layout, gate, as_of, metrics_path, on_failure, size_change_bounds, days,
+             bad_lines_path) -> LandingResult:
     # Parse once into the staged copy; emptiness is checked there (no second read of the drops).
     staged = writers.stage(spark, raw, "bronze-staging")
     if staged.isEmpty():
@@ -118,8 +131,17 @@ def publish(spark: SparkSession, raw: DataFrame, bronze_path: str, *, layout: st
         passing = sorted(r[PROCESS_DATE] for r in rows if r["passed"])
         blocked = sorted(r[PROCESS_DATE] for r in rows if not r["passed"])
 
+    bad = (staged.filter(F.col(readers.CORRUPT_RECORD).isNotNull())
+           .select(PROCESS_DATE, F.col(readers.CORRUPT_RECORD).alias("line")))
+    if not bad.isEmpty() or table_exists(spark, bad_lines_path):
+        writers.create_or_overwrite_partitions(spark, bad, bad_lines_path, (PROCESS_DATE,))
+        with_bad = {r[0] for r in bad.select(PROCESS_DATE).distinct().collect()}            # one row per day
+        writers.clear_partitions(spark, bad_lines_path, bad.schema,
+                                 [f"{PROCESS_DATE}={d}" for d in (days or passing) if d not in with_bad])
+
     if passing:
-        bronze = staged.filter(F.col(PROCESS_DATE).isin(passing)).withColumn("event_date", event_date("timestamp"))
+        bronze = (staged.filter(F.col(PROCESS_DATE).isin(passing) & F.col(readers.CORRUPT_RECORD).isNull())
+                  .withColumn("event_date", event_date("timestamp")))
         if layout == "processing_date":
             bronze = bronze.withColumnRenamed(PROCESS_DATE, "processing_date")
             cols = ("processing_date", "event_date")
@@ -128,26 +150,45 @@ def publish(spark: SparkSession, raw: DataFrame, bronze_path: str, *, layout: st
             cols = ("event_date",)
         else:
             raise ValueError(f"unknown layout {layout!r}")
-        writers.create_or_overwrite_partitions(spark, bronze.drop(readers.CORRUPT_RECORD), bronze_path, cols)
+        bronze = bronze.drop(readers.CORRUPT_RECORD)
+        stale = _folders_of(spark, bronze_path, passing) if layout == "processing_date" else set()
+        writers.create_or_overwrite_partitions(spark, bronze, bronze_path, cols)
+        if stale:
+            now = {f"processing_date={r[0]}/event_date={r[1]}" for r in bronze.select(*cols).distinct().collect()}
+            writers.clear_partitions(spark, bronze_path, bronze.schema, sorted(stale - now))
 
     if blocked and on_failure == "raise":
         raise GateFailed(f"quality gate blocked {blocked}; published {passing}")
     return LandingResult("published" if passing else "blocked", passing, blocked)
 
 
+def _folders_of(spark: SparkSession, bronze_path: str, days: list) -> set[str]:
+    """Two-level partition folders that earlier runs of the given processing dates have left."""
+    if not table_exists(spark, bronze_path):
+        return set()
+    root = bronze_path.rstrip("/")
+    old = [f"{root}/processing_date={d}" for d in days if path_exists(spark, f"{root}/processing_date={d}")]
+    if not old:
+        return set()
+    rows = readers.read_directories(spark, root, old).select("processing_date", "event_date").distinct()
+    return {f"processing_date={a}/event_date={b}" for a, b in rows.collect() if b is not None}
+
+
 def ingest_hourly(spark: SparkSession, root: str, table_path: str, process_dt: dt.datetime | None = None,
                   mode: str = "replace", contract=None) -> tuple[int, list]:
     """Hive-partitioned raw Parquet (region/date/hour) -> bronze snapshot.
 
-    The date/hour slice is a partition filter (only those directories are
-    listed and read).  ``process_dt=None`` takes every hour.  ``mode='replace'``
+    Only the directories of the wanted date and hour are listed and read; ``process_dt=None`` takes
+    every hour.  ``mode='replace'``
     keeps only this run's rows; ``'partitions'`` replaces just the
     (region, year, month, day, hour) partitions present.
     """
     ensure_defaults(spark)
-    df = readers.read_partitioned_parquet(spark, root, contract)
-    if process_dt is not None:
-        df = df.where((F.col("date") == F.lit(process_dt.date())) & (F.col("hour") == process_dt.hour))
+    if process_dt is None:
+        df = readers.read_partitioned_parquet(spark, root, contract)
+    else:
+        base, hour = root.rstrip("/"), process_dt.hour
+        df = readers.read_directories(spark, base, [f"{base}/region=*/date={process_dt.date()}/hour={{{hour},{hour:02d}}}"], contract)
     df = readers.with_source_file(df)          # lineage taken at the scan
     if df.isEmpty():
         return 0, []

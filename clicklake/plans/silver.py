@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sessionize, validate
-from ..session import ensure_defaults
+from ..session import ensure_defaults, path_exists
 from ..sinks import merge, writers
+from ..sources import readers
 
 log = logging.getLogger(__name__)
 
@@ -28,24 +29,31 @@ def _is_path(name: str) -> bool:
 def read_bronze_days(spark: SparkSession, bronze_path: str, days: dt.date | Iterable[dt.date] | None) -> DataFrame:
     """Bronze rows of the given ``event_date`` partitions (all when ``days`` is None).
 
-    ``bronze_path`` is a folder or a catalog table name; with a catalog table the
-    partition filter is answered by the metastore instead of a folder listing.
+    In a folder only those days' directories are listed, at either layout's place; with a catalog table
+    the metastore answers the partition filter.
     """
-    bronze = spark.read.parquet(bronze_path) if _is_path(bronze_path) else spark.table(bronze_path)
+    if not _is_path(bronze_path):
+        bronze = spark.table(bronze_path)
+        return bronze if days is None else bronze.filter(F.to_date(F.col("event_date")).isin(_days(days)))
     if days is None:
-        return bronze
-    days = [days] if isinstance(days, dt.date) else list(days)
-    return bronze.filter(F.to_date(F.col("event_date")).isin(days))
+        return spark.read.parquet(bronze_path)
+    root = bronze_path.rstrip("/")
+    found = [f"{root}/event_date={d}" for d in _days(days) if path_exists(spark, f"{root}/event_date={d}")]
+    return readers.read_directories(spark, root, found or [f"{root}/processing_date=*/event_date={d}" for d in _days(days)])
 
 
-def transform(bronze: DataFrame, slice_seconds=sessionize.AUTO):
+def _days(days) -> list[dt.date]:
+    return [days] if isinstance(days, dt.date) else list(days)
+
+
+def transform(bronze: DataFrame):
     """(silver user actions, quarantined rows) -- both lazy."""
     valid, quarantined = validate.split(bronze)
-    return sessionize.user_actions(valid, slice_seconds), quarantined
+    return sessionize.user_actions(valid), quarantined
 
 
 def run(spark: SparkSession, bronze_path: str, silver_path: str, days=None, *,
-        quarantine_path: str | None = None, slice_seconds=sessionize.AUTO,
+        quarantine_path: str | None = None,
         null_safe: bool = True, mode: str = "merge") -> str:
     """Process ``days`` of bronze into silver; returns 'empty', 'create', 'merge' or 'overwrite'.
 
@@ -56,24 +64,39 @@ def run(spark: SparkSession, bronze_path: str, silver_path: str, days=None, *,
       sql        ``MERGE INTO`` the catalog table named ``silver_path`` (v2 catalogs)
     """
     ensure_defaults(spark)
+    with writers.staging_scope(spark):
+        return _run(spark, bronze_path, silver_path, days, quarantine_path, null_safe, mode)
+
+
+def _run(spark, bronze_path, silver_path, days, quarantine_path, null_safe, mode) -> str:
     bronze = read_bronze_days(spark, bronze_path, days)
     if bronze.isEmpty():
         raise ValueError(f"no bronze rows for {days} at {bronze_path}")
-    silver, quarantined = transform(bronze, slice_seconds)
+    processed = _days(days) if days is not None else [r[0] for r in bronze.select("event_date").distinct().collect()]
+    silver, quarantined = transform(bronze)
     if quarantine_path:
-        writers.overwrite_partitions(quarantined, quarantine_path, ("event_date",))
+        quarantined = writers.stage(spark, quarantined, "quarantined")
+        writers.create_or_overwrite_partitions(spark, quarantined, quarantine_path, ("event_date",))
+        _clear_days_without_rows(spark, quarantined, quarantine_path, processed)
     # Staged once: the merge reads it several times (touched days, join).
     silver = writers.stage(spark, silver, "silver-updates")
+    if mode == "overwrite":
+        rows = writers.enforce_action_domain(merge.dedupe_updates(silver))
+        writers.create_or_overwrite_partitions(spark, rows, silver_path, ("event_date",))
+        _clear_days_without_rows(spark, silver, silver_path, processed)
+        return "empty" if silver.isEmpty() else "overwrite"
     if silver.isEmpty():
         log.info("no user actions for %s", days)
         return "empty"
     if mode == "merge":
         return merge.merge_into_path(spark, silver, silver_path, null_safe=null_safe)
-    if mode == "overwrite":
-        rows = writers.enforce_action_domain(merge.dedupe_updates(silver))
-        writers.create_or_overwrite_partitions(spark, rows, silver_path, ("event_date",))
-        return "overwrite"
     if mode == "sql":
         merge.merge_into_table(spark, silver, silver_path)
         return "merge"
     raise ValueError(f"unknown mode {mode!r}")
+
+
+def _clear_days_without_rows(spark: SparkSession, rows: DataFrame, path: str, processed: list) -> None:
+    """Rows that an earlier run left in a processed day go, also when the day has no rows now."""
+    now = {r[0] for r in rows.select("event_date").distinct().collect()}           # one row per day
+    writers.clear_partitions(spark, path, rows.schema, [f"event_date={d}" for d in processed if d is not None and d not in now])

@@ -172,26 +172,6 @@ def scan_table(spark, sf_dir):
     return flat(readers.read_table(spark, name), "event_date")
 
 
-# Schema of the hourly drop as Spark reads it back.
-HOURLY_SCHEMA = [("event_id", "string"), ("user_id", "string"), ("content_id", "string"),
-                 ("event_type", "string"), ("device_id", "string"), ("timestamp", "bigint"),
-                 ("geo_location", "struct<country:string>"), ("region", "string"), ("date", "date"),
-                 ("hour", "int")]
-
-
-@register("describe_schema", "SELECT * FROM (VALUES " + ", ".join(
-    f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(HOURLY_SCHEMA)) + ") v(position, col_name, data_type)")
-def describe_schema(spark, sf_dir):
-    return readers.describe_schema(readers.read_partitioned_parquet(spark, hourly_drops(spark, sf_dir)))
-
-
-@register("catalog_tables")
-def catalog_tables(spark, sf_dir):
-    name = "bronze_events_" + scratch_path(spark, "t").rsplit("/", 1)[-1][:12]
-    writers.save_as_table(bronze_frame(spark, sf_dir), name, scratch_path(spark, "tables"), ("event_date",))
-    return readers.list_tables(spark).filter(F.col("name") == name)
-
-
 # --------------------------------------------------------------------------- sinks
 
 @register("sink_create_partitioned", bronze_sql("base"))
@@ -269,13 +249,12 @@ def sink_quarantine(spark, sf_dir):
 
 
 @register("check_action_domain", f"""SELECT count(*) AS rows_checked,
-  CAST(sum(CASE WHEN action IN ('WATCHED', 'PAUSED') THEN 0 ELSE 1 END) AS BIGINT) AS violations
-FROM ({O.user_actions_sql('base')}) u""")
+  count(*) FILTER (WHERE action NOT IN ('WATCHED', 'PAUSED')) AS violations
+FROM (SELECT {O.ACTION_CASE} AS action FROM ({O.valid_cte('base')}) v WHERE content_id IS NOT NULL) u""")
 def check_action_domain(spark, sf_dir):
-    ua = sessionize.user_actions(valid_events(spark, sf_dir))
-    bad = ~F.coalesce(F.col("action").isin(*C.VALID_ACTIONS), F.lit(False))
-    return ua.agg(F.count(F.lit(1)).alias("rows_checked"),
-                  F.sum(bad.cast("long")).alias("violations"))
+    """The domain check over classified events before IGNORE is dropped: there are violations to see."""
+    rows = sessionize.classified(valid_events(spark, sf_dir))
+    return writers.action_domain_counts(rows)
 
 
 @register("sink_hive_partitioned", f"""SELECT region, date, hour, count(*) AS rows_written
@@ -287,8 +266,9 @@ def sink_hive_partitioned(spark, sf_dir):
 
 @register("verify_after_write", f"SELECT count(*) AS row_count, least(count(*), 5) AS sampled FROM ({RAW_SQL}) r")
 def verify_after_write(spark, sf_dir):
-    n, sample = writers.verify_after_write(spark, bronze_table(spark, sf_dir))
-    return spark.createDataFrame([(n, len(sample))], "row_count long, sampled long")
+    """The written table read back: its rows and how many of the sample came."""
+    table = spark.read.parquet(bronze_table(spark, sf_dir))
+    return table.agg(F.count(F.lit(1)).alias("row_count"), F.least(F.count(F.lit(1)), F.lit(5).cast("long")).alias("sampled"))
 
 
 # --------------------------------------------------------------------------- projections
@@ -328,18 +308,34 @@ def derive_ymd(spark, sf_dir):
     return df.select("event_id", "region", "hour", *C.year_month_day("date"))
 
 
-@register("manual_bronze")
+# The path's parts as columns; directory names are URL-encoded.
+PATH_COLS = ("path_region", "path_date", "path_hour")
+
+
+def _path_parts(path: str) -> list:
+    def part(name):
+        return F.url_decode(F.regexp_extract(path, f"/{name}=([^/]*)/", 1))
+    return [part("region").alias("path_region"), part("date").cast("date").alias("path_date"), part("hour").cast("int").alias("path_hour")]
+
+
+_PATHS_SQL = "region AS path_region, date AS path_date, hour AS path_hour"
+
+
+@register("manual_bronze", f"""SELECT event_id, user_id, event_type, "timestamp", country, region, hour, {_PATHS_SQL}, TRUE AS ingested
+FROM ({HOURLY_SQL}) h""")
 def manual_bronze(spark, sf_dir):
-    """Hourly ingestion with the wall-clock and lineage columns (rows-only check)."""
+    """Hourly ingestion: the lineage path's region, date and hour beside the columns, and the wall clock's presence."""
     out = scratch_path(spark, "manual")
     bronze_plan.ingest_hourly(spark, hourly_drops(spark, sf_dir), out)
-    return spark.read.parquet(out)
+    df = spark.read.parquet(out).withColumn("ingested", F.col("ingestion_timestamp").isNotNull())
+    return flat(df, "region", "hour", "ingested", "source_file_name").select(
+        "event_id", "user_id", "event_type", "timestamp", "country", "region", "hour", *_path_parts("source_file_name"), "ingested")
 
 
-@register("source_file_lineage")
+@register("source_file_lineage", f"SELECT event_id, {_PATHS_SQL} FROM ({HOURLY_SQL}) h")
 def source_file_lineage(spark, sf_dir):
     df = readers.with_source_file(readers.read_partitioned_parquet(spark, hourly_drops(spark, sf_dir)))
-    return df.select("event_id", "source_file_name")
+    return df.select("event_id", *_path_parts("source_file_name"))
 
 
 @register("classify_action", f"SELECT event_id, event_type, {O.ACTION_CASE} AS action FROM ({RAW_SQL}) r")
@@ -349,7 +345,7 @@ def classify_action(spark, sf_dir):
 
 @register("action_id_hash", f"""SELECT user_id, content_id, device_id, action, start_time,
   md5(user_id || content_id || device_id || action || CAST(start_time AS VARCHAR)) AS action_id
-FROM ({O.runs_cte('base')}) r""")
+FROM ({O.runs_sql('base')}) r""")
 def action_id_hash(spark, sf_dir):
     runs = sessionize.event_runs(actionable(spark, sf_dir))
     return runs.select("user_id", "content_id", "device_id", "action", "start_time", C.action_id().alias("action_id"))
@@ -433,18 +429,13 @@ def quarantine_events(spark, sf_dir):
 RUN_COLS = ("user_id", "content_id", "device_id", "country", "action", "event_date", "start_time", "last_event_time")
 
 
-@register("run_closing_event", f"""SELECT r.user_id, r.content_id, r.device_id, r.country, r.action, r.event_date,
-       r.start_time, r.last_event_time, v.event_id AS closing_event_id
-FROM ({O.runs_cte('base')}) r
-LEFT JOIN ({O.valid_cte('base')}) v
-  ON r.user_id = v.user_id AND r.content_id = v.content_id AND r.device_id = v.device_id
- AND r.last_event_time = v.event_timestamp""")
+@register("run_closing_event", O.closing_sql("ties"))
 def run_closing_event(spark, sf_dir):
-    valid = valid_events(spark, sf_dir)
-    return sessionize.run_closing_event(sessionize.actionable(valid), valid).select(*RUN_COLS, "closing_event_id")
+    """One row per run, over hour-stamped events: many events share the closing time."""
+    return sessionize.run_closing_event(actionable(spark, sf_dir, "ties")).select(*RUN_COLS, "closing_event_id", "closing_events")
 
 
-@register("event_runs", f"SELECT {', '.join(RUN_COLS)} FROM ({O.runs_cte('base')}) r")
+@register("event_runs", f"SELECT {', '.join(RUN_COLS)} FROM ({O.runs_sql('base')}) r")
 def event_runs(spark, sf_dir):
     return sessionize.event_runs(actionable(spark, sf_dir)).select(*RUN_COLS)
 
@@ -473,22 +464,22 @@ def json_map_total(spark, sf_dir):
 
 # --------------------------------------------------------------------------- windows
 
-@register("rn_all", f"SELECT event_id, rn_all FROM ({O.numbered_cte('base')}) n")
+@register("rn_all", f"SELECT event_id, rn_all FROM ({O.positions_sql('base')}) n")
 def rn_all(spark, sf_dir):
     return sessionize.numbered(actionable(spark, sf_dir)).select("event_id", "rn_all")
 
 
-@register("rn_action", f"SELECT event_id, action, rn_action FROM ({O.numbered_cte('base')}) n")
+@register("rn_action", f"SELECT event_id, action, rn_action FROM ({O.positions_sql('base')}) n")
 def rn_action(spark, sf_dir):
     return sessionize.numbered(actionable(spark, sf_dir)).select("event_id", "action", "rn_action")
 
 
-@register("islands", f"SELECT event_id, action, rn_all - rn_action AS grp FROM ({O.numbered_cte('base')}) n")
+@register("islands", f"SELECT event_id, action, rn_all - rn_action AS grp FROM ({O.positions_sql('base')}) n")
 def islands(spark, sf_dir):
     return sessionize.islands(actionable(spark, sf_dir)).select("event_id", "action", "grp")
 
 
-@register("next_start", f"SELECT {', '.join(RUN_COLS)}, next_start_time FROM ({O.runs_next_cte('base')}) r")
+@register("next_start", f"SELECT {', '.join(RUN_COLS)}, next_start_time FROM ({O.followed_sql('base')}) r")
 def next_start(spark, sf_dir):
     return sessionize.runs_with_next(actionable(spark, sf_dir)).select(*RUN_COLS, "next_start_time")
 
@@ -522,8 +513,8 @@ def scalar_functions(spark, sf_dir):
 
 # --------------------------------------------------------------------------- data quality
 
-def _suite() -> quality.Suite:
-    return quality.Suite(as_of=AS_OF, batch_cols=("process_date",))
+def _suite(**settings) -> quality.Suite:
+    return quality.Suite(as_of=AS_OF, batch_cols=("process_date",), **settings)
 
 
 def _dq_input(spark, sf_dir, variant="base") -> DataFrame:
@@ -603,21 +594,35 @@ dq_uniqueness = _wide_query("dq_uniqueness", ("uniqueness_user_id",))
 dq_distinctness = _wide_query("dq_distinctness", ("distinctness_content_id", "distinctness_event_type"))
 dq_entropy = _wide_query("dq_entropy", ("entropy_event_type",))
 dq_mean = _wide_query("dq_mean", ("mean_timestamp",))
-dq_type_ratio = _wide_query("dq_type_ratio", ("ratio_integral_timestamp",))
 
 
-_ANOMALY_SQL = f"""
+@register("dq_type_ratio", f"""SELECT process_date, {_r("CAST(count(*) FILTER (WHERE regexp_full_match(written, '" + quality.INTEGRAL_PATTERN + "')) AS DOUBLE) / count(written)")} AS ratio_integral
+FROM (SELECT CAST(make_timestamp("timestamp" * 1000) AS DATE) AS process_date,
+             CASE WHEN "timestamp" % 37 = 0 THEN "timestamp" || '.5' ELSE CAST("timestamp" AS VARCHAR) END AS written
+      FROM ({RAW_SQL}) r) w GROUP BY process_date""")
+def dq_type_ratio(spark, sf_dir):
+    """Share of timestamps written as whole numbers, on the text before any cast; every 37th is written as a fraction."""
+    ms = F.col("timestamp")
+    written = F.when(ms % 37 == 0, F.concat(ms.cast("string"), F.lit(".5"))).otherwise(ms.cast("string"))
+    texts = _dq_input(spark, sf_dir).select("process_date", written.alias("written"))
+    return _rounded(quality.integral_ratio(texts, "written", ("process_date",)), "ratio_integral")
+
+
+def _anomaly_sql(low=quality.SIZE_MAX_DECREASE, high=quality.SIZE_MAX_INCREASE) -> str:
+    return f"""
 SELECT process_date, size, previous_size, size_change,
-  CASE WHEN previous_size IS NULL THEN 'Success'
-       WHEN size_change BETWEEN {quality.SIZE_MAX_DECREASE} AND {quality.SIZE_MAX_INCREASE} THEN 'Success'
+  CASE WHEN previous_size IS NULL THEN 'Success' WHEN size_change BETWEEN {low} AND {high} THEN 'Success'
        ELSE 'Failure' END AS status,
-  CASE WHEN previous_size IS NULL THEN '{quality.NO_HISTORY}'
-       WHEN size_change BETWEEN {quality.SIZE_MAX_DECREASE} AND {quality.SIZE_MAX_INCREASE} THEN ''
+  CASE WHEN previous_size IS NULL THEN '{quality.NO_HISTORY}' WHEN size_change BETWEEN {low} AND {high} THEN ''
        ELSE 'size change outside bounds' END AS message
 FROM (SELECT process_date, size, lag(size) OVER (ORDER BY process_date) AS previous_size,
              CAST(size - lag(size) OVER (ORDER BY process_date) AS DOUBLE) AS size_change FROM wide) a"""
 
 
+_ANOMALY_SQL = _anomaly_sql()
+NARROW = (-10.0, 10.0)                                        # bounds that some days of any table exceed
+
+
 def _constraint_rows_sql() -> str:
     """One row per (process_date, constraint) over the ``wide`` CTE."""
     parts = []
@@ -668,9 +673,10 @@ def _staged_profile(spark):
     return lambda df: writers.stage(spark, df, "profile")
 
 
-@register("dq_size_anomaly", _dq_wide_sql() + _ANOMALY_SQL)
+@register("dq_size_anomaly", _dq_wide_sql() + _anomaly_sql(*NARROW))
 def dq_size_anomaly(spark, sf_dir):
-    _, _, _, anomalies, _ = quality.run_checks(_dq_input(spark, sf_dir), _suite(),
+    """Day-to-day size changes against narrow bounds, so that both outcomes occur."""
+    _, _, _, anomalies, _ = quality.run_checks(_dq_input(spark, sf_dir), _suite(size_change_bounds=NARROW),
                                                materialize=_staged_profile(spark))
     return anomalies.select("process_date", "size", "previous_size", "size_change", "status", "message")
 
@@ -722,6 +728,52 @@ def pipeline_bronze_processing_date(spark, sf_dir):
     return flat(spark.read.parquet(out), "event_date", "processing_date")
 
 
+@register("bronze_bad_lines", f"""SELECT CAST(make_timestamp("timestamp" * 1000) AS DATE) AS process_date,
+  'broken ' || event_type || ' ' || "timestamp" AS line
+FROM ({O.raw_cte('clean')}) r WHERE "timestamp" % 29 = 0""")
+def bronze_bad_lines(spark, sf_dir):
+    """Daily drops in which every 29th line is broken: the lines come out with their text and day."""
+    base, out = scratch_path(spark, "drops"), scratch_path(spark, "bronze")
+    r = raw(spark, sf_dir, "clean")
+    adapter.write_daily_drops_with_bad_lines(r, base, every=29)
+    bronze_plan.land_daily(spark, base, out, drop_days(r), layout="event_date", gate=False, drops=readers.DAILY_DIRS)
+    return spark.read.parquet(out + "_bad_lines").select("process_date", "line")
+
+
+@register("silver_rerun", f"""SELECT 'silver' AS side, CAST(start_time AS VARCHAR) AS at, user_id, country FROM ({O.user_actions_sql('clean')}) s
+UNION ALL SELECT 'quarantine', CAST(event_timestamp AS VARCHAR), user_id, country FROM ({O.validated_cte('clean')}) v
+WHERE len(validation_errors) > 0""")
+def silver_rerun(spark, sf_dir):
+    """The base delivery, then the clean one in overwrite mode: silver and quarantine equal a fresh run on clean."""
+    silver, quarantine = scratch_path(spark, "silver"), scratch_path(spark, "quarantine")
+    for variant in ("base", "clean"):
+        silver_plan.run(spark, bronze_table(spark, sf_dir, variant), silver, None, quarantine_path=quarantine, mode="overwrite")
+    kept = spark.read.parquet(silver).select(F.lit("silver").alias("side"), F.col("start_time").cast("string").alias("at"), "user_id", "country")
+    return kept.union(spark.read.parquet(quarantine).select(
+        F.lit("quarantine"), F.col("event_timestamp").cast("string"), "user_id", "country"))
+
+
+@register("sink_table_create", bronze_sql("base"))
+def sink_table_create(spark, sf_dir):
+    name = _table_name(spark)
+    writers.create_or_overwrite_table(flat(bronze_frame(spark, sf_dir), "event_date"), name)
+    return readers.read_table(spark, name)
+
+
+@register("sink_table_overwrite", ORACLES["sink_overwrite_partitions"])
+def sink_table_overwrite(spark, sf_dir):
+    """A named table, then the re-delivery of the days from REDELIVERY_FROM on."""
+    name = _table_name(spark)
+    writers.create_or_overwrite_table(flat(bronze_frame(spark, sf_dir), "event_date"), name)
+    again = flat(bronze_frame(spark, sf_dir, "clean"), "event_date").filter(F.col("event_date") >= F.lit(REDELIVERY_FROM))
+    writers.create_or_overwrite_table(again, name)
+    return readers.read_table(spark, name)
+
+
+def _table_name(spark) -> str:
+    return "events_" + scratch_path(spark, "t").rsplit("/", 1)[-1][:12]
+
+
 @register("pipeline_manual_hour", f"""SELECT event_id, user_id, content_id, event_type, device_id, "timestamp", country,
   region, hour, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
   CAST(day(date) AS INTEGER) AS day FROM ({HOURLY_SQL}) h""")
@@ -732,19 +784,19 @@ def pipeline_manual_hour(spark, sf_dir):
     return flat(spark.read.parquet(out), "region", "hour", "year", "month", "day")
 
 
-@register("pipeline_silver", O.user_actions_sql("base"))
+@register("pipeline_silver", f"""SELECT * FROM ({_merge_sql()}) m WHERE event_date >= DATE '{REDELIVERY_FROM}'
+UNION ALL SELECT {_UA_COLS} FROM ({O.user_actions_sql('base')}) b WHERE event_date < DATE '{REDELIVERY_FROM}'""")
 def pipeline_silver(spark, sf_dir):
-    """Bronze table -> validate / quarantine -> sessionize -> MERGE, all days in one pass."""
-    bronze_path = bronze_table(spark, sf_dir)
+    """Bronze -> validate / quarantine -> sessionize -> MERGE: all days, then a corrected delivery of the later days."""
     silver_path, q_path = scratch_path(spark, "silver"), scratch_path(spark, "quarantine")
-    silver_plan.run(spark, bronze_path, silver_path, None, quarantine_path=q_path)
+    silver_plan.run(spark, bronze_table(spark, sf_dir), silver_path, None, quarantine_path=q_path)
+    clean = bronze_table(spark, sf_dir, "clean")
+    days = [REDELIVERY_FROM + dt.timedelta(days=i) for i in range(60)]
+    silver_plan.run(spark, clean, silver_path, days, quarantine_path=q_path)
     return spark.read.parquet(silver_path).select(*[f.name for f in SILVER_USER_ACTIONS.fields])
 
 
 @register("user_actions_backfill", O.user_actions_sql("ties"))
 def user_actions_backfill(spark, sf_dir):
-    """All days at once on hour-stamped events (ties everywhere), equal to day-by-day runs.
-
-    Forces the time-sliced form (one-minute slices), the path taken when a key-day is hot.
-    """
-    return silver_plan.transform(bronze_frame(spark, sf_dir, "ties"), slice_seconds=60)[0]
+    """All days at once on hour-stamped events (ties everywhere), equal to day-by-day runs."""
+    return silver_plan.transform(bronze_frame(spark, sf_dir, "ties"))[0]

@@ -1,4 +1,4 @@
-"""Declared schemas: raw event contract, silver, quarantine, content, metrics."""
+"""Declared schemas: raw event contract, silver, quarantine."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ def _struct(fields: list[tuple[str, T.DataType]]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# Field names and types of the raw event contract, down to SILVER_USER_ACTIONS.
 GEO_LOCATION = _struct([
     ("city", S), ("country", S), ("ip_address", S), ("latitude", D),
     ("longitude", D), ("postal_code", S), ("region", S),
@@ -64,6 +65,7 @@ EVENT_CONTRACT = T.StructType([
     ])),
 ])
 
+# Columns of the silver and quarantine tables.
 SILVER_USER_ACTIONS = T.StructType([
     T.StructField("action_id", S), T.StructField("user_id", S),
     T.StructField("content_id", S), T.StructField("device_id", S),
@@ -79,17 +81,3 @@ QUARANTINE = T.StructType([
     T.StructField("country", S), T.StructField("event_timestamp", T.TimestampType()),
     T.StructField("validation_errors", T.ArrayType(S)),
 ])
-
-CONTENT = T.StructType([
-    T.StructField("content_id", S), T.StructField("title", S),
-    T.StructField("content_type", S), T.StructField("genres", T.ArrayType(S)),
-    T.StructField("release_year", L), T.StructField("rating", S),
-    T.StructField("duration_minutes", L), T.StructField("languages", T.ArrayType(S)),
-    T.StructField("production_countries", T.ArrayType(S)), T.StructField("description", S),
-])
-
-# Quality metrics in long form, as appended to the metrics history.
-METRIC_ROWS = T.StructType([
-    T.StructField("entity", S), T.StructField("instance", S),
-    T.StructField("name", S), T.StructField("value", D),
-])

@@ -7,6 +7,7 @@ URI-agnostic: object-store and catalog settings come in as a plain dict.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -66,22 +67,32 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
-    when neither is set -- local runs and tests -- a private folder is created
-    and registered, so a cluster always uses the folder it names.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  When neither is set a local
+    run gets a private folder; on any other master that would be a folder of one machine, so the call
+    fails instead.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or None
     context = _context(spark)
     if not root and context is not None:
         root = context.getCheckpointDir()
     if not root:
+        master = context.master if context is not None else ""
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="clicklake-ckpt-")
-        if context is not None:
-            context.setCheckpointDir(root)
+        context.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any Hadoop file system (nothing happens under Spark Connect, which has no handle on it)."""
+    context = _context(spark)
+    if context is not None:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session; None under Spark Connect."""
     try:

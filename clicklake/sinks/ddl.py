@@ -1,7 +1,7 @@
 """Catalog DDL for the silver and quarantine tables (external Parquet tables).
 
 The row check on ``action`` is recorded as a table property and enforced by
-``writers.assert_action_domain`` before every silver write (Parquet tables
+``writers.enforce_action_domain`` inside every silver write (Parquet tables
 have no CHECK constraints).
 """
 
@@ -24,7 +24,7 @@ def create_silver_table(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"""CREATE TABLE IF NOT EXISTS {name} (
   {_columns(SILVER_USER_ACTIONS)})
 USING parquet
-PARTITIONED BY (event_date)
+PARTITIONED BY (event_date, country)
 LOCATION '{location}'
 TBLPROPERTIES ('{key}' = "{value}")""")
 

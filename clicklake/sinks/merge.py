@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import SILVER_USER_ACTIONS
-from ..session import path_exists, scratch_path, table_exists
-from .writers import assert_action_domain, create_partitioned, enforce_action_domain, overwrite_partitions
+from ..session import path_exists, table_exists
+from .writers import create_partitioned, enforce_action_domain, overwrite_partitions, stage, staging_scope
 
 MERGE_KEYS = ("user_id", "content_id", "device_id", "action", "start_time")
 UPDATED = ("end_time", "duration_seconds")
@@ -87,9 +87,8 @@ def merge_into_path(spark: SparkSession, updates: DataFrame, target_path: str,
     # Bounded by the number of days in the batch, not by data volume.
     days = [r[0] for r in updates.select("event_date").distinct().collect()]
     target = read_partitions(spark, target_path, days)
-    staged = scratch_path(spark, "merge-staging")
-    merge_frames(target, updates, null_safe).write.parquet(staged)
-    overwrite_partitions(spark.read.schema(SILVER_USER_ACTIONS).parquet(staged), target_path, ("event_date",))
+    with staging_scope(spark):
+        overwrite_partitions(stage(spark, merge_frames(target, updates, null_safe), "merge-staging"), target_path, ("event_date",))
     return "merge"
 
 
@@ -106,10 +105,9 @@ def read_partitions(spark: SparkSession, path: str, days) -> DataFrame:
 
 def merge_into_table(spark: SparkSession, updates: DataFrame, table: str) -> None:
     """SQL MERGE for catalogs that support it (v2 tables)."""
-    assert_action_domain(updates)
     on = " AND ".join(f"t.{k} <=> s.{k}" for k in MERGE_KEYS)
     spark.sql(
         f"""MERGE INTO {table} t USING {{src}} s ON {on}
             WHEN MATCHED THEN UPDATE SET t.end_time = s.end_time, t.duration_seconds = s.duration_seconds
             WHEN NOT MATCHED THEN INSERT *""",
-        src=dedupe_updates(updates))
+        src=dedupe_updates(enforce_action_domain(updates)))

@@ -8,11 +8,15 @@ a third of all rows) over several tasks and merges tiny ones.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import VALID_ACTIONS
-from ..session import scratch_path, table_exists
+from ..session import delete_path, path_exists, scratch_path, table_exists
 
 
 def _clustered(df: DataFrame, partition_cols) -> DataFrame:
@@ -45,11 +49,17 @@ def create_or_overwrite_partitions(spark: SparkSession, df: DataFrame, path: str
 
 
 def replace_table(df: DataFrame, path: str, partition_cols=()) -> None:
-    """Replace the whole table (every old partition is gone)."""
-    w = _clustered(df, partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(path)
+    """Replace the whole table (every old partition is gone).
+
+    The new rows are computed and staged first: a failing job leaves the old table as it was, and only
+    the copy of finished files runs while the old ones are gone.
+    """
+    with staging_scope(df.sparkSession):
+        rows = stage(df.sparkSession, df, "replacement")
+        w = _clustered(rows, partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if partition_cols:
+            w = w.partitionBy(*partition_cols)
+        w.parquet(path)
 
 
 def write_hive_partitioned(df: DataFrame, root: str, partition_cols, compression: str = "snappy",
@@ -79,6 +89,12 @@ def action_domain_violations(df: DataFrame, allowed=VALID_ACTIONS) -> DataFrame:
     return df.filter(~F.coalesce(F.col("action").isin(*allowed), F.lit(False)))
 
 
+def action_domain_counts(df: DataFrame, allowed=VALID_ACTIONS) -> DataFrame:
+    """One row: rows_checked and violations of the domain check."""
+    ok = F.coalesce(F.col("action").isin(*allowed), F.lit(False))
+    return df.agg(F.count(F.lit(1)).alias("rows_checked"), F.count_if(~ok).alias("violations"))
+
+
 def assert_action_domain(df: DataFrame, allowed=VALID_ACTIONS) -> None:
     """Fail before a write when any row violates the domain check."""
     if not action_domain_violations(df, allowed).isEmpty():
@@ -99,6 +115,10 @@ def verify_after_write(spark: SparkSession, path: str, sample: int = 5):
     return table.count(), table.limit(sample).collect()
 
 
+# Folders staged inside the open ``staging_scope`` blocks, innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
@@ -107,4 +127,79 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return spark.read.parquet(path)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Folders staged inside the block are removed when it ends: for jobs that commit their own output."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete_path(spark, path)
+
+
+# ---------------------------------------------------------------------------- named catalog tables
+
+def _is_v2(spark: SparkSession, name: str) -> bool:
+    """A table of a catalog other than the session's own is written through the v2 API."""
+    parts = name.split(".")
+    return len(parts) > 2 and parts[0] != "spark_catalog"
+
+
+def named_table_exists(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name)
+
+
+def create_table(df: DataFrame, name: str, partition_cols=("event_date",)) -> None:
+    """Create a named partitioned table from ``df``; fails when there is one."""
+    rows = _clustered(df, partition_cols)
+    if _is_v2(df.sparkSession, name):
+        rows.writeTo(name).partitionedBy(*[F.col(c) for c in partition_cols]).create()
+    else:
+        rows.write.mode("errorifexists").partitionBy(*partition_cols).format("parquet").saveAsTable(name)
+
+
+def overwrite_table_partitions(df: DataFrame, name: str, partition_cols=("event_date",)) -> None:
+    """Replace only the partitions of the named table that are present in ``df``; columns go by name."""
+    spark = df.sparkSession
+    rows = _clustered(df, partition_cols)
+    if _is_v2(spark, name):
+        rows.writeTo(name).overwritePartitions()
+    else:
+        rows.select(*spark.table(name).columns).write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+
+
+def create_or_overwrite_table(df: DataFrame, name: str, partition_cols=("event_date",)) -> str:
+    """Create the named table when absent, else replace the partitions present in ``df``."""
+    if named_table_exists(df.sparkSession, name):
+        overwrite_table_partitions(df, name, partition_cols)
+        return "overwrite"
+    create_table(df, name, partition_cols)
+    return "create"
+
+
+def replace_named_table(df: DataFrame, name: str, partition_cols=()) -> None:
+    """Replace the whole named table."""
+    if _is_v2(df.sparkSession, name):
+        writer = df.writeTo(name)
+        (writer.partitionedBy(*[F.col(c) for c in partition_cols]) if partition_cols else writer).createOrReplace()
+    else:
+        w = _clustered(df, partition_cols).write.mode("overwrite").format("parquet")
+        (w.partitionBy(*partition_cols) if partition_cols else w).saveAsTable(name)
+
+
+# ---------------------------------------------------------------------------- stale partitions
+
+def clear_partitions(spark: SparkSession, path: str, schema: T.StructType, folders) -> None:
+    """Empty the partition folders (relative to ``path``) that exist; used for days without new rows."""
+    partitioned = {part.split("=")[0] for f in folders for part in f.split("/")}
+    fields = T.StructType([f for f in schema.fields if f.name not in partitioned])
+    for folder in folders:
+        target = f"{path.rstrip('/')}/{folder}"
+        if path_exists(spark, target):
+            spark.createDataFrame([], fields).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)

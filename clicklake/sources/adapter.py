@@ -104,6 +104,17 @@ def write_daily_drops(raw: DataFrame, base_path: str) -> None:
      .write.mode("overwrite").partitionBy("drop_date").option("compression", "gzip").json(base_path))
 
 
+def write_daily_drops_with_bad_lines(raw: DataFrame, base_path: str, every: int) -> None:
+    """The same drops, the lines whose timestamp is a multiple of ``every`` replaced by broken text."""
+    from ..functions.columns import event_date
+
+    ms = F.col("timestamp")
+    broken = F.concat(F.lit("broken "), F.col("event_type"), F.lit(" "), ms.cast("string"))
+    line = F.when(ms % every == 0, broken).otherwise(F.to_json(F.struct(*raw.columns)))
+    (raw.select(line.alias("value"), event_date("timestamp").alias("drop_date")).hint("rebalance", "drop_date")
+     .write.mode("overwrite").partitionBy("drop_date").option("compression", "gzip").text(base_path))
+
+
 # Region of each country code in the hourly Parquet layout.
 REGION_BY_COUNTRY = {"IN": "India", "SG": "SouthEast Asia", "AE": "Middle East"}
 UNKNOWN_REGION = "Unknown"

@@ -65,42 +65,58 @@ def read_jsonl_daily(spark: SparkSession, base_path: str, days: dt.date | Iterab
     return reader.json(paths)
 
 
+# Top-level fields of a line that the schema does not name, as JSON text.
+EXTRA_FIELDS = "extra_fields"
+
+
 def read_drops(spark: SparkSession, base_path: str, days: dt.date | Iterable[dt.date],
-               schema: T.StructType = RAW_EVENT_WITH_CORRUPT, layout: DropLayout = DAILY_FILES,
-               parallel_parse: bool | str = "auto") -> DataFrame:
-    """Rows of the drops of ``days`` plus ``_source_file`` (taken at the scan).
-
-    A gzip drop is not splittable: one task must decompress it.  With
-    ``parallel_parse`` that task only splits lines; the lines are rebalanced
-    (adaptive execution sizes the partitions) and parsed by ``from_json`` in
-    parallel -- same PERMISSIVE semantics and ``_corrupt_record`` capture as
-    the JSON reader, but a day that holds a third of all rows is parsed by
-    many tasks instead of one.  ``"auto"`` does so only when the drops have
-    fewer files than the session has parallel slots (decided from the file
-    listing alone); with enough files the file-level parallelism suffices and
-    shuffling raw text would only cost.
+               schema: T.StructType = RAW_EVENT_WITH_CORRUPT, layout: DropLayout = DAILY_FILES) -> DataFrame:
+    """Rows of the drops of ``days`` plus ``_source_file`` (taken at the scan) and ``extra_fields``.
+
+    A gzip drop is not splittable: one task must decompress it, but that task only splits lines.  The
+    lines are rebalanced (adaptive execution sizes the partitions) and parsed in parallel, so a day that
+    holds a third of all rows is parsed by many tasks.  There is one path for any number of files: a line
+    is an object or an array of objects (one row each), a line that is neither keeps its text in
+    ``_corrupt_record``, blank lines are no rows.  Fields the schema lacks are kept in ``extra_fields``.
     """
     days = [days] if isinstance(days, dt.date) else list(days)
-    paths = [layout.path(base_path, d) for d in days]
-    if parallel_parse == "auto":
-        parallel_parse = len(spark.read.text(paths).inputFiles()) < _parallelism(spark)
-    if not parallel_parse:
-        return read_jsonl_daily(spark, base_path, days, schema, layout).withColumn(
-            SOURCE_FILE, F.col("_metadata.file_path"))
-    lines = (spark.read.text(paths)
-             .select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
-             .filter(F.trim("value") != ""))
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
-    return (lines.hint("rebalance")
-            .select(F.from_json("value", schema, options).alias("r"), SOURCE_FILE)
-            .select("r.*", SOURCE_FILE))
+    lines = (spark.read.text([layout.path(base_path, d) for d in days])
+             .select("value", F.col("_metadata.file_path").alias(SOURCE_FILE)).filter(F.trim("value") != ""))
+    return parse_lines(lines.hint("rebalance"), schema)
+
 
+def parse_lines(lines: DataFrame, schema: T.StructType = RAW_EVENT_WITH_CORRUPT) -> DataFrame:
+    """(value, ...) text lines -> rows of ``schema``, ``extra_fields`` and the other columns."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
+    plain = T.StructType([f for f in schema.fields if f.name != CORRUPT_RECORD])
+    known = [f.name for f in plain.fields]
+    is_array = F.startswith(F.ltrim("value"), F.lit("["))
+    one = F.from_json("value", schema, options)
+    many = F.transform(F.from_json("value", T.ArrayType(plain), options),
+                       lambda r: F.struct(*[(r[f.name] if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]))
+    broken = F.struct(*[(F.col("value") if f.name == CORRUPT_RECORD else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+    others = T.MapType(T.StringType(), T.StringType())
+    fields = F.when(is_array, F.from_json("value", T.ArrayType(others), options)).otherwise(F.array(F.from_json("value", others, options)))
+    rest = F.transform(fields, lambda m: F.map_filter(m, lambda k, _: ~k.isin(known)))
+    rows = F.when(is_array, F.coalesce(many, F.array(broken))).otherwise(F.array(one))
+    kept = [c for c in lines.columns if c != "value"]
+    return (lines.select(rows.alias("_rows"), rest.alias("_rest"), *kept)
+            .select(F.posexplode("_rows").alias("_at", "_r"), "_rest", *kept)
+            .withColumn("_m", F.get("_rest", F.col("_at")))
+            .select("_r.*", F.when(F.size("_m") > 0, F.to_json("_m")).alias(EXTRA_FIELDS), *kept))
+
+
+def read_directories(spark: SparkSession, root: str, patterns: list[str], schema: T.StructType | None = None) -> DataFrame:
+    """Partitioned Parquet below ``root``, only the directories that match; none of them: no rows."""
+    from pyspark.errors import AnalysisException
 
-def _parallelism(spark: SparkSession) -> int:
     try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - Spark Connect
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.option("basePath", root).parquet(*patterns)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return read_partitioned_parquet(spark, root, schema).limit(0)
 
 
 def read_jsonl_glob(spark: SparkSession, pattern: str,

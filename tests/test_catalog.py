@@ -11,7 +11,11 @@ def test_silver_ddl_and_listing(spark, tmp_dir):
     ddl.create_silver_table(spark, "cl_silver.user_actions", os.path.join(tmp_dir, "ua"))
     ddl.create_quarantine_table(spark, "cl_silver.quarantine", os.path.join(tmp_dir, "q"))
     t = spark.table("cl_silver.user_actions")
-    assert t.columns[-1] == "event_date" and t.count() == 0
+    assert t.columns[-2:] == ["event_date", "country"] and t.count() == 0
+    from clicklake.schemas import SILVER_USER_ACTIONS
+    rows = spark.createDataFrame([("a", "u", "m", "d", "IN", "WATCHED", None, None, 1, None)], SILVER_USER_ACTIONS)
+    writers.create_or_overwrite_table(rows, "cl_silver.user_actions", ("event_date", "country"))
+    assert [r.country for r in spark.table("cl_silver.user_actions").collect()] == ["IN"]
     props = dict((r[0], r[1]) for r in spark.sql("SHOW TBLPROPERTIES cl_silver.user_actions").collect())
     assert props[ddl.ACTION_CHECK_PROPERTY[0]] == ddl.ACTION_CHECK_PROPERTY[1]
     ddl.use_database(spark, "cl_silver")

@@ -3,6 +3,8 @@
 import re
 
 import __spark_entry__ as entry
+from clicklake.operators import validate
+from tests.helpers import bronze_df
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,14 +19,23 @@ def _shuffles(plan):
                           plan))
 
 
-def test_flagship_is_one_shuffle_over_a_pruned_scan(spark):
-    df = entry.queries()["user_actions"](spark, SF)
-    plan = _final_plan(df)
-    assert _shuffles(plan) == 1
-    assert plan.count("Window [") == 3
-    scan = df._jdf.queryExecution().executedPlan().toString()
-    schema = re.search(r"ReadSchema: struct<([^>]*)>", scan).group(1)
-    assert set(c.split(":")[0] for c in schema.split(",")) == {"event_id", "ts", "user_id", "event_type"}
+def test_windows_run_inside_slices(spark):
+    """No window over a whole key: every window on rows is partitioned by (key, slice)."""
+    df = entry.queries()["islands"](spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    on_rows = [w for w in re.findall(r"Window \[(row_number[^\n]*)", plan)]
+    assert len(on_rows) == 2 and all("_slice" in w for w in on_rows)
+
+
+def test_valid_scan_pushes_null_tests_and_stays_in_generated_code(spark, tmp_dir):
+    rows = [("1", "u", "m", "video_start", "d", 0, "IN"), (None, "u", "m", "video_pause", "d", 5, "IN")]
+    bronze_df(spark, rows).write.parquet(f"{tmp_dir}/bronze")
+    valid, quarantined = validate.split(spark.read.parquet(f"{tmp_dir}/bronze"))
+    plan = _final_plan(valid)
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", plan).group(1)
+    assert all(f"IsNotNull({c})" in pushed for c in ("event_id", "user_id", "geo_location.country"))
+    assert re.search(r"\*\(\d+\) Filter", plan) and "lambda" not in plan
+    assert [r.event_id for r in valid.collect()] == ["1"] and [r.validation_errors for r in quarantined.collect()] == [["event_id_is_null"]]
 
 
 def test_checks_skip_the_frequency_branch(spark):
@@ -32,6 +43,7 @@ def test_checks_skip_the_frequency_branch(spark):
     assert _shuffles(plan) == 1 and "BroadcastExchange" not in plan
 
 
-def test_unused_window_is_pruned(spark):
-    plan = _final_plan(entry.queries()["rn_all"](spark, SF))
-    assert _shuffles(plan) == 1 and plan.count("Window [") == 1
+def test_closing_event_has_no_join_on_events(spark):
+    plan = entry.queries()["run_closing_event"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    # The one join adds the offsets of a slice: one row per (key, slice).
+    assert len(re.findall(r"\bJoin ", plan)) == 1

@@ -1,19 +1,21 @@
-"""Sessionization: hand-made cases and sliced-vs-plain equivalence."""
+"""Sessionization: hand-made cases, plain windows as brute force, ties and hot keys."""
 
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clicklake.operators import sessionize, validate
+from clicklake.operators.ordered import range_sliced
 from tests.helpers import bronze_df, ts
 
 COLS = ["user_id", "content_id", "device_id", "country", "action", "start_time", "end_time", "duration_seconds"]
 
 
-def actions(spark, rows, slice_seconds="auto"):
+def actions(spark, rows):
     valid, _ = validate.split(bronze_df(spark, rows))
-    return sessionize.user_actions(valid, slice_seconds)
+    return sessionize.user_actions(valid)
 
 
 def _sort_key(row):
@@ -65,16 +67,14 @@ def test_ties_resolved_by_event_id(spark):
     assert all(g[5] == ts(0) and g[6] == ts(0) for g in got)
 
 
-def test_fan_out_only_in_closing_event_join(spark):
-    # Run A closes at 12 where two events share the timestamp; run B starts at 20.
+def test_closing_event_is_one_row_per_run(spark):
+    # Run A closes at 12 with two of its events; run B starts at 20.
     rows = [("1", "u", "m", "video_start", "d", 10, "IN"), ("2", "u", "m", "video_progress", "d", 12, "IN"),
-            ("3", "u", "m", "search", "d", 12, "IN"), ("4", "u", "m", "video_pause", "d", 20, "IN")]
+            ("3", "u", "m", "video_end", "d", 12, "IN"), ("4", "u", "m", "video_pause", "d", 20, "IN")]
     valid, _ = validate.split(bronze_df(spark, rows))
-    closing = sessionize.run_closing_event(sessionize.actionable(valid), valid)
-    run_a = closing.filter(F.col("action") == "WATCHED").collect()
-    assert sorted(r["closing_event_id"] for r in run_a) == ["2", "3"]
-    ua = actions(spark, rows).filter(F.col("action") == "WATCHED").collect()
-    assert len(ua) == 1 and ua[0]["end_time"] == ts(20)
+    closing = {r.action: r for r in sessionize.run_closing_event(sessionize.actionable(valid)).collect()}
+    assert (closing["WATCHED"].closing_event_id, closing["WATCHED"].closing_events) == ("3", 2)
+    assert (closing["PAUSED"].closing_event_id, closing["PAUSED"].closing_events) == ("4", 1)
 
 
 def test_country_splits_run_but_not_lead(spark):
@@ -107,43 +107,48 @@ def _random_rows(seed, n=600, hot_share=0.5):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_sliced_equals_plain(spark, seed):
-    rows = _random_rows(seed)
-    plain = as_set(actions(spark, rows, None))
-    for width in (1, 60, 900):
-        assert as_set(actions(spark, rows, width)) == plain
+def _plain_islands(act):
+    key = list(sessionize.KEY_FIELDS)
+    rn = [F.row_number().over(Window.partitionBy(*p).orderBy("event_timestamp", "event_id")) for p in (key, [*key, "action"])]
+    return act.withColumn("rn_all", rn[0]).withColumn("rn_action", rn[1]).withColumn("grp", F.col("rn_all") - F.col("rn_action"))
 
 
-def test_sliced_row_numbers_equal_plain(spark):
-    valid, _ = validate.split(bronze_df(spark, _random_rows(3)))
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_row_numbers_equal_plain_windows(spark, seed):
+    valid, _ = validate.split(bronze_df(spark, _random_rows(seed)))
     act = sessionize.actionable(valid)
     cols = ["event_id", "rn_all", "rn_action", "grp"]
-    plain = as_set(sessionize.islands(act, None), cols)
-    assert as_set(sessionize.islands(act, 60), cols) == plain
-    assert as_set(sessionize.islands(act, 1), cols) == plain
+    assert as_set(sessionize.islands(act), cols) == as_set(_plain_islands(act), cols)
 
 
-def test_auto_switches_to_slices_above_bound(spark):
-    rows = _random_rows(4, n=200, hot_share=0.9)
+def test_one_type_whatever_the_size(spark):
+    small, _ = validate.split(bronze_df(spark, _random_rows(4, n=3)))
+    large, _ = validate.split(bronze_df(spark, _random_rows(4, n=900, hot_share=1.0)))
+    for step in (sessionize.islands, sessionize.runs_with_next, sessionize.run_closing_event):
+        assert step(sessionize.actionable(small)).schema == step(sessionize.actionable(large)).schema
+    assert dict(sessionize.numbered(sessionize.actionable(small)).dtypes)["rn_all"] == "bigint"
+
+
+def test_one_key_at_one_time_is_cut_into_several_tasks(spark):
+    types = ["video_start", "video_pause", "video_progress"]
+    rows = [(f"e{i:05d}", "u", "m", types[i * 7 % 3], "d", 60, "IN") for i in range(4000)]
     valid, _ = validate.split(bronze_df(spark, rows))
     act = sessionize.actionable(valid)
-    assert sessionize.resolve_slicing(act, "auto") is None
-    assert sessionize.resolve_slicing(act, "auto", 10) == sessionize.DEFAULT_SLICE_SECONDS
-    spark.conf.set(sessionize.CONF_MAX_ROWS, "10")
-    spark.conf.set(sessionize.CONF_SLICE_SECONDS, "300")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        assert sessionize.resolve_slicing(act, "auto") == 300
-        assert as_set(sessionize.user_actions(valid, "auto")) == as_set(sessionize.user_actions(valid, None))
+        keyed = act.select(F.struct(*sessionize.KEY_FIELDS).alias("k"), "event_id", "event_timestamp")
+        cut = range_sliced(keyed, "k", sessionize.EVENT_ORDER, "test-cut").groupBy("_slice").count().collect()
+        assert len(cut) > 4 and max(r["count"] for r in cut) < 1500
+        cols = ["event_id", "rn_all", "rn_action", "grp"]
+        assert as_set(sessionize.islands(act), cols) == as_set(_plain_islands(act), cols)
     finally:
-        spark.conf.unset(sessionize.CONF_MAX_ROWS)
-        spark.conf.unset(sessionize.CONF_SLICE_SECONDS)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_islands_cover_each_actionable_event_once(spark):
     valid, _ = validate.split(bronze_df(spark, _random_rows(5)))
     act = sessionize.actionable(valid)
-    isl = sessionize.islands(act, 60)
+    isl = sessionize.islands(act)
     assert isl.count() == act.count() == isl.select("event_id").distinct().count()
 
 
@@ -163,8 +168,8 @@ def test_backfill_equals_day_by_day(spark):
 
 
 @pytest.mark.parametrize("variant", ["base", "ties"])
-def test_sliced_matches_oracle_on_test_table(spark, variant):
-    """Sliced sessionization of the whole sf0.01 events table equals the SQL definition."""
+def test_matches_oracle_on_test_table(spark, variant):
+    """Sessionization of the whole sf0.01 events table equals the SQL definition."""
     import duckdb
 
     from clicklake import oracle, queries
@@ -175,7 +180,5 @@ def test_sliced_matches_oracle_on_test_table(spark, variant):
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{sf}/events.parquet')")
     res = con.execute(oracle.user_actions_sql(variant))
     expect = digest([d[0] for d in res.description], res.fetchall())[0]
-    valid = queries.valid_events(spark, sf, variant)
-    for width in (1, 3600):
-        df = sessionize.user_actions(valid, width)
-        assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == expect
+    df = sessionize.user_actions(queries.valid_events(spark, sf, variant))
+    assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == expect

@@ -212,15 +212,104 @@ def test_gated_batch_equals_day_by_day_with_a_failing_day(spark, tmp_dir):
     assert batch.published_days == sorted(d for r in single for d in r.published_days)
 
 
-def test_parallel_parse_matches_reader(spark, tmp_dir):
+def test_drops_parse_like_the_json_reader(spark, tmp_dir):
+    """Objects, arrays of objects, blank, broken and trailing text: the rows of the plain reader for any file."""
     src = os.path.join(tmp_dir, "src")
     day = dt.date(2024, 1, 2)
-    _write_drop(src, day, [_event(str(i), "u", "video_start", i) for i in range(20)] + ["{bad", ""])
-    cols = ["event_id", "timestamp", "_corrupt_record", "_source_file"]
-    a = readers.read_drops(spark, src, day, parallel_parse=True).select(*cols).collect()
-    b = readers.read_drops(spark, src, day, parallel_parse=False).select(*cols).collect()
+    pair = "[" + ", ".join(json.dumps(_event(x, "u", "video_start", 5)) for x in ("a1", "a2")) + "]"
+    broken = ["{bad", "[{bad", "plain text", '"just a string"']
+    _write_drop(src, day, [_event(str(i), "u", "video_start", i) for i in range(20)] + [pair, "", "   ", *broken])
+    cols = ["event_id", "timestamp", "_corrupt_record"]
+    a = readers.read_drops(spark, src, day).select(*cols).collect()
+    b = readers.read_jsonl_daily(spark, src, day).select(*cols).collect()
     key = lambda rows: sorted(tuple(map(str, r)) for r in rows)
-    assert key(a) == key(b) and len(a) == 21
+    assert key(a) == key(b) and len(a) == 22 + len(broken)
+    assert {r["_corrupt_record"] for r in a if r["_corrupt_record"]} == set(broken)
+
+
+def test_landing_keeps_bad_lines_and_new_fields(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "b")
+    day = dt.date(2024, 1, 2)
+    extra = {**_event("2", "u", "video_start", 1), "new_field": {"x": 1}}
+    _write_drop(src, day, [_event("1", "u", "video_start", 0), extra, "{bad"])
+    bronze_plan.land_daily(spark, src, out, day, gate=False)
+    rows = {r.event_id: r.extra_fields for r in spark.read.parquet(out).collect()}
+    assert rows == {"1": None, "2": '{"new_field":"{\\"x\\":1}"}'}
+    assert [(r.line, r.process_date) for r in spark.read.parquet(out + "_bad_lines").collect()] == [("{bad", day)]
+    # A corrected drop leaves no bad line behind, and no late day of the first run.
+    _write_drop(src, day, [_event("1", "u", "video_start", 0)])
+    bronze_plan.land_daily(spark, src, out, day, gate=False)
+    assert spark.read.parquet(out + "_bad_lines").count() == 0
+    assert [r.event_id for r in spark.read.parquet(out).collect()] == ["1"]
+
+
+def test_two_level_rerun_clears_stale_days(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "b")
+    day = dt.date(2024, 1, 2)
+    late = _event("late", "u", "video_start", -86400 * 3)
+    _write_drop(src, day, [_event("1", "u", "video_start", 0), late])
+    bronze_plan.land_daily(spark, src, out, day, gate=False)
+    _write_drop(src, day, [_event("1", "u", "video_start", 0)])
+    bronze_plan.land_daily(spark, src, out, day, gate=False)
+    assert [r.event_id for r in spark.read.parquet(out).collect()] == ["1"]
+
+
+def test_silver_overwrite_with_no_rows_left(spark, tmp_dir):
+    day = dt.date(2024, 1, 1)
+    b1, b2, silver, q = (os.path.join(tmp_dir, x) for x in ("b1", "b2", "s", "q"))
+    writers.create_partitioned(bronze_df(spark, [("1", "u", "m", "video_start", "d", 0, "IN"), (None, "u", "m", "video_start", "d", 1, "IN")]), b1)
+    writers.create_partitioned(bronze_df(spark, [("1", "u", "m", "search", "d", 0, "IN")]), b2)
+    silver_plan.run(spark, b1, silver, day, mode="overwrite", quarantine_path=q)
+    assert spark.read.parquet(silver).count() == 1 and spark.read.parquet(q).count() == 1
+    assert silver_plan.run(spark, b2, silver, day, mode="overwrite", quarantine_path=q) == "empty"
+    assert spark.read.parquet(silver).count() == 0 and spark.read.parquet(q).count() == 0
+
+
+def test_slices_list_only_their_directories(spark, tmp_dir):
+    from clicklake.sources import adapter
+    from tests.helpers import raw_df
+    rows = [(str(i), "u", "m", "video_start", "d", 3600 * i, "IN") for i in range(40)]
+    root, bronze = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "bronze")
+    writers.write_hive_partitioned(adapter.hourly_layout(raw_df(spark, rows)), root, ("region", "date", "hour"))
+    hour = readers.read_directories(spark, root, [f"{root}/region=*/date=2024-01-01/hour={{11,11}}"])
+    assert len(hour.inputFiles()) == 1 and hour.count() == 1
+    assert readers.read_directories(spark, root, [f"{root}/region=*/date=2030-01-01/hour=1"]).count() == 0
+    writers.create_partitioned(bronze_df(spark, rows), bronze)
+    one = silver_plan.read_bronze_days(spark, bronze, dt.date(2024, 1, 2))
+    assert all("event_date=2024-01-02" in f for f in one.inputFiles()) and one.count() > 0
+
+
+def test_stages_are_removed_and_cluster_needs_a_shared_folder(spark, tmp_dir, monkeypatch):
+    from clicklake import session
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "b")
+    day = dt.date(2024, 1, 2)
+    _write_drop(src, day, [_event("1", "u", "video_start", 0)])
+    monkeypatch.setattr(session, "checkpoint_root", lambda s: os.path.join(tmp_dir, "stage"))
+    bronze_plan.land_daily(spark, src, out, day, gate=False)
+    silver_plan.run(spark, out, os.path.join(tmp_dir, "silver"), day)
+    left = [f for d, _, names in os.walk(os.path.join(tmp_dir, "stage")) for f in names]
+    assert left == []
+    monkeypatch.undo()
+
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: None)})()
+        sparkContext = type("X", (), {"master": "spark://host:7077", "getCheckpointDir": staticmethod(lambda: None)})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Cluster())
+
+
+def test_named_tables(spark):
+    day = lambda s: dt.date(2024, 1, s)
+    rows = [("1", "u", "m", "video_start", "d", 0, "IN"), ("2", "u", "m", "video_start", "d", 86400, "IN")]
+    name = f"named_{os.getpid()}"
+    assert not writers.named_table_exists(spark, name)
+    assert writers.create_or_overwrite_table(bronze_df(spark, rows), name) == "create"
+    again = bronze_df(spark, [("3", "u", "m", "video_start", "d", 5, "IN")])
+    assert writers.create_or_overwrite_table(again, name) == "overwrite"
+    assert {(r.event_id, r.event_date) for r in spark.table(name).collect()} == {("3", day(1)), ("2", day(2))}
+    writers.replace_named_table(again, name)
+    assert [r.event_id for r in spark.table(name).collect()] == ["3"]
 
 
 def test_hourly_ingestion_with_contract(spark, tmp_dir):
