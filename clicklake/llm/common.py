@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -44,6 +45,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def slices(batches: Iterator, rows: int = 1024) -> Iterator:
+    """The Arrow batches in pieces of at most ``rows`` rows, so that what a worker builds of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -10,22 +10,27 @@ A line of at least ``MIN_CHARS`` code points is dropped when an equal line, or o
    the substrings that its own length, the shorter length and the edits left on either side allow (the
    multi-match-aware window).  Both travel as (64-bit key, line hash); texts stay where they are.
    Copies of a line with over ``HOT_COPIES`` occurrences send only the first one's rows.
-3. Index and probe rows meet in a join on the key.  Different line hashes that meet are candidates; the
-   texts of candidates alone are fetched and verified by banded bit-parallel edit distance.
+3. Index and probe rows meet in a join on the key.  Different line hashes that meet, and whose counts of
+   characters by class are no further apart than the edits allow, are candidates; the texts of candidates
+   alone are fetched and verified by banded bit-parallel edit distance.
 4. The line numbers that stay are gathered per document (from first occurrences, so without a hot key)
    and applied in one map.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
-from .common import fresh, stage, text_of
+from .common import broadcast_if_small, fresh, slices, stage, text_of
 from .edit_distance import within
 
 MAX_EDITS = 2
@@ -33,8 +38,6 @@ MIN_CHARS = 12
 # Shorter lines must be equal to count as copies: two edits would be a large part of them.
 MIN_FUZZY_CHARS = 30
 HOT_COPIES = 64
-# Rows of a (hash, position) or hash table that are broadcast; larger ones are joined by a shuffle.
-MAX_BROADCAST_ROWS = 500_000
 
 
 def _doc_key(id_col: str, text_col: str) -> Column:
@@ -49,32 +52,74 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .withColumns({"_h1": F.xxhash64("_line"), "_h2": F.xxhash64("_line", F.lit(1))}))
 
 
-def _segment(n: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """(start, length) of segment ``i`` of ``n`` code points in even parts, longer ones last."""
-    short = F.lit(parts) - n % parts
-    size = F.floor(n / parts).cast("int") + F.when(F.lit(i) >= short, 1).otherwise(0)
-    start = F.floor(n / parts).cast("int") * i + F.greatest(F.lit(0), F.lit(i) - short)
-    return start, size
+def _segments(n: int, parts: int) -> list[tuple[int, int]]:
+    """(start, length) of the even parts of ``n`` code points, longer ones last."""
+    size, longer = divmod(n, parts)
+    out, at = [], 0
+    for i in range(parts):
+        length = size + (i >= parts - longer)
+        out.append((at, length))
+        at += length
+    return out
 
 
-def keys(line: Column, n: Column, most: int = MAX_EDITS) -> Column:
-    """Array of (key, index): the line's own segments (index) and the substrings it probes.
+def _key(line: bytes, at: int, length: int, part: int, n: int) -> int:
+    """64-bit key of a substring (of a UTF-32 line) as segment ``part`` of a line of ``n`` code points."""
+    return xxh3_64_intdigest(line[4 * at:4 * (at + length)], seed=n * 64 + part)
+
+
+def index_keys(line: str, most: int = MAX_EDITS) -> list[int]:
+    """Keys of the line's own segments."""
+    wide, n = line.encode("utf-32-le", "surrogatepass"), len(line)
+    return [_key(wide, at, size, i, n) for i, (at, size) in enumerate(_segments(n, most + 1))]
+
+
+def probe_keys(line: str, most: int = MAX_EDITS) -> list[int]:
+    """Keys of the substrings that may be a segment of a line up to ``most`` shorter.
 
     For a line ``gap`` shorter and its segment ``i``, at most ``i`` edits lie before the segment and
     ``most - i`` after it, which bounds where the segment can start here.
     """
-    parts, out = most + 1, []
+    wide, n, out = line.encode("utf-32-le", "surrogatepass"), len(line), []
     for gap in range(most + 1):
-        m = n - gap
-        for i in range(parts):
-            start, size = _segment(m, i, parts)
-            for shift in range(max(-i, gap - (most - i)), min(i, gap + most - i) + 1):
-                at = start + shift
-                key = F.xxhash64(F.lit(i), m, line.substr((at + 1).cast("int"), size.cast("int")))
-                entry = F.struct(key.alias("key"), F.lit(gap == 0 and shift == 0).alias("index"))
-                # A window may reach over either end of the line: no such substring.
-                out.append(entry if shift == 0 and gap == 0 else F.when((at >= 0) & (at + size <= n), entry))
-    return F.array_compact(F.array(*out))
+        for i, (start, size) in enumerate(_segments(n - gap, most + 1)):
+            lo, hi = max(start - i, start + gap - (most - i), 0), min(start + i, start + gap + most - i, n - size)
+            out += [_key(wide, at, size, i, n - gap) for at in range(lo, hi + 1)]
+    return out
+
+
+def bags(lines: list[str]) -> np.ndarray:
+    """Per line, how often its code points fall in each of 8 classes: eight 4-bit counts, modulo 16."""
+    wide = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4") for x in lines]
+    owner = np.repeat(np.arange(len(lines)), [len(w) for w in wide])
+    classes = (np.concatenate(wide) & 7) if wide else np.empty(0, np.int64)
+    counts = np.bincount(owner * 8 + classes, minlength=8 * len(lines)).reshape(-1, 8) & 15
+    return (counts.astype(np.uint32) << np.arange(0, 32, 4, dtype=np.uint32)).sum(1, dtype=np.uint32).view(np.int32)
+
+
+def _bag_distance(a: str, b: str) -> Column:
+    """Sum over the classes of how far two counts are apart; an edit adds 2 at most."""
+    def apart(i: int) -> Column:
+        x, y = (F.shiftrightunsigned(F.col(c), 4 * i).bitwiseAND(15) for c in (a, b))
+        return F.least((x - y).bitwiseAND(15), (y - x).bitwiseAND(15))
+
+    return reduce(lambda p, q: p + q, [apart(i) for i in range(8)])
+
+
+def _keyed(keys_of, most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4096):
+            lines = batch.column(1).to_pylist()
+            keys, counts = array("Q"), []
+            for line in lines:
+                own = keys_of(line, most)
+                keys.extend(own)
+                counts.append(len(own))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.frombuffer(keys, np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), counts)),
+                 pa.array(np.repeat(bags(lines), counts))], ["_key", "_h", "_bag"])
+
+    return run
 
 
 def first_lines(lines: DataFrame) -> DataFrame:
@@ -82,20 +127,18 @@ def first_lines(lines: DataFrame) -> DataFrame:
     return lines.groupBy("_h1", "_h2").agg(F.min(F.struct("_doc", "_no")).alias("_first"), F.count(F.lit(1)).alias("_copies"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
-
-
 def candidates(lines: DataFrame, firsts: DataFrame, most: int = MAX_EDITS) -> DataFrame:
     """(a, b), a < b: hashes of different lines that share a segment."""
     hot = stage(firsts.filter(F.col("_copies") > HOT_COPIES).select("_h1", "_first"), "hot-lines")
     n = F.length("_line")
-    sent = (lines.filter(n >= MIN_FUZZY_CHARS).join(_small(hot), "_h1", "left")
+    sent = (lines.filter(n >= MIN_FUZZY_CHARS).join(broadcast_if_small(hot), "_h1", "left")
             .filter(F.col("_first").isNull() | (F.col("_first") == F.struct("_doc", "_no"))))
-    rows = sent.select("_h1", F.explode(keys(F.col("_line"), n, most)).alias("k")).select(F.col("k.key").alias("_key"), F.col("k.index").alias("_index"), "_h1")
-    left = rows.filter("_index").select("_key", F.col("_h1").alias("_a"))
-    right = rows.select("_key", F.col("_h1").alias("_b"))
-    met = left.join(right, "_key").filter("_a <> _b")
+    rows = sent.select("_h1", "_line")
+    schema = "_key long, _h long, _bag int"
+    left = rows.mapInArrow(_keyed(index_keys, most), schema).select("_key", F.col("_h").alias("_a"), F.col("_bag").alias("_bag_a"))
+    right = rows.mapInArrow(_keyed(probe_keys, most), schema).select("_key", F.col("_h").alias("_b"), F.col("_bag").alias("_bag_b"))
+    # Lines whose character counts differ by more than the edits can change are no candidates.
+    met = left.join(right, (left["_key"] == right["_key"]) & (F.col("_a") != F.col("_b")) & (_bag_distance("_bag_a", "_bag_b") <= 2 * most))
     return met.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
 
 
@@ -113,7 +156,7 @@ def similar_lines(lines: DataFrame, firsts: DataFrame, most: int = MAX_EDITS) ->
     """(a, b): hashes of different lines within ``most`` edits."""
     pairs = stage(candidates(lines, firsts, most), "line-pairs")
     wanted = stage(pairs.select(F.col("a").alias("_h1")).union(pairs.select("b")).distinct(), "line-hashes")
-    texts = stage(lines.select("_h1", "_line").join(_small(wanted), "_h1", "left_semi").groupBy("_h1").agg(F.min("_line").alias("_line")), "line-texts")
+    texts = stage(lines.select("_h1", "_line").join(broadcast_if_small(wanted), "_h1", "left_semi").groupBy("_h1").agg(F.min("_line").alias("_line")), "line-texts")
     both = (pairs.join(texts.select(F.col("_h1").alias("a"), F.col("_line").alias("_x")), "a")
             .join(texts.select(F.col("_h1").alias("b"), F.col("_line").alias("_y")), "b").select("a", "b", "_x", "_y"))
     return both.mapInArrow(_verify(most), "a long, b long")
