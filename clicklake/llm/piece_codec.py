@@ -26,14 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import slices, text_of
 
 DROPOUT = 0.1
 SEED = 17
 # Segmentations per chunk and seed: of short (frequent) chunks, and of the others.
 SHORT_CHUNK, SHORT_VARIANTS, VARIANTS = 6, 8, 2
-# Chunks that a worker remembers; a full cache starts afresh.
-MAX_CACHED = 500_000
+# Chunks in each of a worker's two cache generations: a full young one becomes the old one, whose chunks
+# move to the young one when they are met again, so frequent chunks stay.
+MAX_CACHED = 150_000
 
 # The space mark of the piece format.
 MARK = "▁"
@@ -97,7 +98,8 @@ class Encoder:
         self.model, self.dropout = model, dropout
         self.limit = int(dropout * (1 << 32))
         self.key = blake2b(str(seed).encode(), digest_size=16).digest()
-        self.cache: dict[str, list] = {}
+        self.young: dict[str, list] = {}
+        self.old: dict[str, list] = {}
 
     def _skip(self, chunk: str, variant: int):
         base = int.from_bytes(blake2b(chunk.encode("utf-8", "surrogatepass") + bytes([variant]), key=self.key, digest_size=8).digest(), "little")
@@ -120,14 +122,15 @@ class Encoder:
         """Little-endian 32-bit ids; the empty text has none."""
         if not text:
             return b""
-        place, out, cache = zlib.crc32(text.encode("utf-8", "surrogatepass")), [], self.cache
-        if len(cache) >= MAX_CACHED:
-            cache.clear()
+        place, out = zlib.crc32(text.encode("utf-8", "surrogatepass")), []
+        if len(self.young) >= MAX_CACHED:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
         for c in _CHUNK.findall(" " + text):
             place += 1
-            known = cache.get(c)
+            known = young.get(c)
             if known is None:
-                known = cache[c] = [None] * ((SHORT_VARIANTS if len(c) <= SHORT_CHUNK else VARIANTS) if self.limit else 1)
+                known = young[c] = old.get(c) or [None] * ((SHORT_VARIANTS if len(c) <= SHORT_CHUNK else VARIANTS) if self.limit else 1)
             variant = place % len(known)
             ids = known[variant]
             if ids is None:
@@ -169,7 +172,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model_path, seed, dropout)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [enc.text(t) for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0] + [len(x) // 4 for x in ids], dtype=np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
@@ -188,11 +191,8 @@ def decode_documents(encoded: DataFrame, model_path: str, ids_col: str = "ids",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(model_path)
-        for batch in batches:
-            lists = batch.column(at)
-            values, ends = lists.values.to_pylist(), lists.offsets.to_pylist()
-            texts = [decode(values[a:b], own) if ok else None
-                     for a, b, ok in zip(ends[:-1], ends[1:], lists.is_valid().to_pylist(), strict=True)]
+        for batch in slices(batches):
+            texts = [decode(x.values.to_numpy(zero_copy_only=False).tolist(), own) if x.is_valid else None for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, text_col])
 
     return encoded.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in kinds) + f", `{text_col}` string")
