@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import offsets_by_part, stage, text_of
+from .common import offsets_by_part, slices, stage, text_of
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
@@ -105,7 +105,7 @@ def encoder(path: str) -> WordEncoder:
 def _tokenise(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end, part, done = encoder(path), array("I", [end_id]).tobytes(), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in slices(batches):
             ids = [enc.text(t) + end for t in batch.column(1).to_pylist()]
             counts = [len(x) // ID_BYTES for x in ids]
             before = []
