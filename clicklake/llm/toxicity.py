@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import slices, text_of
 
 MAX_FIT_ROWS = 12_000
 MAX_TERMS = 1 << 15
@@ -84,7 +84,16 @@ def _chi_square(with_pos, with_neg, pos, neg):
     return n * (with_pos * without_neg - with_neg * without_pos) ** 2 / np.maximum(below, 1e-9)
 
 
-def fit(texts: list[str], labels: list[int], max_terms: int = MAX_TERMS, factors: int = FACTORS,
+def term_array(text: str) -> np.ndarray:
+    """Sorted distinct hashed terms of a text."""
+    return np.unique(np.array([t for w in words_of(text) for t in word_terms(w)], dtype=np.uint32))
+
+
+def fit(texts: list[str], labels: list[int], **settings) -> Model:
+    return fit_terms([term_array(x) for x in texts], labels, **settings)
+
+
+def fit_terms(found: list[np.ndarray], labels: list[int], max_terms: int = MAX_TERMS, factors: int = FACTORS,
         epochs: int = 12, batch: int = 256, rate: float = 0.05, l2: float = 1e-4, min_rows: int = 3, seed: int = 7) -> Model:
     """Adam on the logistic loss over a bounded sample; the order and the start are seeded.
 
@@ -93,7 +102,6 @@ def fit(texts: list[str], labels: list[int], max_terms: int = MAX_TERMS, factors
     y = np.asarray(labels, dtype=np.float64)
     pos, neg = float(y.sum()), float(len(y) - y.sum())
     bias = float(np.log((pos + 1) / (neg + 1)))
-    found = [np.unique(np.array([t for w in words_of(x) for t in word_terms(w)], dtype=np.uint32)) for x in texts]
     none = Model(np.empty(0, np.uint32), bias, np.empty(0), np.empty((0, factors)))
     if not pos or not neg:
         return none
@@ -143,7 +151,7 @@ def fit(texts: list[str], labels: list[int], max_terms: int = MAX_TERMS, factors
 
 def fit_sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
                text_col: str = "text", max_rows: int = MAX_FIT_ROWS) -> DataFrame:
-    """(text, label) of at most ``max_rows`` labelled rows outside the held-out fold, by hash of the id.
+    """(id, label, terms) of at most ``max_rows`` labelled rows outside the held-out fold, by hash of the id.
 
     Rows without id, label or document are no examples; an id labelled twice takes its larger label.
     """
@@ -151,8 +159,16 @@ def fit_sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_
               .filter(F.col("_id").isNotNull() & F.col("_y").isNotNull() & ~held_out("_id"))
               .groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
     # chosen: at most max_rows (id, label) pairs.
-    return (docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
-            .join(F.broadcast(chosen), "_id").select("_id", "_text", "_y"))
+    rows = (docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
+            .join(F.broadcast(chosen), "_id").select("_id", "_y", "_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            terms = [term_array(t).astype("<u4").tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(terms, pa.binary())], ["_id", "_y", "_terms"])
+
+    kind = rows.schema["_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"_id {kind}, _y int, _terms binary")
 
 
 def held_out(id_col: str):
@@ -162,8 +178,8 @@ def held_out(id_col: str):
 
 def fit_model(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, **columns) -> Model:
     """Fit on the bounded sample; rows arrive in id order, so a refit gives the same model."""
-    sample = fit_sample(docs, labels, max_rows=max_rows, **columns).toPandas().sort_values(["_id", "_text"])
-    return fit(sample["_text"].tolist(), sample["_y"].clip(0, 1).tolist())
+    sample = fit_sample(docs, labels, max_rows=max_rows, **columns).toPandas().sort_values(["_id", "_terms"])
+    return fit_terms([np.frombuffer(t, "<u4") for t in sample["_terms"]], sample["_y"].clip(0, 1).tolist())
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
