@@ -14,8 +14,8 @@
 4. The texts of blob members are gathered and every link of a blob is decided on full sets by counting
    shared shingles.  A member is counted against all others unless it already belongs to the blob's
    largest component (links inside one component change nothing), so no link between different
-   components is lost.  Blobs over ``BLOB_MEMBERS`` members are cut into chunks; each pair of chunks is a
-   task of its own, so no task holds an unbounded group.
+   components is lost.  Blobs over ``BLOB_MEMBERS`` members are cut into chunks (``confirmed_links``), so
+   no task holds an unbounded group.
 5. The components of the confirmed links are joined back to the rows on the class.
 """
 
@@ -39,8 +39,8 @@ NEIGHBOURS = 8
 LINK = 0.85
 CANDIDATE = 0.70
 SEED = 20240501
-# Members that one confirming task takes from each of at most two chunks.
-BLOB_MEMBERS = 1500
+# Members of a chunk of a blob, and of a block of members compared with it; hubs of a large blob.
+BLOB_MEMBERS, HUBS = 1000, 8
 
 
 class Sets:
@@ -216,27 +216,62 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def confirmed_links(keyed: DataFrame, classes: DataFrame, blobs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): a spanning forest per task of the links between classes of a blob, on full sets."""
-    sizes = stage(blobs.groupBy("root").agg(F.count(F.lit(1)).alias("_members")), "blob-sizes")
-    chunks = F.ceil(F.col("_members") / BLOB_MEMBERS).cast("int")
-    own = F.pmod(F.xxhash64("_node"), F.col("_chunks")).cast("int")
-    # A blob of one chunk is one task; of c chunks, one task per pair of chunks.
-    tasks = F.when(F.col("_chunks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
-        F.transform(F.filter(F.sequence(F.lit(0), F.col("_chunks") - 1), lambda x: x != F.col("_own")),
-                    lambda x: F.struct(F.least(x, F.col("_own")).alias("i"), F.greatest(x, F.col("_own")).alias("j"))))
-    members = (blobs.withColumnRenamed("node", "_node").join(sizes, "root")
-               .withColumn("_chunks", chunks).withColumn("_own", own)
-               .join(classes.select("_node", "_low", "_low_salt"), "_node")
-               .select("_node", F.struct(F.col("_low").alias("id"), F.col("_low_salt").alias("salt")).alias("_key"), "root", "_chunks", "_own"))
+def _task(root, *numbers):
+    """Key of a confirming task: the blob's root and the numbers of its parts."""
+    return F.concat(root, *[F.to_binary(F.lpad(F.hex(n), 8, "0"), F.lit("hex")) for n in numbers])
+
+
+def _links_of(keyed: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
+    """Forests of the links inside the tasks of ``members`` (_key, _node, _task)."""
     texts = keyed.select(F.struct(F.col("_id").alias("id"), F.col("_salt").alias("salt")).alias("_key"), "_text")
     # Few documents are members: only their texts move, unless there are too many members to broadcast.
-    spread = (texts.join(broadcast_if_small(stage(members, "blob-members")), "_key")
-              .select("_node", "_text", "root", F.explode(tasks).alias("_t"))
-              .select(F.concat("root", F.to_binary(F.lpad(F.hex(F.col("_t.i")), 8, "0"), F.lit("hex")),
-                               F.to_binary(F.lpad(F.hex(F.col("_t.j")), 8, "0"), F.lit("hex"))).alias("_task"), "_node", "_text"))
-    return (spread.repartition("_task").sortWithinPartitions("_task", "_node")
-            .mapInArrow(_confirm(k, percent), "a binary, b binary"))
+    spread = texts.join(broadcast_if_small(stage(members.distinct(), "blob-tasks")), "_key").select("_task", "_node", "_text")
+    return stage(spread.repartition("_task").sortWithinPartitions("_task", "_node")
+                 .mapInArrow(_confirm(k, percent), "a binary, b binary"), "links")
+
+
+def _hubs(large: DataFrame, edges: DataFrame) -> DataFrame:
+    """(_node): of each large blob up to ``HUBS`` members, the best connected of their hash class each."""
+    degrees = edges.select(F.explode(F.array("a", "b")).alias("_node")).groupBy("_node").agg(F.count(F.lit(1)).alias("_degree"))
+    best = (large.select("root", "_node").join(degrees, "_node")
+            .groupBy("root", F.pmod(F.xxhash64("_node", F.lit(7)), F.lit(HUBS)).alias("_class")).agg(F.max(F.struct("_degree", "_node")).alias("_best")))
+    return best.select("_best._node")
+
+
+def confirmed_links(keyed: DataFrame, classes: DataFrame, blobs: DataFrame, edges: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): spanning forests of the links between classes of a blob, on full sets.
+
+    A blob of one chunk is one task.  A larger one is confirmed in two rounds: every chunk together with
+    the blob's hubs, which joins most of an original's copies; then the members that are still outside
+    the blob's largest component, in blocks, against every chunk.  Two members of the largest component
+    need no comparing, so no link between components is lost and the work is linear in the blob but for
+    the members left over.
+    """
+    sizes = stage(blobs.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOB_MEMBERS).cast("int").alias("_chunks")), "blob-sizes")
+    members = stage(blobs.withColumnRenamed("node", "_node").join(sizes, "root")
+                    .withColumn("_own", F.pmod(F.xxhash64("_node"), F.col("_chunks")).cast("int"))
+                    .join(classes.select("_node", F.struct(F.col("_low").alias("id"), F.col("_low_salt").alias("salt")).alias("_key")), "_node"), "blob-members")
+    large = members.filter("_chunks > 1")
+    own = members.select("_key", "_node", _task(F.col("root"), F.col("_own")).alias("_task"))
+    if large.isEmpty():
+        return _links_of(keyed, own, k, percent)
+    every_chunk = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_q")
+    hubs = (large.join(_hubs(large, edges), "_node", "left_semi").select("_key", "_node", "root", every_chunk)
+            .select("_key", "_node", _task(F.col("root"), F.col("_q")).alias("_task")))
+    first = _links_of(keyed, own.union(hubs), k, percent)
+
+    joined = components(first).select(F.col("node").alias("_node"), F.col("root").alias("_part"))
+    parts = stage(large.join(joined, "_node", "left").withColumn("_part", F.coalesce("_part", "_node")), "blob-parts")
+    largest = (parts.groupBy("root", "_part").agg(F.count(F.lit(1)).alias("_n"))
+               .groupBy("root").agg(F.max(F.struct("_n", "_part")).alias("_most")))
+    outside = stage(parts.join(largest, "root").filter(F.col("_part") != F.col("_most._part")).drop("_most", "_part"), "blob-outside")
+    blocks = stage(outside.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOB_MEMBERS).cast("int").alias("_blocks")), "blob-blocks")
+    asked = (outside.join(blocks, "root").withColumn("_block", F.pmod(F.xxhash64("_node", F.lit(3)), F.col("_blocks")).cast("int"))
+             .select("_key", "_node", "root", "_block", every_chunk)
+             .select("_key", "_node", _task(F.col("root"), F.col("_q"), F.col("_block")).alias("_task")))
+    against = (large.join(blocks, "root").select("_key", "_node", "root", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_b"))
+               .select("_key", "_node", _task(F.col("root"), F.col("_own"), F.col("_b")).alias("_task")))
+    return first.union(_links_of(keyed, asked.union(against), k, percent))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -255,9 +290,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = rows.filter("_n > 0").groupBy("_node", "_signature", "_looks").agg(F.min("_id").alias("_low"), F.min("_salt").alias("_least_salt"))
     classes = stage(grouped.select("_node", "_signature", "_looks", "_low",
                                    F.when(F.col("_low").isNull(), F.col("_least_salt")).otherwise(F.lit(0).cast("bigint")).alias("_low_salt")), "classes")
-    blobs = stage(components(stage(candidate_edges(classes), "candidates")), "blobs")
-    links = stage(confirmed_links(keyed, classes, blobs, k, percent), "links")
-    linked = components(links)
+    edges = stage(candidate_edges(classes), "candidates")
+    blobs = stage(components(edges), "blobs")
+    linked = components(confirmed_links(keyed, classes, blobs, edges, k, percent))
     merged = linked.withColumnRenamed("node", "_node").join(classes.select("_node", "_low"), "_node")
     lows = merged.groupBy("root").agg(F.min("_low").alias("_component"))
     found = stage(merged.select("_node", "root").join(lows, "root").select("_node", "_component"), "component-ids")
