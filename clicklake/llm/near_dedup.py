@@ -7,10 +7,10 @@
    longest common prefix next to each other.  A class is compared with its next ``NEIGHBOURS`` neighbours
    that share at least ``MIN_DEPTH`` values.  In a sparse region these are all classes of that short
    prefix; in a dense one the sort has put those of a longer prefix first, so depth adapts to the region.
-   Neighbours whose whole signatures agree in ``CANDIDATE`` of the values or more are joined; each task
-   sends a spanning forest of what it joined, never the pairs.
+   Neighbours whose whole signatures agree in ``candidate_share`` of the values or more are joined; each
+   task sends a spanning forest of what it joined, never the pairs.
 3. The forests' components (``components``) are *blobs*: every link lies inside one, as the candidate
-   similarity lies well under the link threshold (about four standard errors of the estimate).
+   similarity lies well under the link threshold (``ERRORS`` standard errors of the estimate).
 4. The texts of blob members are gathered and every link of a blob is decided on full sets by counting
    shared shingles.  A member is counted against all others unless it already belongs to the blob's
    largest component (links inside one component change nothing), so no link between different
@@ -36,8 +36,8 @@ TREES, DEPTH = 16, 8
 SIGNATURE = TREES * DEPTH
 MIN_DEPTH = 3
 NEIGHBOURS = 8
-LINK = 0.85
-CANDIDATE = 0.70
+# Standard errors of the estimated similarity between the link threshold and that of candidates.
+ERRORS = 4.75
 SEED = 20240501
 # Members of a chunk of a blob, and of a block of members compared with it; hubs of a large blob.
 BLOB_MEMBERS, HUBS = 1000, 8
@@ -66,6 +66,12 @@ class Sets:
         return True
 
 
+def candidate_share(percent: int) -> float:
+    """Share of equal signature values from which a pair is a candidate: 0.70 for 85, 0.63 for 80 percent."""
+    link = percent / 100
+    return link - ERRORS * (link * (1 - link) / SIGNATURE) ** 0.5
+
+
 def _is_link(shared, a, b, percent: int):
     return 100 * shared >= percent * (a + b - shared)
 
@@ -136,54 +142,57 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        text.alias("_text"))
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning forest of the neighbours that look alike, of one sorted partition."""
-    number: dict[bytes, int] = {}
-    names: list[bytes] = []
-    joined = Sets(0)
-    tail = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        tree = np.asarray(batch.column(0))
-        slices = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, DEPTH)
-        nodes = batch.column(2).to_pylist()
-        looks = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, SIGNATURE)
-        if tail is not None:
-            tree, slices = np.concatenate([tail[0], tree]), np.concatenate([tail[1], slices])
-            nodes, looks = tail[2] + nodes, np.concatenate([tail[3], looks])
-        pairs = []
-        for step in range(1, min(NEIGHBOURS, len(nodes) - 1) + 1):
-            near = np.flatnonzero((tree[step:] == tree[:-step]) & (slices[step:, :MIN_DEPTH] == slices[:-step, :MIN_DEPTH]).all(1))
-            for at in range(0, len(near), 4096):
-                i = near[at:at + 4096]
-                alike = (looks[i] == looks[i + step]).mean(1) >= CANDIDATE
-                pairs += [(int(x), int(x) + step) for x in i[alike]]
-        out = []
-        for x, y in pairs:
-            found = []
-            for node in (nodes[x], nodes[y]):
-                if node not in number:
-                    number[node] = len(names)
-                    names.append(node)
-                    joined.parent.append(number[node])
-                    joined.size.append(1)
-                found.append(number[node])
-            if joined.join(*found):
-                out.append((nodes[x], nodes[y]))
-        keep = max(0, len(nodes) - NEIGHBOURS)
-        tail = (tree[keep:], slices[keep:], nodes[keep:], looks[keep:])
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.binary()), pa.array([p[1] for p in out], pa.binary())], ["a", "b"])
-
-
-def candidate_edges(classes: DataFrame) -> DataFrame:
+def _forest(least: float):
+    """Spanning forest of the neighbours that look alike (in ``least`` of the values), of one sorted partition."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number: dict[bytes, int] = {}
+        names: list[bytes] = []
+        joined = Sets(0)
+        tail = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tree = np.asarray(batch.column(0))
+            slices = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, DEPTH)
+            nodes = batch.column(2).to_pylist()
+            looks = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+            if tail is not None:
+                tree, slices = np.concatenate([tail[0], tree]), np.concatenate([tail[1], slices])
+                nodes, looks = tail[2] + nodes, np.concatenate([tail[3], looks])
+            pairs = []
+            for step in range(1, min(NEIGHBOURS, len(nodes) - 1) + 1):
+                near = np.flatnonzero((tree[step:] == tree[:-step]) & (slices[step:, :MIN_DEPTH] == slices[:-step, :MIN_DEPTH]).all(1))
+                for at in range(0, len(near), 4096):
+                    i = near[at:at + 4096]
+                    alike = (looks[i] == looks[i + step]).mean(1) >= least
+                    pairs += [(int(x), int(x) + step) for x in i[alike]]
+            out = []
+            for x, y in pairs:
+                found = []
+                for node in (nodes[x], nodes[y]):
+                    if node not in number:
+                        number[node] = len(names)
+                        names.append(node)
+                        joined.parent.append(number[node])
+                        joined.size.append(1)
+                    found.append(number[node])
+                if joined.join(*found):
+                    out.append((nodes[x], nodes[y]))
+            keep = max(0, len(nodes) - NEIGHBOURS)
+            tail = (tree[keep:], slices[keep:], nodes[keep:], looks[keep:])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.binary()), pa.array([p[1] for p in out], pa.binary())], ["a", "b"])
+
+    return run
+
+
+def candidate_edges(classes: DataFrame, percent: int = 85) -> DataFrame:
     """(a, b): a spanning forest, task by task, of the classes that look alike in some tree."""
     trees = F.array(*[F.struct(F.lit(t).cast("int").alias("tree"),
                                F.substring("_signature", t * DEPTH * 2 + 1, DEPTH * 2).alias("slice")) for t in range(TREES)])
     rows = classes.select("_node", "_looks", F.explode(trees).alias("t")).select("t.tree", "t.slice", "_node", "_looks")
     key = ["tree", "slice", "_node"]
-    return rows.repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(_forest, "a binary, b binary")
+    return rows.repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(_forest(candidate_share(percent)), "a binary, b binary")
 
 
 def _confirm(k: int, percent: int):
@@ -290,7 +299,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = rows.filter("_n > 0").groupBy("_node", "_signature", "_looks").agg(F.min("_id").alias("_low"), F.min("_salt").alias("_least_salt"))
     classes = stage(grouped.select("_node", "_signature", "_looks", "_low",
                                    F.when(F.col("_low").isNull(), F.col("_least_salt")).otherwise(F.lit(0).cast("bigint")).alias("_low_salt")), "classes")
-    edges = stage(candidate_edges(classes), "candidates")
+    edges = stage(candidate_edges(classes, percent), "candidates")
     blobs = stage(components(edges), "blobs")
     linked = components(confirmed_links(keyed, classes, blobs, edges, k, percent))
     merged = linked.withColumnRenamed("node", "_node").join(classes.select("_node", "_low"), "_node")
@@ -305,9 +314,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("_id").eqNullSafe(F.col("_component")).alias("kept"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one document of each component."""
     key = fresh(docs, "_key")
-    kept = near_duplicates(docs, id_col, text_col).filter("kept").select(F.struct(F.col(id_col).alias("id")).alias(key)).distinct()
+    kept = near_duplicates(docs, id_col, text_col, percent=percent).filter("kept").select(F.struct(F.col(id_col).alias("id")).alias(key)).distinct()
     return (docs.withColumn(key, F.struct(F.col(id_col).alias("id")))
             .join(stage(kept, "kept-ids"), key, "left_semi").drop(key))

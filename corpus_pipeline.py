@@ -16,6 +16,8 @@ from clicklake.llm.common import documents, prepare, stage
 
 # Model fits, packing offsets and edit joins have no SQL form: tests hold the stages against brute force.
 ORACLE_SQL = None
+# Shared 5-word shingles, in percent of all of both texts, from which the near-duplicate stage drops copies.
+NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (the smallest id); texts without words stay."""
     prepare(spark)
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
