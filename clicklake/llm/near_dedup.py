@@ -128,18 +128,18 @@ def _profiles(k: int):
                 signatures.append(values.astype(">u2").tobytes())
                 looks.append(values.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
+                [batch.column(0), batch.column(1), batch.column(3), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
                  pa.array(signatures, pa.binary()), pa.array(looks, pa.binary())],
-                ["_id", "_salt", "_n", "_node", "_signature", "_looks"])
+                ["_id", "_salt", "_hash", "_n", "_node", "_signature", "_looks"])
 
     return run
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, _salt, _text): the salt tells rows without id apart by their text."""
+    """(_id, _salt, _text, _hash): the salt tells rows without id apart by their text, the hash all rows."""
     text = text_of(text_col)
     return docs.select(F.col(id_col).alias("_id"), F.when(F.col(id_col).isNull(), F.xxhash64(text)).otherwise(F.lit(0).cast("bigint")).alias("_salt"),
-                       text.alias("_text"))
+                       text.alias("_text"), F.xxhash64(text).alias("_hash"))
 
 
 def _forest(least: float):
@@ -283,19 +283,11 @@ def confirmed_links(keyed: DataFrame, classes: DataFrame, blobs: DataFrame, edge
     return first.union(_links_of(keyed, asked.union(against), k, percent))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    k: int = SHINGLE_WORDS, percent: int = 85) -> DataFrame:
-    """``id_col``, n_shingles, component_id, kept of every row.
-
-    Rows are linked when 100 * shared shingles >= percent * all shingles of both; a component is what
-    links reach.  Texts without words (NULL, empty, white space) are linked with nothing and stay.  Rows
-    of one text and one id are one document: all of them carry the same result.  Rows without id are
-    linked like others; their component_id is NULL only when no member has an id, and they stay only
-    then.  Other columns are not read.
-    """
+def _resolved(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Profiles of all rows, and (_node, _component, _group) of every class: its smallest id and its own key."""
     keyed = _keyed(docs, id_col, text_col)
     kind = keyed.schema["_id"].dataType.simpleString()
-    rows = stage(keyed.mapInArrow(_profiles(k), f"_id {kind}, _salt long, _n long, _node binary, _signature binary, _looks binary"), "profiles")
+    rows = stage(keyed.mapInArrow(_profiles(k), f"_id {kind}, _salt long, _hash long, _n long, _node binary, _signature binary, _looks binary"), "profiles")
     grouped = rows.filter("_n > 0").groupBy("_node", "_signature", "_looks").agg(F.min("_id").alias("_low"), F.min("_salt").alias("_least_salt"))
     classes = stage(grouped.select("_node", "_signature", "_looks", "_low",
                                    F.when(F.col("_low").isNull(), F.col("_least_salt")).otherwise(F.lit(0).cast("bigint")).alias("_low_salt")), "classes")
@@ -304,9 +296,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = components(confirmed_links(keyed, classes, blobs, edges, k, percent))
     merged = linked.withColumnRenamed("node", "_node").join(classes.select("_node", "_low"), "_node")
     lows = merged.groupBy("root").agg(F.min("_low").alias("_component"))
-    found = stage(merged.select("_node", "root").join(lows, "root").select("_node", "_component"), "component-ids")
+    found = stage(merged.select("_node", "root").join(lows, "root").select("_node", "_component", F.col("root").alias("_root")), "component-ids")
     known = stage(classes.select("_node", "_low").join(found, "_node", "left")
-                  .select("_node", F.when(F.col("_component").isNull(), F.col("_low")).otherwise(F.col("_component")).alias("_component")), "classes-of-components")
+                  .select("_node", F.when(F.col("_component").isNull(), F.col("_low")).otherwise(F.col("_component")).alias("_component"),
+                          F.coalesce("_root", "_node").alias("_group")), "classes-of-components")
+    return rows, known
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    k: int = SHINGLE_WORDS, percent: int = 85) -> DataFrame:
+    """``id_col``, n_shingles, component_id, kept of every row.
+
+    Rows are linked when 100 * shared shingles >= percent * all shingles of both; a component is what
+    links reach.  Texts without words (NULL, empty, white space) are linked with nothing and stay.  Rows
+    of one text and one id are one document: all of them carry the same result.  Rows without id are
+    linked like others; their component_id is NULL only when no member has an id, and they stay only
+    then.  Other columns are not read.
+    """
+    rows, known = _resolved(docs, id_col, text_col, k, percent)
     empty = rows.filter("_n = 0").select("_id", "_n", F.col("_id").alias("_component"))
     full = rows.filter("_n > 0").select("_id", "_n", "_node").join(known, "_node").select("_id", "_n", "_component")
     return full.unionByName(empty).select(
@@ -315,8 +322,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each component."""
-    key = fresh(docs, "_key")
-    kept = near_duplicates(docs, id_col, text_col, percent=percent).filter("kept").select(F.struct(F.col(id_col).alias("id")).alias(key)).distinct()
-    return (docs.withColumn(key, F.struct(F.col(id_col).alias("id")))
-            .join(stage(kept, "kept-ids"), key, "left_semi").drop(key))
+    """The rows of ``docs`` that stay, with all their columns: one row of each component.
+
+    That is the row of the smallest id (rows without id come last), then of the smallest text hash; of rows
+    with the same id and text any one.  All rows whose texts have no words stay.
+    """
+    rows, known = _resolved(docs, id_col, text_col, SHINGLE_WORDS, percent)
+    key, copies = fresh(docs, "_key"), fresh(docs, "_copies")
+    own = F.struct(F.col("_id").alias("id"), F.col("_hash").alias("hash"))
+    counted = (rows.filter("_n > 0").select("_node", "_id", "_hash").join(known.select("_node", "_group"), "_node")
+               .groupBy("_group", "_id", "_hash").agg(F.count(F.lit(1)).alias("_rows")))
+    least = counted.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), own.alias("key"), F.col("_rows").alias("rows"))).alias("_least"))
+    wordless = rows.filter("_n = 0").select(own.alias(key), F.lit(1).cast("long").alias(copies)).distinct()
+    kept = stage(least.select(F.col("_least.key").alias(key), F.col("_least.rows").alias(copies)).union(wordless), "kept-keys")
+    keyed = docs.withColumn(key, F.struct(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("hash")))
+    single = keyed.join(kept.filter(F.col(copies) == 1).select(key), key, "left_semi").drop(key)
+    repeated = kept.filter(F.col(copies) > 1).select(key)
+    if repeated.isEmpty():
+        return single
+    return single.union(keyed.join(broadcast_if_small(repeated), key, "left_semi").dropDuplicates([key]).drop(key))

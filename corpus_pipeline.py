@@ -35,7 +35,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (the smallest id); texts without words stay."""
+    """One row of each group of near duplicates (the smallest id); texts without words stay."""
     prepare(spark)
     return near_dedup.keep_one(docs, percent=NEAR_PERCENT)
 

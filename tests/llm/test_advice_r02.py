@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from clicklake.llm import near_dedup
 from clicklake.llm.common import prepare
 from test_brute_force import _components
 
@@ -27,3 +28,13 @@ def test_near_dedup_stage_drops_from_80_percent(spark):
     assert len(at_80) < len(at_85)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()} == at_80
+
+
+def test_keep_one_keeps_one_row_of_a_group(spark):
+    prepare(spark)
+    base = " ".join(f"word{i}" for i in range(120))
+    other = " ".join(f"other{i}" for i in range(120))
+    rows = [(1, base), (1, base), (1, base + " end"), (2, base), (None, other), (None, other + " end"), (None, other), (3, ""), (3, ""), (None, None), (4, "alone")]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n long")
+    got = near_dedup.keep_one(df).collect()
+    assert sorted((r.doc_id or 0, (r.text or "")[:5]) for r in got) == [(0, ""), (0, "other"), (1, "word0"), (3, ""), (3, ""), (4, "alone")]
