@@ -2,20 +2,21 @@
 
 Encoding follows the model's merge rules: the agenda holds every neighbouring pair that forms a piece,
 the best score (then the leftmost) is merged first.  With ``dropout`` a candidate merge taken from the
-agenda is skipped when a keyed hash of (seed, chunk, variant, span) falls under the rate, so the same
-seed always gives the same segmentation and other seeds give others; every segmentation consists of
-pieces of the model and decodes to the very text.
+agenda is skipped when a keyed hash of (seed, text, place, span) falls under the rate, so every occurrence
+of a word draws on its own, the same seed always gives the same segmentation and other seeds give others;
+every segmentation consists of pieces of the model and decodes to the very text.
 
 No piece holds a space mark after another character nor a line break, so a text is cut into chunks
-(space marks with the word after them) that are encoded alone and remembered.  A chunk has up to
-``VARIANTS`` segmentations under one seed; which one is used changes with the text and the place.
+(space marks with the word after them) that are encoded alone.  What merges follow from a set of skipped
+spans does not depend on the place, so that is remembered: a chunk's root is its encoding with nothing
+skipped, and a node's child is the one with another span skipped.  An occurrence goes down from the root as
+its hashes say; nodes are made as they are met, and longer chunks are encoded anew each time.
 Both directions are maps: no shuffle, and a worker's memory is bounded by its cache.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from array import array
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -30,16 +31,20 @@ from .common import slices, text_of
 
 DROPOUT = 0.1
 SEED = 17
-# Segmentations per chunk and seed: of short (frequent) chunks, and of the others.
-SHORT_CHUNK, SHORT_VARIANTS, VARIANTS = 6, 8, 2
-# Chunks in each of a worker's two cache generations: a full young one becomes the old one, whose chunks
+# Longer chunks rarely meet the same skipped spans again and are not remembered.
+MAX_REMEMBERED = 16
+# Nodes in each of a worker's two cache generations: a full young one becomes the old one, whose chunks
 # move to the young one when they are met again, so frequent chunks stay.
-MAX_CACHED = 150_000
+MAX_NODES = 150_000
+# Chunks whose hashes are drawn at once.
+STEP = 16_384
 
 # The space mark of the piece format.
 MARK = "▁"
 _CHUNK = re.compile(r" *[^ \n▁]+| +|\n|▁")
 _MASK = (1 << 64) - 1
+_SPAN, _PLACE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+_NONE = float("inf")
 
 
 class PieceModel:
@@ -91,6 +96,54 @@ def segment(chunk: str, cost: dict[str, float], skip=None) -> list[str]:
     return [p for p in part if p]
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit finalizer of the values of ``x``."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def mixed_one(x: int) -> int:
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _MASK
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _MASK
+    return x ^ (x >> 31)
+
+
+def merges(chunk: str, cost: dict[str, float], skipped: tuple) -> tuple[list[str], array]:
+    """``segment`` of a short chunk by a plain list, and the spans (start * 32 + size) of the merges it made, in their order."""
+    part, starts, made = list(chunk), list(range(len(chunk))), array("H")
+    costs = [cost.get(a + b, _NONE) for a, b in zip(part, part[1:])]
+    while costs:
+        least = min(costs)
+        if least == _NONE:
+            break
+        i = costs.index(least)
+        joined = part[i] + part[i + 1]
+        span = starts[i] * 32 + len(joined)
+        if span in skipped:
+            costs[i] = _NONE
+            continue
+        made.append(span)
+        part[i] = joined
+        del part[i + 1], starts[i + 1], costs[i]
+        if i < len(costs):
+            costs[i] = cost.get(joined + part[i + 1], _NONE)
+        if i:
+            costs[i - 1] = cost.get(part[i - 1] + joined, _NONE)
+    return part, made
+
+
+class Node:
+    """A chunk encoded with some spans skipped: its ids, and the spans of the merges it made, in their order."""
+
+    __slots__ = ("shown", "skipped", "ids", "path", "later", "root", "count")
+
+    def __init__(self, shown: str, skipped: tuple, ids: bytes, path: bytes, root: Node | None = None):
+        self.shown, self.skipped, self.ids, self.path = shown, skipped, ids, path
+        self.later: dict[int, Node] | None = None
+        self.root, self.count = root, 1  # ``count`` of a root: nodes of its tree
+
+
 class Encoder:
     """Encodes texts under one seed and dropout rate; remembers its chunks."""
 
@@ -98,45 +151,98 @@ class Encoder:
         self.model, self.dropout = model, dropout
         self.limit = int(dropout * (1 << 32))
         self.key = blake2b(str(seed).encode(), digest_size=16).digest()
-        self.young: dict[str, list] = {}
-        self.old: dict[str, list] = {}
-
-    def _skip(self, chunk: str, variant: int):
-        base = int.from_bytes(blake2b(chunk.encode("utf-8", "surrogatepass") + bytes([variant]), key=self.key, digest_size=8).digest(), "little")
-
-        def skip(start: int, size: int) -> bool:
-            h = (base + start * 0x9E3779B97F4A7C15 + size * 0xC2B2AE3D27D4EB4F) & _MASK
-            h = ((h ^ (h >> 31)) * 0xBF58476D1CE4E5B9) & _MASK
-            return (h >> 32) < self.limit
+        self.young: dict[str, Node] = {}
+        self.old: dict[str, Node] = {}
+        self.made = 0
 
-        return skip
+    def bases(self, text: str, n: int) -> np.ndarray:
+        """What the skips of each of the text's ``n`` chunks are drawn from: a keyed hash of (seed, text, place)."""
+        own = blake2b(text.encode("utf-8", "surrogatepass"), key=self.key, digest_size=8).digest()
+        return mixed(np.frombuffer(own, "<u8") + np.arange(n, dtype=np.uint64) * np.uint64(_PLACE))
 
-    def chunk(self, chunk: str, variant: int) -> bytes:
-        if chunk == MARK:  # the mark as a character of the text: bytes, so that it isn't read as a space
-            return array("i", [self.model.bytes[b] for b in MARK.encode()]).tobytes()
-        shown = chunk.replace(" ", MARK)
-        parts = segment(shown, self.model.cost, self._skip(shown, variant) if self.limit else None)
+    def _ids(self, parts: list[str]) -> bytes:
         return array("i", [i for p in parts for i in self.model.symbols(p)]).tobytes()
 
-    def text(self, text: str) -> bytes:
-        """Little-endian 32-bit ids; the empty text has none."""
-        if not text:
-            return b""
-        place, out = zlib.crc32(text.encode("utf-8", "surrogatepass")), []
-        if len(self.young) >= MAX_CACHED:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        for c in _CHUNK.findall(" " + text):
-            place += 1
-            known = young.get(c)
-            if known is None:
-                known = young[c] = old.get(c) or [None] * ((SHORT_VARIANTS if len(c) <= SHORT_CHUNK else VARIANTS) if self.limit else 1)
-            variant = place % len(known)
-            ids = known[variant]
-            if ids is None:
-                ids = known[variant] = self.chunk(c, variant)
-            out.append(ids)
-        return b"".join(out)
+    def drawn(self, chunk: str, base: int) -> bytes:
+        """Ids of one occurrence of a chunk, without the cache."""
+        if chunk == MARK:
+            return self._root(chunk).ids
+        unit = 32 if len(chunk) <= MAX_REMEMBERED else 1 << 32
+        return self._ids(segment(chunk.replace(" ", MARK), self.model.cost,
+                                 lambda start, size: mixed_one((base + (start * unit + size) * _SPAN) & _MASK) >> 32 < self.limit))
+
+    def _node(self, shown: str, skipped: tuple, root: Node | None = None) -> Node:
+        if not self.limit:
+            return Node(shown, skipped, self._ids(segment(shown, self.model.cost)), b"")
+        parts, made = merges(shown, self.model.cost, skipped)
+        return Node(shown, skipped, self._ids(parts), made.tobytes(), root)
+
+    def _root(self, chunk: str) -> Node:
+        if chunk == MARK:  # the mark as a character of the text: bytes, so that it isn't read as a space
+            return Node(chunk, (), array("i", [self.model.bytes[b] for b in MARK.encode()]).tobytes(), b"")
+        return self._node(chunk.replace(" ", MARK), ())
+
+    def _child(self, node: Node, span: int) -> Node:
+        if node.later is None:
+            node.later = {}
+        found = node.later.get(span)
+        if found is None:
+            root = node.root or node
+            found = node.later[span] = self._node(node.shown, (*node.skipped, span), root)
+            root.count += 1
+            self.made += 1
+        return found
+
+    def _resolve(self, nodes: list[Node], bases: np.ndarray) -> list[bytes]:
+        """Ids of the occurrences: each goes on to the child of the first merge on its way that is skipped."""
+        waiting = np.arange(len(nodes)) if self.limit else np.empty(0, np.int64)
+        while len(waiting):
+            paths = [nodes[i].path for i in waiting.tolist()]
+            lengths = np.fromiter(map(len, paths), np.int64, len(paths)) // 2
+            spans = np.frombuffer(b"".join(paths), np.uint16)
+            hits = np.flatnonzero(mixed(np.repeat(bases[waiting], lengths) + spans * np.uint64(_SPAN)) >> np.uint64(32) < self.limit)
+            owner = np.searchsorted(np.cumsum(lengths), hits, side="right")
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            waiting = waiting[owner[first]]
+            for i, span in zip(waiting.tolist(), spans[hits[first]].tolist(), strict=True):
+                nodes[i] = self._child(nodes[i], span)
+        return [n.ids for n in nodes]
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of every text; the empty text has none."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        nodes, bases, owners = [], [], []
+
+        def flush() -> None:
+            at, ids = 0, self._resolve(nodes, np.concatenate(bases)) if nodes else []
+            for t, n in owners:
+                out[t].append(b"".join(ids[at:at + n]))
+                at += n
+            nodes.clear(), bases.clear(), owners.clear()
+
+        for t, text in enumerate(texts):
+            chunks = _CHUNK.findall(" " + text) if text else []
+            own = self.bases(text, len(chunks))
+            for lo in range(0, len(chunks), STEP):
+                part = chunks[lo:lo + STEP]
+                if self.made >= MAX_NODES:
+                    self.young, self.old, self.made = {}, self.young, 0
+                young, old = self.young, self.old
+                for place, c in enumerate(part, lo):
+                    node = young.get(c)
+                    if node is None:
+                        if self.limit and len(c) > MAX_REMEMBERED:
+                            node = Node(c, (), self.drawn(c, int(own[place])), b"")
+                        else:
+                            node = young[c] = old.get(c) or self._root(c)
+                            self.made += node.count
+                    nodes.append(node)
+                bases.append(own[lo:lo + STEP])
+                owners.append((t, len(part)))
+                if len(nodes) >= STEP:
+                    flush()
+        flush()
+        return [b"".join(x) for x in out]
 
 
 _MODELS: dict[str, PieceModel] = {}
@@ -173,7 +279,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model_path, seed, dropout)
         for batch in slices(batches):
-            ids = [enc.text(t) for t in batch.column(1).to_pylist()]
+            ids = enc.texts(batch.column(1).to_pylist())
             ends = np.cumsum([0] + [len(x) // 4 for x in ids], dtype=np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, batch.column(2)], ["_id", "ids", "text_sha256"])

@@ -2,8 +2,10 @@
 
 import random
 
+import public_tokenizers
+
 import corpus_pipeline
-from clicklake.llm import near_dedup
+from clicklake.llm import near_dedup, piece_codec
 from clicklake.llm.common import prepare
 from test_brute_force import _components
 
@@ -38,3 +40,20 @@ def test_keep_one_keeps_one_row_of_a_group(spark):
     df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n long")
     got = near_dedup.keep_one(df).collect()
     assert sorted((r.doc_id or 0, (r.text or "")[:5]) for r in got) == [(0, ""), (0, "other"), (1, "word0"), (3, ""), (3, ""), (4, "alone")]
+
+
+def test_dropout_is_drawn_per_occurrence(monkeypatch):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    text = " ".join(["international"] * 2000)
+    enc = piece_codec.Encoder(piece_codec.model(path), 3, 0.2)
+    chunks = piece_codec._CHUNK.findall(" " + text)
+    ways = [enc.drawn(c, int(b)) for c, b in zip(chunks, enc.bases(text, len(chunks)), strict=True)]
+    assert len(set(ways)) > 50
+    # The cache changes nothing, whatever its size and the number of chunks drawn at once.
+    others = ["It's  an\nextraordinarily-long-hyphenated-and-endless word ▁ 日本 😀 " * 50, "", "a"]
+    want = [b"".join(ways), *[b"".join(enc.drawn(c, int(b)) for c, b in zip(x, enc.bases(t, len(x)), strict=True))
+                              for t in others for x in [piece_codec._CHUNK.findall(" " + t) if t else []]]]
+    assert piece_codec.Encoder(enc.model, 3, 0.2).texts([text, *others]) == want
+    monkeypatch.setattr(piece_codec, "MAX_NODES", 5)
+    monkeypatch.setattr(piece_codec, "STEP", 7)
+    assert piece_codec.Encoder(enc.model, 3, 0.2).texts([text, *others]) == want
