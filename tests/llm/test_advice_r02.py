@@ -5,7 +5,7 @@ import random
 import public_tokenizers
 
 import corpus_pipeline
-from clicklake.llm import near_dedup, piece_codec
+from clicklake.llm import license_scan, near_dedup, piece_codec
 from clicklake.llm.common import prepare
 from test_brute_force import _components
 
@@ -57,3 +57,22 @@ def test_dropout_is_drawn_per_occurrence(monkeypatch):
     monkeypatch.setattr(piece_codec, "MAX_NODES", 5)
     monkeypatch.setattr(piece_codec, "STEP", 7)
     assert piece_codec.Encoder(enc.model, 3, 0.2).texts([text, *others]) == want
+
+
+def test_licenses_are_told_apart():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.COVERAGE, license_scan.MARKS)
+
+    def names(text):
+        return {m[0] for m in scanner.scan("some words before it\n" + text + "\nand some after")}
+
+    assert names("Released under the BSD License.") == {"bsd-line"}
+    assert names("Licensed under CC BY-SA 4.0.") == {"cc-by-sa-4.0-short"}
+    assert names("Licensed under CC BY-NC 3.0.") == set() and names("Released under the Foo License.") == set()
+    assert names("This work is licensed under the GNU General Public License, version 2.") == {"gpl-2.0-line"}
+    assert names("Licensed under the Apache License, Version 1.1.") == set()
+    parts = {"bsd-2-clause": {"bsd-redistribution"}, "bsd-3-clause": {"bsd-redistribution"}, "mit-notice": {"mit-permission"},
+             "mit-permission": set(), "apache-2.0-notice": {"apache-2.0-line"}, "cc-by-4.0-line": set()}
+    for name, text in license_scan.TEMPLATES.items():
+        assert name in names(text) and names(text) <= {name} | parts.get(name, set()), (name, names(text))
+    lax = license_scan.Scanner(license_scan.TEMPLATES, license_scan.COVERAGE)
+    assert "mit-line" in {m[0] for m in lax.scan("Released under the BSD License.")}
