@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from . import exact_dedup as exact
 from . import fingerprints as marks
-from . import license_scan, line_dedup, near_dedup, packing, piece_codec, sharding, toxicity, url_filter
+from . import conversation_repair, license_scan, line_dedup, near_dedup, packing, pattern_packing, piece_codec
+from . import sharding, spelling, toxicity, url_filter
 from .common import documents, prepare
 
 QUERIES: dict = {}
@@ -104,3 +105,28 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = sharding.tree(8)
     rows = sharding.shard_rows(documents(spark, sf_dir), root, grown_root=sharding.grown(root, 8))
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@register("op11_pattern_packing")
+def op11_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    pieces = pattern_packing.pack_patterns(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+# Fixed value: of the (document, run) pairs one in so many loses a code point.
+DAMAGED_RUNS = 31
+
+
+@register("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    words = spelling.vocabulary(documents(spark, sf_dir), damage_every=DAMAGED_RUNS)
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@register("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_repair.repair(conversation_repair.damaged(rows))
