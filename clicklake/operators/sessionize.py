@@ -13,7 +13,8 @@ Steps (each also exposed on its own):
 Ordering is made total so results never depend on tie order: events by (event_timestamp, event_id), runs
 by (start_time, last_event_time, action, country, island).  ``event_date`` belongs to the key, so one
 pass over many days equals running each day on its own.  There is one plan whatever the size of a key
-(``ordered``): events and runs are each range-partitioned and staged once.
+(``ordered``): events are range-partitioned and sorted once, a map turns them into runs with their
+successors, and only the runs of keys that a partition edge cuts are stitched afterwards.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import IGNORE, action_id, classify_action, duration_seconds
-from .ordered import keyed_next_ts, keyed_row_numbers, range_sliced
+from ..session import ship_package
+from . import ordered
 
 KEY = "_key"
 KEY_FIELDS = ("user_id", "content_id", "device_id", "event_date")
@@ -44,18 +46,11 @@ def classified(valid: DataFrame, watched=None, paused=None) -> DataFrame:
     return valid.filter(F.col("content_id").isNotNull()).withColumn("action", classify_action("event_type", **kwargs))
 
 
-def _unkey(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"{KEY}.{f}").alias(f) for f in KEY_FIELDS], *[c for c in df.columns if c != KEY])
-
-
-def _numbered_keyed(act: DataFrame) -> DataFrame:
-    keyed = act.select(F.struct(*KEY_FIELDS).alias(KEY), "event_id", "country", "action", "event_timestamp")
-    return keyed_row_numbers(range_sliced(keyed, KEY, EVENT_ORDER, "events-in-order"), KEY, "action", EVENT_ORDER, "rn_all", "rn_action")
-
-
 def numbered(act: DataFrame) -> DataFrame:
     """rn_all over (user, content, device, day); rn_action additionally over action (both 64-bit)."""
-    return _unkey(_numbered_keyed(act))
+    ship_package(act.sparkSession)
+    events = act.select(*KEY_FIELDS, "event_id", "country", "action", "event_timestamp")
+    return ordered.keyed_row_numbers(events, KEY_FIELDS, "action", EVENT_ORDER, "rn_all", "rn_action", ordered.CUT_ROWS)
 
 
 def islands(act: DataFrame) -> DataFrame:
@@ -63,28 +58,41 @@ def islands(act: DataFrame) -> DataFrame:
     return numbered(act).withColumn("grp", F.col("rn_all") - F.col("rn_action"))
 
 
-def _runs_keyed(act: DataFrame) -> DataFrame:
-    d = _numbered_keyed(act).withColumn("_island", F.col("rn_all") - F.col("rn_action"))
-    # Partial aggregation runs map-side: a long run costs one row per task before the shuffle.
-    return d.groupBy(KEY, "country", "action", "_island").agg(
-        F.min("event_timestamp").alias("start_time"), F.max("event_timestamp").alias("last_event_time"))
+def _cut_runs(act: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(runs of keys that lie in one piece, stitched runs of the cut keys), from one staged table."""
+    from ..sinks.writers import stage
 
+    ship_package(act.sparkSession)
+    runs = stage(act.sparkSession, ordered.keyed_runs(act, KEY_FIELDS, EVENT_ORDER, ordered.CUT_ROWS), "runs")
+    cut = runs.filter(ordered.EDGE).withColumn(KEY, F.struct(*KEY_FIELDS)).drop(*KEY_FIELDS)
+    return runs.filter(~F.col(ordered.EDGE)), ordered.stitched_runs(cut, KEY)
 
-def event_runs(act: DataFrame) -> DataFrame:
-    """One row per run: key, country, action, event_date, start_time, last_event_time."""
-    return _unkey(_runs_keyed(act)).drop("_island")
 
+def _flat(stitched: DataFrame, *columns: str) -> DataFrame:
+    return stitched.select(*[F.col(f"{KEY}.{f}").alias(f) for f in KEY_FIELDS], "country", "action", "start_time", "last_event_time", *columns)
 
-def _with_next(act: DataFrame) -> DataFrame:
-    return keyed_next_ts(range_sliced(_runs_keyed(act), KEY, RUN_ORDER, "runs-in-order"), KEY, RUN_ORDER, "start_time", "next_start_time")
+
+def _all_runs(act: DataFrame, *columns: str) -> DataFrame:
+    inside, stitched = _cut_runs(act)
+    flat = _flat(stitched, *columns)
+    return inside.select(*flat.columns).unionByName(flat)
+
+
+def event_runs(act: DataFrame) -> DataFrame:
+    """One row per run: key, country, action, event_date, start_time, last_event_time."""
+    return _all_runs(act)
 
 
 def runs_with_next(act: DataFrame) -> DataFrame:
-    return _unkey(_with_next(act)).drop("_island")
+    """Runs with ``next_start_time``, the LEAD of the start per key."""
+    inside, stitched = _cut_runs(act)
+    sliced = ordered.range_sliced(stitched, KEY, RUN_ORDER, "cut-runs-in-order")
+    flat = _flat(ordered.keyed_next_ts(sliced, KEY, RUN_ORDER, "start_time", "next_start_time"), "next_start_time")
+    return inside.select(*flat.columns).unionByName(flat)
 
 
 def user_actions_from_actionable(act: DataFrame) -> DataFrame:
-    return (_unkey(_with_next(act)).withColumn("end_time", F.coalesce("next_start_time", "last_event_time"))
+    return (runs_with_next(act).withColumn("end_time", F.coalesce("next_start_time", "last_event_time"))
             .withColumn("action_id", action_id()).withColumn("duration_seconds", duration_seconds())
             .select(*USER_ACTION_COLUMNS))
 
@@ -98,14 +106,6 @@ def run_closing_event(act: DataFrame) -> DataFrame:
     """One row per run: the run, ``closing_event_id`` and ``closing_events``.
 
     ``closing_events`` counts the run's events at its closing time, ``closing_event_id`` is the largest of
-    their ids.  Both come out of the run aggregate (events at one time are counted first), so there is no
-    join and ties add no rows.
+    their ids.  Both come out of the scan that finds the runs, so there is no join and ties add no rows.
     """
-    d = _numbered_keyed(act).withColumn("_island", F.col("rn_all") - F.col("rn_action"))
-    run = [KEY, "country", "action", "_island"]
-    at_time = d.groupBy(*run, "event_timestamp").agg(F.count(F.lit(1)).alias("_events"), F.max("event_id").alias("_last_id"))
-    runs = at_time.groupBy(*run).agg(
-        F.min("event_timestamp").alias("start_time"), F.max("event_timestamp").alias("last_event_time"),
-        F.max_by("_last_id", "event_timestamp").alias("closing_event_id"),
-        F.max_by("_events", "event_timestamp").alias("closing_events"))
-    return _unkey(runs).drop("_island")
+    return _all_runs(act, "closing_event_id", "closing_events")

@@ -10,6 +10,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +66,24 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """The package sent to the Python workers, as ``--py-files`` would, once per application."""
+    context = _context(spark)
+    if context is None or context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    if package.is_dir():                                   # an archive on the path was shipped by its submitter
+        archive = Path(tempfile.mkdtemp(prefix="clicklake-py-")) / "clicklake_core.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))                    # the driver serves it to every executor
+    _SHIPPED.add(context.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 

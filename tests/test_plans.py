@@ -3,7 +3,8 @@
 import re
 
 import __spark_entry__ as entry
-from clicklake.operators import validate
+from clicklake import queries
+from clicklake.operators import ordered, sessionize, validate
 from tests.helpers import bronze_df
 
 SF = "/root/testdata/sf0.001"
@@ -19,12 +20,20 @@ def _shuffles(plan):
                           plan))
 
 
-def test_windows_run_inside_slices(spark):
-    """No window over a whole key: every window on rows is partitioned by (key, slice)."""
-    df = entry.queries()["islands"](spark, SF)
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    on_rows = [w for w in re.findall(r"Window \[(row_number[^\n]*)", plan)]
-    assert len(on_rows) == 2 and all("_slice" in w for w in on_rows)
+def test_runs_take_one_exchange_and_one_sort_of_the_events(spark):
+    act = queries.actionable(spark, SF)
+    runs = ordered.keyed_runs(act, sessionize.KEY_FIELDS, sessionize.EVENT_ORDER)
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    assert _shuffles(plan) == 1 and len(re.findall(r"\bSort \[", plan)) == 1 and "Window" not in plan and "Join" not in plan
+
+
+def test_windows_and_joins_see_cut_keys_only(spark):
+    """Rows of keys inside a piece pass straight through: every window reads the rows flagged as edges."""
+    for name in ("islands", "user_actions", "run_closing_event"):
+        plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        union = plan.index("Union")
+        inside = plan[union:].split("\n:- ", 1)[1].split("\n+- ", 1)[0]
+        assert "Window" not in inside and "Join" not in inside and "Aggregate" not in inside, name
 
 
 def test_valid_scan_pushes_null_tests_and_stays_in_generated_code(spark, tmp_dir):
@@ -41,9 +50,3 @@ def test_valid_scan_pushes_null_tests_and_stays_in_generated_code(spark, tmp_dir
 def test_checks_skip_the_frequency_branch(spark):
     plan = _final_plan(entry.queries()["dq_checks"](spark, SF))
     assert _shuffles(plan) == 1 and "BroadcastExchange" not in plan
-
-
-def test_closing_event_has_no_join_on_events(spark):
-    plan = entry.queries()["run_closing_event"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
-    # The one join adds the offsets of a slice: one row per (key, slice).
-    assert len(re.findall(r"\bJoin ", plan)) == 1

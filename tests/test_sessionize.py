@@ -121,6 +121,45 @@ def test_row_numbers_equal_plain_windows(spark, seed):
     assert as_set(sessionize.islands(act), cols) == as_set(_plain_islands(act), cols)
 
 
+def _plain_runs(act):
+    """Runs, closing events and LEAD by plain windows."""
+    d = _plain_islands(act)
+    key, run = list(sessionize.KEY_FIELDS), [*sessionize.KEY_FIELDS, "country", "action", "grp"]
+    last = Window.partitionBy(*run)
+    d = d.withColumn("_close", F.max("event_timestamp").over(last))
+    runs = d.groupBy(*run).agg(F.min("event_timestamp").alias("start_time"), F.max("event_timestamp").alias("last_event_time"),
+                               F.max(F.when(F.col("event_timestamp") == F.col("_close"), F.col("event_id"))).alias("closing_event_id"),
+                               F.count_if(F.col("event_timestamp") == F.col("_close")).alias("closing_events"))
+    order = Window.partitionBy(*key).orderBy("start_time", "last_event_time", "action", "country", "grp")
+    return runs.withColumn("next_start_time", F.lead("start_time").over(order))
+
+
+@pytest.mark.parametrize(("cut_rows", "batch_rows", "parts"), [(262_144, 10_000, 8), (1, 3, 3), (40, 16, 1), (7, 5, 8)])
+def test_scan_equals_plain_windows_in_any_cut(spark, monkeypatch, cut_rows, batch_rows, parts):
+    """Batch, piece and partition edges anywhere: row numbers, runs, closing events and LEAD stay the same."""
+    from clicklake.operators import ordered
+
+    monkeypatch.setattr(ordered, "CUT_ROWS", cut_rows)
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": batch_rows, "spark.sql.shuffle.partitions": parts,
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        valid, _ = validate.split(bronze_df(spark, _random_rows(cut_rows, hot_share=0.7)))
+        act = sessionize.actionable(valid)
+        cols = ["event_id", "rn_all", "rn_action", "grp"]
+        assert as_set(sessionize.islands(act), cols) == as_set(_plain_islands(act), cols)
+        plain = _plain_runs(act)
+        run = [*sessionize.KEY_FIELDS, "country", "action", "start_time", "last_event_time"]
+        for step, more in ((sessionize.event_runs, []), (sessionize.runs_with_next, ["next_start_time"]),
+                           (sessionize.run_closing_event, ["closing_event_id", "closing_events"])):
+            assert as_set(step(act), run + more) == as_set(plain, run + more)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_one_type_whatever_the_size(spark):
     small, _ = validate.split(bronze_df(spark, _random_rows(4, n=3)))
     large, _ = validate.split(bronze_df(spark, _random_rows(4, n=900, hot_share=1.0)))
