@@ -11,7 +11,7 @@ import datetime as dt
 import logging
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sessionize, validate
@@ -75,28 +75,81 @@ def _run(spark, bronze_path, silver_path, days, quarantine_path, null_safe, mode
     processed = _days(days) if days is not None else [r[0] for r in bronze.select("event_date").distinct().collect()]
     silver, quarantined = transform(bronze)
     if quarantine_path:
-        quarantined = writers.stage(spark, quarantined, "quarantined")
-        writers.create_or_overwrite_partitions(spark, quarantined, quarantine_path, ("event_date",))
-        _clear_days_without_rows(spark, quarantined, quarantine_path, processed)
-    # Staged once: the merge reads it several times (touched days, join).
-    silver = writers.stage(spark, silver, "silver-updates")
+        _write_days(spark, quarantined, quarantine_path, processed)
+    # Staged once: the merge reads it several times.  The days it touches are seen while it is written.
+    silver, seen = writers.stage_observed(spark, silver, "silver-updates", days=F.collect_set("event_date"))
     if mode == "overwrite":
-        rows = writers.enforce_action_domain(merge.dedupe_updates(silver))
-        writers.create_or_overwrite_partitions(spark, rows, silver_path, ("event_date",))
-        _clear_days_without_rows(spark, silver, silver_path, processed)
-        return "empty" if silver.isEmpty() else "overwrite"
-    if silver.isEmpty():
+        _write_days(spark, writers.enforce_action_domain(merge.dedupe_updates(silver)), silver_path, processed)
+        return "overwrite" if seen["days"] else "empty"
+    if not seen["days"]:
         log.info("no user actions for %s", days)
         return "empty"
     if mode == "merge":
-        return merge.merge_into_path(spark, silver, silver_path, null_safe=null_safe)
+        return merge.merge_into_path(spark, silver, silver_path, null_safe=null_safe, days=seen["days"])
     if mode == "sql":
         merge.merge_into_table(spark, silver, silver_path)
         return "merge"
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def _clear_days_without_rows(spark: SparkSession, rows: DataFrame, path: str, processed: list) -> None:
-    """Rows that an earlier run left in a processed day go, also when the day has no rows now."""
-    now = {r[0] for r in rows.select("event_date").distinct().collect()}           # one row per day
-    writers.clear_partitions(spark, path, rows.schema, [f"event_date={d}" for d in processed if d is not None and d not in now])
+def _write_days(spark: SparkSession, rows: DataFrame, path: str, processed: list, clustered: bool = True) -> None:
+    """``rows`` replace the processed days at ``path``; what an earlier run left in days without rows now goes."""
+    now = Observation()
+    rows = rows.observe(now, F.collect_set("event_date").alias("days"))
+    if writers.table_exists(spark, path):
+        writers.overwrite_partitions(rows, path, ("event_date",), clustered=clustered)
+    else:
+        writers.create_partitioned(rows, path, ("event_date",))
+    written = set(writers.observed(now).get("days", ()))                                                         # one value per day
+    stale = [f"event_date={d}" for d in processed if d is not None and d not in written]
+    writers.clear_partitions(spark, path, rows.schema, stale)
+
+
+# ---------------------------------------------------------------------------- late data
+
+def touched_keys(late: DataFrame) -> DataFrame:
+    """Distinct (user, content, device, day) keys, one struct column, whose runs the rows may change."""
+    act = sessionize.actionable(validate.split(late)[0])
+    return act.select(F.struct(*sessionize.KEY_FIELDS).alias(sessionize.KEY)).distinct()
+
+
+def of_keys(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows whose key is (``left_semi``) or is not (``left_anti``) among ``keys``, NULL fields matching NULL."""
+    keyed = rows.withColumn(sessionize.KEY, F.struct(*sessionize.KEY_FIELDS))
+    return keyed.join(keys, sessionize.KEY, how).drop(sessionize.KEY)
+
+
+# Touched keys up to this many are broadcast, so that no other key's rows move.
+MAX_BROADCAST_KEYS = 500_000
+
+
+def correct(spark: SparkSession, bronze_path: str, late: DataFrame, silver_path: str, *,
+            quarantine_path: str | None = None) -> str:
+    """Sessionize again just the keys of ``late`` bronze rows (already landed at ``bronze_path``).
+
+    A late event may split, join, lengthen or shorten runs, so all silver rows of its key and day are
+    retracted and the recomputed ones take their place; the result is the table of a fresh run.  Rows
+    of other keys are copied from their files to the rewritten day without a shuffle.  For events that were
+    changed or removed, ``late`` holds their old rows as well.  Returns 'empty', 'create' or 'correct'.
+    """
+    ensure_defaults(spark)
+    with writers.staging_scope(spark):
+        keys, seen = writers.stage_observed(spark, touched_keys(late), "touched-keys", n=F.count(F.lit(1)),
+                                            days=F.collect_set(f"{sessionize.KEY}.event_date"))
+        if quarantine_path:
+            days = [r[0] for r in late.select(F.to_date("event_date")).distinct().collect()]
+            _write_days(spark, validate.split(read_bronze_days(spark, bronze_path, days))[1], quarantine_path, days)
+        if not seen["n"]:
+            return "empty"
+        if seen["n"] <= MAX_BROADCAST_KEYS:
+            keys = F.broadcast(keys)
+        valid = validate.split(read_bronze_days(spark, bronze_path, seen["days"]))[0]
+        rebuilt = sessionize.user_actions_from_actionable(of_keys(sessionize.actionable(valid), keys, "left_semi"))
+        rebuilt = writers.enforce_action_domain(merge.dedupe_updates(rebuilt))
+        if not writers.table_exists(spark, silver_path):
+            writers.create_partitioned(rebuilt, silver_path, ("event_date",))
+            return "create"
+        kept = of_keys(merge.read_partitions(spark, silver_path, seen["days"]).select(*merge.COLUMNS), keys, "left_anti")
+        rows = kept.unionByName(rebuilt.hint("rebalance", "event_date"))
+        _write_days(spark, rows, silver_path, seen["days"], clustered=False)
+    return "correct"

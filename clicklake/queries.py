@@ -226,14 +226,20 @@ FULL OUTER JOIN (SELECT *, TRUE AS _in FROM ({O.user_actions_sql('clean')}) y) s
 def merge_user_actions(spark, sf_dir):
     """Silver built from the base delivery, then the corrected (clean) delivery merged in."""
     path = scratch_path(spark, "silver")
-    # Creating the table reads its input once; the merge reads its updates twice
-    # (touched days, join), so only those are staged.
-    merge.merge_into_path(spark, sessionize.user_actions(valid_events(spark, sf_dir, "base")), path)
-    merge.merge_into_path(spark, writers.stage(spark, sessionize.user_actions(valid_events(spark, sf_dir, "clean")),
-                                               "ua-clean"), path)
+    for variant in ("base", "clean"):
+        merge.merge_into_path(spark, sessionize.user_actions(valid_events(spark, sf_dir, variant)), path)
     return spark.read.parquet(path).select(*[f.name for f in SILVER_USER_ACTIONS.fields])
 
 
+@register("merge_bucketed", _merge_sql())
+def merge_bucketed(spark, sf_dir):
+    """The same merge on a table bucketed on the merge key: only the updates are exchanged."""
+    name = _table_name(spark, "silver")
+    for variant in ("base", "clean"):
+        merge.merge_into_bucketed(spark, sessionize.user_actions(valid_events(spark, sf_dir, variant)), name, buckets=8)
+    return spark.table(name).select(*[f.name for f in SILVER_USER_ACTIONS.fields])
+
+
 QUARANTINE_COLS = ("event_id", "user_id", "content_id", "event_type", "event_date", "device_id", "country",
                    "event_timestamp", "validation_errors")
 QUARANTINE_SQL = f"""SELECT {', '.join(QUARANTINE_COLS)} FROM ({O.validated_cte('base')}) v
@@ -754,6 +760,19 @@ def silver_rerun(spark, sf_dir):
         F.lit("quarantine"), F.col("event_timestamp").cast("string"), "user_id", "country"))
 
 
+@register("silver_late_event", f"SELECT {_UA_COLS} FROM ({O.user_actions_sql('clean')}) s")
+def silver_late_event(spark, sf_dir):
+    """Silver of the events without every 13th, which then arrive late: just their keys are sessionized again."""
+    silver, bronze = scratch_path(spark, "silver"), scratch_path(spark, "bronze")
+    rows = bronze_frame(spark, sf_dir, "clean")
+    is_late = F.pmod(F.crc32(F.coalesce("event_id", F.lit(""))), F.lit(13)) == 0
+    writers.create_partitioned(rows.filter(~is_late), bronze, ("event_date",))
+    silver_plan.run(spark, bronze, silver)
+    writers.overwrite_partitions(rows, bronze, ("event_date",))
+    silver_plan.correct(spark, bronze, rows.filter(is_late), silver)
+    return spark.read.parquet(silver).select(*[f.name for f in SILVER_USER_ACTIONS.fields])
+
+
 @register("sink_table_create", bronze_sql("base"))
 def sink_table_create(spark, sf_dir):
     name = _table_name(spark)
@@ -771,8 +790,8 @@ def sink_table_overwrite(spark, sf_dir):
     return readers.read_table(spark, name)
 
 
-def _table_name(spark) -> str:
-    return "events_" + scratch_path(spark, "t").rsplit("/", 1)[-1][:12]
+def _table_name(spark, kind: str = "events") -> str:
+    return f"{kind}_" + scratch_path(spark, "t").rsplit("/", 1)[-1][:12]
 
 
 @register("pipeline_manual_hour", f"""SELECT event_id, user_id, content_id, event_type, device_id, "timestamp", country,

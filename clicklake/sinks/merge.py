@@ -6,10 +6,11 @@ inserted, target rows are never deleted.
 
 On path-based Parquet the merge reads only the ``event_date`` partitions the
 updates touch (``event_date`` is the date of ``start_time``, so a match can
-only sit in a touched partition), joins them with the updates, stages the
-result under the shared checkpoint folder (the target is read by the same
-plan) and swaps those partitions in with a dynamic overwrite.  A catalog
-that supports ``MERGE INTO`` (Iceberg, Delta) can take the SQL form instead.
+only sit in a touched partition), joins them with the updates and overwrites
+those partitions in one job: a dynamic overwrite reads the old files until it
+commits.  A table bucketed on the merge key takes the same merge without moving
+its own rows.  A catalog that supports ``MERGE INTO`` (Iceberg, Delta) can take
+the SQL form instead.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import SILVER_USER_ACTIONS
 from ..session import path_exists, table_exists
-from .writers import create_partitioned, enforce_action_domain, overwrite_partitions, stage, staging_scope
+from .writers import create_partitioned, enforce_action_domain, overwrite_partitions, stage_observed, staging_scope
 
 MERGE_KEYS = ("user_id", "content_id", "device_id", "action", "start_time")
 UPDATED = ("end_time", "duration_seconds")
@@ -75,20 +76,64 @@ def merge_frames(target: DataFrame, updates: DataFrame, null_safe: bool = True,
 
 
 def merge_into_path(spark: SparkSession, updates: DataFrame, target_path: str,
-                    null_safe: bool = True) -> str:
+                    null_safe: bool = True, days: list | None = None) -> str:
     """MERGE ``updates`` into the Parquet table at ``target_path``; returns 'create' or 'merge'.
 
+    ``days`` names the event dates that staged updates touch; without it the updates are staged here.
     The action-domain check runs inside the write jobs (``enforce_action_domain``).
     """
     updates = enforce_action_domain(updates)
     if not table_exists(spark, target_path):
         create_partitioned(dedupe_updates(updates), target_path, ("event_date",))
         return "create"
-    # Bounded by the number of days in the batch, not by data volume.
-    days = [r[0] for r in updates.select("event_date").distinct().collect()]
-    target = read_partitions(spark, target_path, days)
     with staging_scope(spark):
-        overwrite_partitions(stage(spark, merge_frames(target, updates, null_safe), "merge-staging"), target_path, ("event_date",))
+        if days is None:  # seen while the updates are staged; bounded by the number of days in the batch
+            updates, seen = stage_observed(spark, updates, "merge-updates", days=F.collect_set("event_date"))
+            days = seen["days"] or []
+        target = read_partitions(spark, target_path, days)
+        overwrite_partitions(merge_frames(target, updates, null_safe), target_path, ("event_date",))
+    return "merge"
+
+
+# ---------------------------------------------------------------------------- tables bucketed on the merge key
+
+MERGE_HASH = "merge_key"
+
+
+def _merge_hash() -> "F.Column":
+    """128-bit digest of the merge key as one text: NULL fields are left out, so equal keys have equal digests."""
+    return F.md5(F.to_json(F.struct(*[(F.unix_micros(k) if k == "start_time" else F.col(k)).alias(k) for k in MERGE_KEYS])))
+
+
+def create_bucketed(updates: DataFrame, table: str, buckets: int) -> None:
+    """Catalog table of deduped rows by ``event_date``, bucketed and sorted on the digest of the merge key."""
+    rows = dedupe_updates(enforce_action_domain(updates)).withColumn(MERGE_HASH, _merge_hash())
+    (rows.repartition(buckets, MERGE_HASH).write.partitionBy("event_date").bucketBy(buckets, MERGE_HASH).sortBy(MERGE_HASH)
+     .format("parquet").saveAsTable(table))
+
+
+def bucketed_merge(target: DataFrame, updates: DataFrame, buckets: int) -> DataFrame:
+    """Rows of the merged table; only the updates are exchanged, into the target's buckets."""
+    fresh = dedupe_updates(updates).withColumn(MERGE_HASH, _merge_hash()).repartition(buckets, MERGE_HASH)
+    s, t = fresh.withColumn("_in_s", F.lit(True)).alias("s"), target.withColumn("_in_t", F.lit(True)).alias("t")
+    joined = t.join(s, F.col(f"t.{MERGE_HASH}") == F.col(f"s.{MERGE_HASH}"), "full_outer")
+    out = []
+    for c in (*COLUMNS, MERGE_HASH):
+        first, second, known = ("s", "t", "s._in_s") if c in UPDATED else ("t", "s", "t._in_t")
+        out.append(F.when(F.col(known), F.col(f"{first}.{c}")).otherwise(F.col(f"{second}.{c}")).alias(c))
+    return joined.select(*out)
+
+
+def merge_into_bucketed(spark: SparkSession, updates: DataFrame, table: str, buckets: int) -> str:
+    """The merge on a table of ``create_bucketed``; returns 'create' or 'merge'."""
+    if not spark.catalog.tableExists(table):
+        create_bucketed(updates, table, buckets)
+        return "create"
+    with staging_scope(spark):
+        updates, seen = stage_observed(spark, enforce_action_domain(updates), "merge-updates", days=F.collect_set("event_date"))
+        target = spark.table(table).filter(F.col("event_date").isin(seen["days"] or []))
+        merged = bucketed_merge(target, updates, buckets).select(*spark.table(table).columns)
+        merged.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
     return "merge"
 
 

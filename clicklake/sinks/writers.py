@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,9 +33,13 @@ def create_partitioned(df: DataFrame, path: str, partition_cols=("event_date",),
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols=("event_date",),
-                         compression: str = "snappy") -> None:
-    """Dynamic overwrite: replace only the partitions present in ``df``."""
-    (_clustered(df, partition_cols).write.mode("overwrite")
+                         compression: str = "snappy", clustered: bool = True) -> None:
+    """Dynamic overwrite: replace only the partitions present in ``df``, which may be computed from them.
+
+    The new files are written beside the table and take the place of the old ones when the job commits, so
+    no copy is staged.  ``clustered=False`` is for rows that already lie by partition.
+    """
+    ((_clustered(df, partition_cols) if clustered else df).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).option("compression", compression).parquet(path))
 
@@ -115,8 +121,8 @@ def verify_after_write(spark: SparkSession, path: str, sample: int = 5):
     return table.count(), table.limit(sample).collect()
 
 
-# Folders staged inside the open ``staging_scope`` blocks, innermost last.
-_SCOPES: list[list[str]] = []
+# Folders staged inside the open ``staging_scope`` blocks of this thread, innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("staging_scopes", default=())
 
 
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -127,19 +133,39 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    scopes = _SCOPES.get()
+    if scopes:
+        scopes[-1].append(path)
     return spark.read.parquet(path)
 
 
+def stage_observed(spark: SparkSession, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stage`` with aggregates of the rows taken while they are written: they cost no job of their own."""
+    seen = Observation()
+    staged = stage(spark, df.observe(seen, *[m.alias(k) for k, m in metrics.items()]), name)
+    return staged, {**dict.fromkeys(metrics), **observed(seen)}
+
+
+def observed(seen: Observation) -> dict:
+    """Observed values after the action; none where the optimizer has found the input to be empty and cut it off."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:
+        if "PythonSQLUtils.toPyRow" not in str(error):
+            raise
+        return {}
+
+
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
-    """Folders staged inside the block are removed when it ends: for jobs that commit their own output."""
-    _SCOPES.append([])
+    """Folders staged inside the block (by this thread) are removed when it ends: for jobs that commit their own output."""
+    own: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), own))
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
+        _SCOPES.reset(token)
+        for path in own:
             delete_path(spark, path)
 
 

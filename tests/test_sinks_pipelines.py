@@ -352,3 +352,104 @@ def test_hourly_ingestion_partition_mode_keeps_other_hours(spark, tmp_dir):
     assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == ["1", "2"]
     bronze_plan.ingest_hourly(spark, root, out, dt.datetime(2024, 1, 1, 11), mode="replace")
     assert [r["event_id"] for r in spark.read.parquet(out).collect()] == ["2"]
+
+
+def _fresh_silver(spark, tmp_dir, name, rows):
+    bronze, silver = f"{tmp_dir}/bronze-{name}", f"{tmp_dir}/silver-{name}"
+    bronze_df(spark, rows).write.partitionBy("event_date").parquet(bronze)
+    silver_plan.run(spark, bronze, silver)
+    return bronze, silver
+
+
+def _silver_rows(spark, path):
+    return sorted((tuple(r) for r in spark.read.parquet(path).select(*merge.COLUMNS).collect()), key=str)
+
+
+EARLY = [("1", "u", "m", "video_start", "d", 0, "IN"), ("2", "u", "m", "video_progress", "d", 60, "IN"),
+         ("3", "u", "m", "video_progress", "d", 120, "IN"), ("4", "v", "m", "video_start", None, 5, "IN"),
+         ("5", "w", "m", "video_start", "d", 90_000, "IN"), ("6", "x", "m", "video_pause", "d", 7, "IN")]
+
+
+@pytest.mark.parametrize("late", [
+    [("9", "u", "m", "video_pause", "d", 90, "IN")],                                          # splits a run
+    [("9", "v", "m", "video_pause", None, 3, "IN"), ("8", "w", "m", "video_end", "d", 90_030, "SG")],   # NULL device, another day
+    [("9", "u", "m", "search", "d", 30, "IN"), ("8", None, "m", "video_pause", "d", 30, "IN")],         # ignored, invalid
+])
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_late_events_give_the_table_of_a_fresh_run(spark, tmp_dir, monkeypatch, late, broadcast):
+    monkeypatch.setattr(silver_plan, "MAX_BROADCAST_KEYS", broadcast)
+    bronze, silver = _fresh_silver(spark, tmp_dir, "late", EARLY)
+    _, fresh = _fresh_silver(spark, tmp_dir, "fresh", EARLY + late)
+    arrived = bronze_df(spark, late)
+    arrived.write.mode("append").partitionBy("event_date").parquet(bronze)
+    for _ in range(2):                                                                        # a replay changes nothing
+        silver_plan.correct(spark, bronze, arrived, silver)
+        assert _silver_rows(spark, silver) == _silver_rows(spark, fresh)
+
+
+def test_removed_events_retract_their_runs(spark, tmp_dir):
+    bronze, silver = _fresh_silver(spark, tmp_dir, "all", EARLY)
+    gone = [EARLY[4], EARLY[1]]
+    left = bronze_df(spark, [r for r in EARLY if r not in gone]).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    left.partitionBy("event_date").parquet(bronze)
+    silver_plan.correct(spark, bronze, bronze_df(spark, gone), silver)
+    _, fresh = _fresh_silver(spark, tmp_dir, "left", [r for r in EARLY if r not in gone])
+    assert _silver_rows(spark, silver) == _silver_rows(spark, fresh)
+
+
+def test_rows_of_untouched_keys_are_not_shuffled(spark, tmp_dir):
+    _, silver = _fresh_silver(spark, tmp_dir, "plan", EARLY)
+    keys = silver_plan.touched_keys(bronze_df(spark, EARLY[:1]))
+    kept = silver_plan.of_keys(spark.read.parquet(silver), keys.hint("broadcast"), "left_anti")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    above_target = plan.split("FileScan")[0].split("BroadcastHashJoin")
+    assert "LeftAnti" in plan and len(above_target) == 2 and "Exchange" not in above_target[0]
+    assert kept.count() == 3
+
+
+def test_bucketed_merge_does_not_move_the_target(spark, tmp_dir):
+    name = "silver_bucketed_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    first = [("u1", None, "WATCHED", 0, 10), ("u2", "d", "WATCHED", 0, 10)]
+    second = [("u1", None, "WATCHED", 0, 30), ("u3", "d", "PAUSED", 5, 6)]
+    make = lambda rows: ua_rows(spark, [_ua(u, d, a, s, e) for u, d, a, s, e in rows])
+    assert merge.merge_into_bucketed(spark, make(first), name, 4) == "create"
+    assert merge.merge_into_bucketed(spark, make(second), name, 4) == "merge"
+    path = f"{tmp_dir}/plain"
+    for rows in (first, second):
+        merge.merge_into_path(spark, make(rows), path)
+    got = sorted((tuple(r) for r in spark.table(name).select(*merge.COLUMNS).collect()), key=str)
+    assert got == _silver_rows(spark, path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merge.bucketed_merge(spark.table(name), make(second), 4)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    target = plan[plan.index("FullOuter"):plan.index("FileScan")]
+    assert "Exchange" not in target and "Bucketed: true" in plan
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_threads_keep_their_own_staging_scopes(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    from clicklake.session import path_exists
+
+    meet = Barrier(2)
+
+    def job(i):
+        with writers.staging_scope(spark):
+            staged = writers.stage(spark, spark.range(i + 1), f"thread-{i}")
+            meet.wait(60)
+            if i:
+                meet.wait(60)                                  # the other thread's scope has ended by now
+                return staged.count()
+        folder = staged.inputFiles()[0].rsplit("/", 1)[0]
+        gone = not path_exists(spark, folder)
+        meet.wait(60)
+        return gone
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(job, range(2))) == [True, 2]
