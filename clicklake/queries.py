@@ -736,10 +736,14 @@ def pipeline_bronze_processing_date(spark, sf_dir):
 
 
 @register("bronze_bad_lines", f"""SELECT CAST(make_timestamp("timestamp" * 1000) AS DATE) AS process_date,
-  'broken ' || event_type || ' ' || "timestamp" AS line
+  CASE CAST(floor("timestamp" / 29) AS BIGINT) % 4
+    WHEN 0 THEN 'broken ' || event_type || ' ' || "timestamp"
+    WHEN 1 THEN '[{{"event_id":"a"}},{{"event_id":"b","timestamp":"oops ' || "timestamp" || '"}}]'
+    WHEN 2 THEN '{{"event_id":"a"}} tail ' || "timestamp"
+    ELSE '{{"event_id":"a","geo_location":{{"latitude":"north ' || "timestamp" || '"}}}}' END AS line
 FROM ({O.raw_cte('clean')}) r WHERE "timestamp" % 29 = 0""")
 def bronze_bad_lines(spark, sf_dir):
-    """Daily drops in which every 29th line is broken: the lines come out with their text and day."""
+    """Daily drops in which every 29th line is broken or mistyped: the lines come out with their text and day."""
     base, out = scratch_path(spark, "drops"), scratch_path(spark, "bronze")
     r = raw(spark, sf_dir, "clean")
     adapter.write_daily_drops_with_bad_lines(r, base, every=29)
@@ -747,6 +751,21 @@ def bronze_bad_lines(spark, sf_dir):
     return spark.read.parquet(out + "_bad_lines").select("process_date", "line")
 
 
+# Fixed values of the scenario: (field, rows that hold it, its type).
+_DRIFT = (("campaign", 7, "OBJECT<x: BIGINT>"), ("note", 13, "STRING"), ("weight", 17, "DECIMAL(3,2)"), ("geo_location.asn", 11, "BIGINT"))
+
+
+@register("bronze_drift", " UNION ALL ".join(f"""SELECT '{field}' AS field, count(*) AS "rows", '{kind}' AS type
+FROM ({O.raw_cte('clean')}) r WHERE "timestamp" % {every} = 0 HAVING count(*) > 0""" for field, every, kind in _DRIFT))
+def bronze_drift(spark, sf_dir):
+    """Drops with fields outside the schema, nested ones too: landed with their values, reported by path and type."""
+    base, out = scratch_path(spark, "drops"), scratch_path(spark, "bronze")
+    r = raw(spark, sf_dir, "clean")
+    adapter.write_daily_drops_with_new_fields(r, base)
+    bronze_plan.land_daily(spark, base, out, drop_days(r), layout="event_date", gate=False, drops=readers.DAILY_DIRS)
+    return readers.field_drift(spark.read.parquet(out))
+
+
 @register("silver_rerun", f"""SELECT 'silver' AS side, CAST(start_time AS VARCHAR) AS at, user_id, country FROM ({O.user_actions_sql('clean')}) s
 UNION ALL SELECT 'quarantine', CAST(event_timestamp AS VARCHAR), user_id, country FROM ({O.validated_cte('clean')}) v
 WHERE len(validation_errors) > 0""")

@@ -104,17 +104,34 @@ def write_daily_drops(raw: DataFrame, base_path: str) -> None:
      .write.mode("overwrite").partitionBy("drop_date").option("compression", "gzip").json(base_path))
 
 
-def write_daily_drops_with_bad_lines(raw: DataFrame, base_path: str, every: int) -> None:
-    """The same drops, the lines whose timestamp is a multiple of ``every`` replaced by broken text."""
+def _write_lines(raw: DataFrame, line, base_path: str) -> None:
     from ..functions.columns import event_date
 
-    ms = F.col("timestamp")
-    broken = F.concat(F.lit("broken "), F.col("event_type"), F.lit(" "), ms.cast("string"))
-    line = F.when(ms % every == 0, broken).otherwise(F.to_json(F.struct(*raw.columns)))
     (raw.select(line.alias("value"), event_date("timestamp").alias("drop_date")).hint("rebalance", "drop_date")
      .write.mode("overwrite").partitionBy("drop_date").option("compression", "gzip").text(base_path))
 
 
+def write_daily_drops_with_bad_lines(raw: DataFrame, base_path: str, every: int) -> None:
+    """The same drops; lines whose timestamp is a multiple of ``every`` are replaced by a broken text, an array
+    with a mistyped element, an object with text behind it, or one with a mistyped nested field."""
+    ms = F.col("timestamp")
+    kind, number = (ms / every).cast("long") % 4, ms.cast("string")
+    broken = (F.when(kind == 0, F.concat(F.lit("broken "), F.col("event_type"), F.lit(" "), number))
+              .when(kind == 1, F.concat(F.lit('[{"event_id":"a"},{"event_id":"b","timestamp":"oops '), number, F.lit('"}]')))
+              .when(kind == 2, F.concat(F.lit('{"event_id":"a"} tail '), number))
+              .otherwise(F.concat(F.lit('{"event_id":"a","geo_location":{"latitude":"north '), number, F.lit('"}}'))))
+    _write_lines(raw, F.when(ms % every == 0, broken).otherwise(F.to_json(F.struct(*raw.columns))), base_path)
+
+
+def write_daily_drops_with_new_fields(raw: DataFrame, base_path: str) -> None:
+    """The same drops, some rows with fields outside the schema: at the top level, nested, and of two types."""
+    ms = F.col("timestamp")
+    geo = F.struct(F.col("geo_location.country").alias("country"), F.when(ms % 11 == 0, ms % 1000).alias("asn"))
+    added = [F.when(ms % 7 == 0, F.struct((ms % 10).alias("x"))).alias("campaign"), F.when(ms % 13 == 0, F.lit("seen")).alias("note"),
+             F.when(ms % 17 == 0, F.when(ms % 2 == 0, F.lit("1.5").cast("double")).otherwise(F.lit(2.25))).alias("weight")]
+    _write_lines(raw, F.to_json(F.struct(*[c for c in raw.columns if c != "geo_location"], geo.alias("geo_location"), *added)), base_path)
+
+
 # Region of each country code in the hourly Parquet layout.
 REGION_BY_COUNTRY = {"IN": "India", "SG": "SouthEast Asia", "AE": "Middle East"}
 UNKNOWN_REGION = "Unknown"

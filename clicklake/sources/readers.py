@@ -65,7 +65,7 @@ def read_jsonl_daily(spark: SparkSession, base_path: str, days: dt.date | Iterab
     return reader.json(paths)
 
 
-# Top-level fields of a line that the schema does not name, as JSON text.
+# Fields of a line that the schema does not name, nested ones too, as JSON text.
 EXTRA_FIELDS = "extra_fields"
 
 
@@ -75,9 +75,8 @@ def read_drops(spark: SparkSession, base_path: str, days: dt.date | Iterable[dt.
 
     A gzip drop is not splittable: one task must decompress it, but that task only splits lines.  The
     lines are rebalanced (adaptive execution sizes the partitions) and parsed in parallel, so a day that
-    holds a third of all rows is parsed by many tasks.  There is one path for any number of files: a line
-    is an object or an array of objects (one row each), a line that is neither keeps its text in
-    ``_corrupt_record``, blank lines are no rows.  Fields the schema lacks are kept in ``extra_fields``.
+    holds a third of all rows is parsed by many tasks.  There is one path for any number of files; blank
+    lines are no rows, all others go through ``parse_lines``.
     """
     days = [days] if isinstance(days, dt.date) else list(days)
     lines = (spark.read.text([layout.path(base_path, d) for d in days])
@@ -85,25 +84,99 @@ def read_drops(spark: SparkSession, base_path: str, days: dt.date | Iterable[dt.
     return parse_lines(lines.hint("rebalance"), schema)
 
 
+_OBJECT, _ARRAY = "map<string,variant>", "array<variant>"
+
+
+def _typed(value: Column, path: str, kind: T.DataType) -> Column:
+    """The value at ``path`` of a VARIANT as ``kind``; NULL where it is missing."""
+    if isinstance(kind, T.StructType):
+        fields = F.struct(*[_typed(value, f"{path}.{f.name}", f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(F.try_variant_get(value, path, _OBJECT).isNotNull(), fields)
+    return F.try_variant_get(value, path, kind.simpleString())
+
+
+# Kinds of JSON values (as ``schema_of_variant`` names them) that a column of a type takes.
+_TAKES = {T.LongType: ["BIGINT"], T.IntegerType: ["BIGINT"], T.BooleanType: ["BOOLEAN"], T.DoubleType: ["BIGINT", "DOUBLE"]}
+
+
+def _mistyped(value: Column, path: str, kind: T.DataType) -> Column:
+    """True when the value at ``path`` is there, not null, and no ``kind``: its text would be lost in the column."""
+    if isinstance(kind, T.StringType):
+        return F.lit(False)
+    here = F.try_variant_get(value, path, "variant")
+    there = here.isNotNull() & ~F.is_variant_null(here)
+    if isinstance(kind, T.StructType):
+        bad = F.try_variant_get(value, path, _OBJECT).isNull()
+        for f in kind.fields:
+            bad = bad | _mistyped(value, f"{path}.{f.name}", f.dataType)
+        return there & bad
+    takes = _TAKES.get(type(kind))
+    if takes is None:
+        return there & F.try_variant_get(value, path, kind.simpleString()).isNull()
+    name = F.schema_of_variant(here)
+    fits = name.isin(takes)
+    if isinstance(kind, T.DoubleType):
+        fits = fits | name.startswith("DECIMAL")
+    if isinstance(kind, T.IntegerType):
+        fits = fits & F.try_variant_get(value, path, "int").isNotNull()
+    return there & ~fits
+
+
+def _unknown(value: Column, path: str, kind: T.StructType) -> Column:
+    """JSON text of the fields at ``path`` that ``kind`` lacks, nested structs included; NULL without any."""
+    fields = F.map_filter(F.try_variant_get(value, path, _OBJECT), lambda k, _: ~k.isin([f.name for f in kind.fields]))
+    own = F.when(F.size(fields) > 0, F.regexp_extract(F.to_json(fields), r"(?s)^\{(.*)\}$", 1))
+    nested = [F.concat(F.lit(f'"{f.name}":'), _unknown(value, f"{path}.{f.name}", f.dataType))
+              for f in kind.fields if isinstance(f.dataType, T.StructType)]
+    inner = F.concat_ws(",", own, *nested)
+    return F.when(inner != "", F.concat(F.lit("{"), inner, F.lit("}")))
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType = RAW_EVENT_WITH_CORRUPT) -> DataFrame:
-    """(value, ...) text lines -> rows of ``schema``, ``extra_fields`` and the other columns."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
+    """(value, ...) text lines -> rows of ``schema``, ``extra_fields`` and the other columns.
+
+    Each line is parsed once, into a VARIANT, and everything is taken from that.  A line is an object or an
+    array of objects (one row each).  Nothing is lost: fields that the schema lacks, at any level, come as
+    JSON in ``extra_fields``; a line with a value that does not fit its column, with text behind its JSON or a
+    repeated field, and one that is no object, keeps its whole text in ``_corrupt_record`` (as one row).
+    JSON is strict: quotes are double, NaN is no number.
+    """
     plain = T.StructType([f for f in schema.fields if f.name != CORRUPT_RECORD])
-    known = [f.name for f in plain.fields]
-    is_array = F.startswith(F.ltrim("value"), F.lit("["))
-    one = F.from_json("value", schema, options)
-    many = F.transform(F.from_json("value", T.ArrayType(plain), options),
-                       lambda r: F.struct(*[(r[f.name] if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]))
-    broken = F.struct(*[(F.col("value") if f.name == CORRUPT_RECORD else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
-    others = T.MapType(T.StringType(), T.StringType())
-    fields = F.when(is_array, F.from_json("value", T.ArrayType(others), options)).otherwise(F.array(F.from_json("value", others, options)))
-    rest = F.transform(fields, lambda m: F.map_filter(m, lambda k, _: ~k.isin(known)))
-    rows = F.when(is_array, F.coalesce(many, F.array(broken))).otherwise(F.array(one))
     kept = [c for c in lines.columns if c != "value"]
-    return (lines.select(rows.alias("_rows"), rest.alias("_rest"), *kept)
-            .select(F.posexplode("_rows").alias("_at", "_r"), "_rest", *kept)
-            .withColumn("_m", F.get("_rest", F.col("_at")))
-            .select("_r.*", F.when(F.size("_m") > 0, F.to_json("_m")).alias(EXTRA_FIELDS), *kept))
+    # In brackets a line with text behind its value does not parse, and one with two values has two elements.
+    parsed = lines.withColumn("_v", F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))))
+    values = F.try_variant_get("_v", "$", _ARRAY)
+    one = F.when(F.size(values) == 1, F.try_variant_get("_v", "$[0]", "variant"))
+    split = parsed.select("value", *kept, one.alias("_one"))
+    many = F.try_variant_get("_one", "$", _ARRAY)
+
+    def broken(e: Column) -> Column:
+        return F.coalesce(F.try_variant_get(e, "$", _OBJECT).isNull(), F.lit(True)) | _mistyped(e, "$", plain)
+
+    split = split.withColumn("_many", many).withColumn(
+        "_broken", F.when(F.col("_many").isNotNull(), F.exists("_many", broken)).otherwise(F.col("_one").isNull() | broken(F.col("_one"))))
+    elements = F.when(F.col("_many").isNull() | F.col("_broken"), F.array("_one")).otherwise(F.col("_many"))
+    rows = split.select("value", *kept, "_broken", F.explode(elements).alias("_e"))
+    e = F.col("_e")
+    columns = [F.when(F.col("_broken"), F.col("value")).alias(f.name) if f.name == CORRUPT_RECORD else _typed(e, f"$.{f.name}", f.dataType).alias(f.name)
+               for f in schema.fields]
+    extra = F.when(~F.col("_broken"), _unknown(e, "$", plain))
+    return rows.select(*columns, extra.alias(EXTRA_FIELDS), *kept)
+
+
+def field_drift(rows: DataFrame, schema: T.StructType = RAW_EVENT_WITH_CORRUPT) -> DataFrame:
+    """(field, rows, type): fields outside ``schema`` seen in ``extra_fields``, nested ones by their path, with their common type."""
+    structs = [f for f in schema.fields if isinstance(f.dataType, T.StructType)]
+    value = F.parse_json(EXTRA_FIELDS)
+
+    def entries(path: str, prefix: str, leave_out: list[str]) -> Column:
+        found = F.map_filter(F.try_variant_get(value, path, _OBJECT), lambda k, _: ~k.isin(leave_out) if leave_out else F.lit(True))
+        listed = F.transform(F.map_entries(found), lambda x: F.struct(F.concat(F.lit(prefix), x["key"]).alias("field"), x["value"].alias("value")))
+        return F.coalesce(listed, F.from_json(F.lit("[]"), "array<struct<field:string,value:variant>>"))
+
+    every = F.concat(entries("$", "", [f.name for f in structs]), *[entries(f"$.{f.name}", f"{f.name}.", []) for f in structs])
+    listed = rows.filter(F.col(EXTRA_FIELDS).isNotNull()).select(F.inline(every))
+    return listed.groupBy("field").agg(F.count(F.lit(1)).alias("rows"), F.schema_of_variant_agg("value").alias("type"))
 
 
 def read_directories(spark: SparkSession, root: str, patterns: list[str], schema: T.StructType | None = None) -> DataFrame:

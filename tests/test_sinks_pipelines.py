@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clicklake.operators import sessionize, validate
 from clicklake.plans import bronze as bronze_plan
 from clicklake.plans import silver as silver_plan
-from clicklake.schemas import SILVER_USER_ACTIONS
+from clicklake.schemas import RAW_EVENT_WITH_CORRUPT, SILVER_USER_ACTIONS
 from clicklake.sinks import merge, writers
 from clicklake.sources import readers
 from tests.helpers import bronze_df, ms, ts
@@ -213,7 +213,7 @@ def test_gated_batch_equals_day_by_day_with_a_failing_day(spark, tmp_dir):
 
 
 def test_drops_parse_like_the_json_reader(spark, tmp_dir):
-    """Objects, arrays of objects, blank, broken and trailing text: the rows of the plain reader for any file."""
+    """Objects, arrays of objects, blank and broken lines: the rows of the plain reader for any file."""
     src = os.path.join(tmp_dir, "src")
     day = dt.date(2024, 1, 2)
     pair = "[" + ", ".join(json.dumps(_event(x, "u", "video_start", 5)) for x in ("a1", "a2")) + "]"
@@ -234,7 +234,7 @@ def test_landing_keeps_bad_lines_and_new_fields(spark, tmp_dir):
     _write_drop(src, day, [_event("1", "u", "video_start", 0), extra, "{bad"])
     bronze_plan.land_daily(spark, src, out, day, gate=False)
     rows = {r.event_id: r.extra_fields for r in spark.read.parquet(out).collect()}
-    assert rows == {"1": None, "2": '{"new_field":"{\\"x\\":1}"}'}
+    assert rows == {"1": None, "2": '{"new_field":{"x":1}}'}
     assert [(r.line, r.process_date) for r in spark.read.parquet(out + "_bad_lines").collect()] == [("{bad", day)]
     # A corrected drop leaves no bad line behind, and no late day of the first run.
     _write_drop(src, day, [_event("1", "u", "video_start", 0)])
@@ -453,3 +453,30 @@ def test_threads_keep_their_own_staging_scopes(spark):
 
     with ThreadPoolExecutor(2) as pool:
         assert list(pool.map(job, range(2))) == [True, 2]
+
+
+def test_landing_loses_nothing(spark, tmp_dir):
+    """Nested unknown fields, values that do not fit, elements of arrays, text behind a line, repeated fields."""
+    whole = ['{"event_id":"1","geo_location":{"country":"IN","asn":5,"x":{"y":[1]}},"new":null,"a.b":"q"}',
+             '[{"event_id":"2","timestamp":7},{"event_id":"3","metadata":{"revenue":1,"dropout":true,"position":null}}]',
+             '{"event_id":4,"metadata":null,"session_id":{"k":1}}', "[]"]
+    broken = ['[{"event_id":"2"},{"event_id":"2","timestamp":"oops"}]', '{"event_id":"5","timestamp":"oops"}', '{"event_id":"6","timestamp":1.5}',
+              '{"event_id":"7","geo_location":"IN"}', '{"event_id":"8","metadata":{"dropout":"yes"}}', '{"event_id":"9"} tail', '{"event_id":"9"}{"b":1}',
+              '{"event_id":"9"},{"event_id":"9"}', '{"event_id":"9","event_id":"10"}', "[1]", "[null]", "null", "7", '{"timestamp":12345678901234567890}']
+    lines = spark.createDataFrame([(x,) for x in whole + broken], "value string")
+    rows = readers.parse_lines(lines).collect()
+    assert sorted(r._corrupt_record for r in rows if r._corrupt_record) == sorted(broken)
+    good = {r.event_id: r for r in rows if not r._corrupt_record}
+    assert set(good) == {"1", "2", "3", "4"} and good["2"].timestamp == 7 and good["3"].metadata.revenue == 1.0 and good["3"].metadata.dropout
+    assert json.loads(good["1"].extra_fields) == {"geo_location": {"asn": 5, "x": {"y": [1]}}, "new": None, "a.b": "q"}
+    assert good["1"].geo_location.country == "IN" and good["4"].metadata is None and good["4"].session_id == '{"k":1}'
+    assert [good[i].extra_fields for i in "234"] == [None] * 3
+    drift = {r.field: (r.rows, r.type) for r in readers.field_drift(readers.parse_lines(lines)).collect()}
+    assert drift == {"geo_location.asn": (1, "BIGINT"), "geo_location.x": (1, "OBJECT<y: ARRAY<BIGINT>>"), "new": (1, "VOID"), "a.b": (1, "STRING")}
+    plan = readers.parse_lines(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_parse_json") + plan.count("parse_json(") <= 2 and "from_json" not in plan
+    # What the plain reader flags is flagged here too.
+    folder = f"{tmp_dir}/plain"
+    lines.coalesce(1).write.text(folder)
+    flagged = {r._corrupt_record for r in spark.read.schema(RAW_EVENT_WITH_CORRUPT).json(folder).collect() if r._corrupt_record}
+    assert flagged <= set(broken)
