@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 
-def within(a: str, b: str, most: int) -> bool:
-    """True when at most ``most`` inserted, deleted or replaced code points turn ``a`` into ``b``.
+def within(a, b, most: int) -> bool:
+    """True when at most ``most`` inserted, deleted or replaced items (code points, words) turn ``a`` into ``b``.
 
     Common ends are cut off; over the rest one bit vector holds the ``2 * most + 1`` diagonals around the
     main one, and a column costs a constant number of operations on it, whatever the length.
@@ -25,14 +25,14 @@ def within(a: str, b: str, most: int) -> bool:
     return _band(a, b, most) <= most
 
 
-def _band(a: str, b: str, most: int) -> int:
+def _band(a, b, most: int) -> int:
     """Distance if at most ``most``, else a larger number; ``len(a) >= len(b)`` and ``len(a) > most``.
 
     Bit ``width - 1`` stands for row ``column + most`` of the band, lower bits for the rows above it.
     """
     width = 2 * most + 2
     full, top, below = (1 << width) - 1, 1 << (width - 1), 1 << (width - 2)
-    rows: dict[str, int] = {}
+    rows: dict = {}
     for i, c in enumerate(a):
         rows[c] = rows.get(c, 0) | 1 << (i + width)
     up, down = (full << (width - most - 1)) & full, 0  # vertical +1 and -1 steps

@@ -1,43 +1,60 @@
-"""Line dedup by a segment-partition edit join.
+"""Line dedup by a segment-partition edit join over words.
 
-A line of at least ``MIN_CHARS`` code points is dropped when an equal line, or one within
-``MAX_EDITS`` edits, occurs earlier in the corpus (by id, then line number).  Blank and shorter lines stay.
+A line of at least ``MIN_CHARS`` code points is dropped when an equal line, or one within ``allowed(words)``
+word edits, occurs earlier in the corpus (by id, then line number).  Blank and shorter lines stay.  The
+threshold grows with the shorter line: one inserted, deleted or replaced word from ``MIN_FUZZY_WORDS`` words on,
+one more for every ``EDIT_EVERY``, at most ``MAX_EDITS``; lines of fewer words must be equal.
 
 1. Every line is reduced to a 128-bit hash; the first occurrence of each distinct line is an aggregate
    (pre-aggregated, so a line that a third of all documents share costs one row a task).
-2. A line is split into ``MAX_EDITS + 1`` segments.  Two lines within that many edits share a segment
-   at nearly the same place: the shorter one's segments are its *index* rows, and the longer one probes
-   the substrings that its own length, the shorter length and the edits left on either side allow (the
-   multi-match-aware window).  Both travel as (64-bit key, line hash); texts stay where they are.
-   Copies of a line with over ``HOT_COPIES`` occurrences send only the first one's rows.
-3. Index and probe rows meet in a join on the key.  Different line hashes that meet, and whose counts of
-   characters by class are no further apart than the edits allow, are candidates; the texts of candidates
-   alone are fetched and verified by banded bit-parallel edit distance.
-4. The line numbers that stay are gathered per document (from first occurrences, so without a hot key)
+2. A line of ``m`` words is split into ``allowed(m) + 1`` segments.  Two lines within the threshold share a
+   segment of the shorter one at nearly the same place: its segments are its *index* rows, and the longer one
+   probes the substrings that its own length, the shorter length and the edits left on either side allow
+   (the multi-match-aware window).  Keys of all substrings come from prefix sums of word hashes, a whole batch at a
+   time.  Rows are (64-bit key, line hash, packed counts); texts stay where they are.  Copies of a line with
+   over ``HOT_COPIES`` occurrences send only the first one's rows.
+3. The rows are exchanged by key once.  Keys that a single line holds are dropped; the others are staged with
+   the key's *hub*, the line of most copies.  A line needs one earlier match, not all: round one pairs every
+   line with the hubs of its keys (one pair a row), which settles families of copies of one line.  Round two
+   pairs the lines that are still kept with all lines of their keys, so nothing is missed.
+4. Pairs must agree in length and in counts of words by class as far as the edits allow; the texts of what is
+   left are fetched and verified by banded bit-parallel edit distance over words.
+5. The line numbers that stay are gathered per document (from first occurrences, so without a hot key)
    and applied in one map.
 """
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from xxhash import xxh3_64_intdigest
 
 from .common import broadcast_if_small, fresh, slices, stage, text_of
 from .edit_distance import within
+from .shingles import _HASHES, _mixed
 
-MAX_EDITS = 2
 MIN_CHARS = 12
-# Shorter lines must be equal to count as copies: two edits would be a large part of them.
-MIN_FUZZY_CHARS = 30
+MIN_FUZZY_WORDS = 4
+EDIT_EVERY = 24
+MAX_EDITS = 4
 HOT_COPIES = 64
+_RADIX = 0x9E3779B97F4A7C15
+_INVERSE = pow(_RADIX, -1, 1 << 64)
+
+
+def allowed(words: int) -> int:
+    """Word edits within which a line of so many words counts as a copy of one with as many or more."""
+    return min(1 + words // EDIT_EVERY, MAX_EDITS) if words >= MIN_FUZZY_WORDS else 0
+
+
+def words_of(line: str) -> list[bytes]:
+    """Words as the runs without ``[\\x20\\x09-\\x0D]``."""
+    return line.encode("utf-8", "surrogatepass").split()
 
 
 def _doc_key(id_col: str, text_col: str) -> Column:
@@ -53,7 +70,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _segments(n: int, parts: int) -> list[tuple[int, int]]:
-    """(start, length) of the even parts of ``n`` code points, longer ones last."""
+    """(start, length) of the even parts of ``n`` words, longer ones last."""
     size, longer = divmod(n, parts)
     out, at = [], 0
     for i in range(parts):
@@ -63,63 +80,88 @@ def _segments(n: int, parts: int) -> list[tuple[int, int]]:
     return out
 
 
-def _key(line: bytes, at: int, length: int, part: int, n: int) -> int:
-    """64-bit key of a substring (of a UTF-32 line) as segment ``part`` of a line of ``n`` code points."""
-    return xxh3_64_intdigest(line[4 * at:4 * (at + length)], seed=n * 64 + part)
-
-
-def index_keys(line: str, most: int = MAX_EDITS) -> list[int]:
-    """Keys of the line's own segments."""
-    wide, n = line.encode("utf-32-le", "surrogatepass"), len(line)
-    return [_key(wide, at, size, i, n) for i, (at, size) in enumerate(_segments(n, most + 1))]
-
+@lru_cache(maxsize=20_000)
+def _template(n: int) -> np.ndarray:
+    """Columns (start, size, segment and shorter length, is index) of all rows of a line of ``n`` words.
 
-def probe_keys(line: str, most: int = MAX_EDITS) -> list[int]:
-    """Keys of the substrings that may be a segment of a line up to ``most`` shorter.
-
-    For a line ``gap`` shorter and its segment ``i``, at most ``i`` edits lie before the segment and
-    ``most - i`` after it, which bounds where the segment can start here.
+    For a line ``gap`` shorter and its segment ``i``, at most ``i`` edits lie before the segment and the others
+    after it, which bounds where the segment can start here.  A probe that equals the own index row is left out.
     """
-    wide, n, out = line.encode("utf-32-le", "surrogatepass"), len(line), []
-    for gap in range(most + 1):
-        for i, (start, size) in enumerate(_segments(n - gap, most + 1)):
+    rows = [(start, size, n * 8 + i, 1) for i, (start, size) in enumerate(_segments(n, allowed(n) + 1))] if allowed(n) else []
+    for gap in range(MAX_EDITS + 1):
+        m, most = n - gap, allowed(max(n - gap, 0))
+        if not most or gap > most:
+            continue
+        for i, (start, size) in enumerate(_segments(m, most + 1)):
             lo, hi = max(start - i, start + gap - (most - i), 0), min(start + i, start + gap + most - i, n - size)
-            out += [_key(wide, at, size, i, n - gap) for at in range(lo, hi + 1)]
-    return out
-
+            rows += [(at, size, m * 8 + i, 0) for at in range(lo, hi + 1) if gap or at != start]
+    return np.array(rows, np.int64).reshape(-1, 4)
 
-def bags(lines: list[str]) -> np.ndarray:
-    """Per line, how often its code points fall in each of 8 classes: eight 4-bit counts, modulo 16."""
-    wide = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4") for x in lines]
-    owner = np.repeat(np.arange(len(lines)), [len(w) for w in wide])
-    classes = (np.concatenate(wide) & 7) if wide else np.empty(0, np.int64)
-    counts = np.bincount(owner * 8 + classes, minlength=8 * len(lines)).reshape(-1, 8) & 15
-    return (counts.astype(np.uint32) << np.arange(0, 32, 4, dtype=np.uint32)).sum(1, dtype=np.uint32).view(np.int32)
 
+def _powers(base: int, count: int) -> np.ndarray:
+    out = np.full(count, base, np.uint64)
+    if count:
+        out[0] = 1
+    return np.multiply.accumulate(out)
 
-def _bag_distance(a: str, b: str) -> Column:
-    """Sum over the classes of how far two counts are apart; an edit adds 2 at most."""
-    def apart(i: int) -> Column:
-        x, y = (F.shiftrightunsigned(F.col(c), 4 * i).bitwiseAND(15) for c in (a, b))
-        return F.least((x - y).bitwiseAND(15), (y - x).bitwiseAND(15))
-
-    return reduce(lambda p, q: p + q, [apart(i) for i in range(8)])
 
+def key_rows(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(line number, key, is index, classes per line) of all index and probe rows of some lines.
 
-def _keyed(keys_of, most: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 4096):
-            lines = batch.column(1).to_pylist()
-            keys, counts = array("Q"), []
-            for line in lines:
-                own = keys_of(line, most)
-                keys.extend(own)
-                counts.append(len(own))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(keys, np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), counts)),
-                 pa.array(np.repeat(bags(lines), counts))], ["_key", "_h", "_bag"])
+    The hash of a substring is a difference of prefix sums over word hashes, moved to the origin by a power
+    of the inverse radix, so that all substrings of a batch cost a few array operations.
+    """
+    counts = np.array([len(w) for w in lines], np.int64)
+    hashes = np.fromiter((_HASHES[w] for line in lines for w in line), np.uint64, int(counts.sum()))
+    owner = np.repeat(np.arange(len(lines)), counts)
+    classes = np.bincount(owner * 8 + (hashes & np.uint64(7)).astype(np.int64), minlength=8 * len(lines)).reshape(-1, 8) & 15
+    bags = (classes.astype(np.int64) << np.arange(0, 32, 4)).sum(1)
+    sums = np.r_[np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_RADIX, len(hashes)), dtype=np.uint64)]
+    back = _powers(_INVERSE, len(hashes) + 1)
+    base = np.cumsum(counts) - counts
+    number, key, index = [], [], []
+    for n in np.unique(counts).tolist():
+        form = _template(n)
+        if not len(form):
+            continue
+        rows = np.flatnonzero(counts == n)
+        at = base[rows][:, None] + form[:, 0]
+        found = (sums[at + form[:, 1]] - sums[at]) * back[at]
+        key.append(_mixed(found ^ _mixed((form[:, 2] * 2 + 1).astype(np.uint64))).ravel())
+        number.append(np.repeat(rows, len(form)))
+        index.append(np.tile(form[:, 3], len(rows)))
+    if not key:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), bags
+    return np.concatenate(number), np.concatenate(key), np.concatenate(index), bags
+
+
+# The packed counts of a row: bag (32 bits), log of the copies (6), words (23) and whether it is an index row (1).
+_MOST_WORDS = (1 << 23) - 1
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 4096):
+        lines = [words_of(x) for x in batch.column(1).to_pylist()]
+        number, key, index, bags = key_rows(lines)
+        copies = np.log2(np.maximum(batch.column(2).to_numpy(), 1)).astype(np.int64)
+        counts = np.minimum([len(x) for x in lines], _MOST_WORDS).astype(np.int64)
+        packed = ((bags << 30) | (copies << 24) | (counts << 1))[number] | index
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(batch.column(0).to_numpy()[number]), pa.array(packed)],
+                                         ["_key", "_h", "_packed"])
+
+
+def _words(packed: Column) -> Column:
+    return F.shiftright(packed, 1).bitwiseAND(F.lit(_MOST_WORDS))
+
+
+def _near_counts(a: Column, b: Column) -> Column:
+    """True when word counts, and counts of words by class (an edit adds 2 at most), are as close as the edits allow."""
+    def apart(i: int) -> Column:
+        x, y = (F.shiftrightunsigned(c, 30 + 4 * i).bitwiseAND(F.lit(15)) for c in (a, b))
+        return F.least((x - y).bitwiseAND(F.lit(15)), (y - x).bitwiseAND(F.lit(15)))
 
-    return run
+    most = F.least(1 + F.floor(F.least(_words(a), _words(b)) / EDIT_EVERY), F.lit(MAX_EDITS))
+    return (F.abs(_words(a) - _words(b)) <= most) & (reduce(lambda p, q: p + q, [apart(i) for i in range(8)]) <= 2 * most)
 
 
 def first_lines(lines: DataFrame) -> DataFrame:
@@ -127,63 +169,87 @@ def first_lines(lines: DataFrame) -> DataFrame:
     return lines.groupBy("_h1", "_h2").agg(F.min(F.struct("_doc", "_no")).alias("_first"), F.count(F.lit(1)).alias("_copies"))
 
 
-def candidates(lines: DataFrame, firsts: DataFrame, most: int = MAX_EDITS) -> DataFrame:
-    """(a, b), a < b: hashes of different lines that share a segment."""
-    hot = stage(firsts.filter(F.col("_copies") > HOT_COPIES).select("_h1", "_first"), "hot-lines")
-    n = F.length("_line")
-    sent = (lines.filter(n >= MIN_FUZZY_CHARS).join(broadcast_if_small(hot), "_h1", "left")
+def shared_keys(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Staged rows (_key, _h, _packed, _hub, _hub_packed) of the keys that two lines or more hold."""
+    hot = stage(firsts.filter(F.col("_copies") > HOT_COPIES).select("_h1", "_first", "_copies"), "hot-lines")
+    sent = (lines.join(broadcast_if_small(hot), "_h1", "left")
             .filter(F.col("_first").isNull() | (F.col("_first") == F.struct("_doc", "_no"))))
-    rows = sent.select("_h1", "_line")
-    schema = "_key long, _h long, _bag int"
-    left = rows.mapInArrow(_keyed(index_keys, most), schema).select("_key", F.col("_h").alias("_a"), F.col("_bag").alias("_bag_a"))
-    right = rows.mapInArrow(_keyed(probe_keys, most), schema).select("_key", F.col("_h").alias("_b"), F.col("_bag").alias("_bag_b"))
-    # Lines whose character counts differ by more than the edits can change are no candidates.
-    met = left.join(right, (left["_key"] == right["_key"]) & (F.col("_a") != F.col("_b")) & (_bag_distance("_bag_a", "_bag_b") <= 2 * most))
+    rows = sent.select("_h1", "_line", F.coalesce("_copies", F.lit(1)).alias("_copies")).mapInArrow(_keyed, "_key long, _h long, _packed long")
+    w = Window.partitionBy("_key")
+    copies = F.shiftright("_packed", 24).bitwiseAND(F.lit(63))
+    grouped = rows.withColumns({"_low": F.min("_h").over(w), "_high": F.max("_h").over(w), "_indexed": F.max(F.col("_packed").bitwiseAND(F.lit(1))).over(w),
+                                "_best": F.max(F.struct(copies.alias("c"), "_h", "_packed")).over(w)})
+    return stage(grouped.filter((F.col("_low") < F.col("_high")) & (F.col("_indexed") == 1))
+                 .select("_key", "_h", "_packed", F.col("_best._h").alias("_hub"), F.col("_best._packed").alias("_hub_packed")), "line-keys")
+
+
+def hub_pairs(shared: DataFrame) -> DataFrame:
+    """(a, b), a < b: every line with the hubs of its keys."""
+    near = shared.filter((F.col("_h") != F.col("_hub")) & _near_counts(F.col("_packed"), F.col("_hub_packed")))
+    return near.select(F.least("_h", "_hub").alias("a"), F.greatest("_h", "_hub").alias("b")).distinct()
+
+
+def kept_pairs(shared: DataFrame, dropped: DataFrame) -> DataFrame:
+    """(a, b), a < b: every line that is not ``dropped`` (_h1) with all lines that share a key, one of them as index."""
+    dropped = broadcast_if_small(dropped)
+    left = shared.join(dropped, F.col("_h") == dropped["_h1"], "left_anti").select("_key", F.col("_h").alias("_a"), F.col("_packed").alias("_pa"))
+    right = shared.select("_key", F.col("_h").alias("_b"), F.col("_packed").alias("_pb"))
+    met = left.join(right, (left["_key"] == right["_key"]) & (F.col("_a") != F.col("_b"))
+                    & (F.col("_pa").bitwiseOR(F.col("_pb")).bitwiseAND(F.lit(1)) == 1) & _near_counts(F.col("_pa"), F.col("_pb")))
     return met.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
 
 
-def _verify(most: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = [within(x, y, most) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            kept = batch.filter(pa.array(ok, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ok = []
+        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            x, y = words_of(x), words_of(y)
+            most = allowed(min(len(x), len(y)))
+            ok.append(most > 0 and within(x, y, most))
+        kept = batch.filter(pa.array(ok, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
 
-    return run
 
-
-def similar_lines(lines: DataFrame, firsts: DataFrame, most: int = MAX_EDITS) -> DataFrame:
-    """(a, b): hashes of different lines within ``most`` edits."""
-    pairs = stage(candidates(lines, firsts, most), "line-pairs")
+def similar_lines(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b): those of ``pairs`` whose texts are within the threshold."""
+    pairs = stage(pairs, "line-pairs")
     wanted = stage(pairs.select(F.col("a").alias("_h1")).union(pairs.select("b")).distinct(), "line-hashes")
     texts = stage(lines.select("_h1", "_line").join(broadcast_if_small(wanted), "_h1", "left_semi").groupBy("_h1").agg(F.min("_line").alias("_line")), "line-texts")
     both = (pairs.join(texts.select(F.col("_h1").alias("a"), F.col("_line").alias("_x")), "a")
             .join(texts.select(F.col("_h1").alias("b"), F.col("_line").alias("_y")), "b").select("a", "b", "_x", "_y"))
-    return both.mapInArrow(_verify(most), "a long, b long")
+    return both.mapInArrow(_verify, "a long, b long")
 
 
-def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_EDITS) -> DataFrame:
-    """(_doc, _kept): numbers of the lines that stay, of those that may be dropped."""
-    lines = _lines(docs, id_col, text_col)
-    firsts = stage(first_lines(lines), "first-lines")
-    similar = stage(similar_lines(lines, firsts, most), "similar-lines")
+def _later(similar: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(_h1): of each pair the line that occurs first at the later place."""
     place = firsts.select("_h1", "_first")
     placed = (similar.join(place.select(F.col("_h1").alias("a"), F.col("_first").alias("_at_a")), "a")
               .join(place.select(F.col("_h1").alias("b"), F.col("_first").alias("_at_b")), "b"))
-    later = stage(placed.select(F.when(F.col("_at_a") < F.col("_at_b"), F.col("b")).otherwise(F.col("a")).alias("_h1")).distinct(), "later-lines")
-    stay = firsts.join(later, "_h1", "left_anti")
+    return stage(placed.select(F.when(F.col("_at_a") < F.col("_at_b"), F.col("b")).otherwise(F.col("a")).alias("_h1")).distinct(), "later-lines")
+
+
+def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(_doc, _kept): numbers of the lines that stay, of those that may be dropped."""
+    lines = _lines(docs, id_col, text_col)
+    firsts = stage(first_lines(lines), "first-lines")
+    shared = shared_keys(lines, firsts)
+    copies = _later(similar_lines(lines, hub_pairs(shared)), firsts)
+    others = _later(similar_lines(lines, kept_pairs(shared, copies)), firsts)
+    stay = firsts.join(copies.union(others).distinct(), "_h1", "left_anti")
     return stay.select("_first._doc", "_first._no").groupBy("_doc").agg(F.collect_list("_no").alias("_kept"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_EDITS,
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 count_col: str | None = None, with_counts: bool = True) -> DataFrame:
     """``docs`` with the dropped lines cut out of ``text_col``, plus lines and dropped_lines counts.
 
-    All rows and columns stay; a text may become empty, NULL stays NULL.  Rows of one id and one text
+    All rows and columns stay; a text may become empty, NULL stays NULL, an empty table stays empty, texts and
+    lines may be of any length.  Of lines at one place of the order (rows of one id and one text) none counts
+    as the earlier one.  Rows of one id and one text
     are one document and keep the same lines.  ``count_col`` names a column to set to the new length;
     the counts are left out without ``with_counts``, and get underscores before a name already taken.
     """
-    kept = stage(kept_lines(docs, id_col, text_col, most), "kept-lines")
+    kept = stage(kept_lines(docs, id_col, text_col), "kept-lines")
     at = docs.columns.index(text_col)
     counted = docs.columns.index(count_col) if count_col else -1
     width, key, numbers_col = len(docs.columns), fresh(docs, "_key"), fresh(docs, "_kept")
