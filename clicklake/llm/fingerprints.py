@@ -123,19 +123,22 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     The replacement is the head of the next document in id order (NULL id first; after the last comes
     the first; a single document follows itself).  Columns: ``id_col``, n_chars, edited_sha256,
-    fingerprint, edited_fingerprint, near_edited, near_next.  An id that occurs in several rows is one
-    document, the row with the smallest text standing for it.  NULL text is empty.  Other columns are
-    not read.
+    fingerprint, edited_fingerprint, near_edited, near_next.  Every row is a document: rows of one id (or
+    without id) follow each other by a hash of the text, equal rows directly.  NULL text is empty.  Other
+    columns are not read.
 
     Texts are shuffled once, on the id, with their fingerprint; both readers (the document, and the head
     it lends to its predecessor) share that exchange.  Heads and hash sets are the only other rows moved.
     """
-    slim = docs.select(F.struct(F.col(id_col).alias("id")).alias("_key"), text_of(text_col).alias("_text"))
+    text = text_of(text_col)
+    slim = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash")).alias("_key"), text.alias("_text"))
     ids = stage(slim.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"), F.min(F.length("_text").cast("long")).alias("_n")), "ids")
-    if not ids.filter("_rows > 1").isEmpty():
-        slim = slim.groupBy("_key").agg(F.min("_text").alias("_text"))
-        ids = slim.select("_key", F.length("_text").cast("long").alias("_n"))
     order = stage(_predecessors(ids.select("_key", "_n")), "predecessors")
+    again = ids.filter("_rows > 1")
+    if not again.isEmpty():
+        # Of equal rows all but the last are followed by themselves.
+        slim = slim.groupBy("_key").agg(F.min("_text").alias("_text"))
+        order = order.union(again.select("_key", F.col("_key").alias("_prev"), F.col("_n").alias("_prev_n"), F.explode(F.sequence(F.lit(2), F.col("_rows")))).drop("col"))
     rows = slim.withColumn("_fp", selected(F.col("_text"), k, w))
     heads = rows.join(order, "_key").select(
         F.col("_prev").alias("_key"), F.substring(F.col("_text"), F.lit(1), F.floor(F.col("_prev_n") / 4).cast("int")).alias("_head"),

@@ -13,12 +13,12 @@ one more for every ``EDIT_EVERY``, at most ``MAX_EDITS``; lines of fewer words m
    (the multi-match-aware window).  Keys of all substrings come from prefix sums of word hashes, a whole batch at a
    time.  Rows are (64-bit key, line hash, packed counts); texts stay where they are.  Copies of a line with
    over ``HOT_COPIES`` occurrences send only the first one's rows.
-3. The rows are exchanged by key once.  Keys that a single line holds are dropped; the others are staged with
-   the key's *hub*, the line of most copies.  A line needs one earlier match, not all: round one pairs every
-   line with the hubs of its keys (one pair a row), which settles families of copies of one line.  Round two
-   pairs the lines that are still kept with all lines of their keys, so nothing is missed.
-4. Pairs must agree in length and in counts of words by class as far as the edits allow; the texts of what is
-   left are fetched and verified by banded bit-parallel edit distance over words.
+3. The rows are exchanged by key once.  Keys that a single line holds are dropped; the others are staged.  The key's
+   *hub* is, the line of most copies.  A line needs one earlier match, not all: hub rounds pair every
+   line still kept with the hubs of its keys (one pair a row), which settles families of copies of one line.  The
+   last round pairs the lines that are kept after that with all lines of their keys, so nothing is missed.
+4. Pairs must agree in length and in a parity sketch of their words (40 bits, of which an edit flips two at
+   most); the texts of what is left are fetched and verified by banded bit-parallel edit distance over words.
 5. The line numbers that stay are gathered per document (from first occurrences, so without a hot key)
    and applied in one map.
 """
@@ -40,9 +40,13 @@ from .shingles import _HASHES, _mixed
 
 MIN_CHARS = 12
 MIN_FUZZY_WORDS = 4
-EDIT_EVERY = 24
-MAX_EDITS = 4
+EDIT_EVERY = 48
+MAX_EDITS = 3
 HOT_COPIES = 64
+# Rounds that pair lines with the hubs of their keys before the lines still kept meet all others.
+HUB_ROUNDS = 2
+# Bits of a line's sketch: bit ``hash % SKETCH_BITS`` is the parity of the words that fall on it.
+SKETCH_BITS = 40
 _RADIX = 0x9E3779B97F4A7C15
 _INVERSE = pow(_RADIX, -1, 1 << 64)
 
@@ -106,7 +110,7 @@ def _powers(base: int, count: int) -> np.ndarray:
 
 
 def key_rows(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(line number, key, is index, classes per line) of all index and probe rows of some lines.
+    """(line number, key, is index, word sketch per line) of all index and probe rows of some lines.
 
     The hash of a substring is a difference of prefix sums over word hashes, moved to the origin by a power
     of the inverse radix, so that all substrings of a batch cost a few array operations.
@@ -114,8 +118,8 @@ def key_rows(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     counts = np.array([len(w) for w in lines], np.int64)
     hashes = np.fromiter((_HASHES[w] for line in lines for w in line), np.uint64, int(counts.sum()))
     owner = np.repeat(np.arange(len(lines)), counts)
-    classes = np.bincount(owner * 8 + (hashes & np.uint64(7)).astype(np.int64), minlength=8 * len(lines)).reshape(-1, 8) & 15
-    bags = (classes.astype(np.int64) << np.arange(0, 32, 4)).sum(1)
+    odd = np.bincount(owner * SKETCH_BITS + (hashes % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS * len(lines)) & 1
+    sketches = (odd.reshape(-1, SKETCH_BITS) << np.arange(SKETCH_BITS)).sum(1)
     sums = np.r_[np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_RADIX, len(hashes)), dtype=np.uint64)]
     back = _powers(_INVERSE, len(hashes) + 1)
     base = np.cumsum(counts) - counts
@@ -131,21 +135,21 @@ def key_rows(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarr
         number.append(np.repeat(rows, len(form)))
         index.append(np.tile(form[:, 3], len(rows)))
     if not key:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), bags
-    return np.concatenate(number), np.concatenate(key), np.concatenate(index), bags
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), sketches
+    return np.concatenate(number), np.concatenate(key), np.concatenate(index), sketches
 
 
-# The packed counts of a row: bag (32 bits), log of the copies (6), words (23) and whether it is an index row (1).
-_MOST_WORDS = (1 << 23) - 1
+# What a row packs into 64 bits: sketch (40), log of the copies (6), words (17) and whether it is an index row (1).
+_MOST_WORDS = (1 << 17) - 1
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 4096):
         lines = [words_of(x) for x in batch.column(1).to_pylist()]
-        number, key, index, bags = key_rows(lines)
+        number, key, index, sketches = key_rows(lines)
         copies = np.log2(np.maximum(batch.column(2).to_numpy(), 1)).astype(np.int64)
         counts = np.minimum([len(x) for x in lines], _MOST_WORDS).astype(np.int64)
-        packed = ((bags << 30) | (copies << 24) | (counts << 1))[number] | index
+        packed = ((sketches << 24) | (copies << 18) | (counts << 1))[number] | index
         yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(batch.column(0).to_numpy()[number]), pa.array(packed)],
                                          ["_key", "_h", "_packed"])
 
@@ -155,13 +159,10 @@ def _words(packed: Column) -> Column:
 
 
 def _near_counts(a: Column, b: Column) -> Column:
-    """True when word counts, and counts of words by class (an edit adds 2 at most), are as close as the edits allow."""
-    def apart(i: int) -> Column:
-        x, y = (F.shiftrightunsigned(c, 30 + 4 * i).bitwiseAND(F.lit(15)) for c in (a, b))
-        return F.least((x - y).bitwiseAND(F.lit(15)), (y - x).bitwiseAND(F.lit(15)))
-
+    """True when word counts and sketches (an edit flips 2 bits at most) are as close as the edits allow."""
     most = F.least(1 + F.floor(F.least(_words(a), _words(b)) / EDIT_EVERY), F.lit(MAX_EDITS))
-    return (F.abs(_words(a) - _words(b)) <= most) & (reduce(lambda p, q: p + q, [apart(i) for i in range(8)]) <= 2 * most)
+    flipped = F.bit_count(F.shiftrightunsigned(a.bitwiseXOR(b), 24))
+    return (F.abs(_words(a) - _words(b)) <= most) & (flipped <= 2 * most)
 
 
 def first_lines(lines: DataFrame) -> DataFrame:
@@ -176,23 +177,29 @@ def shared_keys(lines: DataFrame, firsts: DataFrame) -> DataFrame:
             .filter(F.col("_first").isNull() | (F.col("_first") == F.struct("_doc", "_no"))))
     rows = sent.select("_h1", "_line", F.coalesce("_copies", F.lit(1)).alias("_copies")).mapInArrow(_keyed, "_key long, _h long, _packed long")
     w = Window.partitionBy("_key")
-    copies = F.shiftright("_packed", 24).bitwiseAND(F.lit(63))
-    grouped = rows.withColumns({"_low": F.min("_h").over(w), "_high": F.max("_h").over(w), "_indexed": F.max(F.col("_packed").bitwiseAND(F.lit(1))).over(w),
-                                "_best": F.max(F.struct(copies.alias("c"), "_h", "_packed")).over(w)})
-    return stage(grouped.filter((F.col("_low") < F.col("_high")) & (F.col("_indexed") == 1))
-                 .select("_key", "_h", "_packed", F.col("_best._h").alias("_hub"), F.col("_best._packed").alias("_hub_packed")), "line-keys")
+    grouped = rows.withColumns({"_low": F.min("_h").over(w), "_high": F.max("_h").over(w), "_indexed": F.max(F.col("_packed").bitwiseAND(F.lit(1))).over(w)})
+    return stage(grouped.filter((F.col("_low") < F.col("_high")) & (F.col("_indexed") == 1)).select("_key", "_h", "_packed"), "line-keys")
+
 
+def _without(shared: DataFrame, dropped: DataFrame | None) -> DataFrame:
+    if dropped is None:
+        return shared
+    dropped = broadcast_if_small(dropped)
+    return shared.join(dropped, F.col("_h") == dropped["_h1"], "left_anti")
 
-def hub_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b), a < b: every line with the hubs of its keys."""
-    near = shared.filter((F.col("_h") != F.col("_hub")) & _near_counts(F.col("_packed"), F.col("_hub_packed")))
+
+def hub_pairs(shared: DataFrame, dropped: DataFrame | None = None) -> DataFrame:
+    """(a, b), a < b: every line that is not ``dropped`` (_h1) with the hubs of its keys."""
+    copies = F.shiftrightunsigned("_packed", 18).bitwiseAND(F.lit(63))
+    best = F.max(F.struct(copies.alias("c"), "_h", "_packed")).over(Window.partitionBy("_key"))
+    hubs = _without(shared, dropped).withColumn("_best", best).select("_h", "_packed", F.col("_best._h").alias("_hub"), F.col("_best._packed").alias("_hub_packed"))
+    near = hubs.filter((F.col("_h") != F.col("_hub")) & _near_counts(F.col("_packed"), F.col("_hub_packed")))
     return near.select(F.least("_h", "_hub").alias("a"), F.greatest("_h", "_hub").alias("b")).distinct()
 
 
 def kept_pairs(shared: DataFrame, dropped: DataFrame) -> DataFrame:
     """(a, b), a < b: every line that is not ``dropped`` (_h1) with all lines that share a key, one of them as index."""
-    dropped = broadcast_if_small(dropped)
-    left = shared.join(dropped, F.col("_h") == dropped["_h1"], "left_anti").select("_key", F.col("_h").alias("_a"), F.col("_packed").alias("_pa"))
+    left = _without(shared, dropped).select("_key", F.col("_h").alias("_a"), F.col("_packed").alias("_pa"))
     right = shared.select("_key", F.col("_h").alias("_b"), F.col("_packed").alias("_pb"))
     met = left.join(right, (left["_key"] == right["_key"]) & (F.col("_a") != F.col("_b"))
                     & (F.col("_pa").bitwiseOR(F.col("_pb")).bitwiseAND(F.lit(1)) == 1) & _near_counts(F.col("_pa"), F.col("_pb")))
@@ -233,9 +240,12 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines = _lines(docs, id_col, text_col)
     firsts = stage(first_lines(lines), "first-lines")
     shared = shared_keys(lines, firsts)
-    copies = _later(similar_lines(lines, hub_pairs(shared)), firsts)
-    others = _later(similar_lines(lines, kept_pairs(shared, copies)), firsts)
-    stay = firsts.join(copies.union(others).distinct(), "_h1", "left_anti")
+    dropped = None
+    for _ in range(HUB_ROUNDS):
+        found = _later(similar_lines(lines, hub_pairs(shared, dropped)), firsts)
+        dropped = found if dropped is None else stage(dropped.union(found).distinct(), "dropped-lines")
+    others = _later(similar_lines(lines, kept_pairs(shared, dropped)), firsts)
+    stay = firsts.join(dropped.union(others).distinct(), "_h1", "left_anti")
     return stay.select("_first._doc", "_first._no").groupBy("_doc").agg(F.collect_list("_no").alias("_kept"))
 
 

@@ -235,8 +235,8 @@ def test_license_lines_are_found(spark, docs):
 
 
 def _line_edits(words):
-    """Stated on its own: one word edit from 4 words on, one more every 24 words, at most 4."""
-    return 0 if words < 4 else min(1 + words // 24, 4)
+    """Stated on its own: one word edit from 4 words on, one more every 48 words, at most 3."""
+    return 0 if words < 4 else min(1 + words // 48, 3)
 
 
 def _plain_distance(a, b):

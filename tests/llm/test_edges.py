@@ -1,5 +1,7 @@
 """Every operator over nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import hashlib
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -64,10 +66,16 @@ def test_many_rows_per_row(spark, messy, empty, name):
         assert out.select("doc_id").distinct().count() == 10
 
 
-def test_edited_fingerprints_are_one_row_per_id(spark, messy, empty):
+def test_edited_fingerprints_are_one_row_per_row(spark, messy, empty):
+    """Rows that share an id, repeated rows and rows without id all stay, each followed by the next row."""
     out = fingerprints.edited_fingerprints(messy)
-    assert out.count() == 10 and fingerprints.edited_fingerprints(empty).count() == 0
+    assert out.count() == len(ROWS) and fingerprints.edited_fingerprints(empty).count() == 0
     assert {r.near_next for r in out.filter("doc_id in (2, 3)").collect()} == {1.0}
+    assert sorted(r.near_next for r in out.filter("doc_id = 5").collect())[-1] == 1.0 and out.filter("doc_id is null").count() == 2
+    twice = spark.createDataFrame([(1, "a b c d e f g h"), (1, "a b c d e f g h"), (1, "x y"), (2, "z")], "doc_id long, text string")
+    rows = fingerprints.edited_fingerprints(twice).collect()
+    assert sorted((r.doc_id, r.n_chars) for r in rows) == [(1, 3), (1, 15), (1, 15), (2, 1)]
+    assert {hashlib.sha256(b"a b c d e f a b").hexdigest()} & {r.edited_sha256 for r in rows}
 
 
 def test_exact_groups(messy):

@@ -29,7 +29,7 @@ def test_stages(spark, tmp_dir):
             assert now == _kept_text(then)
             assert all(r.n_chars == len(r.text) for r in after.collect())
         elif name == "near_dedup":
-            assert set(now) == {d for d, (_, c) in _components(then).items() if c == d}
+            assert set(now) == {d for d, (_, c) in _components(then, 80).items() if c == d}
         else:
             tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
             tokens = collections.Counter()
