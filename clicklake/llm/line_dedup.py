@@ -33,10 +33,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 from .common import broadcast_if_small, fresh, slices, stage, text_of
 from .edit_distance import within
-from .shingles import _HASHES, _mixed
+from .shingles import _mixed
 
 MIN_CHARS = 12
 MIN_FUZZY_WORDS = 4
@@ -116,7 +117,7 @@ def key_rows(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     of the inverse radix, so that all substrings of a batch cost a few array operations.
     """
     counts = np.array([len(w) for w in lines], np.int64)
-    hashes = np.fromiter((_HASHES[w] for line in lines for w in line), np.uint64, int(counts.sum()))
+    hashes = np.fromiter((xxh3_64_intdigest(w) for line in lines for w in line), np.uint64, int(counts.sum()))
     owner = np.repeat(np.arange(len(lines)), counts)
     odd = np.bincount(owner * SKETCH_BITS + (hashes % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS * len(lines)) & 1
     sketches = (odd.reshape(-1, SKETCH_BITS) << np.arange(SKETCH_BITS)).sum(1)
@@ -217,11 +218,15 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
 
 
-def similar_lines(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+def line_texts(lines: DataFrame, shared: DataFrame) -> DataFrame:
+    """Staged (_h1, _line) of the lines that share a key with another: the only texts that are fetched, once."""
+    wanted = stage(shared.select(F.col("_h").alias("_h1")).distinct(), "line-hashes")
+    texts = lines.select("_h1", "_line").join(broadcast_if_small(wanted), "_h1", "left_semi")
+    return stage(texts.groupBy("_h1").agg(F.min("_line").alias("_line")), "line-texts")
+
+
+def similar_lines(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b): those of ``pairs`` whose texts are within the threshold."""
-    pairs = stage(pairs, "line-pairs")
-    wanted = stage(pairs.select(F.col("a").alias("_h1")).union(pairs.select("b")).distinct(), "line-hashes")
-    texts = stage(lines.select("_h1", "_line").join(broadcast_if_small(wanted), "_h1", "left_semi").groupBy("_h1").agg(F.min("_line").alias("_line")), "line-texts")
     both = (pairs.join(texts.select(F.col("_h1").alias("a"), F.col("_line").alias("_x")), "a")
             .join(texts.select(F.col("_h1").alias("b"), F.col("_line").alias("_y")), "b").select("a", "b", "_x", "_y"))
     return both.mapInArrow(_verify, "a long, b long")
@@ -240,11 +245,12 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines = _lines(docs, id_col, text_col)
     firsts = stage(first_lines(lines), "first-lines")
     shared = shared_keys(lines, firsts)
+    texts = line_texts(lines, shared)
     dropped = None
     for _ in range(HUB_ROUNDS):
-        found = _later(similar_lines(lines, hub_pairs(shared, dropped)), firsts)
+        found = _later(similar_lines(texts, hub_pairs(shared, dropped)), firsts)
         dropped = found if dropped is None else stage(dropped.union(found).distinct(), "dropped-lines")
-    others = _later(similar_lines(lines, kept_pairs(shared, dropped)), firsts)
+    others = _later(similar_lines(texts, kept_pairs(shared, dropped)), firsts)
     stay = firsts.join(dropped.union(others).distinct(), "_h1", "left_anti")
     return stay.select("_first._doc", "_first._no").groupBy("_doc").agg(F.collect_list("_no").alias("_kept"))
 

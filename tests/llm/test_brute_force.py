@@ -320,7 +320,7 @@ def test_a_family_makes_rows_in_proportion(spark):
         lines = line_dedup._lines(df, "doc_id", "text")
         firsts = line_dedup.stage(line_dedup.first_lines(lines), "f")
         shared = line_dedup.shared_keys(lines, firsts)
-        similar = line_dedup.similar_lines(lines, line_dedup.hub_pairs(shared))
+        similar = line_dedup.similar_lines(line_dedup.line_texts(lines, shared), line_dedup.hub_pairs(shared))
         later = line_dedup._later(similar, firsts)
         assert later.count() == n - 1
         return similar.count() + line_dedup.kept_pairs(shared, later).count()
