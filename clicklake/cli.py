@@ -20,7 +20,7 @@ import sys
 from .plans import bronze as bronze_plan
 from .plans import silver as silver_plan
 from .session import CLUSTER_PROFILE, build_session
-from .sinks import writers
+from .sinks import ddl, writers
 
 
 def parse_days(values: list[str]) -> list[dt.date]:
@@ -55,7 +55,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
     s.add_argument("--quarantine")
-    s.add_argument("--mode", choices=("merge", "overwrite", "sql"), default="merge")
+    s.add_argument("--mode", choices=("merge", "overwrite", "sql", "table"), default="merge")
+    s.add_argument("--location", help="with --mode table: folder of the table where it is to be created")
 
     h = sub.add_parser("hourly", help="Hive-partitioned raw Parquet hour -> bronze snapshot")
     h.add_argument("--process-datetime", required=True)
@@ -78,6 +79,8 @@ def main(argv: list[str] | None = None) -> int:
                                          bad_lines_path=args.bad_lines, **bounds)
             print(json.dumps({"status": res.status, "published": [str(d) for d in res.published_days]}))
         elif args.job == "silver":
+            if args.mode == "table" and args.location:
+                ddl.create_silver_table(spark, args.silver, args.location)
             print(silver_plan.run(spark, args.bronze, args.silver, parse_days(args.process_datetime),
                                   quarantine_path=args.quarantine, mode=args.mode))
         else:

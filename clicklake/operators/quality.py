@@ -42,6 +42,10 @@ PROFILE = (
 )
 # Integral-number pattern used by the data-type check.
 INTEGRAL_PATTERN = r"^[-+]?\d+$"
+# Kinds of raw values told apart by the data-type check, and the patterns of their JSON texts.
+KINDS = ("integral", "fractional", "boolean", "string", "unknown")
+FRACTIONAL_PATTERN = r"^[-+]?\d*\.?\d+([eE][-+]?\d+)?$|^[-+]?\d+\.$"
+BOOLEAN_PATTERN = r"^(true|false)$"
 # Completeness threshold and size-change bounds of the gate.
 USER_ID_MIN_COMPLETENESS = 0.95
 SIZE_MAX_DECREASE = -100000.0
@@ -65,6 +69,8 @@ class Suite:
     name: str = "raw events quality"
     frequency_columns: tuple[str, ...] = field(default=())
     size_change_bounds: tuple[float, float] = (SIZE_MAX_DECREASE, SIZE_MAX_INCREASE)
+    # Column with the JSON text of the timestamp as it was delivered, before any cast; None: only the cast value is at hand.
+    raw_timestamp: str | None = None
 
     def freq_columns(self) -> list[str]:
         if self.frequency_columns:
@@ -80,6 +86,35 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.when(den > 0, num.cast("double") / den.cast("double"))
 
 
+def value_kind(text: Column) -> Column:
+    """Kind of a JSON value by its text: integral, fractional, boolean, string (quoted, or anything else); unknown for NULL."""
+    return (F.when(text.isNull() | (text == "null"), "unknown").when(text.rlike(INTEGRAL_PATTERN), "integral")
+            .when(text.rlike(FRACTIONAL_PATTERN), "fractional").when(text.rlike(BOOLEAN_PATTERN), "boolean").otherwise("string"))
+
+
+def kind_counts(text: Column, name: str) -> list[Column]:
+    """One count per kind of the raw texts, as aggregates: ``<kind>_<name>``."""
+    kind = value_kind(text)
+    return [F.count_if(kind == k).alias(f"{k}_{name}") for k in KINDS]
+
+
+def type_histogram(df: DataFrame, text_col: str, name: str, batch_cols=()) -> DataFrame:
+    """(batch..., kind, n): how many raw values are of each kind, zero counts too (one map-side aggregate)."""
+    counts = df.groupBy(*batch_cols).agg(*kind_counts(F.col(text_col), name))
+    rows = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_{name}").alias("n")) for k in KINDS])
+    return counts.select(*batch_cols, F.inline(rows))
+
+
+def _integral_timestamp(suite: Suite) -> list[Column]:
+    """The share of integral timestamps among the typed ones, from the delivered texts where they are at hand."""
+    ts = F.col("timestamp")
+    if suite.raw_timestamp is None:
+        return [_ratio(F.sum(ts.cast("string").rlike(INTEGRAL_PATTERN).cast("long")), F.count(ts)).alias("ratio_integral_timestamp")]
+    kind = value_kind(F.col(suite.raw_timestamp))
+    return [_ratio(F.count_if(kind == "integral"), F.count_if(kind != "unknown")).alias("ratio_integral_timestamp"),
+            *kind_counts(F.col(suite.raw_timestamp), "timestamp")]
+
+
 def _wide_aggregates(suite: Suite) -> list[Column]:
     rows = F.count(F.lit(1))
     ts = F.col("timestamp")
@@ -93,8 +128,7 @@ def _wide_aggregates(suite: Suite) -> list[Column]:
     as_int = lambda pred: F.sum(F.coalesce(pred, F.lit(False)).cast("long"))
     aggs += [
         _ratio(as_int(F.coalesce(ts, F.lit(0)) >= 0), rows).alias("compliance_non_negative_timestamp"),
-        _ratio(F.sum(ts.cast("string").rlike(INTEGRAL_PATTERN).cast("long")), F.count(ts))
-        .alias("ratio_integral_timestamp"),
+        *_integral_timestamp(suite),
         _ratio(as_int(timestamp_in_range(suite.as_of)), rows).alias("compliance_timestamp_range"),
         _ratio(as_int(content_required()), rows).alias("compliance_content_required"),
     ]
@@ -117,8 +151,14 @@ def _frequency_metrics(df: DataFrame, suite: Suite) -> DataFrame:
             .select(*batch, "p.column", "p.value")
             .filter(F.col("value").isNotNull())
             .groupBy(*batch, "column", "value").agg(F.count(F.lit(1)).alias("n")))
-    # One conditional aggregate turns the frequencies into one row per batch
-    # with a column per (metric, column): no pivot, one small shuffle.
+    return metrics_of_frequencies(freq, batch, cols)
+
+
+def metrics_of_frequencies(freq: DataFrame, batch: list[str], cols: list[str]) -> DataFrame:
+    """(batch..., column, value, n) -> one row per batch with a column per (metric, column).
+
+    One conditional aggregate: no pivot, one small shuffle.
+    """
     n = F.col("n").cast("double")
     aggs = []
     for c in cols:
@@ -154,6 +194,9 @@ def profile_rows(wide: DataFrame, suite: Suite) -> DataFrame:
         entries.append(F.struct(F.lit(entity).alias("entity"), F.lit(c).alias("instance"),
                                 F.lit(m).alias("name"),
                                 F.col(_metric_col(m, c)).cast("double").alias("value")))
+    if suite.raw_timestamp is not None:
+        entries += [F.struct(F.lit("Column").alias("entity"), F.lit("timestamp").alias("instance"), F.lit(f"Type.{k}").alias("name"),
+                             F.col(f"{k}_timestamp").cast("double").alias("value")) for k in KINDS]
     return (wide.select(*suite.batch_cols, F.explode(F.array(*entries)).alias("m"))
             .select(*suite.batch_cols, "m.*"))
 

@@ -20,6 +20,7 @@ import datetime as dt
 import logging
 from collections.abc import Iterable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from ..functions.columns import event_date, year_month_day
 from ..operators import quality
 from ..session import ensure_defaults, path_exists, table_exists
 from ..sinks import writers
-from ..sources import readers
+from ..sources import ledger, readers
 
 log = logging.getLogger(__name__)
 
@@ -90,7 +91,8 @@ def land_daily(spark: SparkSession, source_base: str, bronze_path: str,
     """
     ensure_defaults(spark)
     days = [days] if isinstance(days, dt.date) else sorted(days)
-    raw = with_process_date(readers.read_drops(spark, source_base, days, layout=drops), drops)
+    texts = {"timestamp": readers.RAW_TIMESTAMP} if gate else None
+    raw = with_process_date(readers.read_drops(spark, source_base, days, layout=drops, raw_texts=texts), drops)
     return publish(spark, raw, bronze_path, layout=layout, gate=gate, as_of=as_of, metrics_path=metrics_path,
                    on_failure=on_failure, size_change_bounds=size_change_bounds, days=days, bad_lines_path=bad_lines_path)
 
@@ -119,7 +121,8 @@ def _publish(spark, raw, bronze_path, layout, gate, as_of, metrics_path, on_fail
         passing = sorted(r[0] for r in staged.select(PROCESS_DATE).distinct().collect())  # one row per day
     if gate:
         suite = quality.Suite(as_of=as_of or dt.datetime.now(dt.timezone.utc), batch_cols=(PROCESS_DATE,),
-                              size_change_bounds=size_change_bounds)
+                              size_change_bounds=size_change_bounds,
+                              raw_timestamp=readers.RAW_TIMESTAMP if readers.RAW_TIMESTAMP in staged.columns else None)
         # The profile (one row per day) is staged once; metrics, checks and the
         # verdict are narrow projections of it.
         wide, metrics, _checks, _anomalies, verdict = quality.run_checks(
@@ -150,7 +153,7 @@ def _publish(spark, raw, bronze_path, layout, gate, as_of, metrics_path, on_fail
             cols = ("event_date",)
         else:
             raise ValueError(f"unknown layout {layout!r}")
-        bronze = bronze.drop(readers.CORRUPT_RECORD)
+        bronze = bronze.drop(readers.CORRUPT_RECORD, readers.RAW_TIMESTAMP)
         stale = _folders_of(spark, bronze_path, passing) if layout == "processing_date" else set()
         writers.create_or_overwrite_partitions(spark, bronze, bronze_path, cols)
         if stale:
@@ -200,3 +203,78 @@ def ingest_hourly(spark: SparkSession, root: str, table_path: str, process_dt: d
     else:
         writers.overwrite_partitions(out, table_path, ("region", "year", "month", "day", "hour"))
     return writers.verify_after_write(spark, table_path)
+
+
+@dataclass
+class IncrementalResult:
+    files_read: int
+    files_gone: int
+    folders: list
+
+
+FILE, HOURLY_KEYS = "source_file_name", ("region", "year", "month", "day", "hour")
+
+
+def ingest_new_files(spark: SparkSession, root: str, table_path: str, ledger_path: str,
+                     process_dt: dt.datetime | None = None, contract=None) -> IncrementalResult:
+    """Hourly ingestion by ledger: only files that are new or changed since the last run are read.
+
+    The table's rows carry the file they came from.  In each folder with a change, rows of changed and vanished
+    files go, rows of the others stay, and those of the new files are added; other folders are not touched.
+    A replay reads no file.  ``process_dt`` narrows the listing to one hour.  Data first, ledger last: a run
+    that fails in between is repeated with the same result.
+    """
+    ensure_defaults(spark)
+    base = root.rstrip("/")
+    part = "region=*/date=*/hour=*" if process_dt is None else f"region=*/date={process_dt.date()}/hour={{{process_dt.hour},{process_dt.hour:02d}}}"
+    known = ledger.known_files(spark, ledger_path)
+    if process_dt is not None:
+        known = known.filter(F.col("location").rlike(f"/date={process_dt.date()}/hour=0?{process_dt.hour}/"))
+    with writers.staging_scope(spark):
+        seen = ledger.changes(ledger.list_files(spark, [f"{base}/{part}"]), known)
+        seen = writers.stage(spark, seen.filter(F.col("state") != ledger.SAME), "file-changes")
+        # Paths of the changed files and folders: file names of one delivery, which the scan's plan lists anyway.
+        files = [(r["location"], r["state"]) for r in seen.select("location", "state").collect()]
+        if not files:
+            return IncrementalResult(0, 0, [])
+        fresh = sorted(p for p, state in files if state != ledger.GONE)
+        folders = _hour_folders(seen)
+        rows = None
+        if fresh:
+            rows = readers.with_source_file(readers.read_directories(spark, base, fresh, contract))
+            rows = (rows.select("*", *year_month_day("date")).withColumn("ingestion_timestamp", F.current_timestamp()).drop("date"))
+        if table_exists(spark, table_path):
+            stays = _rows_of_folders(spark, table_path, sorted(folders.values())).join(
+                seen.select(F.col("path").alias(FILE)), FILE, "left_anti")
+            rows = stays if rows is None else rows.unionByName(stays, allowMissingColumns=True)
+        if rows is not None:
+            rows = writers.stage(spark, rows, "changed-folders")
+            writers.create_or_overwrite_partitions(spark, rows, table_path, HOURLY_KEYS)
+            left = {tuple(r) for r in rows.select(*HOURLY_KEYS).distinct().collect()}        # one row per changed folder
+            writers.clear_partitions(spark, table_path, rows.schema, sorted(at for key, at in folders.items() if key not in left))
+        ledger.record(spark, seen, ledger_path)
+    return IncrementalResult(len(fresh), len(files) - len(fresh), sorted(folders.values()))
+
+
+def _hour_folders(files: DataFrame) -> dict[tuple, str]:
+    """Partition values -> folder of the table for the hours that the files lie in (one entry per folder)."""
+    at = lambda key: F.regexp_extract("location", f"/{key}=([^/]+)/", 1)
+    day = F.to_date(at("date"))
+    rows = files.select(at("region"), F.year(day), F.month(day), F.dayofmonth(day), at("hour").cast("int")).distinct().collect()
+    out = {}
+    for region, *rest in rows:
+        value = None if region == NULL_FOLDER else unquote(region)       # folder names escape special characters
+        out[(value, *rest)] = "/".join(f"{k}={v}" for k, v in zip(HOURLY_KEYS, (region, *rest)))
+    return out
+
+
+# Fixed value: folder name of a NULL partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _rows_of_folders(spark: SparkSession, table_path: str, folders: list[str]) -> DataFrame:
+    root = table_path.rstrip("/")
+    found = [f"{root}/{at}" for at in folders if path_exists(spark, f"{root}/{at}")]
+    if not found:
+        return spark.read.parquet(root).limit(0)
+    return readers.read_directories(spark, root, found)

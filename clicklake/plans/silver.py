@@ -62,6 +62,8 @@ def run(spark: SparkSession, bronze_path: str, silver_path: str, days=None, *,
       overwrite  replace the processed ``event_date`` partitions: the clean re-run
                  after late data, when run boundaries moved and stale runs must go
       sql        ``MERGE INTO`` the catalog table named ``silver_path`` (v2 catalogs)
+      table      upsert into the catalog table named ``silver_path``, as ``ddl.create_silver_table`` declares it;
+                 new (event_date, country) partitions are registered
     """
     ensure_defaults(spark)
     with writers.staging_scope(spark):
@@ -89,6 +91,8 @@ def _run(spark, bronze_path, silver_path, days, quarantine_path, null_safe, mode
     if mode == "sql":
         merge.merge_into_table(spark, silver, silver_path)
         return "merge"
+    if mode == "table":
+        return merge.merge_into_registered(spark, silver, silver_path, seen["days"], null_safe=null_safe)
     raise ValueError(f"unknown mode {mode!r}")
 
 

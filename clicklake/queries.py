@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from . import oracle as O
 from .functions import columns as C
-from .operators import quality, sessionize, validate
+from .operators import metric_states, quality, sessionize, validate
 from .plans import bronze as bronze_plan
 from .plans import silver as silver_plan
 from .schemas import SILVER_USER_ACTIONS
 from .session import checkpoint_root, ensure_defaults, scratch_path, session_id
-from .sinks import merge, writers
+from .sinks import ddl, merge, writers
 from .sources import adapter, readers
 
 QUERIES: dict = {}
@@ -130,6 +130,7 @@ HOURLY_SQL = f"""SELECT *,
   CAST(make_timestamp("timestamp" * 1000) AS DATE) AS date,
   CAST(hour(make_timestamp("timestamp" * 1000)) AS INTEGER) AS hour
 FROM ({O.raw_cte('base')}) r"""
+HOURLY_CLEAN_SQL = HOURLY_SQL.replace(O.raw_cte("base"), O.raw_cte("clean"))
 
 
 # --------------------------------------------------------------------------- sources
@@ -231,6 +232,29 @@ def merge_user_actions(spark, sf_dir):
     return spark.read.parquet(path).select(*[f.name for f in SILVER_USER_ACTIONS.fields])
 
 
+@register("silver_registered", f"""SELECT m.*, 'event_date=' || CAST(event_date AS VARCHAR) || '/country=' || country AS folder
+FROM ({_merge_sql()}) m""")
+def silver_registered(spark, sf_dir):
+    """The silver job feeding the declared catalog table, twice; every row with the registered partition that holds it."""
+    name = _table_name(spark, "silver")
+    ddl.create_silver_table(spark, name, scratch_path(spark, "silver"))
+    for variant in ("base", "clean"):
+        silver_plan.run(spark, bronze_table(spark, sf_dir, variant), name, mode="table")
+    folders = spark.sql(f"SHOW PARTITIONS {name}").select(F.col("partition").alias("folder"))
+    rows = spark.table(name).select(*[f.name for f in SILVER_USER_ACTIONS.fields])
+    here = F.concat(F.lit("event_date="), F.col("event_date").cast("string"), F.lit("/country="), F.col("country"))
+    return rows.withColumn("folder", here).join(folders, "folder")
+
+
+@register("sink_swap_table", bronze_sql("clean"))
+def sink_swap_table(spark, sf_dir):
+    """A partitioned named table replaced by a swap of its location."""
+    name = _table_name(spark, "swapped")
+    for variant in ("base", "ties", "clean"):
+        writers.swap_table(flat(bronze_frame(spark, sf_dir, variant), "event_date"), name, ("event_date",))
+    return spark.table(name)
+
+
 @register("merge_bucketed", _merge_sql())
 def merge_bucketed(spark, sf_dir):
     """The same merge on a table bucketed on the merge key: only the updates are exchanged."""
@@ -615,6 +639,50 @@ def dq_type_ratio(spark, sf_dir):
     return _rounded(quality.integral_ratio(texts, "written", ("process_date",)), "ratio_integral")
 
 
+def _written_timestamp() -> F.Column:
+    """JSON text of the timestamp as a faulty producer writes it: as a fraction, a text, a boolean, or not at all."""
+    ms, as_text = F.col("timestamp"), F.col("timestamp").cast("string")
+    return (F.when(ms % 37 == 0, F.concat(as_text, F.lit(".5"))).when(ms % 41 == 0, F.concat(F.lit('"'), as_text, F.lit('"')))
+            .when(ms % 43 == 0, F.lit("true")).when(ms % 47 == 0, F.lit("null")).otherwise(as_text))
+
+
+_KIND_SQL = """CASE WHEN "timestamp" % 37 = 0 THEN 'fractional' WHEN "timestamp" % 41 = 0 THEN 'string'
+  WHEN "timestamp" % 43 = 0 THEN 'boolean' WHEN "timestamp" % 47 = 0 THEN 'unknown' ELSE 'integral' END"""
+
+
+@register("dq_type_histogram", f"""WITH r AS (SELECT CAST(make_timestamp("timestamp" * 1000) AS DATE) AS process_date, {_KIND_SQL} AS kind
+  FROM ({O.raw_cte('clean')}) x),
+d AS (SELECT DISTINCT process_date FROM r), k AS (SELECT unnest([{', '.join(repr(k) for k in quality.KINDS)}]) AS kind)
+SELECT d.process_date, k.kind, count(r.kind) AS n
+FROM d CROSS JOIN k LEFT JOIN r ON r.process_date = d.process_date AND r.kind = k.kind GROUP BY d.process_date, k.kind""")
+def dq_type_histogram(spark, sf_dir):
+    """Kinds of the delivered timestamps per drop, from the gate's metrics: mistyped lines count with their own kind."""
+    base, out, metrics = scratch_path(spark, "drops"), scratch_path(spark, "bronze"), scratch_path(spark, "metrics")
+    r = raw(spark, sf_dir, "clean")
+    adapter.write_daily_drops_with_timestamps(r, _written_timestamp(), base)
+    bronze_plan.land_daily(spark, base, out, drop_days(r), as_of=AS_OF, metrics_path=metrics, on_failure="skip", drops=readers.DAILY_DIRS)
+    kinds = spark.read.parquet(metrics).filter(F.startswith(F.col("name"), F.lit("Type.")))
+    return kinds.select("process_date", F.substring_index("name", ".", -1).alias("kind"), F.col("value").cast("long").alias("n"))
+
+
+_DAY_SQL = 'CAST(make_timestamp("timestamp" * 1000) AS DATE) AS process_date'
+_WEEK_SQL = _dq_wide_sql().replace(_DAY_SQL, "CAST(date_trunc('week', make_timestamp(\"timestamp\" * 1000)) AS DATE) AS process_date")
+_RANGE_COLS = tuple(quality._metric_col(m, c) for m, c in quality.PROFILE if m != "Size") + (
+    "compliance_timestamp_range", "compliance_content_required")
+
+
+@register("dq_range_profile", _WEEK_SQL + f"""
+SELECT process_date AS week, size, {', '.join(_r(c) + ' AS ' + c for c in _RANGE_COLS)} FROM wide""")
+def dq_range_profile(spark, sf_dir):
+    """Weekly profile from daily states alone, written in two batches; it equals a profile over the raw rows."""
+    path, s = scratch_path(spark, "states"), _suite()
+    rows = _dq_input(spark, sf_dir)
+    metric_states.save_states(rows.filter(F.col("process_date") < F.lit(REDELIVERY_FROM) + F.expr("INTERVAL 1 DAY")), s, path)
+    metric_states.save_states(rows.filter(F.col("process_date") >= F.lit(REDELIVERY_FROM)), s, path)
+    weeks = metric_states.range_profile(spark, path, s, {"week": F.to_date(F.date_trunc("week", "process_date"))})
+    return _rounded(weeks.select("week", "size", *_RANGE_COLS), *_RANGE_COLS)
+
+
 def _anomaly_sql(low=quality.SIZE_MAX_DECREASE, high=quality.SIZE_MAX_INCREASE) -> str:
     return f"""
 SELECT process_date, size, previous_size, size_change,
@@ -823,6 +891,28 @@ def pipeline_manual_hour(spark, sf_dir):
     return flat(spark.read.parquet(out), "region", "hour", "year", "month", "day")
 
 
+_LEDGER_SQL = f"""WITH a AS (SELECT *, CAST(hour AS INTEGER) AS h FROM ({HOURLY_SQL}) x),
+b AS (SELECT *, CAST(hour AS INTEGER) AS h FROM ({HOURLY_CLEAN_SQL}) y WHERE CAST(hour AS INTEGER) = {SLICE_HOUR})
+SELECT event_id, user_id, content_id, event_type, device_id, "timestamp", country, region, h AS hour,
+  CAST(day(date) AS INTEGER) AS day FROM (SELECT * FROM b UNION ALL SELECT * FROM a
+  WHERE h <> {SLICE_HOUR} OR (region, date) NOT IN (SELECT (region, date) FROM b)) u"""
+
+
+@register("manual_ledger", _LEDGER_SQL)
+def manual_ledger(spark, sf_dir):
+    """Every hour by ledger, then one hour's files delivered again: just those are read, their old rows go; a replay reads none."""
+    root, table, ledger = (scratch_path(spark, n) for n in ("hourly", "manual", "ledger"))
+    keys = ("region", "date", "hour")
+    writers.write_hive_partitioned(adapter.hourly_layout(raw(spark, sf_dir)), root, keys)
+    bronze_plan.ingest_new_files(spark, root, table, ledger)
+    again = adapter.hourly_layout(raw(spark, sf_dir, "clean")).filter(F.col("hour") == f"{SLICE_HOUR:02d}")
+    writers.write_hive_partitioned(again, root, keys)
+    bronze_plan.ingest_new_files(spark, root, table, ledger)
+    if bronze_plan.ingest_new_files(spark, root, table, ledger).files_read:
+        raise RuntimeError("a replay read files again")
+    return flat(spark.read.parquet(table), "region", "hour", "day")
+
+
 @register("pipeline_silver", f"""SELECT * FROM ({_merge_sql()}) m WHERE event_date >= DATE '{REDELIVERY_FROM}'
 UNION ALL SELECT {_UA_COLS} FROM ({O.user_actions_sql('base')}) b WHERE event_date < DATE '{REDELIVERY_FROM}'""")
 def pipeline_silver(spark, sf_dir):

@@ -113,6 +113,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
         target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def can_move_paths(spark: SparkSession) -> bool:
+    """Spark Connect has no handle on the file system."""
+    return _context(spark) is not None
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder within its Hadoop file system; ``target`` must not exist."""
+    context = _context(spark)
+    old, new = context._jvm.org.apache.hadoop.fs.Path(source), context._jvm.org.apache.hadoop.fs.Path(target)
+    if not old.getFileSystem(context._jsc.hadoopConfiguration()).rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session; None under Spark Connect."""
     try:

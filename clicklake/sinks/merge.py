@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import SILVER_USER_ACTIONS
 from ..session import path_exists, table_exists
-from .writers import create_partitioned, enforce_action_domain, overwrite_partitions, stage_observed, staging_scope
+from .writers import create_partitioned, enforce_action_domain, overwrite_partitions, overwrite_table_partitions, stage_observed, staging_scope
 
 MERGE_KEYS = ("user_id", "content_id", "device_id", "action", "start_time")
 UPDATED = ("end_time", "duration_seconds")
@@ -95,6 +95,18 @@ def merge_into_path(spark: SparkSession, updates: DataFrame, target_path: str,
     return "merge"
 
 
+def merge_into_registered(spark: SparkSession, updates: DataFrame, table: str, days: list, null_safe: bool = True) -> str:
+    """MERGE staged ``updates`` of ``days`` into the catalog table of ``ddl.create_silver_table``.
+
+    The catalog answers which partitions the days have; only those are read and rewritten, and the write
+    registers the (event_date, country) values that are new.  Nothing lists or repairs the whole table.
+    """
+    target = spark.table(table).filter(F.col("event_date").isin(days))
+    merged = merge_frames(target, enforce_action_domain(updates), null_safe)
+    overwrite_table_partitions(merged, table, ("event_date", "country"))
+    return "merge"
+
+
 # ---------------------------------------------------------------------------- tables bucketed on the merge key
 
 MERGE_HASH = "merge_key"

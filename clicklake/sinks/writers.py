@@ -8,6 +8,7 @@ a third of all rows) over several tasks and merges tiny ones.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import VALID_ACTIONS
-from ..session import delete_path, path_exists, scratch_path, table_exists
+from ..session import can_move_paths, delete_path, path_exists, rename_path, scratch_path, table_exists
 
 
 def _clustered(df: DataFrame, partition_cols) -> DataFrame:
@@ -55,17 +56,37 @@ def create_or_overwrite_partitions(spark: SparkSession, df: DataFrame, path: str
 
 
 def replace_table(df: DataFrame, path: str, partition_cols=()) -> None:
-    """Replace the whole table (every old partition is gone).
+    """Replace the whole table (every old partition is gone); ``df`` may read the old one.
 
-    The new rows are computed and staged first: a failing job leaves the old table as it was, and only
-    the copy of finished files runs while the old ones are gone.
+    The new files are written beside the table, which stays readable all that time; then the folders change
+    places by two renames.  A job that fails while writing leaves the old table as it was, and a failing
+    second rename puts it back.  Under Spark Connect, which cannot move folders, the rows are staged and copied.
     """
-    with staging_scope(df.sparkSession):
-        rows = stage(df.sparkSession, df, "replacement")
-        w = _clustered(rows, partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if partition_cols:
-            w = w.partitionBy(*partition_cols)
-        w.parquet(path)
+    spark, root = df.sparkSession, path.rstrip("/")
+    if not can_move_paths(spark):
+        w = _clustered(stage(spark, df, "replacement"), partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (w.partitionBy(*partition_cols) if partition_cols else w).parquet(root)
+        return
+    mark = uuid.uuid4().hex
+    fresh, old = f"{root}__new_{mark}", f"{root}__old_{mark}"
+    try:
+        w = _clustered(df, partition_cols).write.mode("errorifexists")
+        (w.partitionBy(*partition_cols) if partition_cols else w).parquet(fresh)
+    except BaseException:
+        delete_path(spark, fresh)
+        raise
+    there = path_exists(spark, root)
+    if there:
+        rename_path(spark, root, old)
+    try:
+        rename_path(spark, fresh, root)
+    except BaseException:
+        if there:
+            rename_path(spark, old, root)
+        raise
+    if there:
+        delete_path(spark, old)
+    spark.catalog.refreshByPath(root)
 
 
 def write_hive_partitioned(df: DataFrame, root: str, partition_cols, compression: str = "snappy",
@@ -210,13 +231,78 @@ def create_or_overwrite_table(df: DataFrame, name: str, partition_cols=("event_d
 
 
 def replace_named_table(df: DataFrame, name: str, partition_cols=()) -> None:
-    """Replace the whole named table."""
+    """Replace the whole named table; in the session catalog by a swap of its location (``swap_table``)."""
     if _is_v2(df.sparkSession, name):
         writer = df.writeTo(name)
         (writer.partitionedBy(*[F.col(c) for c in partition_cols]) if partition_cols else writer).createOrReplace()
     else:
-        w = _clustered(df, partition_cols).write.mode("overwrite").format("parquet")
-        (w.partitionBy(*partition_cols) if partition_cols else w).saveAsTable(name)
+        swap_table(df, name, partition_cols)
+
+
+def swap_table(df: DataFrame, name: str, partition_cols=()) -> str:
+    """Point the named table at a new folder that holds ``df``; returns the folder.
+
+    The rows are written to a folder of their own first.  The switch is one ``ALTER TABLE ... SET LOCATION``, so
+    readers see the old table or the new one and a job that fails at any point leaves the old one.  The
+    folder of the generation before stays for queries that still read it; the ones before that are removed.
+    New columns at the end are added first; other changes of the columns fail before anything is written.
+    The catalog does not track the partitions of such a table (they are found by listing its folder).  A
+    table that was made otherwise is registered anew at its first swap, after its new files are complete.
+    """
+    spark = df.sparkSession
+    exists = named_table_exists(spark, name)
+    rows = df.select(*[c for c in df.columns if c not in partition_cols], *partition_cols)
+    swapped = exists and _generations(spark, name) is not None
+    added = _added_columns(spark, name, rows, partition_cols) if swapped else []
+    *database, table = name.split(".")
+    home = spark.catalog.getDatabase(database[-1] if database else spark.catalog.currentDatabase()).locationUri
+    folder = f"{home.rstrip('/')}/{table}__{uuid.uuid4().hex}"
+    w = _clustered(rows, partition_cols).write.mode("errorifexists")
+    (w.partitionBy(*partition_cols) if partition_cols else w).parquet(folder)
+    if swapped:
+        before = _generations(spark, name)
+        if added:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{GENERATIONS}' = '{before[-1]} {folder}')")
+        for stale in before[:-1]:
+            delete_path(spark, stale)
+    else:
+        if exists:
+            spark.sql(f"DROP TABLE {name}")
+        _register_listed(spark, name, folder, rows.schema, partition_cols)
+    spark.catalog.refreshTable(name)
+    return folder
+
+
+# Table property: folders of a swapped table, the current one last.
+GENERATIONS = "swap.generations"
+
+
+def _generations(spark: SparkSession, name: str) -> list[str] | None:
+    shown = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}   # a few rows of the catalog
+    return shown[GENERATIONS].split(" ") if GENERATIONS in shown else None
+
+
+def _added_columns(spark: SparkSession, name: str, rows: DataFrame, partition_cols) -> list[T.StructField]:
+    now = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
+    parts, plain = now[len(now) - len(partition_cols):], now[:len(now) - len(partition_cols)]
+    wanted = rows.schema.fields[:len(rows.columns) - len(partition_cols)]
+    if [c for c, _ in parts] != list(partition_cols) or [(f.name, f.dataType) for f in wanted[:len(plain)]] != plain:
+        raise ValueError(f"columns or partitions of {name} differ: {now} and {rows.schema.simpleString()}")
+    return wanted[len(plain):]
+
+
+def _register_listed(spark: SparkSession, name: str, folder: str, schema: T.StructType, partition_cols) -> None:
+    """External table over ``folder`` whose partitions the catalog does not track."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_cols)})" if partition_cols else ""
+    tracked = spark.conf.get("spark.sql.hive.manageFilesourcePartitions")
+    spark.conf.set("spark.sql.hive.manageFilesourcePartitions", "false")
+    try:
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION '{folder}' TBLPROPERTIES ('{GENERATIONS}' = '{folder}')")
+    finally:
+        spark.conf.set("spark.sql.hive.manageFilesourcePartitions", tracked)
 
 
 # ---------------------------------------------------------------------------- stale partitions

@@ -123,6 +123,12 @@ def write_daily_drops_with_bad_lines(raw: DataFrame, base_path: str, every: int)
     _write_lines(raw, F.when(ms % every == 0, broken).otherwise(F.to_json(F.struct(*raw.columns))), base_path)
 
 
+def write_daily_drops_with_timestamps(raw: DataFrame, written, base_path: str) -> None:
+    """The same drops with the JSON text ``written`` as every line's timestamp."""
+    rest = F.to_json(F.struct(*[c for c in raw.columns if c != "timestamp"]))
+    _write_lines(raw, F.concat(F.lit('{"timestamp":'), written, F.lit(","), F.substring(rest, 2, 1 << 30)), base_path)
+
+
 def write_daily_drops_with_new_fields(raw: DataFrame, base_path: str) -> None:
     """The same drops, some rows with fields outside the schema: at the top level, nested, and of two types."""
     ms = F.col("timestamp")

@@ -67,11 +67,14 @@ def read_jsonl_daily(spark: SparkSession, base_path: str, days: dt.date | Iterab
 
 # Fields of a line that the schema does not name, nested ones too, as JSON text.
 EXTRA_FIELDS = "extra_fields"
+# JSON text of the timestamp as delivered, for the data-type check; not part of bronze.
+RAW_TIMESTAMP = "_raw_timestamp"
 
 
 def read_drops(spark: SparkSession, base_path: str, days: dt.date | Iterable[dt.date],
-               schema: T.StructType = RAW_EVENT_WITH_CORRUPT, layout: DropLayout = DAILY_FILES) -> DataFrame:
-    """Rows of the drops of ``days`` plus ``_source_file`` (taken at the scan) and ``extra_fields``.
+               schema: T.StructType = RAW_EVENT_WITH_CORRUPT, layout: DropLayout = DAILY_FILES,
+               raw_texts: dict[str, str] | None = None) -> DataFrame:
+    """Rows of the drops of ``days`` plus ``_source_file`` (taken at the scan), ``extra_fields`` and ``raw_texts``.
 
     A gzip drop is not splittable: one task must decompress it, but that task only splits lines.  The
     lines are rebalanced (adaptive execution sizes the partitions) and parsed in parallel, so a day that
@@ -81,7 +84,7 @@ def read_drops(spark: SparkSession, base_path: str, days: dt.date | Iterable[dt.
     days = [days] if isinstance(days, dt.date) else list(days)
     lines = (spark.read.text([layout.path(base_path, d) for d in days])
              .select("value", F.col("_metadata.file_path").alias(SOURCE_FILE)).filter(F.trim("value") != ""))
-    return parse_lines(lines.hint("rebalance"), schema)
+    return parse_lines(lines.hint("rebalance"), schema, raw_texts)
 
 
 _OBJECT, _ARRAY = "map<string,variant>", "array<variant>"
@@ -132,9 +135,23 @@ def _unknown(value: Column, path: str, kind: T.StructType) -> Column:
     return F.when(inner != "", F.concat(F.lit("{"), inner, F.lit("}")))
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType = RAW_EVENT_WITH_CORRUPT) -> DataFrame:
+def _raw_text(one: Column, many: Column, field: str) -> Column:
+    """JSON text of a top-level field; of a line with several objects the first text that is no whole number, if any."""
+    def text(v: Column) -> Column:
+        return F.to_json(F.try_variant_get(v, f"$.{field}", "variant"))
+
+    texts = F.filter(F.transform(many, text), lambda t: t.isNotNull())
+    odd = F.filter(texts, lambda t: ~t.rlike(r"^-?\d+$"))
+    return F.when(many.isNotNull(), F.coalesce(F.try_element_at(odd, F.lit(1)), F.try_element_at(texts, F.lit(1)))).otherwise(text(one))
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType = RAW_EVENT_WITH_CORRUPT,
+                raw_texts: dict[str, str] | None = None) -> DataFrame:
     """(value, ...) text lines -> rows of ``schema``, ``extra_fields`` and the other columns.
 
+    ``raw_texts`` (field -> column) adds the JSON texts of top-level fields as they were delivered, also of lines
+    that do not fit the schema; of a misfit array, which stays one row, the first text that is no whole number.
+
     Each line is parsed once, into a VARIANT, and everything is taken from that.  A line is an object or an
     array of objects (one row each).  Nothing is lost: fields that the schema lacks, at any level, come as
     JSON in ``extra_fields``; a line with a value that does not fit its column, with text behind its JSON or a
@@ -161,7 +178,10 @@ def parse_lines(lines: DataFrame, schema: T.StructType = RAW_EVENT_WITH_CORRUPT)
     columns = [F.when(F.col("_broken"), F.col("value")).alias(f.name) if f.name == CORRUPT_RECORD else _typed(e, f"$.{f.name}", f.dataType).alias(f.name)
                for f in schema.fields]
     extra = F.when(~F.col("_broken"), _unknown(e, "$", plain))
-    return rows.select(*columns, extra.alias(EXTRA_FIELDS), *kept)
+    none = F.lit(None).cast(_ARRAY)
+    texts = [_raw_text(e, F.when(F.col("_broken"), F.try_variant_get(e, "$", _ARRAY)).otherwise(none), field).alias(name)
+             for field, name in (raw_texts or {}).items()]
+    return rows.select(*columns, extra.alias(EXTRA_FIELDS), *texts, *kept)
 
 
 def field_drift(rows: DataFrame, schema: T.StructType = RAW_EVENT_WITH_CORRUPT) -> DataFrame:
