@@ -5,10 +5,14 @@ part learns interactions (an insult next to a group mention) that additive weigh
 lower-cased words and their 4- and 5-letter prefixes, hashed to 32 bits; prefixes let inflected forms
 share a weight.
 
-Fitting reads at most ``max_rows`` labelled rows, chosen by the hash of the id (the documented bound of
-the fitting sample); the terms kept are the ``max_terms`` with the highest chi-square in that sample, so
-the broadcast model has a fixed largest size (``max_terms * (factors + 1)`` floats).  Scoring is one map
-over all documents and whole texts: no shuffle, a few megabytes a task whatever the corpus.
+Fitting reads at most ``max_rows`` labelled rows of together at most ``max_entries`` terms, chosen by the hash
+of the id (the documented bounds of the fitting sample).  Kept are the terms with the highest chi-square in
+that sample.  A word that is neutral alone may tell beside another one: what the machine of those terms leaves
+unexplained is therefore tested against every pair of the ``frequent`` most frequent terms, and the terms of
+pairs that tell join the fit, however neutral they are alone.  Together they are at most ``max_terms``, so the
+broadcast model has a fixed largest size (``max_terms * (factors + 1)`` floats).  Terms are counted and chosen by Spark; the driver gets the chosen
+terms and two bytes for each that a sampled row holds.  Scoring is one map over all documents and whole
+texts: no shuffle, a few megabytes a task whatever the corpus.
 """
 
 from __future__ import annotations
@@ -20,15 +24,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, text_of
+from .common import slices, stage, text_of
 
 MAX_FIT_ROWS = 12_000
+MAX_FIT_ENTRIES = 8_000_000
 MAX_TERMS = 1 << 15
-# Fixed value: chi-square of one degree of freedom at p = 0.001; weaker terms are left out as noise.
+# Of these, the most frequent ones whose pairs are tested; fewer rows than MIN_ROWS teach nothing about a term.
+FREQUENT_TERMS = 1 << 11
+MIN_ROWS = 3
+# Chi-square of one degree of freedom at p = 0.001, for single terms, and at 0.001 over all the
+# (two million) pairs, for pairs.
 MIN_CHI_SQUARE = 10.83
+MIN_PAIR_CHI_SQUARE = 38.0
+# Largest log loss of the model with pair terms, as a share of that without, at which it is taken.
+MIN_GAIN = 0.8
 FACTORS = 4
 PREFIXES = (4, 5)
 # Words whose term rows a worker remembers; a full cache starts afresh.
@@ -78,10 +90,10 @@ class _Rows(dict):
 
 
 def _chi_square(with_pos, with_neg, pos, neg):
-    """2x2 chi-square of (term present, label) per term."""
+    """2x2 chi-square of (term present, label) per term; the counts are arrays or columns."""
     n, without_pos, without_neg = pos + neg, pos - with_pos, neg - with_neg
-    below = (with_pos + with_neg) * (without_pos + without_neg) * float(pos) * float(neg)
-    return n * (with_pos * without_neg - with_neg * without_pos) ** 2 / np.maximum(below, 1e-9)
+    below = (with_pos + with_neg) * (without_pos + without_neg) * (pos * neg)
+    return n * (with_pos * without_neg - with_neg * without_pos) ** 2 / (below + 1e-9)
 
 
 def term_array(text: str) -> np.ndarray:
@@ -89,40 +101,104 @@ def term_array(text: str) -> np.ndarray:
     return np.unique(np.array([t for w in words_of(text) for t in word_terms(w)], dtype=np.uint32))
 
 
-def fit(texts: list[str], labels: list[int], **settings) -> Model:
-    return fit_terms([term_array(x) for x in texts], labels, **settings)
+def choose_terms(terms: np.ndarray, in_all: np.ndarray, in_pos: np.ndarray, pos: float, neg: float,
+                 max_terms: int = MAX_TERMS, frequent: int = FREQUENT_TERMS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(terms, telling, common): sorted terms that tell by themselves (at most ``max_terms - frequent``) or are
+    among the ``frequent`` most frequent ones, and a mask for either kind."""
+    usable = in_all >= MIN_ROWS
+    value = np.where(usable, _chi_square(in_pos, in_all - in_pos, pos, neg), -1.0)
+    tells, common = np.zeros(len(terms), bool), np.zeros(len(terms), bool)
+    common[np.lexsort((terms, -in_all))[:frequent]] = True
+    tells[np.lexsort((terms, -value))[:max_terms - frequent]] = True
+    tells &= value >= MIN_CHI_SQUARE
+    common &= usable
+    at = np.flatnonzero(tells | common)
+    at = at[np.argsort(terms[at], kind="stable")]
+    return terms[at], tells[at], common[at]
+
+
+def rows_of(found: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Positions in the sorted ``terms`` of those that occur in ``found``."""
+    if not len(terms):
+        return np.empty(0, np.uint16)
+    at = np.minimum(np.searchsorted(terms, found), len(terms) - 1)
+    return at[terms[at] == found].astype(np.uint16)
+
+
+def fit(texts: list[str], labels: list[int], max_terms: int = MAX_TERMS, frequent: int = FREQUENT_TERMS, **settings) -> Model:
+    """The model of a few texts in memory, by the same choice of terms as ``fit_model``."""
+    found = [term_array(x) for x in texts]
+    y = np.asarray(labels, dtype=np.float64)
+    terms, inverse = np.unique(np.concatenate([*found, np.empty(0, np.uint32)]), return_inverse=True)
+    in_pos = np.bincount(inverse, weights=np.repeat(y, [len(f) for f in found]), minlength=len(terms))
+    in_all = np.bincount(inverse, minlength=len(terms)).astype(float)
+    terms, tells, common = choose_terms(terms, in_all, in_pos, float(y.sum()), float(len(y) - y.sum()), max_terms, frequent)
+    return fit_found([rows_of(f, terms) for f in found], labels, terms, tells, common, **settings)
 
 
-def fit_terms(found: list[np.ndarray], labels: list[int], max_terms: int = MAX_TERMS, factors: int = FACTORS,
-        epochs: int = 12, batch: int = 256, rate: float = 0.05, l2: float = 1e-4, min_rows: int = 3, seed: int = 7) -> Model:
-    """Adam on the logistic loss over a bounded sample; the order and the start are seeded.
+def fit_found(found: list[np.ndarray], labels: list[int], terms: np.ndarray, tells: np.ndarray, common: np.ndarray, **settings) -> Model:
+    """The model of the telling terms, or, where pairs of common terms tell more, of those and the pairs' terms.
 
-    Without both labels in the sample the model is its bias alone.
+    Copies among the rows make pairs look telling, so the larger model must also foretell every fifth row, fitted
+    on the others, with a log loss at least ``1 - MIN_GAIN`` lower.
+    """
+    def of(mask: np.ndarray) -> list[np.ndarray]:
+        place = np.cumsum(mask) - 1
+        return [place[f[mask[f]]] for f in found]
+
+    own = of(tells)
+    first = fit_rows(own, labels, terms[tells], **settings)
+    raw = np.array([first.raw(rows) if len(first.terms) else first.bias for rows in own])
+    more = tells.copy()
+    more[np.flatnonzero(common)[pair_terms(of(common), np.asarray(labels), raw, int(common.sum()))]] = True
+    if (more == tells).all():
+        return first
+    y, fold = np.asarray(labels), np.arange(len(found)) % 5 == 0
+    losses = []
+    for mask in (tells, more):
+        rows = of(mask)
+        model = fit_rows([rows[i] for i in np.flatnonzero(~fold)], y[~fold], terms[mask], **settings)
+        z = np.array([model.raw(rows[i]) if len(model.terms) else model.bias for i in np.flatnonzero(fold)])
+        losses.append(float(np.logaddexp(0, np.where(y[fold] == 1, -z, z)).mean()))
+    return fit_rows(of(more), labels, terms[more], **settings) if losses[1] < MIN_GAIN * losses[0] else first
+
+
+def pair_terms(found: list[np.ndarray], labels: np.ndarray, raw: np.ndarray, size: int, block: int = 512) -> np.ndarray:
+    """Mask of the terms (positions below ``size``) in a pair whose presence tells what ``raw`` leaves unexplained.
+
+    The score test of one more weight for the pair: the squared sum of the residuals over the rows that hold
+    both, by the sum of their variances (plus 1, so that a few rows alone do not tell).  Products of
+    dense blocks of rows; the two sums take ``8 * size ** 2`` bytes.
+    """
+    p = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+    residual, variance = (labels - p).astype(np.float32), (p * (1 - p)).astype(np.float32)
+    total, spread = np.zeros((size, size), np.float32), np.zeros((size, size), np.float32)
+    for at in range(0, len(found), block):
+        x = np.zeros((len(found[at:at + block]), size), np.float32)
+        for i, rows in enumerate(found[at:at + block]):
+            x[i, rows] = 1
+        total += (x * residual[at:at + block, None]).T @ x
+        spread += (x * variance[at:at + block, None]).T @ x
+    np.fill_diagonal(total, 0)
+    return (total * total / (spread + 1) >= MIN_PAIR_CHI_SQUARE).any(0)
+
+
+def fit_rows(found: list[np.ndarray], labels: list[int], terms: np.ndarray, factors: int = FACTORS,
+             epochs: int = 12, batch: int = 256, rate: float = 0.05, l2: float = 1e-4, seed: int = 7) -> Model:
+    """Adam on the logistic loss over rows of positions in ``terms``; the order and the start are seeded.
+
+    Without both labels or any term the model is its bias alone.
     """
     y = np.asarray(labels, dtype=np.float64)
     pos, neg = float(y.sum()), float(len(y) - y.sum())
     bias = float(np.log((pos + 1) / (neg + 1)))
-    none = Model(np.empty(0, np.uint32), bias, np.empty(0), np.empty((0, factors)))
-    if not pos or not neg:
-        return none
-    sizes = np.array([len(f) for f in found])
-    terms, inverse = np.unique(np.concatenate(found), return_inverse=True)
-    in_pos = np.bincount(inverse, weights=np.repeat(y, sizes), minlength=len(terms))
-    in_all = np.bincount(inverse, minlength=len(terms)).astype(float)
-    value = np.where(in_all >= min_rows, _chi_square(in_pos, in_all - in_pos, pos, neg), -1.0)
-    keep = np.sort(np.argsort(-value, kind="stable")[:max_terms])
-    keep = keep[value[keep] >= MIN_CHI_SQUARE]
-    if not len(keep):
-        return none
-    row_of = np.full(len(terms), -1)
-    row_of[keep] = np.arange(len(keep))
-    rows = row_of[inverse]
-    doc = np.repeat(np.arange(len(y)), sizes)[rows >= 0]
-    rows = rows[rows >= 0]
-    start = np.searchsorted(doc, np.arange(len(y) + 1))
+    if not pos or not neg or not len(terms):
+        return Model(np.empty(0, np.uint32), bias, np.empty(0), np.empty((0, factors)))
+    rows = np.concatenate(found)
+    start = np.concatenate([[0], np.cumsum([len(f) for f in found])])
 
     rng = np.random.default_rng(seed)
-    n_w = len(keep)
+    n_w = len(terms)
     theta = np.concatenate([[bias], np.zeros(n_w), rng.normal(0, 0.01, n_w * factors)])
     m, v, step = np.zeros_like(theta), np.zeros_like(theta), 0
     for _ in range(epochs):
@@ -146,14 +222,15 @@ def fit_terms(found: list[np.ndarray], labels: list[int], max_terms: int = MAX_T
             m = 0.9 * m + 0.1 * g
             v = 0.999 * v + 0.001 * g * g
             theta = theta - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return Model(terms[keep], float(theta[0]), theta[1:1 + n_w], theta[1 + n_w:].reshape(n_w, factors))
+    return Model(terms, float(theta[0]), theta[1:1 + n_w], theta[1 + n_w:].reshape(n_w, factors))
 
 
 def fit_sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
-               text_col: str = "text", max_rows: int = MAX_FIT_ROWS) -> DataFrame:
-    """(id, label, terms) of at most ``max_rows`` labelled rows outside the held-out fold, by hash of the id.
+               text_col: str = "text", max_rows: int = MAX_FIT_ROWS, max_entries: int = MAX_FIT_ENTRIES) -> DataFrame:
+    """(_id, _y, _terms) of at most ``max_rows`` labelled rows outside the held-out fold, in order of the id's hash.
 
-    Rows without id, label or document are no examples; an id labelled twice takes its larger label.
+    Rows without id, label or document are no examples; an id labelled twice takes its larger label, one with
+    several texts the smallest of their term lists.  Rows after the first ``max_entries`` terms are left out.
     """
     chosen = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
               .filter(F.col("_id").isNotNull() & F.col("_y").isNotNull() & ~held_out("_id"))
@@ -168,7 +245,12 @@ def fit_sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(terms, pa.binary())], ["_id", "_y", "_terms"])
 
     kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_id {kind}, _y int, _terms binary")
+    one = rows.mapInArrow(run, f"_id {kind}, _y int, _terms binary").groupBy("_id", "_y").agg(F.min("_terms").alias("_terms"))
+    found = stage(one.withColumn("_y", F.least(F.greatest("_y", F.lit(0)), F.lit(1))), "toxicity-sample")
+    # At most max_rows narrow rows: one window over them.
+    upto = F.sum(F.length("_terms") / 4).over(Window.orderBy(F.xxhash64("_id"), "_id"))
+    within = found.select("_id", upto.alias("_upto")).filter(F.col("_upto") <= max_entries).select("_id")
+    return found.join(F.broadcast(within), "_id", "left_semi")
 
 
 def held_out(id_col: str):
@@ -176,10 +258,42 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit_model(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, **columns) -> Model:
+def fit_model(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, max_terms: int = MAX_TERMS,
+              frequent: int = FREQUENT_TERMS, **columns) -> Model:
     """Fit on the bounded sample; rows arrive in id order, so a refit gives the same model."""
-    sample = fit_sample(docs, labels, max_rows=max_rows, **columns).toPandas().sort_values(["_id", "_terms"])
-    return fit_terms([np.frombuffer(t, "<u4") for t in sample["_terms"]], sample["_y"].clip(0, 1).tolist())
+    sample = fit_sample(docs, labels, max_rows=max_rows, **columns)
+    size, pos = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("_y"), F.lit(0))).first()
+    terms, tells, common = _chosen(sample, float(pos), float(size - pos), max_terms, frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = [rows_of(np.frombuffer(t, "<u4"), terms).astype("<u2").tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.binary())], ["_id", "_y", "_rows"])
+
+    kind = sample.schema["_id"].dataType.simpleString()
+    rows = sample.mapInArrow(run, f"_id {kind}, _y int, _rows binary").toPandas().sort_values(["_id"])
+    return fit_found([np.frombuffer(t, "<u2") for t in rows["_rows"]], rows["_y"].tolist(), terms, tells, common)
+
+
+def _chosen(sample: DataFrame, pos: float, neg: float, max_terms: int, frequent: int) -> tuple:
+    """The terms of ``choose_terms``, counted by Spark; at most ``max_terms + frequent`` come to the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(t, "<u4") for t in batch.column(2).to_pylist()]
+            y = np.asarray(batch.column(1).to_pylist(), dtype=np.int64)
+            terms, inverse = np.unique(np.concatenate([*found, np.empty(0, np.uint32)]), return_inverse=True)
+            in_pos = np.bincount(inverse, weights=np.repeat(y, [len(f) for f in found]), minlength=len(terms))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(terms.astype(np.int64)), pa.array(np.bincount(inverse, minlength=len(terms)).astype(np.float64)), pa.array(in_pos)],
+                ["_term", "_n", "_pos"])
+
+    counts = (sample.mapInArrow(run, "_term bigint, _n double, _pos double").groupBy("_term")
+              .agg(F.sum("_n").alias("_n"), F.sum("_pos").alias("_pos")).filter(F.col("_n") >= MIN_ROWS))
+    value = _chi_square(F.col("_pos"), F.col("_n") - F.col("_pos"), pos, neg)
+    telling = counts.withColumn("_v", value).filter(F.col("_v") >= MIN_CHI_SQUARE).orderBy(F.desc("_v"), "_term").limit(max_terms).drop("_v")
+    common = counts.orderBy(F.desc("_n"), "_term").limit(frequent)
+    got = telling.union(common).distinct().toPandas().sort_values("_term")
+    return choose_terms(got["_term"].to_numpy(np.uint32), got["_n"].to_numpy(float), got["_pos"].to_numpy(float), pos, neg, max_terms, frequent)
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,7 +337,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def keep_clean(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose score is below 0.5, with the columns they came with (a map, no join).
 
-    Rows keep every column, duplicates and NULLs included; column names may not be ``_score``.
+    Rows keep every column, duplicates and NULLs included; column names are free.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)

@@ -403,3 +403,73 @@ def test_exact_dedup_filter_has_no_false_negative(spark):
     df = spark.range(3000).selectExpr("id AS doc_id", "concat('t ', cast(id % 1000 AS string)) AS text")
     rows = exact_dedup(df, bits_per_row=1, hashes=2).collect()
     assert {r.group_size for r in rows} == {3} and sum(r.kept for r in rows) == 1000
+
+
+# ---------------------------------------------------------------------------- op1: interactions and plain scores
+
+def _pairs(n, rng):
+    """Texts whose label is known only from two words together; each word alone is neutral."""
+    filler = [f"{a}{b}" for a in ("stone", "river", "cloud", "maple", "amber") for b in ("ton", "ley", "wick", "mere", "dale", "ford")]
+    texts, labels = [], []
+    for _ in range(n):
+        a, b = rng.randrange(2), rng.randrange(2)
+        words = rng.sample(filler, 8) + [("northers", "southers")[a], ("lovely", "awful")[b]]
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+        labels.append(int(a == b))
+    return texts, labels
+
+
+def test_words_that_are_neutral_alone_are_learned():
+    rng = random.Random(3)
+    model = toxicity.fit(*_pairs(1500, rng))
+    texts, labels = _pairs(600, rng)
+    right = sum((model.raw(toxicity.rows_of(toxicity.term_array(t), model.terms).astype(int)) > 0) == bool(y) for t, y in zip(texts, labels))
+    assert right > 0.95 * len(texts)
+
+
+def test_noise_alone_makes_no_pair_telling():
+    rng = random.Random(4)
+    texts, labels = _pairs(400, rng)
+    labels = [rng.randrange(2) for _ in labels]
+    model = toxicity.fit(texts, labels)
+    assert len(model.terms) <= 8
+
+
+def test_pair_scan_equals_plain_sums():
+    rng = np.random.default_rng(2)
+    found = [np.flatnonzero(rng.random(7) < 0.5) for _ in range(90)]
+    y, raw = rng.integers(0, 2, 90), rng.normal(0, 1, 90)
+    y = np.array([int(2 in f and 5 in f) if i % 9 else v for i, (f, v) in enumerate(zip(found, y))])
+    p = 1 / (1 + np.exp(-raw))
+    want = np.zeros(7, bool)
+    for i in range(7):
+        for j in range(7):
+            both = [k for k, f in enumerate(found) if i in f and j in f]
+            if i != j and sum(y[k] - p[k] for k in both) ** 2 / (sum(p[k] * (1 - p[k]) for k in both) + 1) >= toxicity.MIN_PAIR_CHI_SQUARE:
+                want[i] = want[j] = True
+    assert (toxicity.pair_terms(found, y, raw, 7, block=16) == want).all()
+
+
+def test_op1_scores_equal_the_plain_sum_of_pairs(spark):
+    rng = np.random.default_rng(1)
+    words = ["bad", "good", "people", "there", "walking"]
+    terms = np.unique(np.concatenate([toxicity.term_array(w) for w in words]))
+    model = toxicity.Model(terms, 0.3, rng.normal(size=len(terms)), rng.normal(size=(len(terms), 4)))
+    texts = ["bad people", "", None, "walking there GOOD good", "unknown", "people walk"]
+    got = toxicity.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model)
+    for row in got.collect():
+        hit = [i for i, t in enumerate(terms) if t in set(toxicity.term_array(texts[row["doc_id"]] or "").tolist())]
+        z = 0.3 + sum(model.weights[i] for i in hit) + sum(float(model.factors[i] @ model.factors[j]) for i in hit for j in hit if i < j)
+        assert abs(row["score"] - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_op1_fit_on_spark_equals_the_fit_in_memory(spark):
+    texts, labels = _pairs(300, random.Random(8))
+    texts = [t + (" dreadful" if y else " pleasant") for t, y in zip(texts, labels)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    marks = spark.createDataFrame(list(enumerate(labels)), "doc_id bigint, toxic int")
+    got = toxicity.fit_model(docs.union(docs), marks)
+    used = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5]
+    want = toxicity.fit([texts[i] for i in used], [labels[i] for i in used])
+    assert (got.terms == want.terms).all() and np.allclose(got.weights, want.weights) and np.allclose(got.factors, want.factors)
