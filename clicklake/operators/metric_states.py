@@ -77,7 +77,7 @@ def range_profile(spark: SparkSession, path: str, suite: quality.Suite, group: d
     total = sums.groupBy(*names).agg(*[F.sum(c).alias(c) for c in counted])
     wide = total.select(*names, *_metrics_of_sums(suite))
     # Days without any value leave no frequency file, so the columns are stated.
-    values = T.StructType([f for f in sums.schema.fields if f.name in suite.batch_cols]).add("column", "string").add("value", "string").add("n", "bigint")
+    values = T.StructType([f for f in sums.schema.fields if f.name in suite.batch_cols]).add("column", "string").add("value", "string").add("n", "long")
     freq = state(FREQUENCIES, values).groupBy(*names, "column", "value").agg(F.sum("n").alias("n"))
     freq = quality.metrics_of_frequencies(freq, names, suite.freq_columns())
     if names:
