@@ -337,8 +337,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def keep_clean(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose score is below 0.5, with the columns they came with (a map, no join).
 
-    Rows keep every column, duplicates and NULLs included; column names are free.
+    Rows keep every column, duplicates and NULLs included; column names are free.  A model without terms
+    learned nothing about texts: all rows stay.
     """
+    if not len(model.terms):
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
