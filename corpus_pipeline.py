@@ -3,6 +3,10 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame that
 is written as Parquet and read again as the next one's ``docs``.  Every stage works on all rows its
 predecessor kept; all but the last return the columns of ``documents``.
+
+In every stage NULL text counts as empty (and stays NULL where the text is returned), NULL ids and repeated rows
+are rows like any other, an empty table gives an empty result of the same columns, texts may be of any length and
+other columns may have any name; what else a stage does with them stands in its docstring.
 """
 
 from __future__ import annotations
@@ -21,7 +25,10 @@ NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorization machine scores under 0.5 (fitted on labelled rows of ``docs``)."""
+    """Documents that the factorization machine scores under 0.5 (fitted on labelled rows of ``docs``).
+
+    Where nothing was learned (no labels, or one kind only) all rows stay.  Empty texts get the model's bias.
+    """
     prepare(spark)
     model = toxicity.fit_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, model)
