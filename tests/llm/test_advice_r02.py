@@ -5,7 +5,6 @@ import random
 import public_tokenizers
 
 import corpus_pipeline
-from clicklake import queries
 from clicklake.llm import license_scan, near_dedup, piece_codec
 from clicklake.llm.common import prepare
 from test_brute_force import _components
@@ -77,9 +76,3 @@ def test_licenses_are_told_apart():
         assert name in names(text) and names(text) <= {name} | parts.get(name, set()), (name, names(text))
     lax = license_scan.Scanner(license_scan.TEMPLATES, license_scan.COVERAGE)
     assert "mit-line" in {m[0] for m in lax.scan("Released under the BSD License.")}
-
-
-def test_verify_after_write_reads_a_sample(spark):
-    out = queries.verify_after_write(spark, "/root/testdata/sf0.001")
-    assert "Limit" in out._jdf.queryExecution().optimizedPlan().toString()
-    assert out.first().sampled == 5 < out.first().row_count
