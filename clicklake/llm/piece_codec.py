@@ -7,10 +7,10 @@ of a word draws on its own, the same seed always gives the same segmentation and
 every segmentation consists of pieces of the model and decodes to the very text.
 
 No piece holds a space mark after another character nor a line break, so a text is cut into chunks
-(space marks with the word after them) that are encoded alone.  What merges follow from a set of skipped
-spans does not depend on the place, so that is remembered: a chunk's root is its encoding with nothing
-skipped, and a node's child is the one with another span skipped.  An occurrence goes down from the root as
-its hashes say; nodes are made as they are met, and longer chunks are encoded anew each time.
+(space marks with the word after them) that are encoded alone.  Short chunks are merged many at a time, a merge of
+each a step, by arrays.  A chunk's encoding with nothing skipped is remembered with the spans of its merges: an
+occurrence takes it where its hashes skip none of these spans and is merged anew where they skip one.
+Longer chunks are encoded one by one.
 Both directions are maps: no shuffle, and a worker's memory is bounded by its cache.
 """
 
@@ -21,6 +21,7 @@ from array import array
 from collections.abc import Iterator
 from hashlib import blake2b
 from heapq import heapify, heappop, heappush
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,11 @@ from .common import slices, text_of
 
 DROPOUT = 0.1
 SEED = 17
-# Longer chunks rarely meet the same skipped spans again and are not remembered.
+# Longer chunks are encoded one by one.
 MAX_REMEMBERED = 16
-# Nodes in each of a worker's two cache generations: a full young one becomes the old one, whose chunks
-# move to the young one when they are met again, so frequent chunks stay.
-MAX_NODES = 150_000
-# Chunks whose hashes are drawn at once.
+# Chunks that a worker remembers; a full cache starts afresh.
+MAX_NODES = 200_000
+# Chunks merged and drawn at once.
 STEP = 16_384
 
 # The space mark of the piece format.
@@ -44,7 +44,8 @@ MARK = "▁"
 _CHUNK = re.compile(r" *[^ \n▁]+| +|\n|▁")
 _MASK = (1 << 64) - 1
 _SPAN, _PLACE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_NONE = float("inf")
+# Rank of a pair that forms no piece: more than any other, and times 32 within 32 bits.
+NO_RANK = (1 << 26) - 1
 
 
 class PieceModel:
@@ -96,6 +97,22 @@ def segment(chunk: str, cost: dict[str, float], skip=None) -> list[str]:
     return [p for p in part if p]
 
 
+def chunks_of(text: str) -> list[str]:
+    """The chunks of a text with a space put before it: what ``_CHUNK`` finds, by plain splits where words are one space apart."""
+    out: list[str] = []
+    for n, line in enumerate((" " + text).split("\n") if text else ()):
+        if n:
+            out.append("\n")
+        if "  " in line or MARK in line:
+            out += _CHUNK.findall(line)
+        else:
+            first, *words = line.split(" ")
+            if first:
+                out.append(first)
+            out += [" " + w for w in words]
+    return out
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit finalizer of the values of ``x``."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -109,39 +126,133 @@ def mixed_one(x: int) -> int:
     return x ^ (x >> 31)
 
 
-def merges(chunk: str, cost: dict[str, float], skipped: tuple) -> tuple[list[str], array]:
-    """``segment`` of a short chunk by a plain list, and the spans (start * 32 + size) of the merges it made, in their order."""
-    part, starts, made = list(chunk), list(range(len(chunk))), array("H")
-    costs = [cost.get(a + b, _NONE) for a, b in zip(part, part[1:])]
-    while costs:
-        least = min(costs)
-        if least == _NONE:
-            break
-        i = costs.index(least)
-        joined = part[i] + part[i + 1]
-        span = starts[i] * 32 + len(joined)
-        if span in skipped:
-            costs[i] = _NONE
-            continue
-        made.append(span)
-        part[i] = joined
-        del part[i + 1], starts[i + 1], costs[i]
-        if i < len(costs):
-            costs[i] = cost.get(joined + part[i + 1], _NONE)
-        if i:
-            costs[i - 1] = cost.get(part[i - 1] + joined, _NONE)
-    return part, made
+class Symbols:
+    """Codes of a model's symbols (pieces, and characters as they are met) and the merges between them, as arrays.
 
+    Code 0 is no symbol, code 1 stands for a chunk that is encoded alone.
+    """
 
-class Node:
-    """A chunk encoded with some spans skipped: its ids, and the spans of the merges it made, in their order."""
-
-    __slots__ = ("shown", "skipped", "ids", "path", "later", "root", "count")
-
-    def __init__(self, shown: str, skipped: tuple, ids: bytes, path: bytes, root: Node | None = None):
-        self.shown, self.skipped, self.ids, self.path = shown, skipped, ids, path
-        self.later: dict[int, Node] | None = None
-        self.root, self.count = root, 1  # ``count`` of a root: nodes of its tree
+    def __init__(self, model: PieceModel):
+        self.model, self.count = model, 0
+        self.known: dict[str, int] = {}
+        self.ids, self.width = np.zeros((1 << 16, 4), np.int32), np.ones(1 << 16, np.int64)
+        self.of_char = np.zeros(0x110000, np.int32)
+        self._add([0]), self._add([0])
+        for piece in model.ids:
+            self.code(piece)
+        rank = {c: r for r, c in enumerate(sorted(set(model.cost.values())))}
+        pairs = [(a << 32 | b, rank[cost], self.known[piece]) for piece, cost in model.cost.items() for cut in range(1, len(piece))
+                 if (a := self._part(piece[:cut])) and (b := self._part(piece[cut:]))]
+        self.of_char[ord(" ")] = self.code(MARK)
+        # The mark as a character of the text: bytes, so that it isn't read as a space.
+        self.of_char[ord(MARK)] = self._add([model.bytes[b] for b in MARK.encode()])
+        self._table(*(np.array(x, kind) for x, kind in zip(zip(*pairs), (np.uint64, np.int32, np.int32))) if pairs
+                    else (np.empty(0, kind) for kind in (np.uint64, np.int32, np.int32)))
+
+    def _add(self, ids: list[int]) -> int:
+        if self.count == len(self.width):
+            self.ids, self.width = np.concatenate([self.ids, np.zeros_like(self.ids)]), np.concatenate([self.width, np.ones_like(self.width)])
+        self.ids[self.count, :len(ids)], self.width[self.count] = ids, len(ids)
+        self.count += 1
+        return self.count - 1
+
+    def code(self, symbol: str) -> int:
+        if symbol not in self.known:
+            self.known[symbol] = self._add(self.model.symbols(symbol))
+        return self.known[symbol]
+
+    def _part(self, symbol: str) -> int:
+        return self.code(symbol) if len(symbol) == 1 else self.known.get(symbol, 0)
+
+    def _table(self, keys: np.ndarray, ranks: np.ndarray, codes: np.ndarray) -> None:
+        """Open addressing over the pairs, at most a quarter full."""
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
+        self.key = np.zeros(1 << bits, np.uint64)
+        self.rank, self.merged = np.full(1 << bits, NO_RANK, np.int32), np.zeros(1 << bits, np.int32)
+        left, at = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = left[self.key[at[left]] == 0]
+            slot, first = np.unique(at[free], return_index=True)
+            placed = free[first]
+            self.key[slot], self.rank[slot], self.merged[slot] = keys[placed], ranks[placed], codes[placed]
+            left = np.setdiff1d(left, placed)
+            at[left] = (at[left] + 1) & self.mask
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key * np.uint64(_SPAN)) >> self.shift).astype(np.int64)
+
+    def merge(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, code) of what neighbouring symbols form; ``NO_RANK`` where that is no piece."""
+        key = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+        at = self._slot(key)
+        found = self.key[at]
+        hit = found == key
+        on = np.flatnonzero(~hit & (found != 0))
+        while len(on):
+            at[on] = (at[on] + 1) & self.mask
+            found = self.key[at[on]]
+            hit[on] = found == key[on]
+            on = on[(found != key[on]) & (found != 0)]
+        return np.where(hit, self.rank[at], np.int32(NO_RANK)), self.merged[at]
+
+    def of_text(self, text: str) -> np.ndarray:
+        """Codes of the text's characters."""
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = self.of_char[points]
+        if not codes.all():
+            for point in np.unique(points[codes == 0]).tolist():
+                self.of_char[point] = self.code(chr(point))
+            codes = self.of_char[points]
+        return codes
+
+
+def merged_chunks(chunks: list[str], symbols: Symbols, bases: np.ndarray | None = None, limit: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """``segment`` of many short chunks at once, a merge of each a step: (chunk, place) codes of the symbols left (0: none
+    there) and, in the order of the merges, their spans (start * 32 + size; 0: no more).
+
+    With ``bases`` a candidate merge is skipped when its hash falls under ``limit``.
+    """
+    n, places = len(chunks), MAX_REMEMBERED + 2  # no symbol stands before the first character or after the last
+    lengths = np.fromiter(map(len, chunks), np.int64, n)
+    codes = symbols.of_text("".join(chunks))
+    owner = np.repeat(np.arange(n), lengths)
+    at = (np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1) * n + owner
+    part, form = np.zeros(places * n, np.int32), np.zeros(places * n, np.int32)
+    cost = np.full(places * n, NO_RANK * 32, np.int32)  # rank * 32 + place: the least is the best, then the leftmost
+    after, before = np.repeat(np.arange(1, places + 1), n), np.repeat(np.arange(-1, places - 1), n)
+    part[at] = codes
+    inner = np.flatnonzero(owner[1:] == owner[:-1])
+    ranks, made = symbols.merge(codes[inner], codes[inner + 1])
+    cost[at[inner]], form[at[inner]] = ranks * 32 + at[inner] // n, made
+    spans, step = np.zeros((n, MAX_REMEMBERED), np.uint16), 0
+    while True:
+        least = cost.reshape(places, n).min(0)
+        rows = np.flatnonzero(least < NO_RANK * 32)
+        if not len(rows):
+            break
+        place = (least[rows] & 31).astype(np.int64)
+        x = place * n + rows
+        y = after[x] * n + rows
+        end = after[y]
+        span = (place - 1) * 32 + end - place
+        if bases is None:
+            spans[rows, step] = span
+        else:
+            skipped = mixed(bases[rows] + span.astype(np.uint64) * np.uint64(_SPAN)) >> np.uint64(32) < limit
+            cost[x[skipped]] = NO_RANK * 32
+            go = ~skipped
+            rows, place, x, y, end = rows[go], place[go], x[go], y[go], end[go]
+        joined = form[x]
+        part[x], part[y], cost[y], after[x] = joined, 0, NO_RANK * 32, end
+        z, first = end * n + rows, before[x]
+        before[z] = place
+        w = first * n + rows
+        ranks, made = symbols.merge(np.concatenate([part[w], joined]), np.concatenate([joined, part[z]]))
+        both = np.concatenate([w, x])
+        cost[both], form[both] = ranks * 32 + np.concatenate([first, place]), made
+        step += 1
+    return part.reshape(places, n)[1:-1].T, spans
 
 
 class Encoder:
@@ -151,95 +262,93 @@ class Encoder:
         self.model, self.dropout = model, dropout
         self.limit = int(dropout * (1 << 32))
         self.key = blake2b(str(seed).encode(), digest_size=16).digest()
-        self.young: dict[str, Node] = {}
-        self.old: dict[str, Node] = {}
-        self.made = 0
+        self.symbols = Symbols(model)
+        self.known: dict[str, int] = {}
+        # Of every remembered chunk, and in row 0 of one that is encoded alone: ``merged_chunks`` with nothing skipped.
+        size = MAX_NODES + 2 * STEP + 1
+        self.parts, self.spans = np.zeros((size, MAX_REMEMBERED), np.int32), np.zeros((size, MAX_REMEMBERED), np.uint16)
+        self.parts[0, 0] = 1
 
     def bases(self, text: str, n: int) -> np.ndarray:
         """What the skips of each of the text's ``n`` chunks are drawn from: a keyed hash of (seed, text, place)."""
         own = blake2b(text.encode("utf-8", "surrogatepass"), key=self.key, digest_size=8).digest()
         return mixed(np.frombuffer(own, "<u8") + np.arange(n, dtype=np.uint64) * np.uint64(_PLACE))
 
-    def _ids(self, parts: list[str]) -> bytes:
-        return array("i", [i for p in parts for i in self.model.symbols(p)]).tobytes()
-
     def drawn(self, chunk: str, base: int) -> bytes:
-        """Ids of one occurrence of a chunk, without the cache."""
+        """Ids of one occurrence of a chunk, encoded alone."""
         if chunk == MARK:
-            return self._root(chunk).ids
+            return array("i", [self.model.bytes[b] for b in MARK.encode()]).tobytes()
         unit = 32 if len(chunk) <= MAX_REMEMBERED else 1 << 32
-        return self._ids(segment(chunk.replace(" ", MARK), self.model.cost,
-                                 lambda start, size: mixed_one((base + (start * unit + size) * _SPAN) & _MASK) >> 32 < self.limit))
-
-    def _node(self, shown: str, skipped: tuple, root: Node | None = None) -> Node:
-        if not self.limit:
-            return Node(shown, skipped, self._ids(segment(shown, self.model.cost)), b"")
-        parts, made = merges(shown, self.model.cost, skipped)
-        return Node(shown, skipped, self._ids(parts), made.tobytes(), root)
-
-    def _root(self, chunk: str) -> Node:
-        if chunk == MARK:  # the mark as a character of the text: bytes, so that it isn't read as a space
-            return Node(chunk, (), array("i", [self.model.bytes[b] for b in MARK.encode()]).tobytes(), b"")
-        return self._node(chunk.replace(" ", MARK), ())
-
-    def _child(self, node: Node, span: int) -> Node:
-        if node.later is None:
-            node.later = {}
-        found = node.later.get(span)
-        if found is None:
-            root = node.root or node
-            found = node.later[span] = self._node(node.shown, (*node.skipped, span), root)
-            root.count += 1
-            self.made += 1
-        return found
-
-    def _resolve(self, nodes: list[Node], bases: np.ndarray) -> list[bytes]:
-        """Ids of the occurrences: each goes on to the child of the first merge on its way that is skipped."""
-        waiting = np.arange(len(nodes)) if self.limit else np.empty(0, np.int64)
-        while len(waiting):
-            paths = [nodes[i].path for i in waiting.tolist()]
-            lengths = np.fromiter(map(len, paths), np.int64, len(paths)) // 2
-            spans = np.frombuffer(b"".join(paths), np.uint16)
-            hits = np.flatnonzero(mixed(np.repeat(bases[waiting], lengths) + spans * np.uint64(_SPAN)) >> np.uint64(32) < self.limit)
-            owner = np.searchsorted(np.cumsum(lengths), hits, side="right")
-            first = np.flatnonzero(np.diff(owner, prepend=-1))
-            waiting = waiting[owner[first]]
-            for i, span in zip(waiting.tolist(), spans[hits[first]].tolist(), strict=True):
-                nodes[i] = self._child(nodes[i], span)
-        return [n.ids for n in nodes]
+        parts = segment(chunk.replace(" ", MARK), self.model.cost,
+                        lambda start, size: mixed_one((base + (start * unit + size) * _SPAN) & _MASK) >> 32 < self.limit)
+        return array("i", [i for p in parts for i in self.model.symbols(p)]).tobytes()
+
+    def _rows(self, chunks: list[str]) -> np.ndarray:
+        """Rows of the chunks in the cache, which gets those it lacks; 0 for long ones."""
+        if len(self.known) >= MAX_NODES:
+            self.known.clear()
+        rows = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        absent = np.flatnonzero(rows < 0).tolist()
+        new = list(dict.fromkeys([c for i in absent if len(c := chunks[i]) <= MAX_REMEMBERED]))
+        if new:
+            first = len(self.known) + 1
+            self.parts[first:first + len(new)], self.spans[first:first + len(new)] = merged_chunks(new, self.symbols)
+            self.known.update(zip(new, range(first, first + len(new))))
+        rows[absent] = [self.known.get(chunks[i], 0) for i in absent]
+        return rows
+
+    def _resolve(self, chunks: list[str], rows: np.ndarray, bases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the occurrences, one after another, and where each one's begin (and the last one's end).
+
+        What the cache holds stands where none of its merges is skipped; the others are merged anew.
+        """
+        parts = self.parts[rows]
+        if self.limit:
+            spans = self.spans[rows]
+            owner, place = np.nonzero(spans)
+            skipped = mixed(bases[owner] + spans[owner, place] * np.uint64(_SPAN)) >> np.uint64(32) < self.limit
+            again = np.zeros(len(rows), bool)
+            again[owner[skipped]] = True
+            again = np.flatnonzero(again)
+            if len(again):
+                parts[again] = merged_chunks([chunks[i] for i in again.tolist()], self.symbols, bases[again], self.limit)[0]
+        there = parts > 0
+        codes, ends = parts[there], np.cumsum(there.sum(1))
+        width = self.symbols.width[codes]
+        alone = [np.frombuffer(self.drawn(chunks[i], int(bases[i])), "<i4") for i in np.flatnonzero(rows == 0).tolist()]
+        places = np.flatnonzero(codes == 1)
+        width[places] = [len(x) for x in alone]
+        starts = np.concatenate([[0], np.cumsum(width)])
+        ids = np.repeat(self.symbols.ids[codes, 0], width)
+        for k in range(1, 4):
+            more = np.flatnonzero((width > k) & (codes != 1))
+            ids[starts[more] + k] = self.symbols.ids[codes[more], k]
+        for i, own in zip(places.tolist(), alone, strict=True):
+            ids[starts[i]:starts[i + 1]] = own
+        return ids, starts[np.concatenate([[0], ends])]
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of every text; the empty text has none."""
         out: list[list[bytes]] = [[] for _ in texts]
-        nodes, bases, owners = [], [], []
+        waiting, bases, owners = [], [], []
 
         def flush() -> None:
-            at, ids = 0, self._resolve(nodes, np.concatenate(bases)) if nodes else []
-            for t, n in owners:
-                out[t].append(b"".join(ids[at:at + n]))
-                at += n
-            nodes.clear(), bases.clear(), owners.clear()
+            if waiting:
+                at, (ids, starts) = 0, self._resolve(waiting, self._rows(waiting), np.concatenate(bases))
+                for t, n in owners:
+                    out[t].append(ids[starts[at]:starts[at + n]].astype("<i4").tobytes())
+                    at += n
+            waiting.clear(), bases.clear(), owners.clear()
 
         for t, text in enumerate(texts):
-            chunks = _CHUNK.findall(" " + text) if text else []
+            chunks = chunks_of(text)
             own = self.bases(text, len(chunks))
             for lo in range(0, len(chunks), STEP):
                 part = chunks[lo:lo + STEP]
-                if self.made >= MAX_NODES:
-                    self.young, self.old, self.made = {}, self.young, 0
-                young, old = self.young, self.old
-                for place, c in enumerate(part, lo):
-                    node = young.get(c)
-                    if node is None:
-                        if self.limit and len(c) > MAX_REMEMBERED:
-                            node = Node(c, (), self.drawn(c, int(own[place])), b"")
-                        else:
-                            node = young[c] = old.get(c) or self._root(c)
-                            self.made += node.count
-                    nodes.append(node)
+                waiting += part
                 bases.append(own[lo:lo + STEP])
                 owners.append((t, len(part)))
-                if len(nodes) >= STEP:
+                if len(waiting) >= STEP:
                     flush()
         flush()
         return [b"".join(x) for x in out]
