@@ -78,11 +78,14 @@ def ascii_lower(c: Column) -> Column:
 
 
 _SHIPPED: set[str] = set()
+# Bytes of an Arrow batch between an executor and a Python worker: 10,000 rows, Spark's own bound, may be whole texts.
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session defaults, and the package sent to the Python workers (as ``--py-files`` would) once per application."""
     ensure_defaults(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parent.parent

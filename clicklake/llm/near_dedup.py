@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, fresh, stage, text_of
+from .common import broadcast_if_small, fresh, slices, stage, text_of
 from .components import components
 from .shingles import SHINGLE_WORDS, MinHash, digest, shingle_set
 
@@ -118,7 +118,7 @@ def exact_links(sets: list[np.ndarray], percent: int = 85) -> list[tuple[int, in
 def _profiles(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign = MinHash(SIGNATURE, SEED)
-        for batch in batches:
+        for batch in slices(batches):
             sizes, nodes, signatures, looks = [], [], [], []
             for text in batch.column(2).to_pylist():
                 s = shingle_set(text, k)
@@ -153,15 +153,15 @@ def _forest(least: float):
             if not batch.num_rows:
                 continue
             tree = np.asarray(batch.column(0))
-            slices = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, DEPTH)
+            prefixes = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, DEPTH)
             nodes = batch.column(2).to_pylist()
             looks = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, SIGNATURE)
             if tail is not None:
-                tree, slices = np.concatenate([tail[0], tree]), np.concatenate([tail[1], slices])
+                tree, prefixes = np.concatenate([tail[0], tree]), np.concatenate([tail[1], prefixes])
                 nodes, looks = tail[2] + nodes, np.concatenate([tail[3], looks])
             pairs = []
             for step in range(1, min(NEIGHBOURS, len(nodes) - 1) + 1):
-                near = np.flatnonzero((tree[step:] == tree[:-step]) & (slices[step:, :MIN_DEPTH] == slices[:-step, :MIN_DEPTH]).all(1))
+                near = np.flatnonzero((tree[step:] == tree[:-step]) & (prefixes[step:, :MIN_DEPTH] == prefixes[:-step, :MIN_DEPTH]).all(1))
                 for at in range(0, len(near), 4096):
                     i = near[at:at + 4096]
                     alike = (looks[i] == looks[i + step]).mean(1) >= least
@@ -179,7 +179,7 @@ def _forest(least: float):
                 if joined.join(*found):
                     out.append((nodes[x], nodes[y]))
             keep = max(0, len(nodes) - NEIGHBOURS)
-            tail = (tree[keep:], slices[keep:], nodes[keep:], looks[keep:])
+            tail = (tree[keep:], prefixes[keep:], nodes[keep:], looks[keep:])
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.binary()), pa.array([p[1] for p in out], pa.binary())], ["a", "b"])
 
@@ -207,7 +207,7 @@ def _confirm(k: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, group, out = None, {}, []
-        for batch in batches:
+        for batch in slices(batches):
             for key, node, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 if key != task:
                     out += solve(group) if len(group) > 1 else []

@@ -28,7 +28,7 @@ from .common import offsets_by_part, slices, stage, text_of
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 # Entries that a worker keeps of encoded words and of encoded letter runs; a full cache starts afresh.
-MAX_CACHED = 300_000
+MAX_CACHED = 100_000
 ID_BYTES = 4
 
 # Characters of a plain word's tail that are one unit of their own.

@@ -5,25 +5,13 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+from xxhash import xxh3_64_intdigest
 
 SHINGLE_WORDS = 5
-# Words whose hash a worker remembers; a full cache starts afresh.
-MAX_CACHED = 500_000
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _RADIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MAX_CACHED:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
-
-
-_HASHES = _WordHashes()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX_A
     x = (x ^ (x >> np.uint64(27))) * _MIX_B
@@ -39,7 +27,7 @@ def shingle_set(text: str | None, k: int = SHINGLE_WORDS) -> np.ndarray:
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, found), dtype=np.uint64, count=len(found))
+    h = np.fromiter(map(xxh3_64_intdigest, found), dtype=np.uint64, count=len(found))
     width = min(k, len(h))
     out = np.full(len(h) - width + 1, width, np.uint64)
     for j in range(width):

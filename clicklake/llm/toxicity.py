@@ -44,7 +44,7 @@ MIN_GAIN = 0.8
 FACTORS = 4
 PREFIXES = (4, 5)
 # Words whose term rows a worker remembers; a full cache starts afresh.
-MAX_CACHED = 500_000
+MAX_CACHED = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -307,7 +307,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         known = _Rows(own.terms)
-        for batch in batches:
+        for batch in slices(batches):
             raw = np.empty(batch.num_rows)
             for i, text in enumerate(batch.column(1).to_pylist()):
                 hit = {r for rows in map(known.__getitem__, words_of(text)) if rows for r in rows}
@@ -348,7 +348,7 @@ def keep_clean(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         known = _Rows(own.terms)
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for text in batch.column(at).to_pylist():
                 hit = {r for rows in map(known.__getitem__, words_of(text or "")) if rows for r in rows}
